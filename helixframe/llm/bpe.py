@@ -17,6 +17,7 @@ import numpy as np
 import regex
 
 NONE = np.iinfo(np.int32).max
+_SLOTS, _SHIFT, _MIX = 1 << 19, 20, 0x9E3779B97F4A7C1 | 1
 LONG_WORD = 400  # symbols; longer words are merged one by one with a heap
 
 # Latin-1 texts take a fast pattern with explicit classes; all others the Unicode pattern.
@@ -51,6 +52,11 @@ class Merger:
         keys = np.array([vocab[a] * self.n + vocab[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int32)
+        # most lookups end in one slot of a hash table; keys that lost their slot are found by bisection
+        slot = ((self.keys * _MIX) >> _SHIFT) & (_SLOTS - 1)
+        self.slot_keys, self.slot_ranks = np.full(_SLOTS, -1, np.int64), np.full(_SLOTS, NONE, np.int32)
+        self.slot_keys[slot], self.slot_ranks[slot] = self.keys, self.ranks
+        self.crowded = np.bincount(slot, minlength=_SLOTS) > 1
         self.joined = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.rank_of = dict(zip(keys.tolist(), range(len(keys)), strict=True))
         back = {c: b for b, c in enumerate(letters)}
@@ -61,12 +67,17 @@ class Merger:
             self.bytes_of[i] = t.encode()
 
     def _rank(self, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == keys, self.ranks[at], NONE)
+        slot = ((keys * _MIX) >> _SHIFT) & (_SLOTS - 1)
+        out = np.where(self.slot_keys[slot] == keys, self.slot_ranks[slot], NONE)
+        rest = np.flatnonzero(self.crowded[slot] & (out == NONE))
+        if len(rest):
+            at = np.searchsorted(self.keys, keys[rest])
+            at[at == len(self.keys)] = 0
+            out[rest] = np.where(self.keys[at] == keys[rest], self.ranks[at], NONE)
+        return out
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word (non-empty bytes)."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word (non-empty bytes), as little-endian 32-bit integers."""
         out: list = [None] * len(words)
         some = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
         for i, w in enumerate(words):
@@ -81,15 +92,15 @@ class Merger:
         sym[ends] = self.last[raw[ends]]
         word = np.repeat(np.arange(len(some)), lengths)
         done_sym, done_word = [], []
+        rank = np.full(len(sym), NONE, np.int32)
+        pair = np.flatnonzero(word[:-1] == word[1:])
+        rank[pair] = self._rank(sym[pair] * self.n + sym[pair + 1])
         while len(sym):
-            rank = np.full(len(sym), NONE, np.int32)
-            pair = np.flatnonzero(word[:-1] == word[1:])
-            rank[pair] = self._rank(sym[pair] * self.n + sym[pair + 1])
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.r_[starts, len(sym)]))
-            if (over := least == NONE).any():
-                done_sym.append(sym[over])
-                done_word.append(word[over])
+            over = least == NONE
+            done_sym.append(sym[over])
+            done_word.append(word[over])
             hit = np.flatnonzero((rank == least) & ~over)
             if not len(hit):
                 break
@@ -100,14 +111,23 @@ class Merger:
             sym[hit] = self.joined[rank[hit]]
             stay = ~over
             stay[hit + 1] = False
-            sym, word = sym[stay], word[stay]
+            at = (np.cumsum(stay) - 1)[hit]
+            sym, word, rank = sym[stay], word[stay], rank[stay]
+            # only the pairs beside a new symbol change
+            near = np.concatenate([at, at[at > 0] - 1])
+            rank[near] = NONE
+            near = near[near + 1 < len(sym)]
+            near = near[word[near] == word[near + 1]]
+            rank[near] = self._rank(sym[near] * self.n + sym[near + 1])
         sym, word = np.concatenate(done_sym), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
-        for i, ids in zip(some, np.split(sym[order], np.searchsorted(word[order], np.arange(1, len(some)))), strict=True):
-            out[i] = ids
+        ends = (4 * np.cumsum(np.bincount(word, minlength=len(some)))).tolist()
+        raw, at = sym[order].astype("<u4").tobytes(), 0
+        for i, end in zip(some, ends, strict=True):
+            out[i], at = raw[at:end], end
         return out
 
-    def _merge_long(self, w: bytes) -> np.ndarray:
+    def _merge_long(self, w: bytes) -> bytes:
         raw = np.frombuffer(w, np.uint8)
         sym = self.first[raw].tolist()
         sym[-1] = int(self.last[raw[-1]])
@@ -129,30 +149,92 @@ class Merger:
                     heapq.heappush(heap, (q, i, sym[i], sym[k]))
             if (h := left[i]) >= 0 and (q := rank_of.get(sym[h] * base + sym[i])) is not None:
                 heapq.heappush(heap, (q, h, sym[h], sym[i]))
-        return np.array([s for s in sym if s >= 0], np.int64)
+        return np.array([s for s in sym if s >= 0], "<u4").tobytes()
 
 
 class ByteLevelSplitter:
-    """Splits a text at special tokens and then as the byte-level pattern does; returns words."""
+    """Splits text as the byte-level pattern does; a unit is a word."""
 
+    atomic = True
     wide = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
-    def words(self, text: str) -> list[str]:
+    def units(self, text: str) -> list[str]:
         return (self.narrow if text.isascii() or _latin(text) else self.wide).findall(text)
 
 
 class LowerWordSplitter:
-    """NFC, lower case, white space dropped; returns words."""
+    """NFC, lower case, white space dropped. Words don't cross white space, so units are split on their own."""
 
+    atomic = False
     wide = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
-    def words(self, text: str) -> list[str]:
-        if text.isascii() or _latin(text):
-            return self.narrow.findall(text.lower())
-        text = unicodedata.normalize("NFC", text)
-        return self.wide.findall(text.replace("Σ", "σ").lower())
+    def _lowered(self, text: str) -> str:
+        if not text.isascii() and not _latin(text):
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return text.lower()
+
+    def units(self, text: str) -> list[str]:
+        text = self._lowered(text)
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split alone
+            return self.unit_words(text)
+        return text.split()
+
+    def unit_words(self, unit: str) -> list[str]:
+        return (self.narrow if unit.isascii() or _latin(unit) else self.wide).findall(unit)
+
+
+class _Known(dict):
+    """Notes what it was asked for in vain."""
+
+    def __init__(self):
+        self.new: set[str] = set()
+
+    def __missing__(self, key: str) -> None:
+        self.new.add(key)
+
+
+class Encoder:
+    """Encodes texts to ids as little-endian bytes; remembers words and units between batches."""
+
+    def __init__(self, merger: Merger, splitter, ids_of_words, most: int):
+        self.splitter, self.ids_of_words, self.most = splitter, ids_of_words, most
+        self.special = list(merger.special)
+        self.fixed = {t: np.array([i], "<u4").tobytes() for t, i in merger.special.items()}
+        self.units, self.ids = _Known(), {}
+
+    def _learn(self) -> None:
+        """Ids of the new units."""
+        new = list(self.units.new)
+        if len(self.units) + len(new) > self.most:
+            self.units.clear()
+        if self.splitter.atomic:
+            self.units.update(zip(new, self.ids_of_words([u.encode() for u in new]), strict=True))
+        else:
+            split = [self.splitter.unit_words(u) for u in new]
+            words = list({w for s in split for w in s} - self.ids.keys())
+            if len(self.ids) + len(words) > self.most:
+                self.ids.clear()
+                words = list({w for s in split for w in s})
+            self.ids.update(zip(words, self.ids_of_words([w.encode() for w in words]), strict=True))
+            ids = self.ids
+            self.units.update((u, ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s])) for u, s in zip(new, split, strict=True))
+        self.units.new.clear()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plans = []
+        for t in texts:
+            parts = [(p, None) if p in self.fixed else (None, self.splitter.units(p)) for p in split_special(t, self.special)]
+            plans.append([(p, u, list(map(self.units.__getitem__, u)) if u else u) for p, u in parts])
+        if self.units.new:
+            if len(self.units) + len(self.units.new) > self.most:  # the memory starts anew, with all of this batch's units
+                self.units.new.update(*(u for plan in plans for _, u, _ in plan if u))
+            self._learn()
+        get, out = self.units.__getitem__, []
+        for plan in plans:
+            out.append(b"".join([self.fixed[p] if u is None else b"".join(map(get, u) if None in got else got) for p, u, got in plan]))
+        return out
 
 
 def _latin(text: str) -> bool:

@@ -23,17 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.bpe import ByteLevelSplitter, Merger, split_special
+from helixframe.llm.bpe import ByteLevelSplitter, Encoder, Merger
 from helixframe.llm.common import table, text_chunks
 
 #: Words in the lexicon: bounds the driver's share and the broadcast (about 40 bytes a word).
 LEXICON_WORDS = 32_768
 #: Words kept by one worker between batches.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
 
 
-def compile_transducer(entries: dict[bytes, np.ndarray]) -> bytes:
-    """A minimal acyclic transducer of word -> ids as one block of little-endian integers."""
+def compile_transducer(entries: dict[bytes, bytes]) -> bytes:
+    """A minimal acyclic transducer of word -> ids (32-bit) as one block of little-endian integers."""
     words = sorted(w for w in entries if w)
     register: dict[tuple, int] = {}
     frozen: list[tuple[bool, tuple[tuple[int, int], ...]]] = []  # state -> (final, ((byte, target), ...))
@@ -75,7 +75,7 @@ def compile_transducer(entries: dict[bytes, np.ndarray]) -> bytes:
             count += below[to]
         below[s] = count
     order = np.argsort(np.array(keys, np.int64), kind="stable")
-    ids = [entries[w] for w in words]
+    ids = [np.frombuffer(entries[w], "<u4") for w in words]
     parts = [
         np.array(keys, np.int64)[order], np.array(targets, np.int64)[order], np.array(outputs, np.int64)[order],
         np.array([f for f, _ in frozen], np.int64), np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int64),
@@ -126,66 +126,48 @@ class Transducer:
             live = live[~over]
         return found
 
-    def ids_of(self, row: int) -> np.ndarray:
-        return self.ids[self.starts[row] : self.starts[row + 1]]
+    def ids_of(self, row: int) -> bytes:
+        return self.ids[self.starts[row] : self.starts[row + 1]].astype("<u4").tobytes()
 
 
 class Codec:
     """Encodes and decodes texts; one per worker."""
 
     def __init__(self, path: str, block: bytes | None):
-        self.merger, self.splitter = Merger(path), ByteLevelSplitter()
+        self.merger = Merger(path)
         self.lexicon = Transducer(block) if block else None
-        self.special = list(self.merger.special)
-        self.seen: dict[str, tuple[bytes, str]] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.seen) > CACHE_WORDS:
-            self.seen.clear()
-        new = sorted(words - self.seen.keys())
-        raw = [w.encode() for w in new]
-        rows = self.lexicon.rows(raw) if self.lexicon else np.full(len(new), -1)
+        self.encoder = Encoder(self.merger, ByteLevelSplitter(), self._ids, CACHE_WORDS)
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """From the lexicon, and by merging where it lacks a word."""
+        rows = self.lexicon.rows(words) if self.lexicon else np.full(len(words), -1)
         rest = np.flatnonzero(rows < 0)
-        merged = dict(zip(rest.tolist(), self.merger.merge([raw[i] for i in rest]), strict=True))
-        for i, (w, row) in enumerate(zip(new, rows.tolist(), strict=True)):
-            ids = merged[i] if row < 0 else self.lexicon.ids_of(row)
-            self.seen[w] = (ids.astype("<u4").tobytes(), ",".join(map(str, ids.tolist())))
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        """(ids, their decimals joined by commas) of each text."""
-        split = []
-        for t in texts:
-            words: list = []
-            for part in split_special(t, self.special):
-                words += [part] if part in self.merger.special else self.splitter.words(part)
-            split.append(words)
-        every = set().union(*split)
-        if not every <= self.seen.keys():
-            self._learn(every - self.merger.special.keys())
-            for w in every & self.merger.special.keys():
-                i = self.merger.special[w]
-                self.seen[w] = (np.array([i], "<u4").tobytes(), str(i))
-        seen, out = self.seen, []
-        for words in split:
-            got = [seen[w] for w in words]
-            out.append((np.frombuffer(b"".join([g[0] for g in got]), "<u4"), ",".join([g[1] for g in got])))
-        return out
-
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.merger.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        merged = dict(zip(rest.tolist(), self.merger.merge([words[i] for i in rest]), strict=True))
+        return [merged[i] if row < 0 else self.lexicon.ids_of(row) for i, row in enumerate(rows.tolist())]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(ids, "<u4") for ids in self.encoder.encode(texts)]
+
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.merger.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): the pre-tokens of all texts; counted in each batch before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = ByteLevelSplitter()
+        splitter, c = ByteLevelSplitter(), Counter()
         for batch in batches:
             for _, texts in text_chunks(batch, text):
-                c: Counter = Counter()
                 for t in texts:
-                    c.update(splitter.words(t))
-                yield pa.RecordBatch.from_pydict({"word": pa.array(c.keys(), pa.string()), "n": pa.array(c.values(), pa.int64())})
+                    c.update(splitter.units(t))
+                if len(c) > CACHE_WORDS:
+                    yield rows(c)
+                    c.clear()
+        yield rows(c)
+
+    def rows(c: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"word": pa.array(c.keys(), pa.string()), "n": pa.array(c.values(), pa.int64())})
 
     return docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -226,7 +208,7 @@ def _map(docs: DataFrame, path: str, block: bytes, key: str, text: str, row, sch
         codec = _codec(path, shared.key, shared)
         for batch in batches:
             for begin, texts in text_chunks(batch, text):
-                rows = [row(codec, ids, csv) for ids, csv in codec.encode(texts)]
+                rows = [row(codec, ids) for ids in codec.encode(texts)]
                 ids = batch.column(batch.schema.get_field_index(key)).slice(begin, len(texts))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(x) for x in zip(*rows, strict=True))], names=names)
 
@@ -236,7 +218,7 @@ def _map(docs: DataFrame, path: str, block: bytes, key: str, text: str, row, sch
 
 def encode(docs: DataFrame, path: str, block: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): the token ids of each text."""
-    return _map(docs, path, block, key, text, lambda c, ids, csv: (ids.astype(np.int32),), f"{key} long, ids array<int>")
+    return _map(docs, path, block, key, text, lambda c, ids: (ids.astype(np.int32),), f"{key} long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -246,7 +228,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
         codec = Codec(path, None)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            texts = [codec.decode(np.array(x.as_py() or [], np.int64)) for x in lists]
+            texts = [codec.decode(x.as_py() or []) for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)), pa.array(texts, pa.string())], names=[key, "text"])
 
     return encoded.select(key, ids).mapInArrow(run, f"{key} long, text string")
@@ -255,8 +237,10 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
 def round_trip(docs: DataFrame, path: str, block: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encodes, then decodes each text in one pass and returns digests of both."""
 
-    def row(codec: Codec, ids: np.ndarray, csv: str) -> tuple:
-        return len(ids), hashlib.sha256(csv.encode()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+    def row(codec: Codec, ids: np.ndarray) -> tuple:
+        plain = ids.tolist()
+        csv = str(plain)[1:-1].replace(" ", "")
+        return len(plain), hashlib.sha256(csv.encode()).hexdigest(), hashlib.sha256(codec.decode(plain).encode()).hexdigest()
 
     return _map(docs, path, block, key, text, row, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

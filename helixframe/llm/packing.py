@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.bpe import LowerWordSplitter, Merger, split_special
+from helixframe.llm.bpe import Encoder, LowerWordSplitter, Merger
 from helixframe.llm.common import keep, table, text_chunks
 
 CAPACITY, END_ID = 4096, 1
@@ -35,22 +35,12 @@ class Tokens:
     """Token ids of texts as little-endian bytes; one per worker."""
 
     def __init__(self, path: str):
-        self.merger, self.splitter = Merger(path), LowerWordSplitter()
-        self.special = list(self.merger.special)
-        self.fixed = {t: np.array([i], "<u4").tobytes() for t, i in self.merger.special.items()}
-        self.seen: dict[str, bytes] = {}
+        merger = Merger(path)
+        self.encoder = Encoder(merger, LowerWordSplitter(), merger.merge, CACHE_WORDS)
 
     def encode(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
-        split = [[(p in self.fixed, p, self.splitter.words(p) if p not in self.fixed else []) for p in split_special(t, self.special)] for t in texts]
-        new = set().union(*(words for parts in split for _, _, words in parts)) - self.seen.keys()
-        if len(self.seen) + len(new) > CACHE_WORDS:
-            self.seen.clear()
-            new = set().union(*(words for parts in split for _, _, words in parts))
-        ordered = list(new)
-        for w, ids in zip(ordered, self.merger.merge([w.encode() for w in ordered]), strict=True):
-            self.seen[w] = ids.astype("<u4").tobytes()
-        seen, end = self.seen, np.array([end_id], "<u4").tobytes()
-        return [b"".join([*(self.fixed[p] if s else b"".join([seen[w] for w in words]) for s, p, words in parts), end]) for parts in split]
+        end = np.array([end_id], "<u4").tobytes()
+        return [ids + end for ids in self.encoder.encode(texts)]
 
 
 @lru_cache(maxsize=2)
