@@ -2,33 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.plans.ship import ship
+
 #: Bytes of text that one step of a Python task holds unpacked at a time.
 CHUNK_BYTES = 4 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once a context, unless their path already has it."""
-    package = Path(__file__).resolve().parents[1]
-    context = spark.sparkContext
-    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_helixframe_shipped", False):
-        return
-    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/{package.name}", "zip", package.parent, package.name)
-    context.addPyFile(archive)
-    context._helixframe_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm.bpe import ByteLevelSplitter, Encoder, Merger
-from helixframe.llm.common import table, text_chunks
+from helixframe.llm.common import keep, table, text_chunks
 
 #: Words in the lexicon: bounds the driver's share and the broadcast (about 40 bytes a word).
 LEXICON_WORDS = 32_768
@@ -173,8 +173,15 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text: str = "text") -> bytes:
-    """The mapped block of the corpus' most frequent words (ties: smaller word first)."""
-    top = [r.word for r in word_counts(docs, text).orderBy(F.desc("n"), "word").limit(words).collect()]
+    """The mapped block of the corpus' most frequent words, at most so many; equally frequent words are in or out together."""
+    # a cut of the counts leaves at most so many words, so no task or driver sorts more than it needs
+    counts = keep(word_counts(docs, text).filter("n > 1").withColumn("step", F.floor(F.log2("n") * 64).cast("int")), "counts")
+    steps, held, least = sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True), 0, 1 << 30
+    for step, n in steps:
+        if (held := held + n) > words:
+            break
+        least = step
+    top = [r.word for r in counts.filter(F.col("step") >= least).select("word").collect()]
     raw = [w.encode() for w in top if w]
     return compile_transducer(dict(zip(raw, Merger(path).merge(raw), strict=True)))
 
