@@ -1,4 +1,428 @@
-"""Registered queries with their oracle SQL."""
+"""Registered queries with their oracle SQL: one per operator, over the given tables or tables derived from them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helixframe.functions import expr as E
+from helixframe.operators import ancestry, assoc, genotype, manifest, quality, samples, variants
+from helixframe.plans.views import view, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *names: str):
+    """Registers a function of (v, ...): v(name) is a derived table; names are those that sql needs."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: view(spark, sf_dir, name))
+        if sql:
+            ORACLES[f.__name__] = with_views(sql.strip(), *names) if names else sql
+        return f
+
+    return add
+
+
+def r6(c: str):
+    return F.round(F.col(c), 6).alias(c)
+
+
+# ------------------------------------------------------------ association tables
+
+VALID = "p > 0 AND p <= 1"
+ASSOC = """s AS (SELECT vid, count(*) AS n, sum(CAST(g AS DOUBLE)) AS sg, sum(y) AS sy, sum(CAST(g * g AS DOUBLE)) AS sgg, sum(g * y) AS sgy, sum(y * y) AS syy
+  FROM calls JOIN pheno USING (sid) WHERE g IS NOT NULL AND y IS NOT NULL GROUP BY vid),
+f AS (SELECT vid, n, sgg - sg * sg / n AS vgg, sgy - sg * sy / n AS vgy, syy - sy * sy / n AS vyy FROM s),
+linear AS (SELECT vid, n, vgy / vgg AS beta, sqrt(greatest(vyy - vgy / vgg * vgy, 0) / ((n - 2) * vgg)) AS se FROM f WHERE vgg > 1e-9 AND n > 2)"""
+
+
+@query("WITH " + ASSOC + " SELECT vid, n, round(beta, 6) AS beta, round(se, 6) AS se, round(CASE WHEN se > 0 THEN beta / se END, 6) AS t FROM linear", "calls", "pheno")
+def linear_assoc(v):
+    return assoc.linear_assoc(v("calls"), v("pheno")).select("vid", "n", r6("beta"), r6("se"), r6("t"))
+
+
+@query()
+def linear_assoc_p(v):
+    return assoc.linear_assoc(v("calls"), v("pheno")).select("vid", "n", r6("beta"), assoc.t_tail("t", (F.col("n") - 2).cast("double")).alias("p"))
+
+
+@query()
+def logistic_assoc(v):
+    return assoc.logistic_assoc(v("calls"), v("pheno").withColumn("y", (F.col("y") > 500000).cast("int")))
+
+
+@query(f"SELECT id, chrom, pos, row_id, p FROM (SELECT *, row_number() OVER (ORDER BY p, row_id) AS k FROM sumstats WHERE {VALID}) z WHERE k <= 10", "sumstats")
+def top_hits(v):
+    return assoc.top_hits(v("sumstats")).select("id", "chrom", "pos", "row_id", "p")
+
+
+def _metrics_sql() -> str:
+    parts = {
+        "total_variants": "true", "valid_p": VALID, "genome_wide": f"{VALID} AND p <= 5e-8", "suggestive": f"{VALID} AND p <= 1e-5",
+        "autosomal_rows": "chrom <> 'X'", "x_rows": "chrom = 'X'", "autosomal_valid_p": f"chrom <> 'X' AND {VALID}", "x_valid_p": f"chrom = 'X' AND {VALID}",
+    }
+    return " UNION ALL ".join(f"SELECT '{n}' AS metric, count(*) FILTER (WHERE {c}) AS value FROM sumstats" for n, c in parts.items())
+
+
+@query(_metrics_sql(), "sumstats")
+def assoc_metrics(v):
+    return assoc.assoc_metrics(v("sumstats"))
+
+
+def _chi2_sql(p: str) -> str:
+    a = [3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125, 45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727]
+    b = [1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077, 21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610]
+
+    def poly(k: list[float]) -> str:
+        out = f"CAST({k[-1]!r} AS DOUBLE)"
+        for x in reversed(k[:-1]):
+            out = f"({out} * r + CAST({x!r} AS DOUBLE))"
+        return out
+
+    return f"(SELECT power(({p} / 2 - 0.5) * {poly(a)} / {poly(b)}, 2) FROM (SELECT CAST(0.180625 AS DOUBLE) - power({p} / 2 - 0.5, 2) AS r) k)"
+
+
+# the middle p lies in the centre of the normal quantile, so the central approximation is enough
+@query(f"""WITH o AS (SELECT p, row_number() OVER (ORDER BY p, id) AS k, count(*) OVER () AS m FROM sumstats WHERE {VALID}),
+h AS (SELECT p FROM o WHERE k = (m + 1) // 2 OR k = m // 2 + 1)
+SELECT round(avg({_chi2_sql('h.p')}) / 0.454936423119572, 6) AS lambda FROM h""", "sumstats")
+def lambda_gc(v):
+    return assoc.genomic_lambda(v("sumstats")).select(r6("lambda"))
+
+
+@query(f"""SELECT id, p, k AS rank, round(-log10((k - CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END) / (m + 1 - 2 * CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END)), 6) AS expected, round(-log10(p), 6) AS observed
+FROM (SELECT *, row_number() OVER (ORDER BY p, id) AS k, count(*) OVER () AS m FROM sumstats WHERE {VALID}) z""", "sumstats")
+def qq_points(v):
+    return assoc.qq_points(v("sumstats")).select("id", "p", F.col("rank").cast("long").alias("rank"), r6("expected"), r6("observed"))
+
+
+@query(f"""SELECT id, p, k AS rank FROM (SELECT *, row_number() OVER (ORDER BY p, id) AS k FROM sumstats WHERE {VALID}) z WHERE k % 2 = 1 OR p <= 1e-5""", "sumstats")
+def qq_thinned(v):
+    return assoc.thin_qq(assoc.qq_points(v("sumstats")), 2, 1).select("id", "p", F.col("rank").cast("long").alias("rank"))
+
+
+@query("""WITH c AS (SELECT CAST(CASE WHEN chrom = 'X' THEN '23' ELSE chrom END AS INTEGER) AS chrom_key, max(pos) AS max_pos FROM sumstats GROUP BY 1),
+g AS (SELECT *, greatest(1000000.0, 0.005 * (SELECT max(max_pos) FROM c)) AS gap FROM c)
+SELECT chrom_key, max_pos, round(CAST(gap AS DOUBLE), 3) AS gap, round(CAST(coalesce(sum(max_pos + gap) OVER (ORDER BY chrom_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE), 3) AS axis_offset FROM g""", "sumstats")
+def manhattan_layout(v):
+    return assoc.manhattan_layout(v("sumstats")).select("chrom_key", "max_pos", F.round("gap", 3).alias("gap"), F.round("offset", 3).alias("axis_offset"))
+
+
+@query()
+def lead_hits(v):
+    return assoc.lead_hits(v("sumstats"))
+
+
+BIN_SQL = "CASE WHEN mac <= 1 THEN '1' WHEN mac <= 5 THEN '2-5' WHEN mac <= 10 THEN '6-10' WHEN mac <= 20 THEN '11-20' ELSE '>20' END"
+
+
+@query(f"SELECT {BIN_SQL} AS mac_bin, count(*) AS n FROM sumstats WHERE {VALID} GROUP BY 1", "sumstats")
+def mac_bins(v):
+    return assoc.mac_bins(v("sumstats"))
+
+
+@query(f"SELECT id, mac_bin, row_number() OVER (PARTITION BY mac_bin ORDER BY p, id) AS rank, count(*) OVER (PARTITION BY mac_bin) AS m FROM (SELECT *, {BIN_SQL} AS mac_bin FROM sumstats WHERE {VALID}) z", "sumstats")
+def mac_qq(v):
+    return assoc.stratified_qq(v("sumstats").withColumn("mac_bin", assoc.mac_bin(F.col("mac")))).select("id", "mac_bin", F.col("rank").cast("long").alias("rank"), "m")
+
+
+@query("""SELECT 'acctbal' AS trait, 'ALL' AS ancestry, 'GRCh38' AS build, chrom, pos, id, CASE WHEN p > 0 THEN p END AS p, round(CASE WHEN mac > 0 THEN ln(mac) END, 6) AS beta FROM sumstats WHERE mac <> 7""", "sumstats")
+def sumstats_normalize(v):
+    raw = v("sumstats").select(F.col("chrom").alias("#CHROM"), F.col("pos").cast("string").alias("POS"), F.col("id").alias("ID"), F.when(F.col("mac") == 7, "DOMDEV").otherwise("ADD").alias("TEST"), F.col("mac").cast("string").alias("OR"), F.col("p").cast("string").alias("P"))
+    return assoc.normalize_sumstats(raw, "acctbal", "ALL", "GRCh38").select("trait", "ancestry", "build", "chrom", "pos", "id", "p", r6("beta"))
+
+
+# ------------------------------------------------------------ genotypes
+
+COUNTS = """counts AS (SELECT vid, count(*) FILTER (WHERE g = 0) AS hom_ref, count(*) FILTER (WHERE g = 1) AS het, count(*) FILTER (WHERE g = 2) AS hom_alt, count(*) FILTER (WHERE g IS NULL) AS missing,
+  count(g) AS n, coalesce(sum(g), 0) AS alt_count, sum(g * g) AS sum_sq FROM calls GROUP BY vid),
+freqs AS (SELECT *, CASE WHEN n > 0 THEN CAST(alt_count AS DOUBLE) / (2 * n) END AS alt_freq FROM counts)"""
+
+
+@query("WITH " + COUNTS + " SELECT vid, hom_ref, het, hom_alt, missing, n, CAST(alt_count AS BIGINT) AS alt_count, round(alt_freq, 6) AS alt_freq, round(least(alt_freq, 1 - alt_freq), 6) AS maf, CAST(least(alt_count, 2 * n - alt_count) AS BIGINT) AS mac, round(n / CAST(n + missing AS DOUBLE), 6) AS call_rate FROM freqs", "calls")
+def allele_counts(v):
+    return genotype.allele_counts(v("calls")).select("vid", "hom_ref", "het", "hom_alt", "missing", "n", F.col("alt_count").cast("long").alias("alt_count"), r6("alt_freq"), r6("maf"), F.col("mac").cast("long").alias("mac"), r6("call_rate"))
+
+
+@query("WITH " + COUNTS + " SELECT vid, round(CASE WHEN alt_freq > 0 AND alt_freq < 1 THEN (CAST(sum_sq AS DOUBLE) / n - power(CAST(alt_count AS DOUBLE) / n, 2)) / (2 * alt_freq * (1 - alt_freq)) END, 6) AS r2 FROM freqs", "calls")
+def mach_r2(v):
+    return genotype.mach_r2(genotype.allele_counts(v("calls"))).select("vid", r6("r2"))
+
+
+@query("WITH " + COUNTS + ", good AS (SELECT vid FROM freqs WHERE least(alt_freq, 1 - alt_freq) >= 0.05 AND CAST(missing AS DOUBLE) / (n + missing) <= 0.05) SELECT vid, count(*) AS rows FROM calls WHERE vid IN (SELECT vid FROM good) GROUP BY vid", "calls")
+def variant_qc(v):
+    return genotype.variant_qc(v("calls"), 0.05, 0.05).groupBy("vid").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("SELECT sid, round(CAST(count(*) FILTER (WHERE g IS NULL) AS DOUBLE) / count(*), 6) AS missing_rate FROM calls GROUP BY sid", "calls")
+def sample_missing(v):
+    return genotype.sample_missing(v("calls")).select("sid", r6("missing_rate"))
+
+
+@query("WITH " + COUNTS + """, j AS (SELECT vid AS id, hom_ref + het + hom_alt AS n, least(2 * hom_ref + het, het + 2 * hom_alt) AS mac, CAST(het + 4 * hom_alt AS DOUBLE) / nullif(hom_ref + het + hom_alt, 0) - power(CAST(het + 2 * hom_alt AS DOUBLE) / nullif(hom_ref + het + hom_alt, 0), 2) AS variance FROM counts)
+SELECT p_partkey AS id, mac, CASE WHEN j.id IS NULL THEN 'missing_from_plink2_gcount' WHEN coalesce(variance, 0) <= 1e-12 THEN 'zero_hardcall_variance' WHEN mac < 8 THEN 'hardcall_mac_below_min' ELSE 'pass' END AS status FROM part LEFT JOIN j ON p_partkey = j.id""", "calls")
+def hardcall_qc(v):
+    counts = genotype.allele_counts(v("calls")).withColumnRenamed("vid", "id")
+    return genotype.hardcall_qc(v("variants").select(F.col("vid").alias("id")), counts, 8).select("id", "mac", "status")
+
+
+@query()
+def hwe_exact(v):
+    return genotype.hwe_exact(genotype.allele_counts(v("calls"))).select("vid", "hom_ref", "het", "hom_alt", "p_hwe")
+
+
+WINDOW = 22 * 97 * 3
+PAIRS = f"pairs AS (SELECT x.vid AS a, y.vid AS b FROM variants x JOIN variants y ON x.chrom = y.chrom AND y.pos - x.pos BETWEEN 0 AND {WINDOW} AND (x.pos < y.pos OR x.vid < y.vid) AND x.vid <> y.vid)"
+R2 = """m AS (SELECT a, b, count(*) AS n, sum(CAST(x.g AS DOUBLE)) AS sa, sum(CAST(y.g AS DOUBLE)) AS sb, sum(CAST(x.g * y.g AS DOUBLE)) AS sab, sum(CAST(x.g * x.g AS DOUBLE)) AS saa, sum(CAST(y.g * y.g AS DOUBLE)) AS sbb
+  FROM pairs JOIN calls x ON x.vid = a AND x.g IS NOT NULL JOIN calls y ON y.vid = b AND y.sid = x.sid AND y.g IS NOT NULL GROUP BY a, b),
+c AS (SELECT a, b, n, CASE WHEN n * saa - sa * sa > 0 AND n * sbb - sb * sb > 0 THEN (n * sab - sa * sb) / sqrt((n * saa - sa * sa) * (n * sbb - sb * sb)) END AS r FROM m)"""
+
+
+@query(f"WITH {PAIRS}, {R2} SELECT a, b, n, round(r * r, 6) AS r2 FROM c", "calls", "variants")
+def ld_pairs(v):
+    return genotype.pair_r2(v("calls"), genotype.near_pairs(v("variants"), WINDOW)).select("a", "b", "n", r6("r2"))
+
+
+@query()
+def ld_pruned(v):
+    return genotype.ld_prune(v("calls"), v("variants"), WINDOW, 0.2)
+
+
+@query("""WITH k AS (SELECT x.sid AS a, y.sid AS b, count(*) FILTER (WHERE x.g = 1 AND y.g = 1) AS hethet, count(*) FILTER (WHERE abs(x.g - y.g) = 2) AS ibs0, count(*) FILTER (WHERE x.g = 1) AS het_a, count(*) FILTER (WHERE y.g = 1) AS het_b
+FROM calls x JOIN calls y ON x.vid = y.vid AND x.sid < y.sid WHERE x.g IS NOT NULL AND y.g IS NOT NULL GROUP BY 1, 2)
+SELECT a, b, hethet, ibs0, round(CASE WHEN least(het_a, het_b) > 0 THEN (hethet - 2 * ibs0) / CAST(2 * least(het_a, het_b) AS DOUBLE) + 0.5 - (het_a + het_b) / CAST(4 * least(het_a, het_b) AS DOUBLE) END, 6) + CAST(0 AS DOUBLE) AS phi FROM k""", "calls")
+def kinship_pairs(v):
+    return genotype.kinship_pairs(v("calls")).select("a", "b", "hethet", "ibs0", (F.round("phi", 6) + 0.0).alias("phi"))
+
+
+@query()
+def unrelated(v):
+    return genotype.unrelated(v("calls"))
+
+
+@query("WITH " + COUNTS + """, w AS (SELECT vid, CAST((vid * 37) % 201 - 100 AS DOUBLE) / 100 AS w FROM counts)
+SELECT sid, 'PC1' AS pc, round(sum((g - 2 * alt_freq) / sqrt(2 * alt_freq * (1 - alt_freq)) * w) / (2 * count(*)), 6) AS score FROM calls JOIN freqs USING (vid) JOIN w USING (vid) WHERE g IS NOT NULL AND alt_freq > 0 AND alt_freq < 1 GROUP BY sid""", "calls")
+def pc_projection(v):
+    freqs = genotype.allele_counts(v("calls")).select("vid", F.col("alt_freq").alias("p"))
+    weights = freqs.select("vid", F.lit("PC1").alias("pc"), (((F.col("vid") * 37) % 201 - 100).cast("double") / 100).alias("w"))
+    return genotype.project_pcs(v("calls"), weights, freqs).select("sid", "pc", r6("score"))
+
+
+@query("WITH " + COUNTS + """, e AS (SELECT vid, 2 * alt_freq * (1 - alt_freq) * 2 * n / (2 * n - 1) AS e FROM freqs WHERE n > 1 AND alt_freq > 0 AND alt_freq < 1)
+SELECT sid, count(*) AS n, count(*) FILTER (WHERE g = 1) AS observed, round(1 - count(*) FILTER (WHERE g = 1) / sum(e), 6) AS f FROM calls JOIN e USING (vid) WHERE g IS NOT NULL GROUP BY sid""", "calls")
+def sex_f(v):
+    return genotype.inbreeding(v("calls")).select("sid", "n", "observed", r6("f"))
+
+
+GENES = "genes AS (SELECT concat(chrom, '_', CAST(pos // 20000 AS VARCHAR)) AS gene, chrom, min(pos) AS start, max(pos) - 100 AS \"end\" FROM variants GROUP BY 1, 2)"
+
+
+@query(f"""WITH {GENES}, inside AS (SELECT gene, vid FROM variants v JOIN genes g ON v.chrom = g.chrom AND v.pos BETWEEN g.start AND g."end"),
+pairs AS (SELECT x.vid AS a, y.vid AS b, x.gene FROM inside x JOIN inside y ON x.gene = y.gene AND x.vid <= y.vid), {R2}
+SELECT gene, a, b, round(r, 6) AS r FROM c JOIN pairs USING (a, b) WHERE r * r >= 1e-4""", "calls", "variants")
+def gene_ld(v):
+    return genotype.gene_ld(v("calls"), v("variants"), _genes(v)).select("gene", "a", "b", r6("r"))
+
+
+def _genes(v):
+    return v("variants").groupBy(F.concat("chrom", F.lit("_"), F.floor(F.col("pos") / 20000).cast("string")).alias("gene"), "chrom").agg(F.min("pos").alias("start"), (F.max("pos") - 100).alias("end"))
+
+
+@query(f"WITH {GENES} SELECT gene, count(*) FILTER (WHERE pos BETWEEN start AND \"end\") AS inside, count(*) FILTER (WHERE NOT pos BETWEEN start AND \"end\") AS outside FROM variants JOIN genes ON gene = concat(variants.chrom, '_', CAST(pos // 20000 AS VARCHAR)) GROUP BY gene", "variants")
+def gene_containment(v):
+    index = v("variants").select(F.concat("chrom", F.lit("_"), F.floor(F.col("pos") / 20000).cast("string")).alias("gene"), F.col("vid").alias("id"))
+    return variants.gene_containment(index, v("variants").withColumnRenamed("vid", "id"), _genes(v))
+
+
+@query("SELECT pop AS label, vid, round(greatest(least(CAST(sum(g) AS DOUBLE) / (2 * count(g)), 1 - 1e-5), 1e-5), 6) AS p FROM calls JOIN pheno USING (sid) WHERE g IS NOT NULL GROUP BY pop, vid", "calls", "pheno")
+def label_frequencies(v):
+    return genotype.label_frequencies(v("calls"), v("pheno").select("sid", F.col("pop").alias("label"))).select("label", "vid", r6("p"))
+
+
+@query()
+def supervised_q(v):
+    known = genotype.label_frequencies(v("calls"), v("pheno").select("sid", F.col("pop").alias("label")))
+    return genotype.supervised_proportions(v("calls"), known)
+
+
+# ------------------------------------------------------------ variants
+
+ELIGIBLE = "try_cast(regexp_replace(chrom, '^chr', '') AS INTEGER) BETWEEN 1 AND 22 AND pos > 0 AND id NOT IN ('', '.') AND regexp_full_match(ref, '[ACGT]+') AND regexp_full_match(alt, '[ACGT]+') AND ref <> alt"
+SIDE = "SELECT regexp_replace(chrom, '^chr', '') AS chrom, pos, id, ref, alt, least(ref, alt) AS lo, greatest(ref, alt) AS hi, info = 'PR' AS pr, count(*) OVER (PARTITION BY regexp_replace(chrom, '^chr', ''), pos, least(ref, alt), greatest(ref, alt)) AS n FROM {t} WHERE " + ELIGIBLE
+JUDGED = f"""r AS ({SIDE.format(t='variants_ref')}), s AS ({SIDE.format(t='variants_study')}),
+common AS (SELECT r.chrom, r.pos, r.lo, r.hi, r.id AS rid, s.id AS sid, r.ref AS rref, r.alt AS ralt, s.ref AS sref, s.alt AS salt, r.pr AS rpr, s.pr AS spr FROM r JOIN s USING (chrom, pos, lo, hi) WHERE r.n = 1 AND s.n = 1),
+judged AS (SELECT *, CASE WHEN concat(lo, hi) IN ('AT', 'CG') THEN 'palindromic_snp_excluded' WHEN NOT rpr AND NOT spr AND rref <> sref THEN 'pvar_known_ref_disagreement'
+  WHEN regexp_full_match(rid, 'rs[0-9]+') THEN 'reference_rsid' WHEN regexp_full_match(sid, 'rs[0-9]+') THEN 'study_rsid' WHEN NOT rpr THEN 'reference_pvar_known_ref' WHEN NOT spr THEN 'study_pvar_known_ref' ELSE 'no_pvar_known_ref_for_cpra' END AS state FROM common)"""
+
+
+@query(f"""WITH {JUDGED} SELECT CASE state WHEN 'reference_rsid' THEN rid WHEN 'study_rsid' THEN sid WHEN 'reference_pvar_known_ref' THEN concat_ws(':', chrom, pos, rref, ralt) ELSE concat_ws(':', chrom, pos, sref, salt) END AS harmonized_id,
+CASE WHEN state LIKE '%rsid' THEN 'rsID' ELSE 'CPRA' END AS harmonized_id_type, state AS harmonized_id_source, 'locus_and_unordered_alleles' AS match_rule, rid AS reference_id, sid AS study_id, chrom, pos, rref AS reference_ref, ralt AS reference_alt, sref AS study_ref, salt AS study_alt,
+CASE WHEN rref = sref THEN 'same' ELSE 'ref_alt_swap' END AS orientation, rpr AS reference_provisional, spr AS study_provisional, state = 'reference_rsid' AND regexp_full_match(sid, 'rs[0-9]+') AND rid <> sid AS differing_rsid
+FROM judged WHERE state IN ('reference_rsid', 'study_rsid', 'reference_pvar_known_ref', 'study_pvar_known_ref')""", "variants_ref", "variants_study")
+def harmonize_mapping(v):
+    return variants.harmonize_variants(v("variants_ref"), v("variants_study")).mapping
+
+
+@query(f"""WITH {JUDGED}, keys AS (SELECT DISTINCT chrom, pos, lo, hi, coalesce(r.n, 0) AS rn, coalesce(s.n, 0) AS sn FROM r FULL JOIN s USING (chrom, pos, lo, hi)),
+dup AS (SELECT chrom, pos, CASE WHEN rn > 1 AND sn > 1 THEN 'duplicate_locus_allele_key_both' WHEN rn > 1 THEN 'duplicate_locus_allele_key_reference' ELSE 'duplicate_locus_allele_key_study' END AS reason, CASE WHEN rn > 0 AND sn > 0 THEN 'both' WHEN rn > 0 THEN 'reference' ELSE 'study' END AS excluded_side FROM keys WHERE rn > 1 OR sn > 1),
+ok AS (SELECT * FROM keys WHERE rn <= 1 AND sn <= 1),
+loc AS (SELECT chrom, pos, count(*) FILTER (WHERE sn = 0) AS ur, count(*) FILTER (WHERE rn = 0) AS us, sum(rn) AS vr, sum(sn) AS vs FROM ok GROUP BY chrom, pos)
+SELECT reason, excluded_side, chrom, pos FROM dup
+UNION ALL SELECT state, 'both', chrom, pos FROM judged WHERE state IN ('palindromic_snp_excluded', 'pvar_known_ref_disagreement', 'no_pvar_known_ref_for_cpra')
+UNION ALL SELECT 'allele_mismatch', CASE WHEN ur > 0 AND us > 0 THEN 'both' WHEN ur > 0 THEN 'reference' ELSE 'study' END, chrom, pos FROM loc WHERE (ur > 0 OR us > 0) AND vr > 0 AND vs > 0""", "variants_ref", "variants_study")
+def harmonize_mismatches(v):
+    return variants.harmonize_variants(v("variants_ref"), v("variants_study")).mismatches.select("reason", "excluded_side", "chrom", "pos")
+
+
+@query(f"SELECT count(*) AS scanned, count(*) FILTER (WHERE {ELIGIBLE}) AS eligible, count(*) FILTER (WHERE NOT ({ELIGIBLE})) AS excluded FROM variants_study", "variants_study")
+def scan_summary(v):
+    return variants.scan_summary(v("variants_study"))
+
+
+@query("SELECT chrom, pos, id FROM (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM variants_ref) z WHERE n = 1", "variants_ref")
+def unique_loci(v):
+    return variants.drop_repeated(v("variants_ref"), "chrom", "pos").select("chrom", "pos", "id")
+
+
+REGIONS = "regions AS (SELECT chrom, min(pos) + 5000 AS start, min(pos) + 60000 AS \"end\" FROM variants GROUP BY chrom)"
+
+
+@query(f"WITH {REGIONS} SELECT vid, v.chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM regions r WHERE r.chrom = v.chrom AND v.pos BETWEEN r.start AND r.\"end\")", "variants")
+def region_exclusion(v):
+    regions = v("variants").groupBy("chrom").agg((F.min("pos") + 5000).alias("start"), (F.min("pos") + 60000).alias("end"))
+    return variants.in_intervals(v("variants"), regions, 22).select("vid", "chrom", "pos")
+
+
+@query("""WITH bed AS (SELECT chrom, min(pos) - 500 AS start, min(pos) + 1700 AS "end" FROM variants GROUP BY chrom, pos // 40000)
+SELECT vid, v.chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = v.chrom AND v.pos - 1 >= b.start AND v.pos - 1 < b."end")""", "variants")
+def target_restriction(v):
+    bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
+    return variants.in_intervals(v("variants"), bed, variants.BROADCAST_INTERVALS + 1, zero_based=True).select("vid", "chrom", "pos")
+
+
+@query("""WITH markers AS (SELECT id AS variant_id, chrom, 'GRCh37' AS build, pos FROM variants_ref WHERE id LIKE 'rs%' UNION ALL SELECT id, chrom, 'GRCh38', pos + 7 FROM variants_ref WHERE id LIKE 'rs%'),
+st AS (SELECT row_number() OVER () AS k, regexp_replace(chrom, '^chr', '') AS chrom, pos, id FROM variants_study),
+hit AS (SELECT k, build, st.chrom = m.chrom AND st.pos = m.pos AS ok FROM st JOIN markers m ON id = variant_id UNION ALL SELECT k, build, true FROM st JOIN (SELECT DISTINCT chrom, pos, build FROM markers) m USING (chrom, pos) WHERE id NOT IN (SELECT variant_id FROM markers)),
+g AS (SELECT build, count(*) FILTER (WHERE ok) AS matched FROM hit GROUP BY build), c AS (SELECT count(DISTINCT k) AS checked FROM hit)
+SELECT build, matched, checked, round(CAST(matched AS DOUBLE) / checked, 6) AS fraction, CAST(row_number() OVER (ORDER BY matched DESC, build) AS INTEGER) AS rank FROM g, c""", "variants_ref", "variants_study")
+def build_scores(v):
+    rs = v("variants_ref").filter("id like 'rs%'")
+    markers = rs.select(F.col("id").alias("variant_id"), "chrom", F.lit("GRCh37").alias("build"), "pos").unionByName(rs.select(F.col("id").alias("variant_id"), "chrom", F.lit("GRCh38").alias("build"), (F.col("pos") + 7).alias("pos")))
+    return variants.score_builds(variants.match_build_markers(v("variants_study"), markers)).select("build", "matched", "checked", r6("fraction"), "rank")
+
+
+@query("""SELECT 'list1' AS list, count(DISTINCT id) AS n FROM variants_ref UNION ALL SELECT 'list2', count(DISTINCT id) FROM variants_study UNION ALL SELECT 'UNION', count(DISTINCT id) FROM (SELECT id FROM variants_ref UNION SELECT id FROM variants_study) u""", "variants_ref", "variants_study")
+def pass_union(v):
+    return variants.pass_union(v("variants_ref"), v("variants_study"))[1]
+
+
+@query("SELECT chrom, count(*) AS n FROM variants GROUP BY chrom", "variants")
+def chrom_coverage(v):
+    return variants.chrom_coverage(v("variants"))
+
+
+@query("""SELECT side, count(*) AS n FROM (SELECT id, 'left' AS side FROM variants_ref WHERE id NOT IN (SELECT id FROM variants_study) GROUP BY id UNION ALL SELECT id, 'right' FROM variants_study WHERE id NOT IN (SELECT id FROM variants_ref) GROUP BY id) u GROUP BY side""", "variants_ref", "variants_study")
+def set_identity(v):
+    return quality.same_set(v("variants_ref").select("id"), v("variants_study").select("id")).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------ samples and ancestry
+
+
+@query("""SELECT s.fid, s.iid, a.fid AS target_fid, a.iid AS target_iid FROM samples s LEFT JOIN aliases a ON a.iid = s.iid AND (a.fid IN (s.fid, s.iid, '0') OR '0' IN (s.fid, s.iid, '0'))""", "samples", "aliases")
+def alias_match(v):
+    return samples.match_samples(v("samples").select("fid", "iid"), v("aliases"))
+
+
+@query("SELECT s.fid, s.iid FROM samples s WHERE iid IN (SELECT iid FROM aliases) AND quant_trait NOT LIKE '-%'", "samples", "aliases")
+def keep_intersection(v):
+    return samples.intersect_keeps(v("samples"), v("aliases"), v("samples").filter("quant_trait not like '-%'"))
+
+
+@query("SELECT fid, iid, CAST(CASE case_trait WHEN '1' THEN 2 WHEN '0' THEN 1 END AS INTEGER) AS code, CASE WHEN quant_trait <> '-9' THEN CAST(quant_trait AS DOUBLE) END AS quant FROM samples", "samples")
+def trait_encoding(v):
+    code, _ = samples.encode_trait("case_trait", "1", "0")
+    return v("samples").select("fid", "iid", code.alias("code"), samples.quantitative("quant_trait").alias("quant"))
+
+
+@query("""WITH c AS (SELECT ancestry, case_trait FROM samples) SELECT ancestry, count(*) AS n, count(*) FILTER (WHERE case_trait = '1') AS cases, count(*) FILTER (WHERE case_trait = '0') AS controls FROM c GROUP BY ancestry
+UNION ALL SELECT 'ALL', count(*), count(*) FILTER (WHERE case_trait = '1'), count(*) FILTER (WHERE case_trait = '0') FROM c""", "samples")
+def strata_counts(v):
+    return ancestry.strata_counts(v("samples"), samples.encode_trait("case_trait", "1", "0")[0])
+
+
+@query("""WITH t AS (SELECT ancestry, count(*) AS n, count(*) FILTER (WHERE case_trait = '1') AS cases, count(*) FILTER (WHERE case_trait = '0') AS controls FROM samples GROUP BY ancestry),
+g AS (SELECT *, concat_ws(';', CASE WHEN n < 300 THEN concat('n=', n, '<min_n=300') END, CASE WHEN cases < 100 THEN concat('cases=', cases, '<min_cases=100') END, CASE WHEN controls < 100 THEN concat('controls=', controls, '<min_controls=100') END) AS reason FROM t)
+SELECT ancestry, n, reason, reason <> '' AS skipped FROM g""", "samples")
+def model_gate(v):
+    per = ancestry.strata_counts(v("samples"), samples.encode_trait("case_trait", "1", "0")[0]).filter("ancestry <> 'ALL'")
+    return samples.model_gate(per, 300, 100, 100).select("ancestry", "n", "reason", "skipped")
+
+
+MODELS = """ref AS (SELECT * FROM pcs WHERE sid % 4 <> 0), study AS (SELECT * FROM pcs WHERE sid % 4 = 0),
+m AS (SELECT population, super_population, count(*) AS n, avg(pc1) AS ma, avg(pc2) AS mb, covar_samp(pc1, pc1) + 1e-4 AS vaa, covar_samp(pc1, pc2) AS vab, covar_samp(pc2, pc2) + 1e-4 AS vbb FROM ref GROUP BY 1, 2),
+d AS (SELECT sid, population, super_population, sqrt(greatest(((pc1 - ma) * (pc1 - ma) * vbb - 2 * (pc1 - ma) * (pc2 - mb) * vab + (pc2 - mb) * (pc2 - mb) * vaa) / (vaa * vbb - vab * vab), 0)) AS distance
+  FROM (SELECT sid, pc1, pc2 FROM study) s CROSS JOIN m)"""
+
+
+def _study(v):
+    pcs = v("pcs")
+    return ancestry.population_distances(pcs.filter("sid % 4 = 0"), ancestry.population_models(pcs.filter("sid % 4 <> 0"), ["pc1", "pc2"]), ["pc1", "pc2"])
+
+
+@query(f"WITH {MODELS} SELECT sid, population, super_population, round(distance, 6) AS distance FROM d", "pcs")
+def population_distances(v):
+    return _study(v).select("sid", "population", "super_population", r6("distance"))
+
+
+@query(f"WITH {MODELS}, k AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY distance, population) AS rank FROM d) SELECT sid, population, CAST(rank AS INTEGER) AS rank FROM k", "pcs")
+def population_ranks(v):
+    return ancestry.rank_populations(_study(v)).select("sid", "population", "rank")
+
+
+@query(f"""WITH {MODELS}, l AS (SELECT sid, super_population, min(distance) AS x FROM d GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY x) AS k FROM l),
+b AS (SELECT sid, max(x) FILTER (WHERE k = 1) AS d1, max(x) FILTER (WHERE k = 2) AS d2 FROM o GROUP BY sid)
+SELECT sid, round(CASE WHEN d2 IS NULL OR d2 = 0 THEN 1 ELSE greatest(0, least(1, 1 - d1 / d2)) END, 6) AS confidence FROM b""", "pcs")
+def ancestry_confidence(v):
+    return ancestry.ancestry_confidence(_study(v)).select("sid", r6("confidence"))
+
+
+@query()
+def ancestry_assignment(v):
+    pcs = v("pcs")
+    found = ancestry.assign_ancestry(pcs.filter("sid % 4 = 0"), pcs.filter("sid % 4 <> 0"), ["pc1", "pc2"], [0, 1, 2, 3])
+    return found.select("sid", "population", "super_population", r6("distance"), r6("confidence"), "ancestry", "reason")
+
+
+@query("SELECT population, super_population, count(*) AS n, count(*) >= 20 AS retained FROM pcs GROUP BY 1, 2", "pcs")
+def reference_coverage(v):
+    return ancestry.reference_coverage(v("pcs"), 20)
+
+
+@query("""SELECT CAST(super_population AS VARCHAR) AS ancestry, CAST(population AS VARCHAR) AS population, count(*) AS n FROM pcs GROUP BY 1, 2
+UNION ALL SELECT CAST(super_population AS VARCHAR), 'ALL', count(*) FROM pcs GROUP BY 1 UNION ALL SELECT 'ALL', 'ALL', count(*) FROM pcs""", "pcs")
+def assignment_rollup(v):
+    return ancestry.assignment_rollup(v("pcs").select(F.col("super_population").alias("ancestry"), "population"))
+
+
+@query("""WITH m AS (SELECT population, median(pc1) AS mid FROM pcs GROUP BY population)
+SELECT population, round(first(mid) + 4 * sqrt(sum(power(pc1 - mid, 2)) / greatest(count(*) - 1, 1)), 6) AS cutoff FROM pcs JOIN m USING (population) GROUP BY population""", "pcs")
+def robust_cutoff(v):
+    return ancestry.robust_cutoff(v("pcs"), "pc1", "population").select("population", r6("cutoff"))
+
+
+@query("""SELECT sha256(string_agg(line || chr(10), '' ORDER BY path)) AS fingerprint FROM (SELECT concat('p/', p_partkey) AS path, concat('p/', p_partkey, chr(9), sha256(p_name), chr(9), p_size) AS line FROM part) t""")
+def content_fingerprint(v):
+    raise NotImplementedError
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    return manifest.content_fingerprint(part.select(F.concat(F.lit("p/"), F.col("p_partkey").cast("string")).alias("path"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha256"), F.col("p_size").alias("size_bytes")))
+
+
+QUERIES["content_fingerprint"] = _fingerprint
