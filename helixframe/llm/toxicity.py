@@ -12,7 +12,6 @@ every probability is 0. Extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import crc_mod, table, text_chunks
+from helixframe.llm.common import crc_mod, keep, table, text_chunks
 
 #: Documents of each class in the training sample, and features kept: the bounds of what reaches the driver.
 SAMPLE_PER_CLASS, FEATURES, FOLDS = 2_000, 600, 5
@@ -60,18 +59,12 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def select_features(found: list[set[str]], positive: np.ndarray, limit: int = FEATURES) -> list[str]:
-    """The features that say most about the class, by the z-score of the smoothed log odds."""
-    yes, no = Counter(), Counter()
-    for s, y in zip(found, positive, strict=True):
-        (yes if y else no).update(s)
-    n_yes, n_no = max(int(positive.sum()), 1), max(int((~positive).sum()), 1)
-    score = {}
-    for f in yes.keys() | no.keys():
-        a, b = yes[f] + 0.5, no[f] + 0.5
-        if yes[f] + no[f] >= 3:
-            score[f] = abs(np.log(a / (n_yes + 1)) - np.log(b / (n_no + 1))) / np.sqrt(1 / a + 1 / b)
-    return sorted(score, key=lambda f: (-score[f], f))[:limit]
+def select_features(sample: DataFrame, n_yes: int, n_no: int, limit: int = FEATURES) -> list[str]:
+    """The features of sample (y, found) that say most about y, by the z-score of the smoothed log odds."""
+    per = sample.select("y", F.explode("found").alias("f")).groupBy("f").agg((F.count_if(F.col("y") == 1) + 0.5).alias("a"), (F.count_if(F.col("y") == 0) + 0.5).alias("b"))
+    z = F.abs(F.log(F.col("a") / (n_yes + 1)) - F.log(F.col("b") / (n_no + 1))) / F.sqrt(1 / F.col("a") + 1 / F.col("b"))
+    best = per.filter("a + b >= 4").select("f", F.round(z, 9).alias("z")).orderBy(F.desc("z"), "f").limit(limit)
+    return [r.f for r in best.collect()]
 
 
 class Chain:
@@ -117,12 +110,14 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
             found = [sorted(document_features(t.as_py())) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.string()))], names=["draw", "key", "y", "found"])
 
-    sample = rows.mapInArrow(featurize, "draw long, key long, y int, found array<string>").collect()
-    sample.sort(key=lambda r: (r.draw, r.key))
-    if len({r.y for r in sample}) < 2:
+    stored = keep(rows.mapInArrow(featurize, "draw long, key long, y int, found array<string>"), "features")
+    sizes = {r.y: r["count"] for r in stored.groupBy("y").count().collect()}
+    if len(sizes) < 2:
         return None
+    names = select_features(stored, sizes[1], sizes[0])
+    sample = stored.select("draw", "key", "y", F.array_intersect("found", F.array(*map(F.lit, names))).alias("found")).collect()
+    sample.sort(key=lambda r: (r.draw, r.key))
     found, y = [set(r.found) for r in sample], np.array([r.y == 1 for r in sample])
-    names = select_features(found, y)
     x = np.array([[f in s for f in names] for s in found], dtype=np.float64)
     rate = (x[y].sum(0) + 0.5) / (y.sum() + 1) / ((x[~y].sum(0) + 0.5) / ((~y).sum() + 1))
     telling, whole = rate > 8, np.array([f[0] == "=" for f in names])
