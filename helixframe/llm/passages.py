@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import table, text_chunks
+from helixframe.llm.common import keep, table, text_chunks
 
 MIN_WORDS = 10
 #: A unit ends at a line end, or at a sentence mark that white space follows.
@@ -57,10 +57,23 @@ def unit_table(docs: DataFrame, rank: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(rank).alias("rank"), text).filter(F.col("rank").isNotNull()).mapInArrow(run, "rank long, place int, words int, h long, l long")
 
 
+#: A digest with more than one in so many of all repeated occurrences is hot: there are at most so many hot digests.
+HOT_SHARE = 1000
+
+
 def repeated(found: DataFrame) -> DataFrame:
-    """(rank, place, words) of the occurrences that aren't their digest's earliest."""
-    first = found.groupBy("h", "l").agg(F.min(F.struct("rank", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "l", "first")
-    return found.join(first, ["h", "l"]).filter(F.struct("rank", "place") != F.col("first")).select("rank", "place", "words")
+    """(rank, place, words) of the occurrences that aren't their digest's earliest; found is a stored table.
+
+    The few hot digests (at most HOT_SHARE, whatever the input) are broadcast, so that no task gets
+    all occurrences of one; the others meet by a shuffle.
+    """
+    first = found.groupBy("h", "l").agg(F.min(F.struct("rank", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = keep(first, "first")
+    limit = (first.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE
+    hot, cool = first.filter(F.col("n") > limit).select("h", "l", "first"), first.filter(F.col("n") <= limit).select("h", "l", "first")
+    common = found.join(F.broadcast(hot), ["h", "l"])
+    others = found.join(F.broadcast(hot.select("h", "l")), ["h", "l"], "left_anti").join(cool, ["h", "l"])
+    return common.unionByName(others).filter(F.struct("rank", "place") != F.col("first")).select("rank", "place", "words")
 
 
 def runs(again: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -92,7 +105,7 @@ def runs(again: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def remove_repeats(docs: DataFrame, rank: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """docs with repeated passages cut out of text, and removed: array of (start, end) in the original text."""
     names = [c for c in docs.columns if c != text]
-    drop = runs(repeated(unit_table(docs, rank, text)), min_words).withColumnsRenamed({"rank": "__rank", "places": "__places"})
+    drop = runs(repeated(keep(unit_table(docs, rank, text), "units")), min_words).withColumnsRenamed({"rank": "__rank", "places": "__places"})
     joined = docs.join(drop, F.col(rank) == F.col("__rank"), "left").select(*[F.col(f"`{c}`") for c in names], text, "__places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
