@@ -10,7 +10,7 @@ from helixframe.functions import expr as E
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A tab-separated table with a header; all text, NA kept, no quotes or comments."""
-    return spark.read.csv(path, sep="\t", header=True, quote="", inferSchema=False, nullValue="\x00", emptyValue="")
+    return spark.read.csv(path, sep="\t", header=True, quote="", inferSchema=False, nullValue="\x00", emptyValue="").na.fill("")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +24,7 @@ def _fields(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     if head is None:
         raise ValueError(f"{path} is empty")
     pattern = "\t" if "\t" in head[0] else r"\s+"
-    names = head[0].lstrip("#").split("\t") if pattern == "\t" else head[0].lstrip("#").split()
+    names = [n.lstrip("#") for n in (head[0].split("\t") if pattern == "\t" else head[0].split())]
     body = lines.filter(F.col("value") != head[0]).select(F.split(F.trim("value"), pattern).alias("f"))
     return body, names
 
