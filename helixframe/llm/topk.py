@@ -25,6 +25,8 @@ from helixframe.llm.common import keep, table
 
 K, SCALE, EVERY = 20, 64.0, 20
 BLOCK_ROWS, QUERY_ROWS, SLICES, AT_ONCE = 4096, 4096, 4, 128
+#: Row blocks that meet a copy of a query block in one place, so that a query block is no single key.
+BLOCKS_A_SLOT = 2
 _EXACT = float(1 << 53)
 
 
@@ -148,11 +150,14 @@ def top_k(vectors: DataFrame, is_query, k: int = K, key: str = "vec_id", vector:
     n_queries, n_blocks = queries.count(), data.count()
     qblocks = max(1, -(-n_queries // QUERY_ROWS))
     numbered = keep(queries.select(F.monotonically_increasing_id().alias("q"), "id", "v", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(qblocks)).cast("int").alias("qb")), "numbered")
-    placed = data.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
+    slots = -(-n_blocks // BLOCKS_A_SLOT) or 1
+    placed = data.withColumn("slot", F.pmod(F.monotonically_increasing_id() + F.shiftright(F.monotonically_increasing_id(), 33), F.lit(slots)))
+    placed = placed.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
     size = min(k, max(2, -(-2 * k // max(1, n_blocks))))
 
     def met(cutoffs: DataFrame) -> DataFrame:
-        return placed.join(query_blocks(cutoffs), ["dim", "qb"])
+        spread = query_blocks(cutoffs).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+        return placed.join(spread, ["dim", "qb", "slot"])
 
     gathered = local_lists(met(numbered.withColumn("cutoff", F.lit(None).cast("double"))), size).groupBy("q").agg(F.sort_array(F.flatten(F.collect_list("scores")), asc=False).alias("s"))
     cutoffs = gathered.select("q", F.get("s", F.lit(k - 1)).cast("double").alias("cutoff"))
