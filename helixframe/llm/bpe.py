@@ -12,9 +12,11 @@ import heapq
 import json
 import re
 import unicodedata
+from functools import cache
 
 import numpy as np
 import regex
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 NONE = np.iinfo(np.int32).max
 _SLOTS, _SHIFT, _MIX = 1 << 19, 20, 0x9E3779B97F4A7C1 | 1
@@ -152,11 +154,56 @@ class Merger:
         return np.array([s for s in sym if s >= 0], "<u4").tobytes()
 
 
+@cache
+def unknown_letters() -> str:
+    """Characters that Python's Unicode tables don't know; regex's and the tokenizers library's may know some of them."""
+    return "".join(c for c in map(chr, range(0x80, 0x40000)) if unicodedata.category(c) == "Cn")
+
+
+@cache
+def newer_letters() -> tuple[frozenset[str], frozenset[str]]:
+    """Letters and numbers to regex that the tokenizers library's older Unicode tables don't know."""
+    out = []
+    for name in (r"\p{L}", r"\p{N}"):
+        ours = set(regex.findall(name, unknown_letters()))
+        theirs = {p for p, _ in pre_tokenizers.Split(Regex(name), "isolated").pre_tokenize_str("\0".join(sorted(ours)))}
+        out.append(frozenset(ours - theirs))
+    return out[0], out[1]
+
+
+@cache
+def newer_capitals() -> dict[int, str]:
+    """Lower case, by the tokenizers library, of letters that Python doesn't know."""
+    lower = normalizers.Lowercase()
+    return {ord(c): low for c in unknown_letters() if (low := lower.normalize_str(c)) != c}
+
+
+class WidePattern:
+    """A splitting pattern with sets of letters (%L) and numbers (%N); the exact sets, slow ones, serve texts with newer letters only."""
+
+    def __init__(self, pattern: str):
+        self.pattern = pattern
+        self.usual = regex.compile(pattern.replace("%L", r"\p{L}").replace("%N", r"\p{N}"))
+
+    def findall(self, text: str) -> list[str]:
+        letters, numbers = newer_letters()
+        if letters.isdisjoint(text) and numbers.isdisjoint(text):
+            return self.usual.findall(text)
+        return _exact_pattern(self.pattern).findall(text)
+
+
+@cache
+def _exact_pattern(pattern: str):
+    for mark, name, newer in zip(("%L", "%N"), (r"\p{L}", r"\p{N}"), newer_letters(), strict=True):
+        pattern = pattern.replace(mark, f"[{name}--[{''.join(map(re.escape, sorted(newer)))}]]" if newer else name)
+    return regex.compile("(?V1)" + pattern)
+
+
 class ByteLevelSplitter:
     """Splits text as the byte-level pattern does; a unit is a word."""
 
     atomic = True
-    wide = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    wide = WidePattern(r"'s|'t|'re|'ve|'m|'ll|'d| ?%L+| ?%N+| ?[^\s%L%N]+|\s+(?!\S)|\s+")
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
     def units(self, text: str) -> list[str]:
@@ -167,12 +214,14 @@ class LowerWordSplitter:
     """NFC, lower case, white space dropped. Words don't cross white space, so units are split on their own."""
 
     atomic = False
-    wide = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    wide = WidePattern(r"'s|'t|'re|'ve|'m|'ll|'d|%L+|%N|[^\s%L%N]+")
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
     def _lowered(self, text: str) -> str:
         if not text.isascii() and not _latin(text):
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if not text.isprintable():  # letters unknown to Python are among the unprintable ones
+                text = text.translate(newer_capitals())
         return text.lower()
 
     def units(self, text: str) -> list[str]:

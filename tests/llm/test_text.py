@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -48,6 +48,8 @@ def test_transducer_holds_its_words_and_no_others(entries, others):
 
 
 @settings(max_examples=100, deadline=None)
+@example(":\U000323b0 a\U000323b0")  # letters and capitals newer than one library's Unicode tables
+@example("x\u1c89\ua7cb \U00010d50")
 @given(st.text(max_size=40))
 def test_any_text_equals_the_libraries(text):
     codec, tokens = _cached()
