@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, manifest, quality, samples, variants
+from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, reports, samples, variants
 from helixframe.plans.views import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,6 +249,100 @@ def supervised_q(v):
     return genotype.supervised_proportions(v("calls"), known)
 
 
+# ------------------------------------------------------------ components, pooled tests and reports
+
+
+@query()
+def pca_fit(v):
+    return pooled.fit_pca(v("calls"), 4).scores.select("sid", "pc", F.round("score", 5).alias("score"))
+
+
+@query()
+def stratum_pca(v):
+    return pooled.stratum_pca(v("calls"), v("pheno").select("sid", F.col("pop").alias("stratum")), [0, 1], 2).select("stratum", "sid", "pc", F.round("score", 5).alias("score"))
+
+
+@query("""WITH w AS (SELECT sid, y, CAST(pop AS DOUBLE) AS x FROM pheno WHERE y IS NOT NULL AND pop IS NOT NULL),
+k AS (SELECT avg(y) AS my, avg(x) AS mx, regr_slope(y, x) AS slope, regr_sxx(y, x) AS sxx FROM w),
+r AS (SELECT sid, y - my - slope * (x - mx) AS r, (x - mx) / sqrt(sxx) AS q FROM w, k),
+noise AS (SELECT sum(r * r) / (count(*) - 2) AS s2 FROM r),
+m AS (SELECT vid, count(*) AS n, avg(CAST(g AS DOUBLE)) AS m, sum(CAST(g * g AS DOUBLE)) AS gg, sum(r) AS sr, sum(g * r) AS gr, sum(q) AS sq, sum(g * q) AS gq FROM calls JOIN variants USING (vid) JOIN r USING (sid) WHERE g IS NOT NULL GROUP BY vid),
+t AS (SELECT vid, n, gr - m * sr AS u, gg - n * m * m - power(gq - m * sq, 2) AS v FROM m WHERE least(n * m, n * (2 - m)) >= 3)
+SELECT vid, n, round(u * u / (s2 * v), 6) AS chi2 FROM t, noise WHERE v > 1e-9""", "calls", "variants", "pheno")
+def pooled_score_test(v):
+    return pooled.pooled_assoc(v("calls"), v("variants"), v("pheno"), ["pop"], min_mac=3).select("vid", "n", r6("chi2"))
+
+
+@query("WITH " + ASSOC + """, c AS (SELECT vid, y > 500000 AS is_case, g FROM calls JOIN pheno USING (sid) WHERE g IS NOT NULL AND y IS NOT NULL),
+h AS (SELECT vid, CAST(sum(g) AS DOUBLE) / (2 * count(*)) AS aaf, count(*) FILTER (WHERE is_case) AS num_cases, count(*) FILTER (WHERE is_case AND g = 0) AS cases_ref, count(*) FILTER (WHERE is_case AND g = 1) AS cases_het, count(*) FILTER (WHERE is_case AND g = 2) AS cases_alt,
+  count(*) FILTER (WHERE NOT is_case) AS num_controls, count(*) FILTER (WHERE NOT is_case AND g = 0) AS controls_ref, count(*) FILTER (WHERE NOT is_case AND g = 1) AS controls_het, count(*) FILTER (WHERE NOT is_case AND g = 2) AS controls_alt FROM c GROUP BY vid)
+SELECT concat(chrom, ':', pos, ':A:G') AS name, round(aaf, 6) AS aaf, num_cases, cases_ref, cases_het, cases_alt, num_controls, controls_ref, controls_het, controls_alt FROM h JOIN linear USING (vid) JOIN variants USING (vid)""", "calls", "variants", "pheno")
+def htp_rows(v):
+    fit = assoc.linear_assoc(v("calls"), v("pheno")).withColumn("p", assoc.t_tail("t", (F.col("n") - 2).cast("double")))
+    status = v("pheno").filter("y is not null").select("sid", (F.col("y") > 500000).cast("int").alias("case"))
+    out = pooled.htp_rows(v("calls"), _alleles(v), status, fit, "acctbal")
+    return out.select(F.col("Name").alias("name"), F.round("AAF", 6).alias("aaf"), *[F.col(f"{a}_{b}").alias(f"{a}_{b}".lower()) for a, b in (("Num", "Cases"), ("Cases", "Ref"), ("Cases", "Het"), ("Cases", "Alt"), ("Num", "Controls"), ("Controls", "Ref"), ("Controls", "Het"), ("Controls", "Alt"))])
+
+
+def _alleles(v):
+    return v("variants").withColumns({"ref": F.lit("A"), "alt": F.lit("G")})
+
+
+@query("""WITH bed AS (SELECT chrom, min(pos) - 500 AS start, min(pos) + 1700 AS "end" FROM variants GROUP BY chrom, pos // 40000),
+i AS (SELECT vid, chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = v.chrom AND v.pos - 1 >= b.start AND v.pos - 1 < b."end")),
+k AS (SELECT vid, count(g) AS n, count(*) AS m, coalesce(sum(g), 0) AS a FROM calls WHERE sid % 3 <> 0 GROUP BY vid)
+SELECT vid, concat(chrom, ':', pos, ':A:G') AS id, CAST(least(a, 2 * n - a) AS BIGINT) AS mac FROM i JOIN k USING (vid) WHERE least(a, 2 * n - a) >= 1 AND CAST(m - n AS DOUBLE) / m <= 0.05""", "calls", "variants")
+def rare_target(v):
+    bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
+    keep = v("calls").filter("sid % 3 <> 0").select("sid").distinct()
+    return pooled.rare_target(v("calls"), _alleles(v), keep, bed, variants.BROADCAST_INTERVALS + 1).select("vid", "id", F.col("mac").cast("long").alias("mac"))
+
+
+@query("WITH " + COUNTS + """, e AS (SELECT vid, 2 * alt_freq * (1 - alt_freq) * 2 * n / (2 * n - 1) AS e FROM freqs WHERE n > 1 AND alt_freq > 0 AND alt_freq < 1),
+s AS (SELECT sid, 1 - count(*) FILTER (WHERE g = 1) / sum(e) AS f FROM calls JOIN e USING (vid) WHERE g IS NOT NULL GROUP BY sid),
+d AS (SELECT sid, CAST(1 + sid % 2 AS VARCHAR) AS sex, CASE WHEN f <= 0.02 THEN '2' WHEN f >= 0.04 THEN '1' ELSE '0' END AS genetic FROM pheno LEFT JOIN s USING (sid))
+SELECT sid, genetic, CASE WHEN sex = genetic THEN 'ok' WHEN genetic = '0' THEN 'plink_pedsex_genetic_mismatch' ELSE 'plink_pedsex_genetic_mismatch;manifest_genetic_mismatch' END AS status FROM d""", "calls", "pheno")
+def sex_checked(v):
+    manifest_rows = v("pheno").select("sid", (F.col("sid") % 2 + 1).cast("string").alias("sex"), (F.col("sid") % 2 + 1).cast("string").alias("ped_sex"))
+    return pooled.sex_check(v("calls"), manifest_rows, female=0.02, male=0.04).detail.select("sid", "genetic", "status")
+
+
+@query()
+def marker_pool(v):
+    return pooled.spaced_pool(v("variants"), 20)
+
+
+@query()
+def spaced_markers(v):
+    return pooled.spaced_markers(pooled.spaced_pool(v("variants"), 20), 8, 3000)
+
+
+@query()
+def stage_report(v):
+    return reports.stage_report(v("sumstats"), {"trait": "acctbal", "build": "GRCh38"})
+
+
+@query(f"""WITH o AS (SELECT chrom = 'X' AS x, p, row_number() OVER (PARTITION BY chrom = 'X' ORDER BY p, id) AS k, count(*) OVER (PARTITION BY chrom = 'X') AS m FROM sumstats WHERE {VALID}),
+h AS (SELECT x, p FROM o WHERE k = (m + 1) // 2 OR k = m // 2 + 1)
+SELECT CASE WHEN x THEN 'x' ELSE 'autosomal' END AS label, round(avg({_chi2_sql('h.p')}) / 0.454936423119572, 6) AS lambda FROM h GROUP BY x""", "sumstats")
+def lambda_comparison(v):
+    return reports.lambda_comparison({"x": v("sumstats").filter("chrom = 'X'"), "autosomal": v("sumstats").filter("chrom <> 'X'")}).select("label", r6("lambda"))
+
+
+@query(f'SELECT \'mac_bins\' AS "check", count(*) AS "left", count(*) AS "right", true AS ok FROM sumstats WHERE {VALID}', "sumstats")
+def rare_checks(v):
+    return reports.rare_checks(v("sumstats"))
+
+
+@query("""SELECT sid, 'reference' AS sample_set, 'reference' AS status, CAST(super_population AS VARCHAR) AS label FROM pcs WHERE sid % 4 <> 0
+UNION ALL SELECT sid, 'study', CASE WHEN sid % 12 = 0 THEN 'excluded' WHEN sid % 20 = 4 THEN 'unassigned' ELSE 'assigned' END, CASE WHEN sid % 12 = 0 THEN 'far' WHEN sid % 20 = 4 THEN 'unassigned' ELSE CAST(super_population AS VARCHAR) END FROM pcs WHERE sid % 4 = 0""", "pcs")
+def projection_points(v):
+    study = v("pcs").filter("sid % 4 = 0")
+    assigned = study.filter("sid % 12 <> 0 and sid % 20 <> 4").select("sid", F.col("super_population").alias("ancestry"))
+    out = reports.projection_points(v("pcs").filter("sid % 4 <> 0"), study, assigned, study.filter("sid % 12 = 0").select("sid", F.lit("far").alias("reason")))
+    return out.select("sid", "sample_set", "status", "label")
+
+
 # ------------------------------------------------------------ variants
 
 ELIGIBLE = "try_cast(regexp_replace(chrom, '^chr', '') AS INTEGER) BETWEEN 1 AND 22 AND pos > 0 AND id NOT IN ('', '.') AND regexp_full_match(ref, '[ACGT]+') AND regexp_full_match(alt, '[ACGT]+') AND ref <> alt"
@@ -426,3 +520,12 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["content_fingerprint"] = _fingerprint
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    return reports.manifest_rows(part.select(F.col("p_partkey").cast("string").alias("path"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha256"), F.col("p_size").alias("size_bytes")), "run")
+
+
+QUERIES["manifest_rows"] = _manifest
+ORACLES["manifest_rows"] = "SELECT concat('run:', p_partkey, ':bytes') AS key, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT concat('run:', p_partkey, ':sha256'), sha256(p_name) FROM part"

@@ -94,5 +94,6 @@ def model_gate(summary: DataFrame, min_n: int = 300, min_cases: int = 50, min_co
 
 
 def sex_status(manifest: Column, pedigree: Column, genetic: Column) -> Column:
-    """ok, or the mismatches of the stated codes with the genetic one."""
-    return F.coalesce(F.nullif(F.concat_ws(";", F.when(pedigree != genetic, "plink_pedsex_genetic_mismatch"), F.when(manifest != genetic, "manifest_genetic_mismatch")), F.lit("")), F.lit("ok"))
+    """ok, or the mismatches of the stated codes with the genetic one; a missing code can't mismatch the manifest's."""
+    known = ~manifest.isin("0", *MISSING) & ~genetic.isin("0", *MISSING)
+    return F.coalesce(F.nullif(F.concat_ws(";", F.when(pedigree != genetic, "plink_pedsex_genetic_mismatch"), F.when(known & (manifest != genetic), "manifest_genetic_mismatch")), F.lit("")), F.lit("ok"))

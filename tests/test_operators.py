@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, quality, samples, variants
+from helixframe.operators import ancestry, assoc, genotype, pooled, quality, reports, samples, variants
 
 
 def one(spark, column, **values):
@@ -139,3 +139,83 @@ def test_checks(spark):
     assert {(r.chrom, r.rule) for r in quality.check_intervals(iv).collect()} == {("1", "overlap"), ("2", "reversed")}
     with pytest.raises(ValueError, match="twice"):
         quality.require(quality.duplicates(spark.createDataFrame([(1,), (1,)], "k long"), "k"), "twice")
+
+
+def _random_calls(spark, n=40, m=60, seed=5):
+    rng = np.random.default_rng(seed)
+    shift = np.linspace(-1, 1, n)[:, None] * rng.normal(0, 1, m)
+    p = 1 / (1 + np.exp(-(shift + rng.normal(0, 0.3, m))))
+    g = rng.binomial(2, p)
+    return g, spark.createDataFrame([(i, j, int(g[i, j])) for i in range(n) for j in range(m)], "sid long, vid long, g int")
+
+
+def test_components_against_singular_vectors(spark):
+    g, calls = _random_calls(spark)
+    p = g.mean(0) / 2
+    ok = (p > 0) & (p < 1)
+    z = (g[:, ok] - 2 * p[ok]) / np.sqrt(2 * p[ok] * (1 - p[ok]))
+    u, _, vt = np.linalg.svd(z, full_matrices=False)
+    fit = pooled.fit_pca(calls, 2, rounds=12)
+    scores = {(r.pc, r.sid): r.score for r in fit.scores.collect()}
+    for j in range(2):
+        got = np.array([scores[f"PC{j + 1}", i] for i in range(len(g))])
+        assert abs(abs(got @ u[:, j]) - 1) < 1e-6
+    weights = np.array([r.w for r in fit.weights.filter("pc = 'PC1'").orderBy("vid").collect()])
+    assert abs(abs(weights @ vt[0]) - 1) < 1e-6
+
+
+def test_pooled_score_test_against_projection(spark):
+    g, calls = _random_calls(spark, seed=6)
+    rng = np.random.default_rng(7)
+    n, m = g.shape
+    x, y, off = rng.normal(size=n), rng.normal(size=n), rng.normal(size=n)
+    v = spark.createDataFrame([(j, "1" if j % 2 else "2") for j in range(m)], "vid long, chrom string")
+    pheno = spark.createDataFrame([(i, float(y[i]), float(x[i])) for i in range(n)], "sid long, y double, x double")
+    loco = spark.createDataFrame([(i, "1", float(off[i])) for i in range(n)], "sid long, chrom string, pred double")
+    got = {r.vid: r for r in pooled.pooled_assoc(calls, v, pheno, ["x"], loco).collect()}
+    c = np.column_stack([np.ones(n), x])
+    away = np.eye(n) - c @ np.linalg.pinv(c)
+    for j in range(m):
+        r, h = away @ (y - off if j % 2 else y), away @ g[:, j]
+        if h @ h < 1e-9:
+            assert j not in got
+            continue
+        chi2 = (h @ r) ** 2 / ((r @ r / (n - 2)) * (h @ h))
+        assert math.isclose(got[j].chi2, chi2, rel_tol=1e-8, abs_tol=1e-10)
+        assert math.isclose(got[j].p, math.erfc(math.sqrt(chi2 / 2)), rel_tol=1e-8)
+
+
+def _nearest(pos, per_chrom):
+    free, taken = sorted(pos), []
+    for t in np.linspace(min(pos), max(pos), per_chrom):
+        if free:
+            taken.append(min(free, key=lambda x: (abs(x - t), x)))
+            free.remove(taken[-1])
+    return sorted(taken)
+
+
+def test_spaced_pool_against_plain_search(spark):
+    rng = np.random.default_rng(3)
+    pos = sorted({*rng.integers(1, 200, 60).tolist(), *rng.integers(5000, 9000, 25).tolist(), 40_000})
+    v = spark.createDataFrame([("1", p) for p in pos] + [("2", 7)], "chrom string, pos long")
+    pool = pooled.spaced_pool(v, 12)
+    assert sorted(r.pos for r in pool.filter("chrom = '1'").collect()) == _nearest(pos, 12)
+    assert [r.pos for r in pool.filter("chrom = '2'").collect()] == [7]
+    got = sorted(r.pos for r in pooled.spaced_markers(pool, 6, 50).filter("chrom = '1'").collect())
+    assert got and all(b - a >= 50 for a, b in itertools.pairwise(got))
+
+
+def test_sex_check_excludes_mismatches(spark):
+    rng = np.random.default_rng(9)
+    calls = spark.createDataFrame([(i, j, int(rng.choice([0, 2]) if i % 2 else rng.binomial(2, 0.5))) for i in range(20) for j in range(300)], "sid long, vid long, g int")
+    stated = spark.createDataFrame([(i, "1" if i % 2 or i == 4 else "2", "1" if i % 2 else "2") for i in range(20)], "sid long, sex string, ped_sex string")
+    out = pooled.sex_check(calls, stated, "exclude", female=0.4)
+    assert [r.sid for r in out.remove.collect()] == [4] and out.keep.count() == 19
+    with pytest.raises(ValueError, match="4"):
+        pooled.sex_check(calls, stated, "fail", female=0.4)
+
+
+def test_log_metrics(spark, tmp_path):
+    (tmp_path / "a.log").write_text("x\n1,234 variants loaded.\n99 variants loaded.\n")
+    got = {r.metric: r.value for r in reports.log_metrics(spark, str(tmp_path), {"loaded": r"^([0-9,]+) variants", "none": "^(zzz)"}).collect()}
+    assert got == {"loaded": "1234", "none": "NA"}
