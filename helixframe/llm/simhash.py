@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -196,12 +197,89 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
+#: Members of a group on each side of a tile, and shingles of it counted at a time: they bound a step's memory, not the result.
+TILE, TILE_SHINGLES = 128, 8192
+
+
+def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
+    """(a, b): links between alike members of the two sides of a tile; a forest over their roots."""
+    sides = [frame[frame["left"]], frame[~frame["left"]]]
+    sizes = [np.array([len(x) for x in side["shingles"]], np.int64) for side in sides]
+    common = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+    if common.size:
+        rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+        flat = [np.concatenate(side["shingles"].to_list()) for side in sides]
+        met = np.intersect1d(*flat)
+        entries = []
+        for row, x in zip(rows, flat, strict=True):
+            at = np.isin(x, met)
+            row, code = row[at], np.searchsorted(met, x[at])
+            order = np.argsort(code, kind="stable")
+            entries.append((row[order], code[order]))
+        for begin in range(0, len(met), TILE_SHINGLES):
+            marks = []
+            for (row, code), n in zip(entries, sizes, strict=True):
+                part = slice(*np.searchsorted(code, [begin, begin + TILE_SHINGLES]))
+                mark = np.zeros((len(n), TILE_SHINGLES), np.float32)
+                mark[row[part], code[part] - begin] = 1
+                marks.append(mark)
+            common += marks[0] @ marks[1].T
+    common = common.astype(np.float64)
+    alike = (common > 0) & (common >= COPY_SIMILARITY * (sizes[0][:, None] + sizes[1][None, :] - common))
+    (ids_a, ids_b), (roots_a, roots_b) = ([side[c].to_numpy() for side in sides] for c in ("id", "root"))
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(alike), strict=True):
+        a, b = find(int(roots_a[i])), find(int(roots_b[j]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            links.append((ids_a[i], ids_b[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def similar_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links that connect all documents of a group that are at least COPY_SIMILARITY alike, and no others.
+
+    groups is a stored table (band, doc_id). First every member meets its group's first one. Then, in
+    groups of several components, each member outside the first one's component meets every member,
+    in tiles of TILE by TILE members; groups of the same members count once.
+    """
+    lead = keep(groups.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("members")).filter("n > 1"), "lead")
+    lead = lead.groupBy("n", "members", "a").agg(F.min("band").alias("band"))
+    grouped = keep(groups.join(lead, "band").select("band", "a", "n", "doc_id"), "grouped")
+    candidates = keep(grouped.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), "candidates")
+    named = candidates.select(F.col("a").alias("doc_id")).unionByName(candidates.select(F.col("b").alias("doc_id"))).distinct()
+    sets = keep(_shingle_sets(docs.join(named, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
+    both = candidates.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    verified = keep(both.filter(common >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "verified")
+
+    roots = keep(components(verified), "roots")
+    leader = roots.select(F.col("node").alias("a"), F.col("root").alias("first"))
+    labelled = grouped.filter("n > 2").join(roots.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").join(leader, "a", "left")
+    labelled = labelled.select("band", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"), (F.coalesce("root", "doc_id") != F.coalesce("first", "a")).alias("apart"))
+    labelled = keep(labelled, "labelled")
+    open_groups = labelled.groupBy("band").agg(F.count_if("apart").alias("m")).filter("m > 0")
+    sided = labelled.join(open_groups, "band").select("band", "doc_id", "root", "apart", F.ceil(F.col("m") / TILE).cast("int").alias("rows"), F.ceil(F.col("n") / TILE).cast("int").alias("columns"))
+    place = F.xxhash64("doc_id", F.lit(SEED))
+    left = sided.filter("apart").select("band", "doc_id", "root", F.pmod(place, "rows").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("left"))
+    right = sided.select("band", "doc_id", "root", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(place, "columns").cast("int").alias("j"), F.lit(False).alias("left"))
+    tiled = left.unionByName(right).withColumnsRenamed({"doc_id": "id"}).join(sets, "id")
+    return verified.unionByName(tiled.groupBy("band", "i", "j").applyInPandas(_tile_links, "a long, b long"))
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of each group of copies and near copies the document with the smallest doc_id stays.
 
     Links: equal word sequences, fingerprints within MAX_BITS, and texts whose sets of five-word
-    shingles are at least 0.8 alike. Candidates of the last kind share a band of minima with the
-    band's first document and are verified on the whole sets.
+    shingles are at least 0.8 alike. Candidates of the last kind share a band of minima and are
+    verified on the whole sets.
     """
     sketches = keep(_sketches(docs), "sketches")
     firsts = keep(sketches.groupBy("h", "l").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("s")).select("s.*"), "firsts")
@@ -211,13 +289,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     close = linked.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     alike = firsts.select("doc_id", "fp").join(prints, "fp").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     banded = firsts.select("doc_id", F.explode("bands").alias("band"))
-    lead = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "a")
-    candidates = keep(banded.join(lead, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), "candidates")
-    named = candidates.select(F.col("a").alias("doc_id")).unionByName(candidates.select(F.col("b").alias("doc_id"))).distinct()
-    sets = keep(_shingle_sets(docs.join(named, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
-    both = candidates.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    verified = both.filter(common >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    roots = components(close.unionByName(alike).unionByName(verified))
+    roots = components(close.unionByName(alike).unionByName(similar_links(banded, docs)))
     stay = firsts.select("doc_id").join(roots.filter("node <> root").select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
     return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)

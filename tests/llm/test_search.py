@@ -88,6 +88,16 @@ def test_near_copies_go(spark):
     assert got == {*range(12), 16}
 
 
+def test_near_copies_beside_a_shared_passage(spark):
+    passage = [f"p{i}" for i in range(404)]
+    texts = [" ".join([*passage, *(f"own{i}x{j}" for j in range(56))]) for i in range(300)]  # 0.78 alike
+    twins = [" ".join([*t.split()[:420], *(f"twin{i}x{j}" for j in range(40))]) for i, t in enumerate(texts[:150])]  # 0.838 like their own text only
+    got = {r.doc_id for r in simhash.drop_near_copies(docs(spark, [*texts, *twins])).collect()}
+    sets = [set(simhash.shingle_hashes(simhash.words_of(t), simhash.COPY_WORDS).tolist()) for t in [*texts, *twins]]
+    near = {j for j in range(300, 450) if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i in range(300))}
+    assert len(near) == 150 and not got & near
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(7)
     v = rng.normal(size=(400, 8)).astype(np.float32)
