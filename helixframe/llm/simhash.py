@@ -277,18 +277,15 @@ def similar_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of each group of copies and near copies the document with the smallest doc_id stays.
 
-    Links: equal word sequences, fingerprints within MAX_BITS, and texts whose sets of five-word
-    shingles are at least 0.8 alike. Candidates of the last kind share a band of minima and are
-    verified on the whole sets.
+    Links: equal word sequences, and texts whose sets of five-word shingles are at least 0.8 alike.
+    Candidates of the second kind share a band of minima, or have fingerprints that links of at most
+    MAX_BITS connect; all are verified on the whole sets.
     """
     sketches = keep(_sketches(docs), "sketches")
     firsts = keep(sketches.groupBy("h", "l").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("s")).select("s.*"), "firsts")
-    prints = firsts.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    linked = fingerprint_links(prints)
-    a, b = prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), prints.select(F.col("fp").alias("b"), F.col("first").alias("y"))
-    close = linked.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    alike = firsts.select("doc_id", "fp").join(prints, "fp").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    banded = firsts.select("doc_id", F.explode("bands").alias("band"))
-    roots = components(close.unionByName(alike).unionByName(similar_links(banded, docs)))
+    close = components(fingerprint_links(keep(firsts.select("fp").distinct(), "distinct"))).withColumnsRenamed({"node": "fp"})
+    printed = firsts.select("doc_id", "fp").join(close, "fp", "left").select("doc_id", F.xxhash64(F.coalesce("root", "fp"), F.lit(SEED)).alias("band"))
+    groups = keep(firsts.select("doc_id", F.explode("bands").alias("band")).unionByName(printed), "groups")
+    roots = components(similar_links(groups, docs))
     stay = firsts.select("doc_id").join(roots.filter("node <> root").select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
     return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)

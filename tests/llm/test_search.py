@@ -98,6 +98,16 @@ def test_near_copies_beside_a_shared_passage(spark):
     assert len(near) == 150 and not got & near
 
 
+def test_equal_fingerprints_of_different_texts_stay(spark):
+    line = "the same line is said again and again until it fills most of the page "
+    texts = [line * 40 + " ".join(f"own{i}x{j}" for j in range(60)) for i in range(12)]
+    prints = [simhash.fingerprint(simhash.shingle_hashes(simhash.words_of(t), simhash.SHINGLE_WORDS)) for t in texts]
+    assert sum((a ^ b).bit_count() <= simhash.MAX_BITS for a, b in itertools.combinations(prints, 2)) > 5
+    near = " ".join([*texts[0].split()[:-1], "changed"])
+    got = {r.doc_id for r in simhash.drop_near_copies(docs(spark, [*texts, near])).collect()}
+    assert got == set(range(12))
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(7)
     v = rng.normal(size=(400, 8)).astype(np.float32)
