@@ -1,7 +1,8 @@
 """Operator 5: licence scans by sentence rules.
 
-Texts are cut into sentences, each normalised sentence is looked up among known licence sentences,
-and the sequence of identifiers is matched against ordered rules. Both tables are small and fixed,
+Texts are normalised with their line and sentence ends kept as boundaries; known licence sentences
+are found between two boundaries, however their lines are wrapped, and the sequence of identifiers is
+matched against ordered rules. Both tables are small and fixed,
 so they travel inside the plan: one pass over the documents, no shuffle and no Python.
 
 Null and empty texts have no sentences and no licences. Repeated sentences repeat their identifier;
@@ -62,28 +63,33 @@ RULES = {
     "MPL-2.0": ["mpl-notice"],
     "Unlicense": ["unlicense"],
 }
-# A sentence ends at a mark that white space follows; if it isn't known, each of its lines counts as a sentence.
-_END = r"([.!?]+)[ \t\r\n]+"
-#: Only sentences with one of these words can be known: the cheap first test of a sentence.
-_HINT = "licen|permission|warrant|redistribut|free software|rights|public domain|copyright|more details|conditions"
+#: Further sentences (identifier, normalised text) and rules of unaltered licence texts, which the oracle's SQL doesn't have.
+MORE_SENTENCES = [
+    ("apache-copy", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
+    ("bsd-endorse", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+]
+MORE_RULES = {"BSD-3-Clause": ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]}
+# Boundaries: line ends, sentence marks that white space follows, and list marks at the begin of a line.
+_END = r"[.!?]+[ \t\r\n]+"
+_LIST = r"(^|\n)[^a-z0-9\n]*([0-9]{1,2}|[a-z])[.)][ \t]+"
+#: Only texts with one of these words can hold a known sentence: the cheap first test of a text.
+_HINT = r"(?i)licen|permission|warrant|redistribut|rights|domain|copyright|details|conditions"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def normalised(text: Column) -> Column:
+    """Words of letters and digits in lower case between single spaces, with boundaries as line ends."""
+    cut = F.regexp_replace(F.regexp_replace(F.lower(text), _LIST, "\n"), _END, "\n")
+    return F.regexp_replace(cut, "[^a-z0-9\n]+", " ")
 
 
 def sentence_ids(text: Column) -> Column:
-    """The known identifiers of a text's sentences, in order."""
-    known = F.create_map(*[F.lit(x) for name, s in SENTENCES.items() for x in (s, name)])
-    parts = F.split(F.regexp_replace(text, _END, "$1\x01"), "\x01")
-    hinted = F.filter(parts, lambda s: F.lower(s).rlike(_HINT))
-
-    def ids(s: Column) -> Column:
-        whole = F.element_at(known, normalised(s))
-        lines = F.transform(F.split(s, "\n"), lambda x: F.element_at(known, normalised(x)))
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.array_compact(lines))
-
-    return F.flatten(F.transform(hinted, ids))
+    """The known identifiers of a text's sentences, in order; of two that start together the longer one."""
+    sentences = {s: name for name, s in [*SENTENCES.items(), *MORE_SENTENCES]}
+    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
+    wrapped = "|".join(s.replace(" ", "[ \n]+") for s in sorted(sentences, key=len, reverse=True))
+    found = F.regexp_extract_all(normalised(text), F.lit(f"(?:^|\n) *({wrapped})(?= *(?:\n|$))"), F.lit(1))
+    ids = F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, "[ \n]+", " ")))
+    return F.when(text.rlike(_HINT), ids).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: dict[str, list[str]] | None = None) -> DataFrame:
@@ -91,7 +97,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: dict[s
     ids = docs.select(key, sentence_ids(F.coalesce(F.col(text), F.lit(""))).alias("found"))
     sequence = F.concat(F.lit("|"), F.array_join("found", "|"), F.lit("|"))
     rows = ids.select(key, F.col("found").alias("sentence_ids"), F.size("found").cast("long").alias("n_known"), sequence.alias("sequence"))
-    tests = [F.when(F.contains(F.col("sequence"), F.lit("|" + "|".join(parts) + "|")), F.lit(name)) for name, parts in sorted((rules or RULES).items())]
+    tests = [F.when(F.contains(F.col("sequence"), F.lit("|" + "|".join(parts) + "|")), F.lit(name)) for name, parts in sorted((rules or RULES | MORE_RULES).items())]
     return rows.select(key, "sentence_ids", F.array_compact(F.array(*tests)).alias("licenses"), "n_known")
 
 
