@@ -1,4 +1,6 @@
-"""Operator 6: removal of repeated passages by hashing lines, cut further at sentence ends.
+"""Operator 6: removal of repeated passages by hashing lines, cut further at sentence ends and, in long
+sentences, behind words that their own hash chooses, so that passages that begin or end within a sentence
+meet by its parts.
 
 Units are normalised (lower case, words joined by one space) and hashed with 128 bits. The earliest
 occurrence in (rank, position) order of each digest stays; other occurrences go when they stand in a
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -26,14 +29,35 @@ MIN_WORDS = 10
 _END = re.compile(r"\n|[.!?]+[ \t]+")
 
 
+#: Units of more words are cut behind about one word in CUT_SHARE.
+LONG_WORDS, CUT_SHARE = 15, 8
+_WORD = re.compile(r"\S+\s*")
+
+
+@lru_cache(maxsize=1 << 16)
+def _cuts(word: str) -> bool:
+    return xxhash.xxh64_intdigest(word) % CUT_SHARE == 0
+
+
 def units(text: str) -> list[tuple[int, int, int, int, int]]:
     """(start, end, words, digest high, digest low) of the units that hold a word."""
     out, at = [], 0
+
+    def add(start: int, end: int, words: list[str]) -> None:
+        h = xxhash.xxh3_128_intdigest(" ".join(words))
+        out.append((start, end, len(words), _signed(h >> 64), _signed(h & (1 << 64) - 1)))
+
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         words = text[at:end].lower().split()
-        if words:
-            h = xxhash.xxh3_128_intdigest(" ".join(words))
-            out.append((at, end, len(words), _signed(h >> 64), _signed(h & (1 << 64) - 1)))
+        if len(words) > LONG_WORDS:
+            ends = [m.end() for m in _WORD.finditer(text, at, end)]
+            begin = 0
+            for i, word in enumerate(words, 1):
+                if i == len(words) or _cuts(word):
+                    add(at, ends[i - 1], words[begin:i])
+                    at, begin = ends[i - 1], i
+        elif words:
+            add(at, end, words)
         at = end
     return out
 

@@ -230,6 +230,19 @@ def test_passages_against_brute_force(spark):
     assert passages.remove_repeats(d.limit(0)).count() == 0
 
 
+def test_passages_within_long_sentences(spark):
+    rng = np.random.default_rng(11)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ra") for b in ("ban", "der", "fil", "gor", "hut", "jem", "kas")]
+    passage = " ".join(rng.choice(words, 60))
+    texts = [f"{' '.join(f'o{i}x{j}' for j in range(9 + i))} {passage} {' '.join(f'e{i}x{j}' for j in range(7))}." for i in range(20)]
+    got = {r.doc_id: r.text for r in passages.remove_repeats(docs(spark, texts)).collect()}
+    assert got[0] == texts[0]
+    for i in range(1, 20):
+        assert set(texts[i].split()) - set(passage.split()) <= set(got[i].split())
+        assert sum(w in words for w in got[i].split()) < 30
+    assert [passages.units(t)[-1][1] for t in texts] == [len(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_two_fit_packs_everything(lengths):
