@@ -1,7 +1,10 @@
 """Operator 3: media columns. Netpbm and BMP decoded to arrays, area-resized by integral images, tiled as NPY.
 
-Images live in a binary column of a table in the shared folder. A null or malformed image gives a
-row with status 'bad' and null features; extra columns are ignored.
+Images live in a binary column of a table in the shared folder, tiles in a column of another. A null or
+malformed image (cut short, with samples out of range, or with sizes that its bytes can't fill) gives a row
+with status 'bad' and null features. Null and empty texts become one row of spaces; equal texts become equal
+images, so repeated rows and ties have equal features; texts are stored whole, whatever their length. An
+empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from helixframe.llm.common import keep, table, text_chunks
 
 PIXELS_WIDE = 64  # 3 samples a pixel: 192 payload bytes a row
-TILE = 32
+TILE = 16
 STRIP_ROWS = 4096  # rows of an integral image held at a time
 _HEAD = re.compile(rb"P([1-6])" + rb"(?:\s|#[^\n]*\n)+(\d+)" + rb"(?:\s|#[^\n]*\n)+(\d+)")
 
@@ -38,9 +42,14 @@ def bmp(rows: np.ndarray) -> bytes:
 
 
 def decode_image(data: bytes) -> np.ndarray:
-    """H x W x C bytes (C is 1 or 3) of a P1-P6 or uncompressed BMP image; ValueError if it is neither or cut short."""
-    if data[:2] == b"BM":
-        return _bmp(data)
+    """H x W x C bytes (C is 1 or 3) of a P1-P6 or uncompressed BMP image; ValueError if it is neither or malformed."""
+    try:
+        return _bmp(data) if data[:2] == b"BM" else _netpbm(data)
+    except (OverflowError, struct.error) as e:
+        raise ValueError("a number out of range, or a header cut short") from e
+
+
+def _netpbm(data: bytes) -> np.ndarray:
     if not (m := _HEAD.match(data)):
         raise ValueError("neither Netpbm nor BMP")
     kind, w, h, at, top = int(m[1]), int(m[2]), int(m[3]), m.end(), 1
@@ -50,8 +59,8 @@ def decode_image(data: bytes) -> np.ndarray:
         top, at = int(m[1]), m.end()
     channels = 3 if kind in (3, 6) else 1
     n = w * h * channels
-    if not 0 < top < 65536 or not n:
-        raise ValueError("bad header")
+    if not 0 < top < 65536 or not 0 < n <= 8 * len(data):
+        raise ValueError("bad header, or an image too large for its bytes")
     if kind == 1:
         found = re.findall(rb"[01]", re.sub(rb"#[^\n]*", b"", data[at:]))
         samples = np.array(found[:n], dtype="S1") != b"1"
@@ -63,18 +72,15 @@ def decode_image(data: bytes) -> np.ndarray:
         samples = (bits == 0).ravel()
     else:
         samples = np.frombuffer(data, np.uint8 if top < 256 else ">u2", n, at + 1)
-    if len(samples) < n or samples.max() > top:
-        raise ValueError("samples missing or too large")
+    if len(samples) < n or samples.max() > top or samples.min() < 0:
+        raise ValueError("samples missing or out of range")
     if top != 255:
         samples = (samples.astype(np.int64) * 510 + top) // (2 * top)
     return samples.astype(np.uint8).reshape(h, w, channels)
 
 
 def _bmp(data: bytes) -> np.ndarray:
-    try:
-        start, head, w, h, _, bits, packing = struct.unpack_from("<10xIIiiHHI", data)
-    except struct.error as e:
-        raise ValueError("short BMP") from e
+    start, head, w, h, _, bits, packing = struct.unpack_from("<10xIIiiHHI", data)
     flip, h = h > 0, abs(h)
     if head < 40 or packing or bits not in (1, 4, 8, 24, 32) or w <= 0 or not h:
         raise ValueError("BMP of an unsupported kind")
@@ -183,7 +189,7 @@ def tiles(media: DataFrame, key: str = "doc_id", column: str = "media", size: in
 
 
 def payload_features(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Digests of what the stored images hold, with each image's difference hash and tile."""
+    """A table in the shared folder: digests of what the stored images hold, each image's difference hash, and its NPY tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,16 +197,16 @@ def payload_features(media: DataFrame, key: str = "doc_id") -> DataFrame:
             for k, n, data in _rows(batch, [key, "n_bytes", "media"]):
                 image = decode_image(data)
                 payload = image.tobytes()
-                tile = npy(area_resize(image, TILE, TILE))
-                out.append((k, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), difference_hash(image), hashlib.sha256(tile).hexdigest()))
+                out.append((k, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), difference_hash(image), npy(area_resize(image, TILE, TILE))))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 9, types, strict=True)], names=names)
 
     i, s = pa.int64(), pa.string()
-    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile_sha256"]
-    types = [i, i, i, s, i, i, s, s, s]
-    schema = f"{key} long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile_sha256 string"
-    return media.select(key, "n_bytes", "media").mapInArrow(run, schema)
+    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
+    types = [i, i, i, s, i, i, s, s, pa.binary()]
+    schema = f"{key} long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
+    return keep(media.select(key, "n_bytes", "media").mapInArrow(run, schema), "tiles")
 
 
 def op3_media_columns(spark, sf_dir: str) -> DataFrame:
-    return payload_features(store_texts(table(spark, sf_dir, "documents")))
+    out = payload_features(store_texts(table(spark, sf_dir, "documents")))
+    return out.withColumn("tile_sha256", F.sha2("tile", 256)).drop("tile")
