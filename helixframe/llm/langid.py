@@ -4,25 +4,26 @@ A text is compressed with one zstandard raw-content dictionary per language; the
 dictionary gives the fewest bytes wins (ties: smaller name). Narrow margins are rejected.
 
 Null texts and texts without a letter are 'und' with score 0 and rejected. Rows with a null language
-teach nothing; with no language learned every text is 'und'. Extra columns are ignored.
+teach nothing; with no language learned every text is 'und'. Equal texts have equal predictions;
+languages that compress a text alike go by name. An empty table gives an empty result. Texts are read
+whole, in training as well, and compressed in pieces. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 import zstandard as zstd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import crc_mod, table, text_chunks
+from helixframe.llm.common import crc_mod, keep, table, text_chunks
 
-#: Bytes of text in a language's dictionary, and of one document in it: the bound of the training sample.
-DICTIONARY_BYTES, DOCUMENT_BYTES = 32 << 10, 4 << 10
+#: Documents of a language that are drawn, bytes of its dictionary, and of the pieces drawn from the documents: the bounds of the sample.
+DOCUMENTS, DICTIONARY_BYTES, SAMPLE_BYTES = 256, 32 << 10, 1 << 10
 LEVEL = 6
 #: Texts are compressed in pieces of so many bytes, so that long ones don't become their own dictionary.
 PIECE_BYTES = 8 << 10
@@ -33,24 +34,38 @@ MIN_MARGIN = 0.002
 _OTHER = re.compile(r"[\W\d_]+")
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """A raw-content dictionary per language, from about dictionary_bytes of texts drawn by a hash of the key."""
-    piece = F.substring(text, 1, DOCUMENT_BYTES)
-    known = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
-    totals = {r[0]: r[1] for r in known.groupBy(lang).agg(F.sum(F.least(F.length(text), F.lit(DOCUMENT_BYTES)))).collect()}
-    if not totals:
-        return {}
-    draw = F.pmod(F.xxhash64(key), F.lit(1 << 20))
-    wanted = [(F.col(lang) == name) & (draw < int(min(1.0, 2 * dictionary_bytes / total) * (1 << 20)) + 1) for name, total in totals.items()]
-    sample = known.filter(functools.reduce(operator.or_, wanted)).select(lang, draw.alias("draw"), F.col(key).alias("key"), piece.alias("piece")).collect()
-    held: dict[str, list[bytes]] = {}
-    for r in sorted(sample, key=lambda r: (r[0], r.draw, r.key)):
-        held.setdefault(r[0], []).append(normalise(r.piece).encode())
-    out = {}
-    for name, pieces in held.items():
-        whole = b"\n".join(pieces)
-        out[name] = whole[:dictionary_bytes]
-    return out
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", dictionary_bytes: int = DICTIONARY_BYTES, documents: int = DOCUMENTS) -> dict[str, bytes]:
+    """A raw-content dictionary per language, of pieces drawn by hash from anywhere in the texts of documents that are drawn by hash.
+
+    Each language's documents are cut to their bound before they meet in one task.
+    """
+    known = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.xxhash64(key).alias("draw"), F.col(key).alias("key"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "key"))
+    chosen = known.withColumn("place", place).filter(F.col("place") <= documents).select("lang", "key").distinct()
+    chosen = keep(chosen, "chosen")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for begin, texts in text_chunks(batch, "text"):
+                for name, t in zip(batch.column(0).slice(begin, len(texts)).to_pylist(), texts, strict=True):
+                    raw = normalise(t).encode()
+                    rows += [(name, p, xxhash.xxh64_intdigest(p) >> 1) for p in (raw[i : i + SAMPLE_BYTES] for i in range(0, len(raw), SAMPLE_BYTES))]
+            names, parts, draws = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(parts, pa.binary()), pa.array(draws, pa.int64())], names=["lang", "piece", "draw"])
+
+    texts = docs.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = texts.join(F.broadcast(chosen), (texts.lang == chosen.lang) & texts.key.eqNullSafe(chosen.key), "left_semi")  # at most documents a language
+    pieces = texts.select("lang", "text").mapInArrow(cut, "lang string, piece binary, draw long")
+    place, size = Window.partitionBy("lang").orderBy("draw", "piece"), F.sum(F.length("piece") + 1)
+    # whole pieces can't overrun by more than one; the number that fits is cut off before the running sum
+    most = dictionary_bytes // (SAMPLE_BYTES // 8) + 1
+    held = pieces.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= most)
+    held = held.withColumn("end", size.over(place.rowsBetween(Window.unboundedPreceding, -1))).filter(F.coalesce("end", F.lit(0)) < dictionary_bytes)
+    out: dict[str, list[bytes]] = {}
+    for r in sorted(held.select("lang", "place", "piece").collect(), key=lambda r: (r.lang, r.place)):
+        out.setdefault(r.lang, []).append(bytes(r.piece))
+    return {name: b"\n".join(parts)[:dictionary_bytes] for name, parts in out.items()}
 
 
 def normalise(text: str) -> str:
