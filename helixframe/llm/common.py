@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.plans.ship import ship
@@ -81,10 +81,9 @@ def draw_labelled(docs: DataFrame, labels: DataFrame, key: str, by: str, per_cla
     counts = {int(r[0]): r[1] for r in known.groupBy(by).count().collect()}
     if set(counts) != {0, 1}:
         return None
-    # so few rows are ranked that their single group per class stays small
-    near = [(F.col(by) == c) & (F.col("draw") <= int(min(1.0, 4 * per_class / n) * (1 << 62))) for c, n in counts.items()]
-    place = F.row_number().over(Window.partitionBy(by).orderBy("draw", key, *[c for c in labels.columns if c not in (key, by)]))
-    return keep(known.filter(near[0] | near[1]).withColumn("__place", place).filter(F.col("__place") <= per_class).drop("__place"), "drawn")
+    order = ["draw", key, *[c for c in labels.columns if c not in (key, by)]]
+    best = [known.filter((F.col(by) == c) & (F.col("draw") <= int(min(1.0, 4 * per_class / n) * (1 << 62)))).orderBy(*order).limit(per_class) for c, n in counts.items()]
+    return keep(best[0].unionByName(best[1]), "drawn")
 
 
 def identified(docs: DataFrame, stored: bool) -> DataFrame:
