@@ -5,7 +5,8 @@ each line's marginal probability; a document's quality is their mean weighted by
 to a probability by a logistic curve that is fitted on the training documents.
 
 Null and empty texts have one empty line. Rows with a null label teach nothing; without labels of
-both classes every score is 0.5. Extra columns are ignored.
+both classes every score is 0.5. Equal texts have equal scores, so repeated rows and ties do, too; an
+empty table gives an empty result. Texts are read whole, in training as well. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import crc_mod, table, text_chunks
+from helixframe.llm.common import crc_mod, draw_labelled, table, text_chunks
 
-#: Documents of each class in the training sample, and lines of one of them: the bounds of what reaches the driver.
-SAMPLE_PER_CLASS, TRAINING_LINES = 1_500, 60
+#: Documents of each class in the training sample: the bound of what reaches the driver.
+SAMPLE_PER_CLASS = 1_500
+#: In training, chains run over so many lines at a time; a long text is several chains, with all its lines.
+CHAIN_LINES = 64
 ROUNDS = 150
 
 _KIND = np.zeros((256, 7))  # byte -> letter, capital, digit, space, sentence mark, exclamation or bar, other symbol
@@ -121,6 +124,11 @@ def _mean(values: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.nda
     return np.add.reduceat(values * weight, first) / np.add.reduceat(weight, first)
 
 
+def chains(counts: np.ndarray, most: int = CHAIN_LINES) -> np.ndarray:
+    """Lines of the chains that texts of so many lines are cut into."""
+    return np.concatenate([np.r_[np.full((c - 1) // most, most), (c - 1) % most + 1] for c in counts.tolist()])
+
+
 class LineField:
     """The field's weights, fitted to labels of documents.
 
@@ -138,12 +146,12 @@ class LineField:
         worst = np.minimum.reduceat(p, np.r_[0, np.cumsum(counts)[:-1]])[document]
         target = np.where(good == 1, 1.0, (p > 0.5) & (p > worst))
         moved = np.zeros((2, 2))
-        inner = np.ones(n, bool)
-        inner[np.r_[0, np.cumsum(counts)[:-1]]] = False
+        inner, cut = np.ones(n, bool), chains(counts)
+        inner[np.r_[0, np.cumsum(cut)[:-1]]] = False
         np.add.at(moved, (target[:-1][inner[1:]].astype(int), target[inner].astype(int)), 1)
 
         def gradient(w: np.ndarray) -> np.ndarray:
-            q, moves = marginals(x @ w[4:], w[:4].reshape(2, 2), counts)
+            q, moves = marginals(x @ w[4:], w[:4].reshape(2, 2), cut)
             return np.r_[(moves - moved).ravel(), x.T @ (q - target)] / n + 1e-4 * w
 
         w = _adam(np.r_[np.zeros(4), single], gradient, ROUNDS, 0.05)
@@ -164,32 +172,32 @@ class LineField:
         return _sigmoid(raw * self.curve[0] + self.curve[1]), raw
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> LineField | None:
-    """A field from a bounded sample, drawn by a hash of the key, of rows with a 0/1 label."""
-    known = labelled.filter(F.col(label).isin(0, 1))
-    counts = {int(r[0]): r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
-    if set(counts) != {0, 1}:
+def fit(docs: DataFrame, marks: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> LineField | None:
+    """A field from a bounded sample, drawn by a hash of the key, of the documents that marks (key, label 0/1/null) label."""
+    drawn = draw_labelled(docs, marks.select(key, F.col(label).cast("int").alias("y")), key, "y", per_class)
+    if drawn is None:
         return None
-    draw = F.pmod(F.xxhash64(key), F.lit(1 << 20))
-    share = F.when(F.col(label) == 1, F.lit(min(1.0, per_class / counts[1]) * (1 << 20))).otherwise(F.lit(min(1.0, per_class / counts[0]) * (1 << 20)))
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, texts in text_chunks(batch, text):
                 own, lengths, n = line_features(texts)
                 ends = np.cumsum(n)
-                spans = [slice(e - c, e - c + min(c, TRAINING_LINES)) for e, c in zip(ends, n, strict=True)]
+                spans = [slice(e - c, e) for e, c in zip(ends, n, strict=True)]
                 part = batch.slice(begin, len(texts))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([own[s].ravel() for s in spans], pa.list_(pa.float64())), pa.array([lengths[s] for s in spans], pa.list_(pa.int64()))], names=["draw", "key", "y", "own", "lengths"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([own[s].astype("<f4").tobytes() for s in spans], pa.binary()), pa.array([lengths[s].astype("<i4").tobytes() for s in spans], pa.binary())], names=["draw", "y", "own", "lengths"])
 
-    rows = known.filter(draw < share).select(draw.alias("draw"), F.col(key).alias("key"), F.col(label).cast("int").alias("y"), text)
-    sample = rows.mapInArrow(featurize, "draw long, key long, y int, own array<double>, lengths array<long>").collect()
-    sample.sort(key=lambda r: (r.draw, r.key))
+    rows = docs.select(key, text).join(F.broadcast(drawn), key).select("draw", "y", text)  # at most 2 x per_class labels
+    # documents that share an id enter together; the sample's bound holds for them, too
+    place = F.row_number().over(Window.partitionBy("y").orderBy("draw", F.xxhash64("own")))
+    found = rows.mapInArrow(featurize, "draw long, y int, own binary, lengths binary").withColumn("place", place).filter(F.col("place") <= per_class)
+    sample = sorted(found.collect(), key=lambda r: (r.draw, r.y, r.place))
     y = np.array([r.y == 1 for r in sample])
     if len(set(y.tolist())) < 2:
         return None
-    own = np.concatenate([np.array(r.own).reshape(-1, N_OWN) for r in sample])
-    return LineField(own, np.concatenate([r.lengths for r in sample]), np.array([len(r.lengths) for r in sample]), y)
+    own = np.frombuffer(b"".join([r.own for r in sample]), "<f4").reshape(-1, N_OWN).astype(np.float64)
+    lengths = np.frombuffer(b"".join([r.lengths for r in sample]), "<i4").astype(np.int64)
+    return LineField(own, lengths, np.array([len(r.lengths) // 4 for r in sample]), y)
 
 
 def score(docs: DataFrame, field: LineField | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,6 +216,5 @@ def score(docs: DataFrame, field: LineField | None, key: str = "doc_id", text: s
 
 def op10_quality_lines(spark, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 3) == 1
-    marks = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality")
-    out = score(docs, fit(docs.select("doc_id", "text").join(marks, "doc_id")))
+    out = score(docs, fit(docs, table(spark, sf_dir, "labels").filter(~held_out)))
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted", "good_share")
