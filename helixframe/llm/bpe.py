@@ -22,6 +22,9 @@ NONE = np.iinfo(np.int32).max
 _SLOTS, _SHIFT, _MIX = 1 << 19, 20, 0x9E3779B97F4A7C1 | 1
 LONG_WORD = 400  # symbols; longer words are merged one by one with a heap
 
+# The patterns by which the two tokenizers split texts.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?%L+| ?%N+| ?[^\s%L%N]+|\s+(?!\S)|\s+"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|%L+|%N|[^\s%L%N]+"
 # Latin-1 texts take a fast pattern with explicit classes; all others the Unicode pattern.
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 
@@ -199,39 +202,36 @@ def _exact_pattern(pattern: str):
     return regex.compile("(?V1)" + pattern)
 
 
+@cache
+def _newer_capital():
+    return re.compile("[" + "".join(map(re.escape, map(chr, newer_capitals()))) + "]") if newer_capitals() else re.compile("(?!)")
+
+
 class ByteLevelSplitter:
-    """Splits text as the byte-level pattern does; a unit is a word."""
+    """Splits text into words as the byte-level pattern does."""
 
-    atomic = True
-    wide = WidePattern(r"'s|'t|'re|'ve|'m|'ll|'d| ?%L+| ?%N+| ?[^\s%L%N]+|\s+(?!\S)|\s+")
+    wide = WidePattern(BYTE_PATTERN)
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
-    def units(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
         return (self.narrow if text.isascii() or _latin(text) else self.wide).findall(text)
 
 
 class LowerWordSplitter:
-    """NFC, lower case, white space dropped. Words don't cross white space, so units are split on their own."""
+    """NFC, lower case, white space dropped, then split as the word pattern does."""
 
-    atomic = False
-    wide = WidePattern(r"'s|'t|'re|'ve|'m|'ll|'d|%L+|%N|[^\s%L%N]+")
+    wide = WidePattern(WORD_PATTERN)
     narrow = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
-    def _lowered(self, text: str) -> str:
-        if not text.isascii() and not _latin(text):
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            if not text.isprintable():  # letters unknown to Python are among the unprintable ones
-                text = text.translate(newer_capitals())
-        return text.lower()
-
-    def units(self, text: str) -> list[str]:
-        text = self._lowered(text)
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split alone
-            return self.unit_words(text)
-        return text.split()
-
-    def unit_words(self, unit: str) -> list[str]:
-        return (self.narrow if unit.isascii() or _latin(unit) else self.wide).findall(unit)
+    def words(self, text: str) -> list[str]:
+        if text.isascii() or _latin(text):
+            text = text.lower()
+            return (self.narrow if text.isascii() or _latin(text) else self.wide).findall(text)
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        if _newer_capital().search(text):
+            text = text.translate(newer_capitals())
+        text = text.lower()
+        return (self.narrow if _latin(text) else self.wide).findall(text)
 
 
 class _Known(dict):
@@ -245,44 +245,33 @@ class _Known(dict):
 
 
 class Encoder:
-    """Encodes texts to ids as little-endian bytes; remembers words and units between batches."""
+    """Encodes texts to ids as little-endian bytes; remembers words between batches, about most_bytes of them."""
+
+    ENTRY_BYTES = 200  # of a word, its ids and their places in the table, besides what they hold
 
-    def __init__(self, merger: Merger, splitter, ids_of_words, most: int):
-        self.splitter, self.ids_of_words, self.most = splitter, ids_of_words, most
+    def __init__(self, merger: Merger, splitter, ids_of_words, most_bytes: int):
+        self.splitter, self.ids_of_words, self.most_bytes = splitter, ids_of_words, most_bytes
         self.special = list(merger.special)
         self.fixed = {t: np.array([i], "<u4").tobytes() for t, i in merger.special.items()}
-        self.units, self.ids = _Known(), {}
-
-    def _learn(self) -> None:
-        """Ids of the new units."""
-        new = list(self.units.new)
-        if len(self.units) + len(new) > self.most:
-            self.units.clear()
-        if self.splitter.atomic:
-            self.units.update(zip(new, self.ids_of_words([u.encode() for u in new]), strict=True))
-        else:
-            split = [self.splitter.unit_words(u) for u in new]
-            words = list({w for s in split for w in s} - self.ids.keys())
-            if len(self.ids) + len(words) > self.most:
-                self.ids.clear()
-                words = list({w for s in split for w in s})
-            self.ids.update(zip(words, self.ids_of_words([w.encode() for w in words]), strict=True))
-            ids = self.ids
-            self.units.update((u, ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s])) for u, s in zip(new, split, strict=True))
-        self.units.new.clear()
+        self.known, self.held = _Known(), 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.held > self.most_bytes:
+            self.known, self.held = _Known(), 0
         plans = []
         for t in texts:
-            parts = [(p, None) if p in self.fixed else (None, self.splitter.units(p)) for p in split_special(t, self.special)]
-            plans.append([(p, u, list(map(self.units.__getitem__, u)) if u else u) for p, u in parts])
-        if self.units.new:
-            if len(self.units) + len(self.units.new) > self.most:  # the memory starts anew, with all of this batch's units
-                self.units.new.update(*(u for plan in plans for _, u, _ in plan if u))
-            self._learn()
-        get, out = self.units.__getitem__, []
+            parts = [(p, None) if p in self.fixed else (None, self.splitter.words(p)) for p in split_special(t, self.special)]
+            plans.append([(p, w, list(map(self.known.__getitem__, w)) if w else w) for p, w in parts])
+        if self.known.new:
+            new = list(self.known.new)
+            raw = [w.encode() for w in new]
+            ids = self.ids_of_words(raw)
+            self.known.update(zip(new, ids, strict=True))
+            self.held += sum(map(len, raw)) + sum(map(len, ids)) + self.ENTRY_BYTES * len(new)
+            self.known.new.clear()
+        get, out = self.known.__getitem__, []
         for plan in plans:
-            out.append(b"".join([self.fixed[p] if u is None else b"".join(map(get, u) if None in got else got) for p, u, got in plan]))
+            out.append(b"".join([self.fixed[p] if w is None else b"".join(map(get, w) if None in got else got) for p, w, got in plan]))
         return out
 
 

@@ -5,7 +5,9 @@ a minimal acyclic automaton whose transitions carry additive outputs; the output
 sum to its row in a table of ids. The automaton is one flat file that each worker maps into memory.
 Words outside it are merged exactly (helixframe.llm.bpe), so results never depend on its contents.
 
-Null texts count as empty: no ids, and an empty decoded text. Extra columns are ignored.
+Null texts count as empty: no ids, and an empty decoded text. Repeated rows are encoded alike; equally
+frequent words are all in the lexicon or all out of it. Texts are read whole, whatever their length;
+an empty table gives an empty lexicon and an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from helixframe.llm.common import keep, table, text_chunks
 
 #: Words in the lexicon: bounds the driver's share and the broadcast (about 40 bytes a word).
 LEXICON_WORDS = 32_768
-#: Words kept by one worker between batches.
-CACHE_WORDS = 250_000
+#: Of words and their ids that one worker remembers, about, and different words it counts at a time.
+CACHE_BYTES, COUNT_WORDS = 40 << 20, 200_000
 
 
 def compile_transducer(entries: dict[bytes, bytes]) -> bytes:
@@ -136,7 +138,7 @@ class Codec:
     def __init__(self, path: str, block: bytes | None):
         self.merger = Merger(path)
         self.lexicon = Transducer(block) if block else None
-        self.encoder = Encoder(self.merger, ByteLevelSplitter(), self._ids, CACHE_WORDS)
+        self.encoder = Encoder(self.merger, ByteLevelSplitter(), self._ids, CACHE_BYTES)
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         """From the lexicon, and by merging where it lacks a word."""
@@ -160,8 +162,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for _, texts in text_chunks(batch, text):
                 for t in texts:
-                    c.update(splitter.units(t))
-                if len(c) > CACHE_WORDS:
+                    c.update(splitter.words(t))
+                if len(c) > COUNT_WORDS:
                     yield rows(c)
                     c.clear()
         yield rows(c)

@@ -6,7 +6,8 @@ greedily with the largest pieces that still fit; then its smallest piece is repl
 unpacked pieces that fill the widened gap best, if they fill it better.
 
 Null and empty texts hold the end id alone. Rows that share a key are packed as separate documents
-(their pieces repeat). Extra columns are ignored.
+(their pieces repeat). Pieces of one length are interchangeable; they go by key and piece. Texts are
+read whole, whatever their length; an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from helixframe.llm.common import keep, table, text_chunks
 CAPACITY, END_ID = 4096, 1
 #: Pieces in a shard, about: more waste less at shard ends, fewer bound a task's memory and time.
 SHARD_PIECES = 20_000
-CACHE_WORDS = 400_000
+#: Of words and their ids that one worker remembers, about.
+CACHE_BYTES = 40 << 20
 
 
 class Tokens:
@@ -36,7 +38,7 @@ class Tokens:
 
     def __init__(self, path: str):
         merger = Merger(path)
-        self.encoder = Encoder(merger, LowerWordSplitter(), merger.merge, CACHE_WORDS)
+        self.encoder = Encoder(merger, LowerWordSplitter(), merger.merge, CACHE_BYTES)
 
     def encode(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
         end = np.array([end_id], "<u4").tobytes()
