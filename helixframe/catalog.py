@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, reports, samples, variants
-from helixframe.plans.views import view, with_views
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None, *names: str):
-    """Registers a function of (v, ...): v(name) is a derived table; names are those that sql needs."""
-
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: view(spark, sf_dir, name))
-        if sql:
-            ORACLES[f.__name__] = with_views(sql.strip(), *names) if names else sql
-        return f
-
-    return add
-
-
-def r6(c: str):
-    return F.round(F.col(c), 6).alias(c)
-
+from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, reports, samples, summaries, variants
+from helixframe.registry import ORACLES, QUERIES, query, r6
 
 # ------------------------------------------------------------ association tables
 
@@ -52,7 +30,7 @@ def linear_assoc_p(v):
 
 @query()
 def logistic_assoc(v):
-    return assoc.logistic_assoc(v("calls"), v("pheno").withColumn("y", (F.col("y") > 500000).cast("int")))
+    return assoc.logistic_assoc(v("calls"), v("pheno").withColumn("y", (F.col("y") > 500000).cast("int")), ["pop"])
 
 
 @query(f"SELECT id, chrom, pos, row_id, p FROM (SELECT *, row_number() OVER (ORDER BY p, row_id) AS k FROM sumstats WHERE {VALID}) z WHERE k <= 10", "sumstats")
@@ -60,12 +38,16 @@ def top_hits(v):
     return assoc.top_hits(v("sumstats")).select("id", "chrom", "pos", "row_id", "p")
 
 
-def _metrics_sql() -> str:
-    parts = {
+AUTOSOMAL, ON_X = "coalesce(try_cast(chrom AS INTEGER) BETWEEN 1 AND 22, false)", "chrom IN ('X', 'XY', 'PAR1', 'PAR2')"
+
+
+def _metrics_sql(table: str = "sumstats") -> str:
+    counts = {
         "total_variants": "true", "valid_p": VALID, "genome_wide": f"{VALID} AND p <= 5e-8", "suggestive": f"{VALID} AND p <= 1e-5",
-        "autosomal_rows": "chrom <> 'X'", "x_rows": "chrom = 'X'", "autosomal_valid_p": f"chrom <> 'X' AND {VALID}", "x_valid_p": f"chrom = 'X' AND {VALID}",
+        "autosomal_rows": AUTOSOMAL, "x_rows": ON_X, "autosomal_valid_p": f"{AUTOSOMAL} AND {VALID}", "x_valid_p": f"{ON_X} AND {VALID}",
     }
-    return " UNION ALL ".join(f"SELECT '{n}' AS metric, count(*) FILTER (WHERE {c}) AS value FROM sumstats" for n, c in parts.items())
+    values = {n: f"count(*) FILTER (WHERE {c})" for n, c in counts.items()} | {"min_p": f"min(p) FILTER (WHERE {VALID})", "x_samples_min": f"min(n) FILTER (WHERE {ON_X} AND n > 0)", "x_samples_max": f"max(n) FILTER (WHERE {ON_X} AND n > 0)"}
+    return " UNION ALL ".join(f"SELECT '{n}' AS metric, CAST({e} AS DOUBLE) AS value FROM {table}" for n, e in values.items())
 
 
 @query(_metrics_sql(), "sumstats")
@@ -105,11 +87,14 @@ def qq_thinned(v):
     return assoc.thin_qq(assoc.qq_points(v("sumstats")), 2, 1).select("id", "p", F.col("rank").cast("long").alias("rank"))
 
 
-@query("""WITH c AS (SELECT CAST(CASE WHEN chrom = 'X' THEN '23' ELSE chrom END AS INTEGER) AS chrom_key, max(pos) AS max_pos FROM sumstats GROUP BY 1),
+@query("""WITH l AS (SELECT chrom AS label, max(pos) AS m FROM sumstats GROUP BY 1),
+k AS (SELECT label, m, CASE label WHEN 'X' THEN 23 WHEN 'Y' THEN 24 WHEN 'XY' THEN 25 WHEN 'MT' THEN 26 ELSE try_cast(label AS INTEGER) END AS known FROM l),
+n AS (SELECT coalesce(known, 1000 + row_number() OVER (PARTITION BY known IS NULL ORDER BY label)) AS chrom_key, m FROM k),
+c AS (SELECT CAST(chrom_key AS BIGINT) AS chrom_key, max(m) AS max_pos FROM n GROUP BY 1),
 g AS (SELECT *, greatest(1000000.0, 0.005 * (SELECT max(max_pos) FROM c)) AS gap FROM c)
 SELECT chrom_key, max_pos, round(CAST(gap AS DOUBLE), 3) AS gap, round(CAST(coalesce(sum(max_pos + gap) OVER (ORDER BY chrom_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE), 3) AS axis_offset FROM g""", "sumstats")
 def manhattan_layout(v):
-    return assoc.manhattan_layout(v("sumstats")).select("chrom_key", "max_pos", F.round("gap", 3).alias("gap"), F.round("offset", 3).alias("axis_offset"))
+    return assoc.manhattan_layout(v("sumstats")).select(F.col("chrom_key").cast("long").alias("chrom_key"), "max_pos", F.round("gap", 3).alias("gap"), F.round("offset", 3).alias("axis_offset"))
 
 
 @query()
@@ -130,10 +115,16 @@ def mac_qq(v):
     return assoc.stratified_qq(v("sumstats").withColumn("mac_bin", assoc.mac_bin(F.col("mac")))).select("id", "mac_bin", F.col("rank").cast("long").alias("rank"), "m")
 
 
-@query("""SELECT 'acctbal' AS trait, 'ALL' AS ancestry, 'GRCh38' AS build, chrom, pos, id, CASE WHEN p > 0 THEN p END AS p, round(CASE WHEN mac > 0 THEN ln(mac) END, 6) AS beta FROM sumstats WHERE mac <> 7""", "sumstats")
+@query("""SELECT 'acctbal' AS trait, 'ALL' AS ancestry, 'GRCh38' AS build, CASE WHEN chrom IN ('XY', 'PAR1') THEN 'X' ELSE chrom END AS chrom, pos, id, 'A' AS ref, 'G' AS alt, 'G' AS effect_allele, round(CAST(mac AS DOUBLE) / 100, 6) AS a1_freq,
+CAST(mac AS DOUBLE) AS mac, CASE WHEN mac % 5 <> 0 THEN CAST(0.75 AS DOUBLE) END AS info, 'ADD' AS test, n, round(CASE WHEN mac > 0 THEN ln(mac) END, 6) AS beta, CAST(0.125 AS DOUBLE) AS se, CAST(mac AS DOUBLE) AS odds_ratio, p FROM sumstats WHERE mac <> 7""", "sumstats")
 def sumstats_normalize(v):
-    raw = v("sumstats").select(F.col("chrom").alias("#CHROM"), F.col("pos").cast("string").alias("POS"), F.col("id").alias("ID"), F.when(F.col("mac") == 7, "DOMDEV").otherwise("ADD").alias("TEST"), F.col("mac").cast("string").alias("OR"), F.col("p").cast("string").alias("P"))
-    return assoc.normalize_sumstats(raw, "acctbal", "ALL", "GRCh38").select("trait", "ancestry", "build", "chrom", "pos", "id", "p", r6("beta"))
+    text = lambda c: F.col(c).cast("string")
+    raw = v("sumstats").select(
+        F.col("chrom").alias("#CHROM"), text("pos").alias("POS"), F.col("id").alias("ID"), F.lit("A").alias("REF"), F.lit("G").alias("ALT"), F.lit("G").alias("A1"), (F.col("mac") / 100).cast("string").alias("A1_FREQ"), text("mac").alias("MAC"),
+        F.when(F.col("mac") % 5 != 0, "0.75").otherwise("NA").alias("MACH_R2"), F.when(F.col("mac") == 7, "DOMDEV").otherwise("ADD").alias("TEST"), F.coalesce(text("n"), F.lit(".")).alias("OBS_CT"), text("mac").alias("OR"),
+        F.lit("1.25e-1").alias("LOG(OR)_SE"), text("p").alias("P"),
+    )
+    return assoc.normalize_sumstats(raw, "acctbal", "ALL", "GRCh38").withColumns({"beta": F.round("beta", 6), "a1_freq": F.round("a1_freq", 6)})
 
 
 # ------------------------------------------------------------ genotypes
@@ -254,12 +245,12 @@ def supervised_q(v):
 
 @query()
 def pca_fit(v):
-    return pooled.fit_pca(v("calls"), 4).scores.select("sid", "pc", F.round("score", 5).alias("score"))
+    return pooled.fit_pca(v("calls")).scores.select("sid", "pc", F.round("score", 5).alias("score"))
 
 
 @query()
 def stratum_pca(v):
-    return pooled.stratum_pca(v("calls"), v("pheno").select("sid", F.col("pop").alias("stratum")), [0, 1], 2).select("stratum", "sid", "pc", F.round("score", 5).alias("score"))
+    return pooled.stratum_pca(v("calls"), v("pheno").select("sid", F.col("pop").alias("stratum"))).select("stratum", "sid", "pc", F.round("score", 5).alias("score"))
 
 
 @query("""WITH w AS (SELECT sid, y, CAST(pop AS DOUBLE) AS x FROM pheno WHERE y IS NOT NULL AND pop IS NOT NULL),
@@ -290,11 +281,11 @@ def _alleles(v):
 
 @query("""WITH bed AS (SELECT chrom, min(pos) - 500 AS start, min(pos) + 1700 AS "end" FROM variants GROUP BY chrom, pos // 40000),
 i AS (SELECT vid, chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = v.chrom AND v.pos - 1 >= b.start AND v.pos - 1 < b."end")),
-k AS (SELECT vid, count(g) AS n, count(*) AS m, coalesce(sum(g), 0) AS a FROM calls WHERE sid % 3 <> 0 GROUP BY vid)
-SELECT vid, concat(chrom, ':', pos, ':A:G') AS id, CAST(least(a, 2 * n - a) AS BIGINT) AS mac FROM i JOIN k USING (vid) WHERE least(a, 2 * n - a) >= 1 AND CAST(m - n AS DOUBLE) / m <= 0.05""", "calls", "variants")
+k AS (SELECT vid, count(g) AS n, count(*) AS m, coalesce(sum(g), 0) AS a FROM calls WHERE sid IN (SELECT sid FROM pheno WHERE y IS NOT NULL) GROUP BY vid)
+SELECT vid, concat(chrom, ':', pos, ':A:G') AS id, CAST(least(a, 2 * n - a) AS BIGINT) AS mac FROM i JOIN k USING (vid) WHERE least(a, 2 * n - a) >= 1 AND CAST(m - n AS DOUBLE) / m <= 0.05""", "calls", "variants", "pheno")
 def rare_target(v):
     bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
-    keep = v("calls").filter("sid % 3 <> 0").select("sid").distinct()
+    keep = v("pheno").filter("y is not null").select("sid")
     return pooled.rare_target(v("calls"), _alleles(v), keep, bed, variants.BROADCAST_INTERVALS + 1).select("vid", "id", F.col("mac").cast("long").alias("mac"))
 
 
@@ -329,9 +320,10 @@ def lambda_comparison(v):
     return reports.lambda_comparison({"x": v("sumstats").filter("chrom = 'X'"), "autosomal": v("sumstats").filter("chrom <> 'X'")}).select("label", r6("lambda"))
 
 
-@query(f'SELECT \'mac_bins\' AS "check", count(*) AS "left", count(*) AS "right", true AS ok FROM sumstats WHERE {VALID}', "sumstats")
+@query(f"""WITH c AS (SELECT count(*) FILTER (WHERE {VALID}) AS valid, count(*) FILTER (WHERE {VALID} AND mac > 0) AS with_mac, count(DISTINCT id) AS ids, count(*) AS n_rows FROM sumstats)
+SELECT 'mac_bins' AS "check", valid AS "left", valid AS "right", true AS ok FROM c UNION ALL SELECT 'unique_ids', ids, n_rows, ids = n_rows FROM c UNION ALL SELECT 'minor_alleles', with_mac, valid, with_mac = valid FROM c""", "sumstats")
 def rare_checks(v):
-    return reports.rare_checks(v("sumstats"))
+    return summaries.rare_checks(v("sumstats"))
 
 
 @query("""SELECT sid, 'reference' AS sample_set, 'reference' AS status, CAST(super_population AS VARCHAR) AS label FROM pcs WHERE sid % 4 <> 0
@@ -401,12 +393,13 @@ def target_restriction(v):
 @query("""WITH markers AS (SELECT id AS variant_id, chrom, 'GRCh37' AS build, pos FROM variants_ref WHERE id LIKE 'rs%' UNION ALL SELECT id, chrom, 'GRCh38', pos + 7 FROM variants_ref WHERE id LIKE 'rs%'),
 st AS (SELECT row_number() OVER () AS k, regexp_replace(chrom, '^chr', '') AS chrom, pos, id FROM variants_study),
 hit AS (SELECT k, build, st.chrom = m.chrom AND st.pos = m.pos AS ok FROM st JOIN markers m ON id = variant_id UNION ALL SELECT k, build, true FROM st JOIN (SELECT DISTINCT chrom, pos, build FROM markers) m USING (chrom, pos) WHERE id NOT IN (SELECT variant_id FROM markers)),
-g AS (SELECT build, count(*) FILTER (WHERE ok) AS matched FROM hit GROUP BY build), c AS (SELECT count(DISTINCT k) AS checked FROM hit)
-SELECT build, matched, checked, round(CAST(matched AS DOUBLE) / checked, 6) AS fraction, CAST(row_number() OVER (ORDER BY matched DESC, build) AS INTEGER) AS rank FROM g, c""", "variants_ref", "variants_study")
+g AS (SELECT build, count(*) FILTER (WHERE ok) AS matched FROM hit GROUP BY build), c AS (SELECT count(DISTINCT k) AS checked FROM hit),
+o AS (SELECT build, matched, checked, CAST(row_number() OVER (ORDER BY matched DESC, build) AS INTEGER) AS rank, lead(matched) OVER (ORDER BY matched DESC, build) AS second FROM g, c)
+SELECT build, matched, checked, round(CAST(matched AS DOUBLE) / checked, 6) AS fraction, rank, CASE WHEN rank = 1 THEN matched - coalesce(second, 0) END AS margin, round(CASE WHEN rank = 1 THEN CAST(matched - coalesce(second, 0) AS DOUBLE) / checked END, 6) AS fraction_margin FROM o""", "variants_ref", "variants_study")
 def build_scores(v):
     rs = v("variants_ref").filter("id like 'rs%'")
     markers = rs.select(F.col("id").alias("variant_id"), "chrom", F.lit("GRCh37").alias("build"), "pos").unionByName(rs.select(F.col("id").alias("variant_id"), "chrom", F.lit("GRCh38").alias("build"), (F.col("pos") + 7).alias("pos")))
-    return variants.score_builds(variants.match_build_markers(v("variants_study"), markers)).select("build", "matched", "checked", r6("fraction"), "rank")
+    return variants.score_builds(variants.match_build_markers(v("variants_study"), markers)).select("build", "matched", "checked", r6("fraction"), "rank", "margin", r6("fraction_margin"))
 
 
 @query("""SELECT 'list1' AS list, count(DISTINCT id) AS n FROM variants_ref UNION ALL SELECT 'list2', count(DISTINCT id) FROM variants_study UNION ALL SELECT 'UNION', count(DISTINCT id) FROM (SELECT id FROM variants_ref UNION SELECT id FROM variants_study) u""", "variants_ref", "variants_study")
@@ -427,7 +420,9 @@ def set_identity(v):
 # ------------------------------------------------------------ samples and ancestry
 
 
-@query("""SELECT s.fid, s.iid, a.fid AS target_fid, a.iid AS target_iid FROM samples s LEFT JOIN aliases a ON a.iid = s.iid AND (a.fid IN (s.fid, s.iid, '0') OR '0' IN (s.fid, s.iid, '0'))""", "samples", "aliases")
+@query("""WITH q AS (SELECT fid, iid, unnest([fid, iid, '0']) AS alias, unnest([0, 1, 2]) AS priority FROM samples), t AS (SELECT DISTINCT fid, iid, unnest([fid, iid, '0']) AS alias FROM aliases),
+h AS (SELECT q.fid, q.iid, t.fid AS target_fid, t.iid AS target_iid, row_number() OVER (PARTITION BY q.fid, q.iid ORDER BY priority) AS k FROM q JOIN t ON t.alias = q.alias AND t.iid = q.iid)
+SELECT s.fid, s.iid, target_fid, target_iid FROM samples s LEFT JOIN h ON h.fid = s.fid AND h.iid = s.iid AND k = 1""", "samples", "aliases")
 def alias_match(v):
     return samples.match_samples(v("samples").select("fid", "iid"), v("aliases"))
 
@@ -458,14 +453,15 @@ def model_gate(v):
 
 
 MODELS = """ref AS (SELECT * FROM pcs WHERE sid % 4 <> 0), study AS (SELECT * FROM pcs WHERE sid % 4 = 0),
-m AS (SELECT population, super_population, count(*) AS n, avg(pc1) AS ma, avg(pc2) AS mb, covar_samp(pc1, pc1) + 1e-4 AS vaa, covar_samp(pc1, pc2) AS vab, covar_samp(pc2, pc2) + 1e-4 AS vbb FROM ref GROUP BY 1, 2),
-d AS (SELECT sid, population, super_population, sqrt(greatest(((pc1 - ma) * (pc1 - ma) * vbb - 2 * (pc1 - ma) * (pc2 - mb) * vab + (pc2 - mb) * (pc2 - mb) * vaa) / (vaa * vbb - vab * vab), 0)) AS distance
-  FROM (SELECT sid, pc1, pc2 FROM study) s CROSS JOIN m)"""
+m AS (SELECT population, super_population, count(*) AS n, avg(pc1) AS m1, avg(pc2) AS m2, avg(pc3) AS m3, covar_samp(pc1, pc1) + 1e-4 AS a, covar_samp(pc1, pc2) AS b, covar_samp(pc1, pc3) AS c, covar_samp(pc2, pc2) + 1e-4 AS d, covar_samp(pc2, pc3) AS e, covar_samp(pc3, pc3) + 1e-4 AS f FROM ref GROUP BY 1, 2),
+x AS (SELECT sid, population, super_population, pc1 - m1 AS x, pc2 - m2 AS y, pc3 - m3 AS z, a, b, c, d, e, f, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM (SELECT sid, pc1, pc2, pc3 FROM study) s CROSS JOIN m),
+d AS (SELECT sid, population, super_population, sqrt(greatest((x * x * (d * f - e * e) + y * y * (a * f - c * c) + z * z * (a * d - b * b) + 2 * x * y * (c * e - b * f) + 2 * x * z * (b * e - c * d) + 2 * y * z * (b * c - a * e)) / det, 0)) AS distance FROM x)"""
+PCS = ["pc1", "pc2", "pc3"]
 
 
 def _study(v):
     pcs = v("pcs")
-    return ancestry.population_distances(pcs.filter("sid % 4 = 0"), ancestry.population_models(pcs.filter("sid % 4 <> 0"), ["pc1", "pc2"]), ["pc1", "pc2"])
+    return ancestry.population_distances(pcs.filter("sid % 4 = 0"), ancestry.population_models(pcs.filter("sid % 4 <> 0"), PCS), PCS)
 
 
 @query(f"WITH {MODELS} SELECT sid, population, super_population, round(distance, 6) AS distance FROM d", "pcs")
@@ -488,19 +484,22 @@ def ancestry_confidence(v):
 @query()
 def ancestry_assignment(v):
     pcs = v("pcs")
-    found = ancestry.assign_ancestry(pcs.filter("sid % 4 = 0"), pcs.filter("sid % 4 <> 0"), ["pc1", "pc2"], [0, 1, 2, 3])
+    found = ancestry.assign_ancestry(pcs.filter("sid % 4 = 0"), pcs.filter("sid % 4 <> 0"), PCS, [0, 1, 2, 3])
     return found.select("sid", "population", "super_population", r6("distance"), r6("confidence"), "ancestry", "reason")
 
 
-@query("SELECT population, super_population, count(*) AS n, count(*) >= 20 AS retained FROM pcs GROUP BY 1, 2", "pcs")
+@query("""WITH p AS (SELECT population, super_population, count(*) AS n FROM pcs GROUP BY 1, 2)
+SELECT population, super_population, n, n >= 20 AS retained, max(n) OVER (PARTITION BY super_population) < 20 AS orphaned FROM p""", "pcs")
 def reference_coverage(v):
     return ancestry.reference_coverage(v("pcs"), 20)
 
 
-@query("""SELECT CAST(super_population AS VARCHAR) AS ancestry, CAST(population AS VARCHAR) AS population, count(*) AS n FROM pcs GROUP BY 1, 2
-UNION ALL SELECT CAST(super_population AS VARCHAR), 'ALL', count(*) FROM pcs GROUP BY 1 UNION ALL SELECT 'ALL', 'ALL', count(*) FROM pcs""", "pcs")
+@query("""WITH a AS (SELECT CAST(super_population AS VARCHAR) AS ancestry, CAST(population AS VARCHAR) AS population FROM pcs WHERE sid % 9 <> 0), x AS (SELECT CASE WHEN sid % 2 = 0 THEN 'far' ELSE 'near' END AS reason FROM pcs WHERE sid % 9 = 0)
+SELECT 'assigned' AS kind, ancestry, population, count(*) AS n FROM a GROUP BY 2, 3 UNION ALL SELECT 'assigned', ancestry, 'ALL', count(*) FROM a GROUP BY 2 UNION ALL SELECT 'assigned', 'ALL', 'ALL', count(*) FROM a
+UNION ALL SELECT 'excluded', reason, 'ALL', count(*) FROM x GROUP BY 2 UNION ALL SELECT 'excluded', 'ALL', 'ALL', count(*) FROM x""", "pcs")
 def assignment_rollup(v):
-    return ancestry.assignment_rollup(v("pcs").select(F.col("super_population").alias("ancestry"), "population"))
+    excluded = v("pcs").filter("sid % 9 = 0").select(F.when(F.col("sid") % 2 == 0, "far").otherwise("near").alias("reason"))
+    return ancestry.assignment_rollup(v("pcs").filter("sid % 9 <> 0").select(F.col("super_population").alias("ancestry"), "population"), excluded)
 
 
 @query("""WITH m AS (SELECT population, median(pc1) AS mid FROM pcs GROUP BY population)
@@ -509,23 +508,22 @@ def robust_cutoff(v):
     return ancestry.robust_cutoff(v("pcs"), "pc1", "population").select("population", r6("cutoff"))
 
 
-@query("""SELECT sha256(string_agg(line || chr(10), '' ORDER BY path)) AS fingerprint FROM (SELECT concat('p/', p_partkey) AS path, concat('p/', p_partkey, chr(9), sha256(p_name), chr(9), p_size) AS line FROM part) t""")
-def content_fingerprint(v):
-    raise NotImplementedError
+def _inventory(v) -> DataFrame:
+    return v("part").select(F.concat(F.lit("p/"), F.col("p_partkey").cast("string")).alias("path"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha256"), F.col("p_size").alias("size_bytes"))
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
-    return manifest.content_fingerprint(part.select(F.concat(F.lit("p/"), F.col("p_partkey").cast("string")).alias("path"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha256"), F.col("p_size").alias("size_bytes")))
-
-
-QUERIES["content_fingerprint"] = _fingerprint
+@query("""WITH d AS (SELECT sha256(concat('p/', p_partkey, chr(9), sha256(p_name), chr(9), p_size)) AS d FROM part),
+w AS (SELECT CAST('0x' || d[1:3] AS INTEGER) AS shelf, CAST('0x' || d[1:16] AS UBIGINT) AS a, CAST('0x' || d[17:32] AS UBIGINT) AS b, CAST('0x' || d[33:48] AS UBIGINT) AS c, CAST('0x' || d[49:64] AS UBIGINT) AS e FROM d),
+s AS (SELECT shelf, sha256(concat_ws(':', shelf, count(*), sum(CAST(a AS HUGEINT)), sum(CAST(b AS HUGEINT)), sum(CAST(c AS HUGEINT)), sum(CAST(e AS HUGEINT)))) AS t FROM w GROUP BY shelf),
+k AS (SELECT shelf // 64 AS place, sha256(string_agg(t, chr(10) ORDER BY shelf)) AS t FROM s GROUP BY 1)
+SELECT sha256(string_agg(t, chr(10) ORDER BY place)) AS fingerprint FROM k""")
+def content_fingerprint(v):
+    return manifest.wide_fingerprint(_inventory(v))
 
 
-def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
-    return reports.manifest_rows(part.select(F.col("p_partkey").cast("string").alias("path"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha256"), F.col("p_size").alias("size_bytes")), "run")
+@query("SELECT concat('run:p/', p_partkey, ':bytes') AS key, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT concat('run:p/', p_partkey, ':sha256'), sha256(p_name) FROM part")
+def manifest_rows(v):
+    return reports.manifest_rows(_inventory(v), "run")
 
 
-QUERIES["manifest_rows"] = _manifest
-ORACLES["manifest_rows"] = "SELECT concat('run:', p_partkey, ':bytes') AS key, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT concat('run:', p_partkey, ':sha256'), sha256(p_name) FROM part"
+from helixframe import catalog_checks, catalog_tables  # noqa: E402,F401  (they register their queries)

@@ -22,23 +22,32 @@ def strip_chr(c: Column | str) -> Column:
     return F.regexp_replace(col(c), "(?i)^chr", "")
 
 
-def normalize_chrom(c: Column | str) -> Column:
-    """Upper-cased label without chr; 23, 24 and 25 become X, Y and XY; blank, NA, '.' and 0 become NULL."""
-    label = F.upper(strip_chr(F.trim(col(c))))
-    named = F.when(label == "23", "X").when(label == "24", "Y").when(label == "25", "XY").otherwise(label)
-    return F.when(~label.isin("", "NA", ".", "0"), named)
+#: Labels that are normal already; most rows have one, so they skip the costlier expressions.
+PLAIN = [*map(str, range(1, 23)), "X", "Y", "MT"]
+
+
+def _renamed(label: Column, names: dict[str, str | None]) -> Column:
+    """label, or what names says of it; every row evaluates label once."""
+    pairs = F.create_map(*[F.lit(x).cast("string") for pair in names.items() for x in pair])
+    return F.get(F.transform(F.array(label), lambda x: F.when(F.map_contains_key(pairs, x), F.element_at(pairs, x)).otherwise(x)), F.lit(0))
+
+
+def normalize_chrom(c: Column | str, names: dict[str, str | None] | None = None) -> Column:
+    """Upper-cased label without chr; 23, 24 and 25 become X, Y and XY; blank, NA, '.' and 0 become NULL; names has further changes."""
+    every = {"23": "X", "24": "Y", "25": "XY", "": None, "NA": None, ".": None, "0": None} | (names or {})
+    return F.when(col(c).isin(PLAIN), col(c)).otherwise(_renamed(F.upper(strip_chr(F.trim(col(c)))), every))
 
 
 def chrom_key(c: Column | str) -> Column:
-    """Plot order: 1-22, X 23, Y 24, XY and PAR 25, mitochondrial 26; NULL for other labels."""
+    """Plot order: numbers as they are, X 23, Y 24, XY and PAR 25, mitochondrial 26; NULL for other labels (chrom_order places them)."""
+    keys = {"X": 23, "Y": 24, "XY": 25, "PAR": 25, "M": 26, "MT": 26, "MITO": 26}
     label = normalize_chrom(c)
-    named = F.when(label == "X", 23).when(label == "Y", 24).when(label.isin("XY", "PAR", "PAR1", "PAR2"), 25).when(label.isin("M", "MT", "MITO"), 26)
-    return F.coalesce(named, label.try_cast("int")).cast("int")
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in keys.items() for x in pair]), label), label.try_cast("int"))
 
 
 def collapse_par(c: Column | str) -> Column:
-    label = normalize_chrom(c)
-    return F.when(label.isin("PAR1", "PAR2", "XY"), "X").otherwise(label)
+    """Normal labels, with the pseudo-autosomal ones as X."""
+    return normalize_chrom(c, {"25": "X", "PAR1": "X", "PAR2": "X", "XY": "X"})
 
 
 def first_value(*cols: Column | str) -> Column:
@@ -49,11 +58,11 @@ def finite(c: Column | str) -> Column:
     """A double if the text is a finite decimal number, else NULL."""
     x = col(c).cast("string")
     number = F.when(x.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), x.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def log_odds(beta: Column | str, odds: Column | str) -> Column:
-    return F.coalesce(finite(beta), F.when(finite(odds) > 0, F.log(finite(odds))))
+    return F.coalesce(finite(beta), F.ln(finite(odds)))  # NULL for odds that aren't positive
 
 
 def p_from_log10(c: Column | str) -> Column:
@@ -80,7 +89,7 @@ def info_value(info: Column | str, key: str) -> Column:
     """The value of the first KEY=value item, keys compared in upper case."""
     hit = F.filter(F.split(col(info), ";"), lambda x: F.upper(F.substring_index(x, "=", 1)) == key.upper())
     item = F.get(F.filter(hit, lambda x: F.contains(x, F.lit("="))), F.lit(0))
-    return F.substring(item, len(key) + 2, 1 << 20)
+    return F.substr(item, F.lit(len(key) + 2))
 
 
 def split_csv(c: Column | str) -> Column:
@@ -126,3 +135,36 @@ def chi2_quantile(p: Column | str) -> Column:
 
 def minus_log10(p: Column | str) -> Column:
     return -F.log10(col(p))
+
+
+def covariate_list(*lists: list[str]) -> list[str]:
+    """The names of all lists, each once, in order of their first mention."""
+    return list(dict.fromkeys(n.strip() for names in lists for n in names if n.strip()))
+
+
+def fmt_decimal(c: Column | str, digits: int = 6) -> Column:
+    """Fixed decimals, NA where there is no finite number."""
+    x = col(c).cast("double")
+    return F.coalesce(F.when((F.abs(x) < float("inf")) & ~F.isnan(x), F.format_string(f"%.{digits}f", x)), F.lit("NA"))
+
+
+def fmt_percent(part: Column | str, whole: Column | str, digits: int = 6) -> Column:
+    """100 x part / whole with fixed decimals, NA of nothing."""
+    return F.coalesce(F.when(col(whole) != 0, F.format_string(f"%.{digits}f", 100.0 * col(part) / col(whole))), F.lit("NA"))
+
+
+def fmt_thousands(c: Column | str) -> Column:
+    return F.format_number(col(c), 0)
+
+
+def collapse(values: Column | str, separator: str = ";") -> Column:
+    """The different values of an array as one text."""
+    return F.array_join(F.array_distinct(F.transform(col(values), lambda x: x.cast("string"))), separator)
+
+
+def replacement_id(kind: str, row: Column | str) -> Column:
+    return F.concat(F.lit(f"__invalid_{kind}_row_"), col(row).cast("string"))
+
+
+def group_id(kind: Column | str, trait: Column | str) -> Column:
+    return F.concat_ws("__", col(kind), col(trait))

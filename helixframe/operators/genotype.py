@@ -7,6 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.functions import expr as E
+from helixframe.operators import quality
+from helixframe.plans.stored import written
+
 KING_CUTOFF = 0.0884
 
 
@@ -31,8 +35,17 @@ def mach_r2(counts: DataFrame) -> DataFrame:
     return counts.withColumn("r2", F.when((p > 0) & (p < 1), variance / (2 * p * (1 - p))))
 
 
-def variant_qc(calls: DataFrame, maf: float = 0.01, max_missing: float = 0.05, mac: int = 0) -> DataFrame:
+def variant_qc(calls: DataFrame, maf: float = 0.01, max_missing: float = 0.05, mac: int = 0, v: DataFrame | None = None, snps_only: bool = False, chroms: list[str] | None = None, max_alleles: int | None = None) -> DataFrame:
+    """calls of the variants that pass: by their counts, and with v (vid, chrom, ref, alt) by kind, chromosome and number of alleles."""
     kept = allele_counts(calls).filter((F.col("maf") >= maf) & (F.col("missing") / (F.col("n") + F.col("missing")) <= max_missing) & (F.col("mac") >= mac))
+    if v is not None:
+        if snps_only:
+            v = v.filter(F.col("ref").rlike("^[ACGT]$") & F.col("alt").rlike("^[ACGT](,[ACGT])*$"))
+        if chroms is not None:
+            v = v.filter(E.strip_chr("chrom").isin(*chroms))
+        if max_alleles is not None:
+            v = v.filter(F.size(F.split("alt", ",")) + 1 <= max_alleles)
+        kept = kept.join(v.select("vid"), "vid", "left_semi")
     return calls.join(kept.select("vid"), "vid", "left_semi")
 
 
@@ -45,7 +58,8 @@ def sample_qc(calls: DataFrame, max_missing: float = 0.05) -> DataFrame:
 
 
 def hardcall_qc(ids: DataFrame, counts: DataFrame, mac_min: int = 100) -> DataFrame:
-    """(id, mac, variance, status): pass, or why a variant fails."""
+    """(id, mac, variance, status): pass, or why a variant fails. Negative or absent counts, and ids that repeat, are errors (see bad_counts)."""
+    quality.require(bad_counts(counts), "genotype counts")
     ref, alt, n = 2 * F.col("hom_ref") + F.col("het"), F.col("het") + 2 * F.col("hom_alt"), F.col("hom_ref") + F.col("het") + F.col("hom_alt")
     mean = alt / n
     variance = F.greatest((F.col("het") + 4 * F.col("hom_alt")) / n - mean * mean, F.lit(0.0))
@@ -54,6 +68,18 @@ def hardcall_qc(ids: DataFrame, counts: DataFrame, mac_min: int = 100) -> DataFr
     return judged.select("id", "mac", "variance", status.alias("status"))
 
 
+def bad_counts(counts: DataFrame) -> DataFrame:
+    """(id, problem): rows of genotype counts that are negative, absent or not whole, and ids that repeat."""
+    whole = [F.coalesce((F.col(c) >= 0) & (F.col(c) == F.floor(F.col(c))), F.lit(False)) for c in ("hom_ref", "het", "hom_alt")]
+    odd = counts.filter(~(whole[0] & whole[1] & whole[2])).select("id", F.lit("count").alias("problem"))
+    return odd.unionByName(quality.duplicates(counts, "id").select("id", F.lit("repeated").alias("problem")))
+
+
+def hwe_samples(pheno: DataFrame, keep: DataFrame, binary: bool) -> DataFrame:
+    """(sid): the kept samples on which Hardy-Weinberg proportions are tested: controls (y 0), or all with a quantitative value."""
+    return pheno.filter("y = 0" if binary else "y is not null").join(keep.select("sid"), "sid", "left_semi").select("sid")
+
+
 def hwe_exact(counts: DataFrame) -> DataFrame:
     """counts with p_hwe, the exact Hardy-Weinberg probability (sum over no likelier heterozygote counts)."""
 
@@ -136,8 +162,12 @@ def kinship_pairs(calls: DataFrame) -> DataFrame:
 
 
 def unrelated(calls: DataFrame, cutoff: float = KING_CUTOFF) -> DataFrame:
-    """(sid) after removing the most connected sample of the related pairs again and again (ties: the larger id)."""
-    related = kinship_pairs(calls).filter(F.col("phi") > cutoff).select("a", "b")
+    """(sid) after removing the most connected sample of the related pairs again and again (ties: the larger id).
+
+    Removals in different families don't touch one another, so each connected family is thinned on its own.
+    """
+    related = written(kinship_pairs(calls).filter(F.col("phi") > cutoff).select("a", "b"), "related")
+    family = families(related)
 
     def thin(frame: pd.DataFrame) -> pd.DataFrame:
         links: dict[int, set[int]] = {}
@@ -152,11 +182,25 @@ def unrelated(calls: DataFrame, cutoff: float = KING_CUTOFF) -> DataFrame:
             gone.append(worst)
         return pd.DataFrame({"sid": gone}, dtype="int64")
 
-    # only related pairs (a sparse list) reach the order-bound step
-    gone = related.withColumn("k", F.lit(0)).groupBy("k").applyInPandas(thin, "sid long")
+    gone = related.join(family.select(F.col("sid").alias("a"), "family"), "a").groupBy("family").applyInPandas(thin, "sid long")
     return calls.select("sid").distinct().join(gone, "sid", "left_anti")
 
 
+def families(related: DataFrame) -> DataFrame:
+    """(sid, family): the smallest id that links (a, b) connect a sample with; labels spread until none changes."""
+    both = related.select("a", "b").unionByName(related.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    label = written(both.select(F.col("a").alias("sid")).distinct().withColumn("family", F.col("sid")), "family")
+    while True:
+        heard = both.join(label.withColumnsRenamed({"sid": "b"}), "b").groupBy(F.col("a").alias("sid")).agg(F.min("family").alias("other"))
+        # a label's own label is taken over as well, which halves the way to go
+        jump = label.select(F.col("sid").alias("family"), F.col("family").alias("beyond"))
+        new = label.join(heard, "sid").select("sid", F.least("family", "other").alias("family")).join(jump, "family", "left")
+        new = written(new.select("sid", F.least("family", F.coalesce("beyond", "family")).alias("family")), "family")
+        if new.join(label, ["sid", "family"], "left_anti").isEmpty():
+            return new
+        label = new
+
+
 def project_pcs(calls: DataFrame, weights: DataFrame, freqs: DataFrame) -> DataFrame:
     """(sid, pc, score): standardised genotypes by the weights (vid, pc, w) of a fit with frequencies (vid, p)."""
     p = F.col("p")
@@ -174,9 +218,19 @@ def inbreeding(calls: DataFrame) -> DataFrame:
     return per.withColumn("f", F.when(F.col("expected") > 0, 1 - F.col("observed") / F.col("expected")))
 
 
+#: Genes meet variants through stretches of so many bases.
+GENE_BIN = 1 << 16
+
+
+def in_genes(variants: DataFrame, genes: DataFrame) -> DataFrame:
+    """(gene, vid) of the variants within genes (1-based inclusive), met through bins of positions."""
+    binned = genes.select("gene", F.col("chrom"), "start", "end", F.explode(F.sequence(F.floor(F.col("start") / GENE_BIN), F.floor(F.col("end") / GENE_BIN))).alias("bin")).filter("start <= end")
+    return variants.withColumn("bin", F.floor(F.col("pos") / GENE_BIN)).join(binned, ["chrom", "bin"]).filter(F.col("pos").between(F.col("start"), F.col("end"))).select("gene", "vid")
+
+
 def gene_ld(calls: DataFrame, variants: DataFrame, genes: DataFrame, min_r2: float = 1e-4) -> DataFrame:
     """(gene, a, b, r): correlations within genes (1-based inclusive) of at least min_r2, a <= b, with the diagonal."""
-    inside = variants.join(genes, (variants.chrom == genes.chrom) & variants.pos.between(genes.start, genes.end)).select("gene", "vid")
+    inside = in_genes(variants, genes)
     pairs = inside.withColumnRenamed("vid", "a").join(inside.withColumnRenamed("vid", "b"), "gene").filter("a <= b")
     r = pair_r2(calls, pairs.select("a", "b").distinct()).filter(F.col("r2") >= min_r2)
     return pairs.join(r, ["a", "b"]).select("gene", "a", "b", "r")

@@ -9,13 +9,37 @@ from pyspark.sql import functions as F
 def content_fingerprint(inventory: DataFrame) -> DataFrame:
     """(fingerprint): SHA-256 of the sorted path, hash and size lines, each ended by a newline.
 
-    An inventory holds one line per artifact of a run (hundreds), so one row can hold them all.
+    For the artifacts of a run, whose list is small; wide_fingerprint serves tables of any size.
     """
     line = F.concat_ws("\t", "path", "sha256", F.col("size_bytes").cast("string"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x["line"])
     return inventory.agg(F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")).cast("binary"), 256).alias("fingerprint"))
 
 
+#: Shelves that paths are dealt to by their hash, and shelves to a case: neither grows with the table.
+SHELVES, CASES = 4096, 64
+
+
+def wide_fingerprint(inventory: DataFrame) -> DataFrame:
+    """(fingerprint) of an inventory of any size, whatever its order: SHA-256 over the digests of cases, those over shelves, those over lines.
+
+    The digests of a shelf's lines are added up, as four 64-bit numbers each, so a shelf is no list that grows.
+    """
+    line = F.concat_ws("\t", "path", "sha256", F.col("size_bytes").cast("string"))
+    digest = inventory.select(F.sha2(line.cast("binary"), 256).alias("d"))
+    words = [F.conv(F.substring("d", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    shelf = F.conv(F.substring("d", 1, 3), 16, 10).cast("int")
+    totals = digest.groupBy(shelf.alias("shelf")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(w).alias(f"s{i}") for i, w in enumerate(words)])
+    text = F.concat_ws(":", F.col("shelf"), F.col("n"), *[F.col(f"s{i}") for i in range(4)])
+
+    def folded(df: DataFrame, by: list, key: str) -> DataFrame:
+        lines = F.transform(F.array_sort(F.collect_list(F.struct(key, "t"))), lambda x: x["t"])
+        return df.groupBy(*by).agg(F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("t"))
+
+    cases = folded(totals.withColumns({"t": F.sha2(text.cast("binary"), 256), "place": F.floor(F.col("shelf") / (SHELVES // CASES))}), ["place"], "shelf")
+    return folded(cases, [], "place").select(F.col("t").alias("fingerprint"))
+
+
 def artifact_diff(expected: DataFrame, observed: DataFrame) -> DataFrame:
     """(path, problem): missing or extra artifacts."""
     e, o = expected.select("path", F.lit(1).alias("e")), observed.select("path", F.lit(1).alias("o"))

@@ -6,7 +6,6 @@ Matrices stay in Spark; only products whose sides are the number of components o
 from __future__ import annotations
 
 from functools import reduce
-from math import erfc
 from typing import NamedTuple
 
 import numpy as np
@@ -82,16 +81,50 @@ def fit_pca(calls: DataFrame, k: int = 10, rounds: int = 8, extra: int = 8) -> C
     return Components(long(scores, "sid", "score"), long(weights, "vid", "w"), freqs)
 
 
-def stratum_pca(calls: DataFrame, strata: DataFrame, labels: list, k: int = 10) -> DataFrame:
-    """(stratum, sid, pc, score): a fit within each of the labels (a handful) of strata (sid, stratum)."""
-    fits = [fit_pca(calls.join(strata.filter(F.col("stratum") == s).select("sid"), "sid", "left_semi"), k).scores.select(F.lit(s).alias("stratum"), "sid", "pc", "score") for s in labels]
+def stratum_pca(calls: DataFrame, strata: DataFrame, k: int = 10) -> DataFrame:
+    """(stratum, sid, pc, score): a fit within each of the strata (sid, stratum), a handful of labels; one driver-side step each."""
+    known = strata.filter("stratum is not null")
+    fits = []
+    for (label,) in sorted(known.select("stratum").distinct().collect()):
+        own = calls.join(known.filter(F.col("stratum") == label).select("sid"), "sid", "left_semi")
+        fits.append(fit_pca(own, k).scores.select(F.lit(label).alias("stratum"), "sid", "pc", "score"))
     return reduce(DataFrame.unionByName, fits)
 
 
+def combine_pcs(parts: dict[str, DataFrame]) -> DataFrame:
+    """The tables of components (sid, PC1, ...) of several strata, with the stratum; components that one lacks are NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [d.withColumn("stratum", F.lit(label)) for label, d in parts.items()])
+
+
+def wide_pcs(scores: DataFrame, k: int) -> DataFrame:
+    """(sid, PC1, ..., PCk) of long scores (sid, pc, score)."""
+    return scores.groupBy("sid").pivot("pc", [f"PC{i + 1}" for i in range(k)]).agg(F.first("score"))
+
+
+def _erfc(z: np.ndarray) -> np.ndarray:
+    """The complementary error function of numbers from 0 on: its series up to 2, its continued fraction beyond."""
+    square, out = z * z, np.empty_like(z)
+    low = z < 2
+    term = total = 2 / np.sqrt(np.pi) * z[low] * np.exp(-square[low])
+    for n in range(1, 60):
+        term = term * 2 * square[low] / (2 * n + 1)
+        total = total + term
+    out[low] = 1 - total
+    high = z[~low]
+    fraction = high.copy()
+    for n in range(120, 0, -1):
+        fraction = high + n / 2 / fraction
+    out[~low] = np.exp(-square[~low]) / np.sqrt(np.pi) / fraction
+    return out
+
+
 @F.pandas_udf(T.DoubleType())
 def chi2_tail(x: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution with one degree of freedom."""
-    return x.map(lambda v: erfc((v / 2) ** 0.5), na_action="ignore").astype("float64")
+    out = pd.Series(np.nan, x.index)
+    known = x.notna().to_numpy()
+    out[known] = _erfc(np.sqrt(np.maximum(x[known].to_numpy(float), 0) / 2))
+    return out.where(out.notna(), None)
 
 
 def pooled_assoc(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], loco: DataFrame | None = None, min_mac: float = 0) -> DataFrame:
@@ -154,19 +187,38 @@ def rare_target(calls: DataFrame, v: DataFrame, keep: DataFrame, targets: DataFr
 
 
 class SexChecked(NamedTuple):
-    detail: DataFrame  # (sid, sex, ped_sex, f, genetic, status)
+    detail: DataFrame  # (sid, sex, ped_sex, f, y_called, genetic, status)
     keep: DataFrame
     remove: DataFrame
 
 
-def sex_check(x_calls: DataFrame, manifest: DataFrame, action: str = "warn", female: float = 0.2, male: float = 0.8) -> SexChecked:
-    """Sex from inbreeding on pruned non-pseudo-autosomal X calls: 2 up to the first limit, 1 from the second, else 0.
+def sex_markers(v: DataFrame, calls: DataFrame, build: str, maf: float = 0.05, max_missing: float = 0.05, window: int | None = None, r2: float = 0.2) -> DataFrame:
+    """(vid, chrom): common, well called variants of X outside the pseudo-autosomal regions (pruned within window) and of Y."""
+    placed = variants.split_par(v, build).filter("chrom in ('X', 'Y')").select("vid", "chrom", "pos")
+    on = calls.join(placed.select("vid"), "vid", "left_semi")
+    x = placed.filter("chrom = 'X'")
+    kept = genotype.allele_counts(on.join(x.select("vid"), "vid", "left_semi")).filter((F.col("maf") >= maf) & (F.col("missing") / (F.col("n") + F.col("missing")) <= max_missing))
+    x = x.join(kept.select("vid"), "vid", "left_semi")
+    if window is not None:
+        x = x.join(genotype.ld_prune(on, x, window, r2), "vid", "left_semi")
+    return x.select("vid", "chrom").unionByName(placed.filter("chrom = 'Y'").select("vid", "chrom"))
 
-    manifest is (sid, sex, ped_sex); action 'exclude' removes mismatches, 'fail' raises on them.
+
+def sex_check(calls: DataFrame, manifest: DataFrame, action: str = "warn", female: float = 0.2, male: float = 0.8, markers: DataFrame | None = None) -> SexChecked:
+    """Sex from inbreeding on X calls: 2 up to the first limit, 1 from the second, else 0; y_called is the share of Y markers with a call.
+
+    calls are those of sex_markers (vid, chrom), or of X alone without them. manifest is (sid, sex,
+    ped_sex); action 'exclude' removes mismatches, 'fail' raises on them.
     """
+    x_calls = calls if markers is None else calls.join(markers.filter("chrom = 'X'").select("vid"), "vid", "left_semi")
     f = F.col("f")
     genetic = F.when(f <= female, "2").when(f >= male, "1").otherwise("0")
     joined = manifest.join(genotype.inbreeding(x_calls).select("sid", "f"), "sid", "left").withColumn("genetic", genetic)
+    if markers is None:
+        joined = joined.withColumn("y_called", F.lit(None).cast("double"))
+    else:
+        y = calls.join(markers.filter("chrom = 'Y'").select("vid"), "vid", "left_semi").groupBy("sid").agg((F.count("g") / F.count(F.lit(1))).alias("y_called"))
+        joined = joined.join(y, "sid", "left")
     detail = joined.withColumn("status", samples.sex_status(F.col("sex"), F.col("ped_sex"), F.col("genetic")))
     problems = detail.filter("status <> 'ok'").select("sid")
     if action == "fail" and (bad := problems.limit(5).collect()):
@@ -218,3 +270,126 @@ def spaced_markers(pool: DataFrame, per_chrom: int, min_spacing: int) -> DataFra
         return frame.iloc[taken]
 
     return pool.groupBy("chrom").applyInPandas(choose, pool.schema)
+
+
+class NullModel(NamedTuple):
+    rows: DataFrame  # (sid, chrom, eta, r, w, covariates...): linear predictor, residual and weight of each sample
+    columns: list[str]
+
+
+def null_logistic(pheno: DataFrame, covariates: list[str], chroms: DataFrame, loco: DataFrame | None = None, rounds: int = 25) -> NullModel:
+    """The logistic model of a 0/1 trait without variants, for each chromosome with its offset (sid, chrom, pred).
+
+    A round of Newton's method is one aggregate by chromosome; matrices as small as the number of
+    covariates reach the driver.
+    """
+    whole = pheno.select("sid", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in covariates]).dropna()
+    means = whole.agg(*[F.avg(c) for c in covariates]).first() if covariates else []
+    q, names = _orthonormal(whole.select("sid", *[(F.col(c) - float(m or 0)).alias(c) for c, m in zip(covariates, means, strict=True)]), "sid", covariates) if covariates else (whole.select("sid"), [])
+    rows = whole.select("sid", "y").join(F.broadcast(chroms.select("chrom").distinct())).join(q, "sid")  # a row per chromosome: some two dozen
+    offset = F.lit(0.0)
+    if loco is not None:
+        rows, offset = rows.join(loco.select("sid", "chrom", "pred"), ["sid", "chrom"], "left"), F.coalesce("pred", F.lit(0.0))
+    rows = stored(rows.select("sid", "chrom", "y", F.lit(1.0).alias("one"), *names, offset.alias("offset")))
+    columns = ["one", *names]
+    k = len(columns)
+    weights = {c.chrom: np.zeros(k) for c in chroms.select("chrom").distinct().collect()}
+
+    def fitted() -> DataFrame:
+        table = rows.sparkSession.createDataFrame([(c, *map(float, w)) for c, w in weights.items()], "chrom string, " + ", ".join(f"b{i} double" for i in range(k)))
+        met = rows.join(F.broadcast(table), "chrom")  # a row per chromosome
+        eta = reduce(lambda a, b: a + b, [F.col(f"b{i}") * F.col(c) for i, c in enumerate(columns)], F.col("offset"))
+        mu = 1 / (1 + F.exp(-F.col("eta")))
+        return met.withColumn("eta", eta).withColumns({"r": F.col("y") - mu, "w": mu * (1 - mu)})
+
+    for _ in range(rounds):
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        sums = fitted().groupBy("chrom").agg(*[F.sum(F.col("w") * F.col(columns[i]) * F.col(columns[j])) for i, j in pairs], *[F.sum(F.col("r") * F.col(c)) for c in columns]).collect()
+        moved = 0.0
+        for row in sums:
+            info, score = np.zeros((k, k)), np.array(row[1 + len(pairs) :], float)
+            for v, (i, j) in zip(row[1:], pairs, strict=False):
+                info[i, j] = info[j, i] = v
+            step = np.clip(np.linalg.pinv(info, rcond=1e-10, hermitian=True) @ score, -5, 5)
+            weights[row.chrom] += step
+            moved = max(moved, np.abs(step).max(initial=0))
+        if moved < 1e-9:
+            break
+    return NullModel(stored(fitted().select("sid", "chrom", "eta", "r", "w", *columns)), columns)
+
+
+def pooled_binary(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], loco: DataFrame | None = None, min_mac: float = 0, min_info: float = 0, firth_p: float = 0.01) -> DataFrame:
+    """(vid, n, beta, se, chi2, p, test): score test of a 0/1 trait given covariates and the offset of the variant's chromosome.
+
+    Where the score test's p is below firth_p, the effect is fitted again with Firth's penalty, the null model's
+    linear predictor held fixed; a variant's samples are one group there. A missing call counts as the mean;
+    min_info cuts the ratio of the dosages' variance to its expectation.
+    """
+    model = null_logistic(pheno, covariates, variants, loco)
+    names, k = model.columns, len(model.columns)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    g, w = F.col("g").cast("double"), F.col("w")
+    met = calls.filter("g is not null").join(variants.select("vid", "chrom"), "vid").join(model.rows, ["sid", "chrom"])
+    sums = met.groupBy("vid", "chrom").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(g).alias("m"), F.sum(g * g).alias("gg"), F.sum("r").alias("r"), F.sum(g * F.col("r")).alias("gr"), F.sum(w * g * g).alias("wgg"), F.sum(w * g).alias("wg"), F.sum(w).alias("sw"),
+        F.array(*[F.sum(w * g * F.col(c)) for c in names]).alias("wgx"), F.array(*[F.sum(w * F.col(c)) for c in names]).alias("wx"),
+    )
+    whole = model.rows.groupBy("chrom").agg(F.sum("r").alias("all_r"), F.sum("w").alias("all_w"), F.array(*[F.sum(w * F.col(c)) for c in names]).alias("all_wx"), F.array(*[F.sum(w * F.col(names[i]) * F.col(names[j])) for i, j in pairs]).alias("xwx"))
+
+    @F.pandas_udf("array<double>")
+    def explained(c: pd.Series, xwx: pd.Series) -> pd.Series:
+        """The coefficients of a variant on the covariates, from their weighted products."""
+        m = np.empty((len(c), k, k))
+        for at, (i, j) in enumerate(pairs):
+            m[:, i, j] = m[:, j, i] = [x[at] for x in xwx]
+        return pd.Series(list((np.linalg.pinv(m, rcond=1e-10, hermitian=True) @ np.stack(c.to_numpy())[:, :, None])[:, :, 0])) if len(c) else pd.Series([], dtype=object)
+
+    m, n = F.col("m"), F.col("n")
+    info = (F.col("gg") / n - m * m) / (m * (1 - m / 2))
+    tested = sums.filter((F.least(n * m, n * (2 - m)) >= min_mac) & (F.coalesce(info, F.lit(0.0)) >= min_info)).join(F.broadcast(whole), "chrom")  # a row per chromosome
+    # missing calls at the mean: their rows are the whole model's less the called ones
+    full = [F.col("wgx")[i] + m * (F.col("all_wx")[i] - F.col("wx")[i]) for i in range(k)]
+    tested = tested.withColumns({"u": F.col("gr") + m * (F.col("all_r") - F.col("r")), "c": F.array(*full)})
+    tested = tested.withColumn("a", explained("c", "xwx"))
+    spread = F.col("wgg") + m * m * (F.col("all_w") - F.col("sw")) - reduce(lambda a, b: a + b, [F.col("a")[i] * F.col("c")[i] for i in range(k)])
+    scored = tested.withColumn("v", spread).filter("v > 1e-9")
+    scored = stored(scored.select("vid", "chrom", "n", "m", "a", (F.col("u") / F.col("v")).alias("beta"), (1 / F.sqrt("v")).alias("se"), (F.col("u") ** 2 / F.col("v")).alias("chi2")).withColumn("p", chi2_tail("chi2")))
+    strong = scored.filter(F.col("p") < firth_p)
+    fixed = reduce(lambda x, y: x + y, [F.col("a")[i] * F.col(c) for i, c in enumerate(names)])
+    rows = calls.filter("g is not null").join(strong.select("vid", "chrom", "a"), "vid").join(model.rows, ["sid", "chrom"]).select("vid", "eta", (F.col("r") + 1 / (1 + F.exp(-F.col("eta")))).alias("y"), (g - fixed).alias("x"))
+
+    def firth(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y, eta, b = frame["x"].to_numpy(), np.round(frame["y"].to_numpy()), frame["eta"].to_numpy(), 0.0
+
+        def parts(b: float) -> tuple[float, float, float]:
+            z = eta + b * x
+            mu = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            v = mu * (1 - mu)
+            info = float(v @ (x * x))
+            hat = v * x * x / max(info, 1e-300)
+            return float(y @ z - np.logaddexp(0, z).sum() + 0.5 * np.log(max(info, 1e-300))), float(x @ (y - mu + hat * (0.5 - mu))), info
+
+        for _ in range(50):
+            level, score, info = parts(b)
+            step = float(np.clip(score / max(info, 1e-300), -2, 2))
+            while abs(step) > 1e-12 and parts(b + step)[0] < level - 1e-12:
+                step /= 2
+            b += step
+            if abs(step) < 1e-9:
+                break
+        chi2 = max(0.0, 2 * (parts(b)[0] - parts(0.0)[0]))
+        return pd.DataFrame({"vid": [frame["vid"].iloc[0]], "fb": [b], "fchi2": [chi2]})
+
+    again = rows.groupBy("vid").applyInPandas(firth, "vid long, fb double, fchi2 double").withColumn("fp", chi2_tail("fchi2"))
+    met = scored.join(again, "vid", "left")
+    better = F.col("fb").isNotNull()
+    return met.select(
+        "vid", "n", F.coalesce("fb", "beta").alias("beta"), F.when(better & (F.col("fchi2") > 0), F.abs("fb") / F.sqrt("fchi2")).otherwise(F.col("se")).alias("se"),
+        F.coalesce("fchi2", "chi2").alias("chi2"), F.coalesce("fp", "p").alias("p"), F.when(better, "firth").otherwise("score").alias("test"),
+    )
+
+
+def pooled_pass_list(union: DataFrame, calls: DataFrame, max_missing: float = 0.05, maf: float = 0.01) -> DataFrame:
+    """(vid): variants of the union (vid) that the pooled samples' missingness and frequency pass, too."""
+    kept = genotype.allele_counts(calls).filter((F.col("maf") >= maf) & (F.col("missing") / (F.col("n") + F.col("missing")) <= max_missing))
+    return union.select("vid").distinct().join(kept.select("vid"), "vid", "left_semi")

@@ -10,7 +10,7 @@ from helixframe.operators import assoc
 
 def stage_report(stats: DataFrame, settings: dict[str, str]) -> DataFrame:
     """Settings, metrics, lambda and the ten strongest signals of one association table (id, chrom, pos, row_id, p)."""
-    metrics = assoc.assoc_metrics(stats).select(F.lit("metrics").alias("section"), F.col("metric").alias("key"), F.col("value").cast("string").alias("value"))
+    metrics = assoc.assoc_metrics(stats).select(F.lit("metrics").alias("section"), F.col("metric").alias("key"), F.format_string("%.6g", "value").alias("value"))
     inflation = assoc.genomic_lambda(stats).select(F.lit("metrics").alias("section"), F.lit("lambda").alias("key"), F.format_string("%.6f", "lambda").alias("value"))
     top = assoc.top_hits(stats).select(F.lit("top_signals").alias("section"), F.col("id").alias("key"), F.format_string("%.3e", "p").alias("value"))
     given = stats.sparkSession.createDataFrame([("settings", k, v) for k, v in settings.items()], "section string, key string, value string")
@@ -26,13 +26,6 @@ def lambda_comparison(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def rare_checks(stats: DataFrame) -> DataFrame:
-    """(check, left, right, ok): the bins of allele counts sum to the rows with a valid p."""
-    bins = assoc.mac_bins(stats).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("left"))
-    valid = stats.agg(F.count_if(F.coalesce(assoc.valid_p(), F.lit(False))).alias("right"))
-    return bins.join(F.broadcast(valid)).select(F.lit("mac_bins").alias("check"), "left", "right", (F.col("left") == F.col("right")).alias("ok"))  # one row each
-
-
 def projection_points(ref: DataFrame, study: DataFrame, assigned: DataFrame, excluded: DataFrame) -> DataFrame:
     """(sid, pc1, pc2, sample_set, status, label): reference labels, and for the study assigned, excluded or unassigned."""
     r = ref.select("sid", "pc1", "pc2", F.lit("reference").alias("sample_set"), F.lit("reference").alias("status"), F.col("super_population").cast("string").alias("label"))

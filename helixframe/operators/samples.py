@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
+from helixframe.operators import quality
 
 MISSING = ("", "NA", "-9", ".")
 
@@ -24,7 +25,11 @@ def ambiguous_aliases(target: DataFrame) -> DataFrame:
 
 
 def match_samples(query: DataFrame, target: DataFrame) -> DataFrame:
-    """query rows with target_fid and target_iid: the target that owns the row's first matching spelling; else NULL."""
+    """query rows with target_fid and target_iid: the target that owns the row's first matching spelling; else NULL.
+
+    A spelling that two target rows own is an error, whether or not a query row has it.
+    """
+    quality.require(ambiguous_aliases(target), "spellings that several samples own")
     q = query.withColumn("__q", F.struct("fid", "iid"))
     owners = _aliases(target).select(F.col("alias"), F.col("iid").alias("t_iid"), F.struct("fid", "iid").alias("t"))
     hits = _aliases(q.select("fid", "iid", "__q").distinct(), "__q").withColumn("t_iid", F.col("iid")).join(owners, ["alias", "t_iid"])
@@ -32,6 +37,31 @@ def match_samples(query: DataFrame, target: DataFrame) -> DataFrame:
     return q.join(best, "__q", "left").select(*query.columns, F.col("t.fid").alias("target_fid"), F.col("t.iid").alias("target_iid"))
 
 
+def canonicalize_ids(ids: DataFrame, target: DataFrame) -> DataFrame:
+    """ids as target spells them; ids that target lacks are an error."""
+    matched = match_samples(ids, target)
+    quality.require(matched.filter("target_iid is null").select("fid", "iid"), "samples that the target lacks")
+    return matched.select(*[c for c in ids.columns if c not in ("fid", "iid")], F.col("target_fid").alias("fid"), F.col("target_iid").alias("iid"))
+
+
+def attach_metadata(samples: DataFrame, meta: DataFrame, order: list[str]) -> DataFrame:
+    """samples with the columns of meta (fid, iid, ...); of meta's rows of one sample the first in order counts, samples without one are an error."""
+    columns = [c for c in meta.columns if c not in ("fid", "iid")]
+    first = meta.groupBy("fid", "iid").agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("m"))
+    matched = match_samples(samples, first.select("fid", "iid"))
+    quality.require(matched.filter("target_iid is null").select("fid", "iid"), "samples without metadata")
+    named = first.select(F.col("fid").alias("target_fid"), F.col("iid").alias("target_iid"), "m")
+    return matched.join(named, ["target_fid", "target_iid"]).select(*samples.columns, "m.*")
+
+
+def merge_cohorts(reference: DataFrame, study: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fid, iid, sample_set, label) of both: reference rows with their label (fid, iid, label), study rows with '-'; a sample in both is an error."""
+    both = match_samples(study.select("fid", "iid"), reference.select("fid", "iid")).filter("target_iid is not null")
+    quality.require(both.select("fid", "iid"), "samples in reference and study")
+    named = reference.select("fid", "iid").join(labels.select("fid", "iid", "label"), ["fid", "iid"], "left")
+    return named.select("fid", "iid", F.lit("reference").alias("sample_set"), "label").unionByName(study.select("fid", "iid", F.lit("study").alias("sample_set"), F.lit("-").alias("label")))
+
+
 def intersect_keeps(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Samples of every list, spelled as in the first."""
     return reduce(lambda a, b: match_samples(a, b).filter("target_iid is not null").select("fid", "iid"), others, first.select("fid", "iid"))

@@ -200,11 +200,50 @@ def match_build_markers(v: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def score_builds(matches: DataFrame) -> DataFrame:
-    """(build, matched, checked, fraction, rank): best build first, ties by name."""
+    """(build, matched, checked, fraction, rank, margin, fraction_margin): best build first, ties by name; the winner's lead over the second."""
     checked = matches.agg(F.countDistinct("row").alias("checked"))
     per = matches.groupBy("build").agg(F.count_if("supports").alias("matched"))
     scored = per.join(F.broadcast(checked)).withColumn("fraction", F.col("matched") / F.col("checked"))  # one row
-    return scored.selectExpr("*", "row_number() over (order by matched desc, build) as rank")  # a row for each build
+    ordered = scored.selectExpr("*", "row_number() over (order by matched desc, build) as rank", "coalesce(lead(matched) over (order by matched desc, build), 0) as second")  # a row for each build
+    margin = F.when(F.col("rank") == 1, F.col("matched") - F.col("second"))
+    return ordered.withColumns({"margin": margin, "fraction_margin": margin / F.col("checked")}).drop("second")
+
+
+def build_gates(scores: DataFrame, min_markers: int = 3, min_fraction: float = 0.8, min_margin: int = 1, min_fraction_margin: float = 0.0) -> DataFrame:
+    """(build, gate): the gates that the winner of score_builds fails; no rows if it may be taken."""
+    tests = {
+        "no_match": F.col("matched") == 0, "markers": F.col("matched") < min_markers, "fraction": F.col("fraction") < min_fraction, "margin": F.col("margin") < min_margin,
+        "fraction_margin": F.col("fraction_margin") < min_fraction_margin,
+    }
+    failed = F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))
+    return scores.filter("rank = 1").select("build", F.explode(failed).alias("gate"))
+
+
+#: Rows that a locus may have on a side.
+LOCUS_ROWS = 10_000
+
+
+def crowded_loci(v: DataFrame, most: int = LOCUS_ROWS) -> DataFrame:
+    """(chrom, pos, n) of eligible loci with more rows than harmonization should gather in one place."""
+    return eligible_variants(v).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+
+
+def extract(v: DataFrame, ids: DataFrame) -> DataFrame:
+    return v.join(ids.select("id"), "id", "left_semi")
+
+
+def exclude(v: DataFrame, ids: DataFrame) -> DataFrame:
+    return v.join(ids.select("id"), "id", "left_anti")
+
+
+def rename_variants(v: DataFrame, mapping: DataFrame) -> DataFrame:
+    """v under the new ids of mapping (id, new_id); variants it lacks keep theirs."""
+    return v.join(mapping.select("id", "new_id"), "id", "left").withColumn("id", F.coalesce("new_id", "id")).select(*v.columns)
+
+
+def sorted_ids(*tables: DataFrame) -> DataFrame:
+    """The different ids of all tables in order."""
+    return reduce(DataFrame.unionByName, [t.select("id") for t in tables]).distinct().orderBy("id")
 
 
 def variant_scan_summary(v: DataFrame) -> DataFrame:
@@ -225,9 +264,19 @@ def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select("r.*")
 
 
+#: Rows of a chromosome are compared in stretches of so many row numbers.
+STRETCH = 1 << 16
+
+
 def unsorted_rows(v: DataFrame) -> DataFrame:
-    """How many rows come before their predecessor in the file, by chromosome."""
-    return v.selectExpr("chrom", "pos < lag(pos) over (partition by chrom order by row_number) as back").groupBy("chrom").agg(F.count_if("back").alias("n")).filter("n > 0")
+    """(chrom, n): how many rows come before their predecessor on their chromosome, in the order of row_number.
+
+    A window holds one stretch of rows; each stretch's last position is handed to the next that has rows.
+    """
+    cut = v.select("chrom", "pos", "row_number", F.floor(F.col("row_number") / STRETCH).alias("s"))
+    ends = cut.groupBy("chrom", "s").agg(F.max_by("pos", "row_number").alias("last")).selectExpr("chrom", "s", "lag(last) over (partition by chrom order by s) as given")
+    rows = cut.join(ends, ["chrom", "s"]).selectExpr("chrom", "pos < coalesce(lag(pos) over (partition by chrom, s order by row_number), given) as back")
+    return rows.groupBy("chrom").agg(F.count_if("back").alias("n")).filter("n > 0")
 
 
 def pass_union(*lists: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,15 +1,35 @@
-"""Tables that cut the lineage of iterative jobs."""
+"""Tables that cut the lineage of long jobs, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df checkpointed in the session's shared folder; a temporary one only where the session names none."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The session's shared folder. In local mode, where driver and executors are one process, a temporary one will do."""
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not at:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        at = tempfile.mkdtemp(prefix="spark-")
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, checkpointed: its partitions stay as they are."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet and read back: later scans read the columns they need."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.plans.ship import ship
+from helixframe.plans.stored import written
 
 VIEWS = {
     # each supplier is a sample, each part a variant; a line item says that the pair was genotyped
@@ -34,11 +35,11 @@ SELECT concat('F', CAST(c_custkey AS VARCHAR(12))) AS fid, concat('I', CAST(c_cu
 SELECT CASE WHEN c_custkey % 3 = 0 THEN concat('I', CAST(c_custkey AS VARCHAR(12))) WHEN c_custkey % 3 = 1 THEN '0' ELSE concat('F', CAST(c_custkey AS VARCHAR(12))) END AS fid,
   concat('I', CAST(c_custkey AS VARCHAR(12))) AS iid FROM customer WHERE c_acctbal > 0""",
     "sumstats": """
-SELECT concat('v', CAST(l_orderkey AS VARCHAR(12)), ':', CAST(l_linenumber AS VARCHAR(4))) AS id, CAST(CASE WHEN l_partkey % 23 = 22 THEN 'X' ELSE CAST(1 + l_partkey % 23 AS VARCHAR(2)) END AS VARCHAR(2)) AS chrom,
-  CAST(1000 + l_partkey * 9700 AS BIGINT) AS pos, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS row_id, CAST(l_quantity AS BIGINT) - 3 AS mac,
+SELECT concat('v', CAST(l_orderkey AS VARCHAR(12)), ':', CAST(l_linenumber AS VARCHAR(4))) AS id, CAST(CASE l_orderkey % 61 WHEN 0 THEN 'Y' WHEN 1 THEN 'MT' WHEN 2 THEN 'GL000192.1' WHEN 3 THEN 'PAR1' WHEN 4 THEN 'KI270302.1' WHEN 5 THEN 'XY' ELSE CASE WHEN l_partkey % 23 = 22 THEN 'X' ELSE CAST(1 + l_partkey % 23 AS VARCHAR(2)) END END AS VARCHAR(12)) AS chrom,
+  CAST(1000 + l_partkey * 9700 AS BIGINT) AS pos, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS row_id, CAST(l_quantity AS BIGINT) - 3 AS mac, CASE WHEN l_orderkey % 71 <> 0 THEN CAST(900 + l_partkey % 100 AS BIGINT) END AS n,
   CASE WHEN (l_orderkey * 7 + l_linenumber) % 97 = 0 THEN NULL WHEN (l_orderkey + l_partkey) % 1009 = 0 THEN CAST(1 + l_partkey % 97 AS DOUBLE) / 10000000000
        ELSE CAST(1 + (l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 31) % 100003 AS DOUBLE) / 100003 END AS p FROM lineitem""",
-    "pcs": "SELECT CAST(vec_id AS BIGINT) AS sid, CAST(label AS BIGINT) AS population, CAST(label % 5 AS BIGINT) AS super_population, CAST({x} AS DOUBLE) AS pc1, CAST({y} AS DOUBLE) AS pc2 FROM embeddings",
+    "pcs": "SELECT CAST(vec_id AS BIGINT) AS sid, CAST(label AS BIGINT) AS population, CAST(label % 5 AS BIGINT) AS super_population, CAST({x} AS DOUBLE) AS pc1, CAST({y} AS DOUBLE) AS pc2, CAST({z} AS DOUBLE) AS pc3 FROM embeddings",
 }
 _BASES = """(SELECT CAST(p_partkey AS BIGINT) AS p, CAST(1 + p_partkey % 22 AS BIGINT) AS c, CAST(1000 + p_partkey * 97 AS BIGINT) AS pos, substring('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS a0,
   substring('ACGT', CAST(1 + (p_partkey + 1 + p_partkey % 3) % 4 AS INT), 1) AS a1, substring('ACGT', CAST(1 + (p_partkey + 1 + (p_partkey + 1) % 3) % 4 AS INT), 1) AS a2 FROM part)"""
@@ -46,17 +47,31 @@ _TABLES = {"calls": "lineitem", "sumstats": "lineitem", "samples": "customer", "
 
 
 def view_sql(name: str, spark: bool = False) -> str:
-    x, y = ("embedding[0]", "embedding[1]") if spark else ("embedding[1]", "embedding[2]")
-    return VIEWS[name].replace("{bases}", _BASES).replace("{x}", x).replace("{y}", y)
+    out = VIEWS[name].replace("{bases}", _BASES)
+    for i, mark in enumerate(("{x}", "{y}", "{z}")):
+        out = out.replace(mark, f"embedding[{i if spark else i + 1}]")
+    return out
+
+
+#: Stored once a session: their expressions would otherwise be part of every query's plan, several times over.
+_STORED = {"calls", "sumstats"}
+_held: dict[tuple, DataFrame] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived table as a DataFrame over the Parquet files of sf_dir."""
-    source = _TABLES.get(name, "part")
+    """The derived, or else the given, table as a DataFrame over the Parquet files of sf_dir."""
+    source, key = _TABLES.get(name, "part"), (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _held:
+        return _held[key]
     ship(spark)
+    if name not in VIEWS:
+        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     given = spark.read.parquet(f"{sf_dir.rstrip('/')}/{source}.parquet")
     given.createOrReplaceTempView(f"helix_{source}")
-    return spark.sql(view_sql(name, spark=True).replace(f"FROM {source}", f"FROM helix_{source}"))
+    df = spark.sql(view_sql(name, spark=True).replace(f"FROM {source}", f"FROM helix_{source}"))
+    if name in _STORED:
+        df = _held[key] = written(df, name)
+    return df
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
+from helixframe.operators.assoc import ranked
+from helixframe.plans.stored import stored
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -62,11 +68,102 @@ def read_samples(spark: SparkSession, path: str, missing_fid: str = "iid") -> Da
 
 
 def read_matrix(spark: SparkSession, path: str, k: int) -> DataFrame:
-    """(place, values) of a space-separated numeric matrix of k columns; place orders the rows of the file."""
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("place"), F.transform(F.split(F.trim("value"), r"\s+"), lambda x: x.try_cast("double")).alias("values"))
+    """(place, values) of a space-separated numeric matrix of k columns; row i of the file has place i, from 0."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("at"), F.trim("value").alias("value")).filter("value <> ''")
+    rows = stored(lines.select("at", F.transform(F.split("value", r"\s+"), lambda x: x.try_cast("double")).alias("values")))
     if rows.filter((F.size("values") != k) | F.exists("values", lambda x: x.isNull())).limit(1).collect():
         raise ValueError(f"{path}: expected {k} numbers a row")
-    return rows
+    # the upper bits of at are the partition: each partition's rows follow those of the partitions before it
+    part = F.shiftright("at", 33)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("m")).selectExpr("part", "coalesce(sum(m) over (order by part rows between unbounded preceding and 1 preceding), 0) as before")
+    local = F.row_number().over(Window.partitionBy(part).orderBy("at")) - 1
+    return rows.withColumns({"local": local, "part": part}).join(F.broadcast(sizes), "part").select((F.col("before") + F.col("local")).alias("place"), "values")
+
+
+def number_samples(samples: DataFrame, order: str) -> DataFrame:
+    """samples with place, from 0, by the column order: what pairs them with the rows of a matrix."""
+    return ranked(samples, [order], "place").withColumn("place", F.col("place") - 1)
+
+
+#: The names that association tables use for a column, in order of preference; an upper-case name is met in any case.
+ALIASES = {
+    "p": ["p", "P", "Pval"], "log10p": ["LOG10P", "log10p"], "chrom": ["chrom", "CHROM", "#CHROM", "Chr"], "pos": ["pos", "GENPOS", "POS", "Pos"], "id": ["variant_id", "ID", "Name"], "trait": ["trait", "Trait"],
+    "ancestry": ["ancestry", "Ancestry"], "build": ["build", "Build"], "beta": ["beta_or_log_or", "BETA", "Effect"], "se": ["SE", "se"],
+}
+RARE_ALIASES = {
+    "lci": ["LCI_Effect", "LCI_effect"], "uci": ["UCI_Effect", "UCI_effect"], "aaf": ["AAF"], "model": ["Model"], "num_cases": ["Num_Cases"], "cases_ref": ["Cases_Ref"], "cases_het": ["Cases_Het"], "cases_alt": ["Cases_Alt"],
+    "num_controls": ["Num_Controls"], "controls_ref": ["Controls_Ref"], "controls_het": ["Controls_Het"], "controls_alt": ["Controls_Alt"],
+}
+
+
+def named_assoc(df: DataFrame, rare: bool = False) -> DataFrame:
+    """An association table under its usual names, of the columns it has; LOG10P becomes p. Only those columns are read."""
+    at = {}
+    for name, names in (ALIASES | (RARE_ALIASES if rare else {})).items():
+        if found := [n for n in names if n in df.columns]:
+            at[name] = found[0]
+    if "p" not in at and "log10p" not in at:
+        raise ValueError("the table has neither p nor LOG10P")
+    lacking = [n for n in ("chrom", "pos", "id", "trait", "beta", *(n for n in RARE_ALIASES if n != "model")) if rare and n not in at]
+    if lacking:
+        raise ValueError(f"a rare-variant table lacks {', '.join(lacking)}")
+    p = E.finite(E.nullify(f"`{at['p']}`", MISSING_NUMBER)) if "p" in at else E.p_from_log10(E.nullify(f"`{at['log10p']}`", MISSING_NUMBER))
+    text = {"chrom", "id", "trait", "ancestry", "build", "model"}
+    rest = {n: E.nullify(f"`{c}`", MISSING_NUMBER) for n, c in at.items() if n not in ("p", "log10p")}
+    return df.select(p.alias("p"), *[(c if n in text else c.try_cast("long") if n == "pos" else E.finite(c)).alias(n) for n, c in rest.items()])
+
+
+MISSING_NUMBER = ("", "NA", "NaN", ".")
+
+
+def read_assoc(spark: SparkSession, path: str, rare: bool = False) -> DataFrame:
+    """named_assoc of a text table, or of Parquet."""
+    return named_assoc(spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_stats_text(spark, path), rare)
+
+
+def read_glm(spark: SparkSession, prefix: str) -> DataFrame:
+    """The first by name of the association tables <prefix>*.glm.*, logs left out."""
+    folder, _, name = prefix.rpartition("/")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{name}*.glm.*").load(folder or ".").select("path").filter(~F.col("path").rlike(r"\.(log|id)$"))
+    first = files.agg(F.min("path")).first()[0]
+    if first is None:
+        raise ValueError(f"no association table {prefix}*.glm.*")
+    return read_stats_text(spark, first)
+
+
+def count_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """(n): the lines of a text table that are neither blank nor comments, less the header."""
+    return _lines(spark, path).agg(F.greatest(F.count(F.lit(1)) - int(header), F.lit(0)).alias("n"))
+
+
+def read_bed(spark: SparkSession, prefix: str, variants_a_part: int = 512) -> DataFrame:
+    """(vid, sid, g): the calls of a variant-major BED file; vid and sid count rows of the BIM and FAM file from 0, g counts first (A1) alleles.
+
+    A file of at most 2 GB is read in one task and dealt in blocks of variants, which are decoded apart; larger
+    data should lie in several files, by variants, as one task reads each.
+    """
+    n = spark.read.text(f"{prefix}.fam").filter(F.trim("value") != "").count()
+    m = spark.read.text(f"{prefix}.bim").filter(F.trim("value") != "").count()
+    if not n or not m:
+        return spark.createDataFrame([], "vid long, sid long, g int")
+    width = (n + 3) // 4
+    whole = spark.read.format("binaryFile").load(f"{prefix}.bed")
+    head = whole.select("length", F.substring("content", 1, 3).alias("magic")).first()
+    if bytes(head.magic) != b"\x6c\x1b\x01" or head.length != 3 + width * m:
+        raise ValueError(f"{prefix}.bed isn't a variant-major BED file of {m} variants and {n} samples")
+    parts = whole.select("content", F.explode(F.sequence(F.lit(0), F.lit(max(m - 1, 0)), F.lit(variants_a_part))).alias("first"))
+    cut = parts.select(F.col("first").cast("long").alias("first"), F.expr(f"substring(content, 4 + first * {width}, {width * variants_a_part})").alias("block")).repartition(max(1, -(-m // variants_a_part)), "first")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = np.array([2, -1, 1, 0], np.int8)  # 00 two first alleles, 01 no call, 10 one, 11 none
+        for batch in batches:
+            for first, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = np.frombuffer(block.as_py(), np.uint8).reshape(-1, width)
+                for i, row in enumerate(rows):
+                    g = code[(row[:, None] >> np.array([0, 2, 4, 6]) & 3).ravel()[:n]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, first + i)), pa.array(np.arange(n)), pa.array(g.astype(np.int32), mask=g < 0)], names=["vid", "sid", "g"])
+
+    return cut.mapInArrow(decode, "vid long, sid long, g int")
 
 
 def read_intervals(spark: SparkSession, path: str, convention: str) -> DataFrame:
@@ -99,7 +196,17 @@ def select_panel(panels: DataFrame, role: str, build: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="NA")
+    df.write.option("comment", "\x01").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="NA")  # else a header that begins with # is quoted
+
+
+def write_ids(df: DataFrame, path: str) -> None:
+    """A list of ids, or of several columns, without a header."""
+    df.write.csv(path, sep="\t", header=False, quote="", emptyValue="", nullValue="NA")
+
+
+def write_key_values(df: DataFrame, path: str) -> None:
+    """(key, value) rows as tab-separated lines without a header."""
+    write_ids(df.select("key", F.col("value").cast("string")), path)
 
 
 def write_by_chrom(df: DataFrame, path: str) -> None:

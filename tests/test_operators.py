@@ -113,7 +113,7 @@ def test_logistic_falls_back_to_firth_on_separation(spark):
 
 def test_global_rank(spark):
     df = spark.range(0, 1000).select(((F.col("id") * 7919) % 1009).alias("p"), F.col("id").cast("string").alias("id"))
-    got = [r["rank"] for r in assoc.ranked(df, ["p", "id"], partitions=7).orderBy("p", "id").collect()]
+    got = [r["rank"] for r in assoc.ranked(df.repartition(7), ["p", "id"]).orderBy("p", "id").collect()]
     assert got == list(range(1, 1001))
 
 
