@@ -10,14 +10,16 @@ linked through words one bit away from both, which any two fingerprints within t
 no others do. That is exact and linear in the size of a group.
 
 Null and empty texts have fingerprint zero and are linked like any other. Repeated rows share a
-fingerprint. Extra columns are ignored; an empty table gives an empty result.
+fingerprint; ties can't occur, as classes are named by their smallest key. Texts are read whole, whatever
+their length. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import keep, table, text_chunks
+from helixframe.llm.common import identified, keep, table, text_chunks
 from helixframe.llm.graph import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
@@ -75,36 +77,41 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     return docs.select(key, text).mapInArrow(run, f"{key} long, fp long")
 
 
-@lru_cache(maxsize=1)
-def golay_index() -> np.ndarray:
-    """Of every 23-bit word, the number (12 bits) of the codeword within three bits of it."""
-    words = np.arange(1 << 23, dtype=np.uint32)
+@cache
+def _decoder() -> tuple[np.ndarray, np.ndarray]:
+    """(syndrome of each value of each byte of a word, error pattern of each syndrome)."""
 
     def syndrome(w: np.ndarray) -> np.ndarray:
         w = w.copy()
         for bit in range(22, 10, -1):
-            w ^= (((w >> bit) & 1) * np.uint32(GOLAY << (bit - 11))).astype(np.uint32)
+            w ^= ((w >> bit) & 1) * (GOLAY << (bit - 11))
         return w
 
-    one = np.uint32(1) << np.arange(23, dtype=np.uint32)
-    errors = [np.zeros(1, np.uint32), one]
-    errors.append(np.array([a | b for i, a in enumerate(one) for b in one[i + 1 :]], np.uint32))
-    errors.append(np.array([a | b | c for i, a in enumerate(one) for j, b in enumerate(one[i + 1 :], i + 1) for c in one[j + 1 :]], np.uint32))
-    pattern = np.concatenate(errors)
-    of_syndrome = np.zeros(1 << 11, np.uint32)
+    of_byte = syndrome(np.arange(256)[None, :] << np.array([0, 8, 16])[:, None] & (1 << 23) - 1)
+    one = 1 << np.arange(23)
+    errors = [[0], one, [a | b for a, b in combinations(one, 2)], [a | b | c for a, b, c in combinations(one, 3)]]
+    pattern = np.concatenate([np.array(e, np.int64) for e in errors])
+    of_syndrome = np.zeros(1 << 11, np.int64)
     of_syndrome[syndrome(pattern)] = pattern
-    return ((words ^ of_syndrome[syndrome(words)]) >> 11).astype(np.int16)
+    return of_byte, of_syndrome
+
+
+def golay_index(words: np.ndarray) -> np.ndarray:
+    """The number (12 bits) of the codeword within three bits of each 23-bit word."""
+    of_byte, of_syndrome = _decoder()
+    syndrome = of_byte[0][words & 255] ^ of_byte[1][words >> 8 & 255] ^ of_byte[2][words >> 16]
+    return (words ^ of_syndrome[syndrome]) >> 11
 
 
 def golay_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, row of fps) of unsigned fingerprints, each key of a row once."""
-    index, keys, rows = golay_index(), [], []
+    keys, rows = [], []
     parts = [(fps >> np.uint64(at)) & np.uint64((1 << bits) - 1) for at, bits in SEGMENTS]
     for i in range(3):
         j = (i + 1) % 3
         fuzzy = parts[j].astype(np.int64)
         near = np.concatenate([fuzzy[:, None], fuzzy[:, None] ^ (1 << np.arange(SEGMENTS[j][1]))], axis=1)
-        found = np.sort(index[near].astype(np.int64), axis=1)
+        found = np.sort(golay_index(near), axis=1)
         new = np.concatenate([np.ones((len(fps), 1), bool), found[:, 1:] != found[:, :-1]], axis=1)
         row = np.nonzero(new)[0]
         keys.append((np.int64(i) << 60) | (parts[i].astype(np.int64)[row] << 12) | found[new])
@@ -118,8 +125,8 @@ def fuzzy_keys(distinct: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(fps), 20_000):
-                part = fps[at : at + 20_000]
+            for at in range(0, len(fps), 8_192):
+                part = fps[at : at + 8_192]
                 keys, rows = golay_keys(part.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], names=["key", "fp"])
 
@@ -161,8 +168,8 @@ def op8_simhash_golay(spark, sf_dir: str) -> DataFrame:
 COPY_WORDS, COPY_SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 20, 5
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, l, fp, bands): digest of the word sequence, fingerprint, hashed bands of shingle minima."""
+def _sketches(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, file, at, h, l, fp, bands) of identified rows: digest of the word sequence, fingerprint, hashed bands of shingle minima."""
     factors = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +178,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 digests, fps, bands = [], [], []
                 for t in texts:
                     words = words_of(t)
-                    d = xxhash.xxh3_128_digest(" ".join(words))
-                    digests.append(np.frombuffer(d, ">i8"))
+                    digests.append(np.frombuffer(xxhash.xxh3_128_digest(" ".join(words)), ">i8"))
                     fps.append(fingerprint(shingle_hashes(words, SHINGLE_WORDS)))
                     h = np.unique(shingle_hashes(words, COPY_WORDS))
                     if not len(h):
@@ -181,20 +187,23 @@ def _sketches(docs: DataFrame) -> DataFrame:
                     h ^= h >> np.uint64(29)
                     minima = np.array([(h * f).min() for f in factors], np.uint64).reshape(BANDS, BAND_ROWS)
                     bands.append([xxhash.xxh64_intdigest(bytes([i]) + m.tobytes()) - (1 << 63) for i, m in enumerate(minima)])
-                ids = batch.column(0).slice(begin, len(texts))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([int(d[0]) for d in digests], pa.int64()), pa.array([int(d[1]) for d in digests], pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "l", "fp", "bands"])
+                part = batch.slice(begin, len(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([int(d[0]) for d in digests], pa.int64()), pa.array([int(d[1]) for d in digests], pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "file", "at", "h", "l", "fp", "bands"])
+
+    chosen = rows.select(F.col(f"docs.`{key}`").alias("id"), "file", "at", F.col(f"docs.`{text}`").alias("text"))
+    return chosen.mapInArrow(run, "id long, file long, at long, h long, l long, fp long, bands array<long>")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h long, l long, fp long, bands array<long>")
 
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """(row, shingles) of (row, text)."""
 
-def _shingle_sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, texts in text_chunks(batch):
                 sets = [np.unique(shingle_hashes(words_of(t), COPY_WORDS)).view(np.int64) for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["row", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return texts.select("row", "text").mapInArrow(run, "row long, shingles array<long>")
 
 
 #: Members of a group on each side of a tile, and shingles of it counted at a time: they bound a step's memory, not the result.
@@ -226,7 +235,7 @@ def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
             common += marks[0] @ marks[1].T
     common = common.astype(np.float64)
     alike = (common > 0) & (common >= COPY_SIMILARITY * (sizes[0][:, None] + sizes[1][None, :] - common))
-    (ids_a, ids_b), (roots_a, roots_b) = ([side[c].to_numpy() for side in sides] for c in ("id", "root"))
+    (ids_a, ids_b), (roots_a, roots_b) = ([side[c].to_numpy() for side in sides] for c in ("row", "root"))
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -243,49 +252,65 @@ def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def similar_links(groups: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): links that connect all documents of a group that are at least COPY_SIMILARITY alike, and no others.
+def similar_links(groups: DataFrame, texts) -> DataFrame:
+    """(a, b): links that connect all rows of a group whose texts are at least COPY_SIMILARITY alike, and no others.
 
-    groups is a stored table (band, doc_id). First every member meets its group's first one. Then, in
-    groups of several components, each member outside the first one's component meets every member,
-    in tiles of TILE by TILE members; groups of the same members count once.
+    groups is a stored table (band, row); texts gives (row, text) of a table of rows. First every member
+    meets its group's first one, which is dealt over as many places as its members need. Then, in groups
+    of several components, each member outside the first one's component meets every member, in tiles of
+    TILE by TILE members; groups of the same members count once.
     """
-    lead = keep(groups.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("members")).filter("n > 1"), "lead")
+    lead = keep(groups.groupBy("band").agg(F.min("row").alias("a"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("members")).filter("n > 1"), "lead")
     lead = lead.groupBy("n", "members", "a").agg(F.min("band").alias("band"))
-    grouped = keep(groups.join(lead, "band").select("band", "a", "n", "doc_id"), "grouped")
-    candidates = keep(grouped.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), "candidates")
-    named = candidates.select(F.col("a").alias("doc_id")).unionByName(candidates.select(F.col("b").alias("doc_id"))).distinct()
-    sets = keep(_shingle_sets(docs.join(named, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
-    both = candidates.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
+    grouped = keep(groups.join(lead, "band").select("band", "a", "n", "row"), "grouped")
+    met = grouped.filter("row <> a").groupBy("a", F.col("row").alias("b")).agg(F.max("n").alias("n"))
+    candidates = keep(met.select("a", "b", F.pmod(F.xxhash64("b", F.lit(SEED)), F.ceil(F.col("n") / TILE)).alias("slot")), "candidates")
+    named = candidates.select(F.col("a").alias("row")).unionByName(candidates.select(F.col("b").alias("row"))).distinct()
+    sets = keep(_shingle_sets(texts(named)), "sets")
+    leaders = candidates.select("a", "slot").distinct().join(sets.withColumnsRenamed({"row": "a", "shingles": "sa"}), "a")
+    both = candidates.join(sets.withColumnsRenamed({"row": "b", "shingles": "sb"}), "b").join(leaders, ["a", "slot"])
     common = F.size(F.array_intersect("sa", "sb"))
     verified = keep(both.filter(common >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "verified")
 
     roots = keep(components(verified), "roots")
     leader = roots.select(F.col("node").alias("a"), F.col("root").alias("first"))
-    labelled = grouped.filter("n > 2").join(roots.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").join(leader, "a", "left")
-    labelled = labelled.select("band", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"), (F.coalesce("root", "doc_id") != F.coalesce("first", "a")).alias("apart"))
+    labelled = grouped.filter("n > 2").join(roots.withColumnsRenamed({"node": "row"}), "row", "left").join(leader, "a", "left")
+    labelled = labelled.select("band", "row", "n", F.coalesce("root", "row").alias("root"), (F.coalesce("root", "row") != F.coalesce("first", "a")).alias("apart"))
     labelled = keep(labelled, "labelled")
     open_groups = labelled.groupBy("band").agg(F.count_if("apart").alias("m")).filter("m > 0")
-    sided = labelled.join(open_groups, "band").select("band", "doc_id", "root", "apart", F.ceil(F.col("m") / TILE).cast("int").alias("rows"), F.ceil(F.col("n") / TILE).cast("int").alias("columns"))
-    place = F.xxhash64("doc_id", F.lit(SEED))
-    left = sided.filter("apart").select("band", "doc_id", "root", F.pmod(place, "rows").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("left"))
-    right = sided.select("band", "doc_id", "root", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(place, "columns").cast("int").alias("j"), F.lit(False).alias("left"))
-    tiled = left.unionByName(right).withColumnsRenamed({"doc_id": "id"}).join(sets, "id")
+    sided = labelled.join(open_groups, "band").select("band", "row", "root", "apart", F.ceil(F.col("m") / TILE).cast("int").alias("rows"), F.ceil(F.col("n") / TILE).cast("int").alias("columns"))
+    place = F.xxhash64("row", F.lit(SEED))
+    left = sided.filter("apart").select("band", "row", "root", F.pmod(place, "rows").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("left"))
+    right = sided.select("band", "row", "root", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(place, "columns").cast("int").alias("j"), F.lit(False).alias("left"))
+    tiled = left.unionByName(right).join(sets, "row")
     return verified.unionByName(tiled.groupBy("band", "i", "j").applyInPandas(_tile_links, "a long, b long"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: of each group of copies and near copies the document with the smallest doc_id stays.
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", stored: bool = False) -> DataFrame:
+    """Of each group of copies and near copies the row with the smallest key stays (rows without one last, then by place).
 
     Links: equal word sequences, and texts whose sets of five-word shingles are at least 0.8 alike.
     Candidates of the second kind share a band of minima, or have fingerprints that links of at most
-    MAX_BITS connect; all are verified on the whole sets.
+    MAX_BITS connect; all are verified on the whole sets. Rows count on their own, whatever key they share:
+    of equal rows one stays, and a copy goes even if its key also names a text of its own. Texts without a
+    word, null ones too, are one another's copies. An empty table stays empty; other columns are kept as
+    they are. stored: docs is a plain scan of files, which need not be written again.
     """
-    sketches = keep(_sketches(docs), "sketches")
-    firsts = keep(sketches.groupBy("h", "l").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("s")).select("s.*"), "firsts")
+    rows = identified(docs, stored)
+    sketches = keep(_sketches(rows, key, text).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "file", "at", "fp", "bands"))
+    firsts = keep(sketches.groupBy("h", "l").agg(first.alias("s")).select("s.*"), "firsts")
     close = components(fingerprint_links(keep(firsts.select("fp").distinct(), "distinct"))).withColumnsRenamed({"node": "fp"})
-    printed = firsts.select("doc_id", "fp").join(close, "fp", "left").select("doc_id", F.xxhash64(F.coalesce("root", "fp"), F.lit(SEED)).alias("band"))
-    groups = keep(firsts.select("doc_id", F.explode("bands").alias("band")).unionByName(printed), "groups")
-    roots = components(similar_links(groups, docs))
-    stay = firsts.select("doc_id").join(roots.filter("node <> root").select(F.col("node").alias("doc_id")), "doc_id", "left_anti")
-    return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    printed = firsts.select("row", "fp").join(close, "fp", "left").select("row", F.xxhash64(F.coalesce("root", "fp"), F.lit(SEED)).alias("band"))
+    groups = keep(firsts.select("row", F.explode("bands").alias("band")).unionByName(printed), "groups")
+
+    def texts(named: DataFrame) -> DataFrame:
+        places = firsts.select("row", "file", "at").join(named, "row", "left_semi")
+        return rows.join(places, ["file", "at"]).select("row", F.col(f"docs.`{text}`").alias("text"))
+
+    roots = keep(components(similar_links(groups, texts)), "roots")
+    named = roots.withColumnsRenamed({"node": "row"}).join(firsts.select("row", "no_id", "id"), "row")
+    best = named.groupBy("root").agg(F.min(F.struct("no_id", "id", "row")).alias("s")).select("s.row")
+    gone = roots.select(F.col("node").alias("row")).join(best, "row", "left_anti")
+    stay = firsts.select("row", "file", "at").join(gone, "row", "left_anti").select("file", "at")
+    return rows.join(stay, ["file", "at"], "left_semi").select("docs.*")

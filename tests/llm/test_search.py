@@ -29,7 +29,7 @@ def test_fingerprints(spark):
 
 
 def test_golay_code_is_perfect():
-    index = simhash.golay_index()
+    index = simhash.golay_index(np.arange(1 << 23))
     assert np.bincount(index).tolist() == [2048] * 4096
 
 
@@ -149,6 +149,10 @@ def corpus(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int, toxic int")
 
 
+def toxic_marks(labels):
+    return labels.selectExpr("doc_id", "1 - quality as poor", "if(doc_id % 11 = 0, null, toxic * (1 - quality)) as poor_toxic", "toxic")
+
+
 def test_languages(spark, corpus):
     odd = spark.createDataFrame([(1000, None), (1001, ""), (1002, "12 %"), (1003, "tion " * 9)], "doc_id long, text string")
     model = langid.fit(corpus.filter("doc_id < 300"))
@@ -160,13 +164,13 @@ def test_languages(spark, corpus):
 
 
 def test_quality(spark, corpus):
-    field = quality.fit(corpus.filter("doc_id < 300"))
+    field = quality.fit(corpus, corpus.filter("doc_id < 300").select("doc_id", "quality"))
     truth = {r.doc_id: r.quality for r in corpus.filter("doc_id >= 300").collect()}
     got = quality.score(corpus.filter("doc_id >= 300"), field).collect()
     assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.95
     odd = quality.score(docs(spark, [None, "", "\n\n"]), field).collect()
     assert all(0 <= r.score <= 1 for r in odd)
-    assert {r.score for r in quality.score(docs(spark, ["x"]), quality.fit(corpus.limit(0))).collect()} == {0.5}
+    assert {r.score for r in quality.score(docs(spark, ["x"]), quality.fit(corpus, corpus.limit(0).select("doc_id", "quality"))).collect()} == {0.5}
 
 
 def test_forward_backward_against_enumeration():
@@ -185,12 +189,12 @@ def test_forward_backward_against_enumeration():
 
 
 def test_toxicity(spark, corpus):
-    chain = toxicity.fit(corpus.filter("doc_id < 300"))
+    chain = toxicity.fit(corpus, toxic_marks(corpus.filter("doc_id < 300")))
     truth = {r.doc_id: r.toxic for r in corpus.filter("doc_id >= 300").collect()}
     got = toxicity.score(corpus.filter("doc_id >= 300"), chain).collect()
     assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.95
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs(spark, [None, "", "x"]), chain).collect())
-    assert toxicity.fit(corpus.limit(0)) is None
+    assert toxicity.fit(corpus, toxic_marks(corpus.limit(0))) is None
     assert {r.score for r in toxicity.score(docs(spark, ["x"]), None).collect()} == {0.0}
 
 

@@ -99,7 +99,7 @@ def test_decoders_and_bad_images(spark):
     rows = [(1, media.ppm(rgb)), (2, b"P6\n9 9\n255\nshort"), (3, None), (4, b"GIF")]
     got = {r.doc_id: r for r in media.tiles(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
     assert [got[i].status for i in (1, 2, 3, 4)] == ["ok", "bad", "bad", "bad"]
-    assert np.load(__import__("io").BytesIO(got[1].tile)).shape == (32, 32, 3)
+    assert np.load(__import__("io").BytesIO(got[1].tile)).shape == (16, 16, 3)
 
 
 @settings(max_examples=40, deadline=None)
