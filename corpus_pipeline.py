@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm import langid, packing, passages, simhash, toxicity
-from helixframe.llm.common import keep, table
+from helixframe.llm.common import keep, ready, scratch, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return langid.keep_identified(docs)
 
 
@@ -17,14 +18,17 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(docs)
+    ready(spark)
+    return simhash.drop_near_copies(docs, stored=True)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return passages.cut_repeats(docs)
+    ready(spark)
+    return passages.cut_repeats(docs, stored=True)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return packing.packed_sequences(docs)
 
 
@@ -42,5 +46,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"), hold=True)
     return docs
