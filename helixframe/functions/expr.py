@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,10 +28,15 @@ def strip_chr(c: Column | str) -> Column:
 PLAIN = [*map(str, range(1, 23)), "X", "Y", "MT"]
 
 
+def _once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c), where every row evaluates c once however often f mentions it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _renamed(label: Column, names: dict[str, str | None]) -> Column:
-    """label, or what names says of it; every row evaluates label once."""
+    """label, or what names says of it."""
     pairs = F.create_map(*[F.lit(x).cast("string") for pair in names.items() for x in pair])
-    return F.get(F.transform(F.array(label), lambda x: F.when(F.map_contains_key(pairs, x), F.element_at(pairs, x)).otherwise(x)), F.lit(0))
+    return _once(label, lambda x: F.when(F.map_contains_key(pairs, x), F.element_at(pairs, x)).otherwise(x))
 
 
 def normalize_chrom(c: Column | str, names: dict[str, str | None] | None = None) -> Column:
@@ -56,9 +63,8 @@ def first_value(*cols: Column | str) -> Column:
 
 def finite(c: Column | str) -> Column:
     """A double if the text is a finite decimal number, else NULL."""
-    x = col(c).cast("string")
-    number = F.when(x.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), x.try_cast("double"))
-    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
+    number = F.regexp_extract(col(c).cast("string"), r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", 0).try_cast("double")
+    return _once(number, lambda x: F.when(F.abs(x) < float("inf"), x))
 
 
 def log_odds(beta: Column | str, odds: Column | str) -> Column:
