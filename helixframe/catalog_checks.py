@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, samples, summaries, variants
+from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, ridge, samples, summaries, variants
 from helixframe.registry import query, r6
 
 # ------------------------------------------------------------ association
@@ -463,6 +463,11 @@ def pooled_binary_test(v):
     return pooled.pooled_binary(v("calls"), v("variants"), case, ["pop"], min_mac=3).select("vid", "n", F.round("chi2", 5).alias("chi2"), "test")
 
 
+@query()
+def ridge_loco(v):
+    return ridge.fit_ridge_loco(v("calls"), v("variants"), v("pheno"), ["pop"]).select("sid", "chrom", F.round("pred", 3).alias("pred"))
+
+
 @query("SELECT p_brand AS sha256, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
 def repeated_artifacts(v):
     return manifest.repeated_artifacts(v("part").select(F.col("p_brand").alias("sha256")))

@@ -27,11 +27,11 @@ def table_round_trip(v):
     return io.read_table(df.sparkSession, at)
 
 
-@query("SELECT round(p, 9) AS p, chrom, pos, id, CAST(mac AS DOUBLE) AS beta FROM sumstats", "sumstats")
+@query("SELECT round(p, 7) AS p, chrom, pos, id, CAST(mac AS DOUBLE) AS beta FROM sumstats", "sumstats")
 def assoc_scan(v):
     df = v("sumstats").select(F.col("chrom").alias("#CHROM"), F.col("pos").alias("GENPOS"), F.col("id").alias("ID"), F.col("mac").alias("BETA"), (-F.log10("p")).alias("LOG10P"), F.lit("unused").alias("EXTRA"))
     io.write_table(df, at := _path(df))
-    return io.read_assoc(df.sparkSession, at).withColumn("p", F.round("p", 9))
+    return io.read_assoc(df.sparkSession, at).withColumn("p", F.round("p", 7))
 
 
 @query("SELECT count(*) AS n FROM sumstats", "sumstats")
