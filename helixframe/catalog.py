@@ -353,15 +353,28 @@ def harmonize_mapping(v):
     return variants.harmonize_variants(v("variants_ref"), v("variants_study")).mapping
 
 
-@query(f"""WITH {JUDGED}, keys AS (SELECT DISTINCT chrom, pos, lo, hi, coalesce(r.n, 0) AS rn, coalesce(s.n, 0) AS sn FROM r FULL JOIN s USING (chrom, pos, lo, hi)),
-dup AS (SELECT chrom, pos, CASE WHEN rn > 1 AND sn > 1 THEN 'duplicate_locus_allele_key_both' WHEN rn > 1 THEN 'duplicate_locus_allele_key_reference' ELSE 'duplicate_locus_allele_key_study' END AS reason, CASE WHEN rn > 0 AND sn > 0 THEN 'both' WHEN rn > 0 THEN 'reference' ELSE 'study' END AS excluded_side FROM keys WHERE rn > 1 OR sn > 1),
-ok AS (SELECT * FROM keys WHERE rn <= 1 AND sn <= 1),
-loc AS (SELECT chrom, pos, count(*) FILTER (WHERE sn = 0) AS ur, count(*) FILTER (WHERE rn = 0) AS us, sum(rn) AS vr, sum(sn) AS vs FROM ok GROUP BY chrom, pos)
-SELECT reason, excluded_side, chrom, pos FROM dup
-UNION ALL SELECT state, 'both', chrom, pos FROM judged WHERE state IN ('palindromic_snp_excluded', 'pvar_known_ref_disagreement', 'no_pvar_known_ref_for_cpra')
-UNION ALL SELECT 'allele_mismatch', CASE WHEN ur > 0 AND us > 0 THEN 'both' WHEN ur > 0 THEN 'reference' ELSE 'study' END, chrom, pos FROM loc WHERE (ur > 0 OR us > 0) AND vr > 0 AND vs > 0""", "variants_ref", "variants_study")
+def _mismatch_sql() -> str:
+    gathered = ", ".join(f"list({f} ORDER BY ref, alt, id, pr) FILTER (WHERE side = '{side}') AS {side}_{f}" for side in "rs" for f in ("id", "ref", "alt", "pr"))
+
+    def collapsed(side: str, f: str) -> str:
+        return f"coalesce(array_to_string(list_filter({side}_{f}, lambda x, i: list_position({side}_{f}, x) = i), ';'), '')"
+
+    named = ", ".join(f"{collapsed(side, f)} AS {name}_{'provisional' if f == 'pr' else f}" for side, name in (("r", "reference"), ("s", "study")) for f in ("id", "ref", "alt", "pr"))
+    return f"""WITH {JUDGED}, keys AS (SELECT DISTINCT chrom, pos, lo, hi, coalesce(r.n, 0) AS rn, coalesce(s.n, 0) AS sn FROM r FULL JOIN s USING (chrom, pos, lo, hi)),
+k AS (SELECT chrom, pos, lo, hi, rn, sn, CASE WHEN rn > 1 AND sn > 1 THEN 'duplicate_locus_allele_key_both' WHEN rn > 1 THEN 'duplicate_locus_allele_key_reference' WHEN sn > 1 THEN 'duplicate_locus_allele_key_study' ELSE state END AS state FROM keys LEFT JOIN judged USING (chrom, pos, lo, hi)),
+b AS (SELECT chrom, pos, lo, hi, state AS reason, CASE WHEN rn > 0 AND sn > 0 THEN 'both' WHEN rn > 0 THEN 'reference' ELSE 'study' END AS excluded_side FROM k WHERE state LIKE 'duplicate%' OR state IN ('palindromic_snp_excluded', 'pvar_known_ref_disagreement', 'no_pvar_known_ref_for_cpra')),
+loc AS (SELECT chrom, pos, count(*) FILTER (WHERE sn = 0) AS ur, count(*) FILTER (WHERE rn = 0) AS us FROM k WHERE rn <= 1 AND sn <= 1 GROUP BY chrom, pos HAVING (count(*) FILTER (WHERE sn = 0) > 0 OR count(*) FILTER (WHERE rn = 0) > 0) AND sum(rn) > 0 AND sum(sn) > 0),
+e AS (SELECT 'r' AS side, chrom, pos, lo, hi, ref, alt, id, CAST(pr AS VARCHAR) AS pr FROM r UNION ALL SELECT 's', chrom, pos, lo, hi, ref, alt, id, CAST(pr AS VARCHAR) FROM s),
+m AS (SELECT reason, excluded_side, chrom, pos, lo, hi, side, ref, alt, id, pr FROM b JOIN e USING (chrom, pos, lo, hi)
+  UNION ALL SELECT 'allele_mismatch', CASE WHEN ur > 0 AND us > 0 THEN 'both' WHEN ur > 0 THEN 'reference' ELSE 'study' END, e.chrom, e.pos, '', '', side, ref, alt, id, pr
+  FROM e JOIN k ON k.chrom = e.chrom AND k.pos = e.pos AND k.lo = e.lo AND k.hi = e.hi JOIN loc ON loc.chrom = e.chrom AND loc.pos = e.pos WHERE rn <= 1 AND sn <= 1 AND CASE WHEN side = 'r' THEN ur = 0 OR sn = 0 ELSE us = 0 OR rn = 0 END),
+g AS (SELECT reason, excluded_side, chrom, pos, lo, hi, {gathered} FROM m GROUP BY reason, excluded_side, chrom, pos, lo, hi)
+SELECT reason, excluded_side, chrom, pos, {named} FROM g"""
+
+
+@query(_mismatch_sql(), "variants_ref", "variants_study")
 def harmonize_mismatches(v):
-    return variants.harmonize_variants(v("variants_ref"), v("variants_study")).mismatches.select("reason", "excluded_side", "chrom", "pos")
+    return variants.harmonize_variants(v("variants_ref"), v("variants_study")).mismatches
 
 
 @query(f"SELECT count(*) AS scanned, count(*) FILTER (WHERE {ELIGIBLE}) AS eligible, count(*) FILTER (WHERE NOT ({ELIGIBLE})) AS excluded FROM variants_study", "variants_study")
