@@ -279,3 +279,11 @@ def test_top_k_takes_odd_vectors(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(d, lambda c: c == 0).collect())
     score = 64 * 64 * 11
     assert got == [(0, 1, 6, score), (0, 2, 6, score)]
+
+
+def test_licences_come_by_precedence(spark):
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND\nFITNESS."
+    agpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU Affero General Public License for more details."
+    both = "Released under the MIT License.\nLicensed under the Apache License, Version 2.0."
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame([(0, isc), (1, agpl), (2, both)], "doc_id long, text string")).collect()}
+    assert got == {0: ["ISC"], 1: ["AGPL-3.0-or-later"], 2: ["Apache-2.0", "MIT"]}
