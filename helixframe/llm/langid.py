@@ -39,9 +39,14 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     Each language's documents are cut to their bound before they meet in one task.
     """
-    known = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.xxhash64(key).alias("draw"), F.col(key).alias("key"))
+    known = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.shiftrightunsigned(F.xxhash64(key), 2).alias("draw"), F.col(key).alias("key"))
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return {}
+    # so few documents of a language are ranked that its group stays small
+    limits = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, int(min(1.0, 4 * documents / n) * (1 << 62)))])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "key"))
-    chosen = known.withColumn("place", place).filter(F.col("place") <= documents).select("lang", "key").distinct()
+    chosen = known.filter(F.col("draw") <= F.element_at(limits, F.col("lang"))).withColumn("place", place).filter(F.col("place") <= documents).select("lang", "key").distinct()
     chosen = keep(chosen, "chosen")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
