@@ -63,7 +63,9 @@ def first_value(*cols: Column | str) -> Column:
 
 def finite(c: Column | str) -> Column:
     """A double if the text is a finite decimal number, else NULL."""
-    number = F.regexp_extract(col(c).cast("string"), r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", 0).try_cast("double")
+    x = col(c).cast("string")
+    # a cast alone would take words and suffixes, too; of these characters it takes decimal numbers only
+    number = F.when(F.btrim(x, F.lit("0123456789.+-eE")) == "", x.try_cast("double"))
     return _once(number, lambda x: F.when(F.abs(x) < float("inf"), x))
 
 
