@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.llm import langid, lexicon, licenses, media, packing, passages, quality, simhash, topk, toxicity
+from helixframe.llm import langid, lexicon, licenses, media, merkle, packing, passages, permuterm, quality, simhash, thresholds, topk, toxicity
 
 QUERIES = {
     "op1_toxicity_chain": toxicity.op1_toxicity_chain,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_simhash_golay": simhash.op8_simhash_golay,
     "op9_topk_threshold": topk.op9_topk_threshold,
     "op10_quality_lines": quality.op10_quality_lines,
+    "op11_risk_thresholds": thresholds.op11_risk_thresholds,
+    "op12_permuterm_variants": permuterm.op12_permuterm_variants,
+    "op13_merkle_veb": merkle.op13_merkle_veb,
 }
 ORACLES = {
     "op5_license_scan": licenses.ORACLE_SQL,
