@@ -160,17 +160,17 @@ def paths(made: DataFrame) -> DataFrame:
 def with_paths(rounds: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
     """The lowest round's blocks with path, the siblings above them; tops (grp, path) continues the path of each group's root."""
     above = None
-    for made in reversed(rounds):
+    for depth in range(len(rounds) - 1, -1, -1):
+        made = rounds[depth]
         if tops is None:
             made = made.withColumn("path", F.lit(None).cast(_PATH))
         else:
             made = made.join(tops, "grp", "left").withColumn("path", F.when(F.col("total") <= SPAN, F.col("path")))
         if above is not None:
             made = made.join(above.select("grp", F.col("idx").alias("block"), F.col("path").alias("up")), ["grp", "block"], "left").withColumn("path", F.coalesce("up", "path")).drop("up")
-        if made is not rounds[0]:
-            above = keep(paths(made), "paths") if len(rounds) > 1 else None
-        last = made
-    return last
+        if depth:
+            above = keep(paths(made), "paths")
+    return made
 
 
 class Manifest:
