@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import quality
+from helixframe.operators import pruning, quality, tiles
+from helixframe.operators.tiles import Tiles
 from helixframe.plans.stored import written
 
 KING_CUTOFF = 0.0884
@@ -112,53 +113,31 @@ def near_pairs(variants: DataFrame, window: int) -> DataFrame:
     return left.join(right, ["chrom", "bin"]).filter(near & (F.col("a") != F.col("b"))).select("a", "b")
 
 
-def pair_r2(calls: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs with n, r and r2 over samples called at both variants."""
-    x = calls.filter("g is not null").select("sid", F.col("vid").alias("a"), F.col("g").cast("double").alias("ga"))
-    y = calls.filter("g is not null").select("sid", F.col("vid").alias("b"), F.col("g").cast("double").alias("gb"))
-    met = pairs.select("a", "b").join(x, "a").join(y, ["b", "sid"])
-    sums = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(k) for k, e in (("sa", F.col("ga")), ("sb", F.col("gb")), ("sab", F.col("ga") * F.col("gb")), ("saa", F.col("ga") ** 2), ("sbb", F.col("gb") ** 2))])
-    va, vb = F.col("n") * F.col("saa") - F.col("sa") ** 2, F.col("n") * F.col("sbb") - F.col("sb") ** 2
-    r = (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(va * vb)
-    return sums.select("a", "b", "n", F.when((va > 0) & (vb > 0), r).alias("r")).withColumn("r2", F.col("r") * F.col("r"))
+def pair_r2(calls: DataFrame | Tiles, pairs: DataFrame) -> DataFrame:
+    """pairs (a, b) with n, r and r2 over samples called at both variants, by products of tiles; calls are cut into tiles first."""
+    return tiles.pair_r2(calls if isinstance(calls, Tiles) else tiles.tiled(calls), pairs)
 
 
-def ld_prune(calls: DataFrame, variants: DataFrame, window: int, r2: float) -> DataFrame:
-    """(vid) left after pruning: in position order, of each conflicting pair the rarer goes, ties the later.
+def ld_prune(calls: DataFrame | Tiles, variants: DataFrame, window: int, r2: float, frequencies: DataFrame | None = None, stretch: int = 0) -> DataFrame:
+    """(vid) left after pruning by distance: in position order, of each conflicting pair the rarer goes, ties the later.
 
-    Spark reduces all pairs to the sparse conflicts; the order-bound step sees one chromosome's at a time.
+    frequencies (vid, maf) are those of calls unless given, as they must be with tiles. Stretches of
+    positions, no shorter than the window, settle side by side. prune_windows counts variants instead.
     """
-    conflicts = pair_r2(calls, near_pairs(variants, window)).filter(F.col("r2") > r2)
-    maf = allele_counts(calls).select("vid", "maf")
-    side = variants.join(maf, "vid").select("vid", "chrom", "pos", "maf")
-    rows = conflicts.select("a", "b").join(side.withColumnsRenamed({"vid": "a", "pos": "pa", "maf": "ma"}), "a").join(side.drop("chrom").withColumnsRenamed({"vid": "b", "pos": "pb", "maf": "mb"}), "b")
+    maf = (frequencies if frequencies is not None else allele_counts(calls)).select("vid", "maf")
+    t = calls if isinstance(calls, Tiles) else tiles.tiled(calls, variants)
+    side = t.variants.select("vid", "chrom", "pos", "idx").join(maf, "vid")
+    rows = pair_r2(t, near_pairs(variants, window)).filter(F.col("r2") > r2).select("a", "b")
+    rows = rows.join(side.withColumnsRenamed({"vid": "a", "pos": "ai", "maf": "ma", "idx": "i"}), "a").join(side.drop("chrom").withColumnsRenamed({"vid": "b", "pos": "aj", "maf": "mb", "idx": "j"}), "b")
+    gone = F.when(F.col("ma") < F.col("mb"), F.col("i")).otherwise(F.col("j"))
+    conflicts = rows.select("chrom", F.col("ai").alias("start"), F.col("ai").alias("k"), "i", "j", "ai", "aj", gone.alias("gone"))
+    removed = pruning.settle(conflicts, max(stretch, window + 1)).withColumnRenamed("id", "idx")
+    return t.variants.join(removed, ["chrom", "idx"], "left_anti").select("vid")
 
-    def prune(frame: pd.DataFrame) -> pd.DataFrame:
-        gone: set[int] = set()
-        for r in frame.sort_values(["pa", "a", "pb", "b"]).itertuples():
-            if r.a not in gone and r.b not in gone:
-                gone.add(r.a if r.ma < r.mb else r.b)
-        return pd.DataFrame({"vid": sorted(gone)}, dtype="int64")
 
-    gone = rows.groupBy("chrom").applyInPandas(prune, "vid long")
-    return variants.join(gone, "vid", "left_anti").select("vid")
-
-
-def kinship_pairs(calls: DataFrame) -> DataFrame:
-    """KING-robust (a, b, hethet, ibs0, het_a, het_b, phi) of all sample pairs, over variants called in both.
-
-    The pairs of one variant's samples meet in that variant's task and are summed before the shuffle.
-    """
-    known = calls.filter("g is not null").select("vid", "sid", F.col("g").cast("int").alias("g"))
-    a, b = known.withColumnsRenamed({"sid": "a", "g": "ga"}), known.withColumnsRenamed({"sid": "b", "g": "gb"})
-    met = a.join(b, "vid").filter("a < b")
-    counts = met.groupBy("a", "b").agg(
-        F.count_if((F.col("ga") == 1) & (F.col("gb") == 1)).alias("hethet"), F.count_if(F.abs(F.col("ga") - F.col("gb")) == 2).alias("ibs0"),
-        F.count_if(F.col("ga") == 1).alias("het_a"), F.count_if(F.col("gb") == 1).alias("het_b"),
-    )
-    low = F.least("het_a", "het_b")
-    phi = (F.col("hethet") - 2 * F.col("ibs0")) / (2 * low) + 0.5 - (F.col("het_a") + F.col("het_b")) / (4 * low)
-    return counts.withColumn("phi", F.when(low > 0, phi))
+def kinship_pairs(calls: DataFrame | Tiles, above: float | None = None) -> DataFrame:
+    """KING-robust (a, b, hethet, ibs0, het_a, het_b, phi) of sample pairs, over variants called in both, by products of tiles; with above, those of a larger phi."""
+    return tiles.kinship(calls if isinstance(calls, Tiles) else tiles.tiled(calls), above).drop("n")
 
 
 def unrelated(calls: DataFrame, cutoff: float = KING_CUTOFF) -> DataFrame:
@@ -166,7 +145,7 @@ def unrelated(calls: DataFrame, cutoff: float = KING_CUTOFF) -> DataFrame:
 
     Removals in different families don't touch one another, so each connected family is thinned on its own.
     """
-    related = written(kinship_pairs(calls).filter(F.col("phi") > cutoff).select("a", "b"), "related")
+    related = written(kinship_pairs(calls, cutoff).select("a", "b"), "related")
     family = families(related)
 
     def thin(frame: pd.DataFrame) -> pd.DataFrame:
