@@ -103,6 +103,13 @@ def crc_mod(column: str, mod: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod))
 
 
+def crc_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text: bit by bit, each byte on the first of its eight steps."""
+    raw = f"hex(encode({text}))"
+    steps = f"list_transform(range(4 * length({raw})), lambda i: CASE WHEN i % 8 = 0 THEN CAST('0x' || substr({raw}, CAST(i // 4 + 1 AS BIGINT), 2) AS BIGINT) ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"
+
+
 def crc_mod_py(value: int, mod: int) -> int:
     return zlib.crc32(str(value).encode()) % mod
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import keep, table
+from helixframe.llm.common import crc_sql, keep, table
 
 #: Children of a node, and levels between a block's root and its leaves.
 FAN, HEIGHT = 8, 3
@@ -239,3 +239,40 @@ def op13_merkle_veb(spark, sf_dir: str) -> DataFrame:
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     changed = F.when(hit, leaf(fields | {"text": F.translate("text", CAPITALS, CAPITALS.lower())}))
     return proofs(manifest(docs, fields, "lang", "doc_id", changed)).withColumnRenamed("key", "doc_id")
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(text if c == "text" else c) for c in FIELDS) + ")"
+
+
+def _siblings_sql(tree: str) -> str:
+    run = "string_agg(node, '') OVER (PARTITION BY grp, lvl, i // 8 ORDER BY i ROWS BETWEEN "
+    return f"SELECT grp, lvl, i, n, coalesce({run}UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce({run}1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {tree}"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    return f"{name} AS (SELECT grp, 0 AS lvl, i, n, node FROM {leaves} UNION ALL SELECT grp, lvl + 1, i // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY grp, lvl, n, i // 8)"
+
+
+def _climb_sql(name: str, start: str, siblings: str) -> str:
+    return f"{name} AS (SELECT * FROM {start} UNION ALL SELECT c.id, c.grp, c.lvl + 1, c.i // 8, c.proof || s.l || s.r, sha256(s.l || c.fold || s.r) FROM {name} c JOIN {siblings} s ON s.grp = c.grp AND s.lvl = c.lvl AND s.i = c.i WHERE s.n > 1)"
+
+
+_CHANGED_SQL = f"CASE WHEN {crc_sql('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{CAPITALS}', '{CAPITALS.lower()}')")} END"
+ORACLE_SQL = f"""
+WITH RECURSIVE given AS (SELECT doc_id, coalesce('=' || lang, '') AS grp, {_leaf_sql("text")} AS node, {_CHANGED_SQL} AS other FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, node) - 1 AS i, count(*) OVER (PARTITION BY grp) AS n FROM given),
+{_tree_sql("tree", "leaves")},
+sub AS (SELECT grp AS name, '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS i, count(*) OVER () AS n, node FROM tree WHERE n = 1),
+{_tree_sql("top", "sub")},
+low AS ({_siblings_sql("tree")}), high AS ({_siblings_sql("top")}),
+ids AS (SELECT row_number() OVER () AS id, * FROM leaves),
+{_climb_sql("inside", "(SELECT id, grp, 0 AS lvl, i, '' AS proof, coalesce(other, node) AS fold FROM ids)", "low")},
+upper AS (SELECT c.id, sub.grp, 0 AS lvl, sub.i, c.proof, c.fold FROM inside c JOIN tree t ON t.grp = c.grp AND t.lvl = c.lvl AND t.i = c.i AND t.n = 1 JOIN sub ON sub.name = c.grp),
+{_climb_sql("above", "upper", "high")}
+SELECT doc_id, ids.node AS leaf, sub.node AS subroot, t.node AS root, sha256(a.proof) AS proof_sha256, a.fold AS folded_root, a.fold = t.node AS verified
+FROM above a JOIN top t ON t.lvl = a.lvl AND t.i = a.i AND t.n = 1 JOIN ids USING (id) JOIN sub ON sub.name = ids.grp"""

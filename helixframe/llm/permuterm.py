@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import keep, table, text_chunks
+from helixframe.llm.common import crc_sql, keep, table, text_chunks
 
 #: Longer words are keyed by digests.
 LONG = 64
@@ -183,3 +183,17 @@ def op12_permuterm_variants(spark, sf_dir: str) -> DataFrame:
     words = keep(vocabulary(table(spark, sf_dir, "documents"), drop_one).filter("n >= 2"), "words")
     formed = keep(forms(neighbours(words)), "formed")
     return roots(formed).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+hashed AS (SELECT run, n, {crc_sql("line")} AS h FROM (SELECT run, count(*) AS n, concat(doc_id, ':', run) AS line FROM runs GROUP BY doc_id, run) t),
+changed AS (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gaps AS (SELECT word, n, left(word, i) AS head, substr(word, i + 2) AS tail FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words) t),
+less AS (SELECT g.word AS long, w.word AS short FROM gaps g JOIN words w ON w.word = g.head || g.tail),
+near AS (SELECT x.word AS word, y.word AS other FROM gaps x JOIN gaps y ON x.head = y.head AND x.tail = y.tail AND x.word <> y.word UNION SELECT long, short FROM less UNION SELECT short, long FROM less),
+best AS (SELECT near.word, w.word AS other, w.n, count(*) OVER (PARTITION BY near.word) AS n_near, row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, w.word) AS place FROM near JOIN words w ON w.word = near.other),
+formed AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.other END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word AND b.place = 1),
+chain AS (SELECT word, word AS root, form AS next FROM formed UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.next)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL"""

@@ -219,7 +219,7 @@ def test_registered_queries_keep_their_contracts(spark, small):
     text = docs.set_index("doc_id").text.fillna("").to_dict()
     for name, f in queries.QUERIES.items():
         got = f(spark, path).toPandas()
-        if name.startswith("op9"):
+        if name.startswith(("op9", "op12")):  # not rows of documents; see test_contracts
             continue
         assert set(got.doc_id) == set(text), name
         if name.startswith("op7"):
