@@ -93,8 +93,20 @@ RULES = {
 # Boundaries: line ends, sentence marks that white space follows, and list marks at the begin of a line.
 _END = r"[.!?]+[ \t\r\n]+"
 _LIST = r"(^|\n)[^a-z0-9\n]*([0-9]{1,2}|[a-z])[.)][ \t]+"
-#: Only texts with one of these words can hold a known sentence: the cheap first test of a text.
-_HINT = r"(?i)licen|permission|warrant|redistribut|rights|domain|copyright|details|conditions"
+
+
+def hints(sentences: list[str], least: int = 6) -> list[str]:
+    """Few words of at least so many letters, one of which every sentence holds: of those that most of the open sentences hold, the longest."""
+    words, left = [], [set(s.split()) for s in sentences]
+    while left:
+        known = sorted({w for s in left for w in s if len(w) >= least})
+        words.append(max(known, key=lambda w: (sum(w in s for s in left), len(w))))
+        left = [s for s in left if words[-1] not in s]
+    return words
+
+
+#: A text without any of these words holds no known sentence: the cheap first test of a lower-cased text.
+_HINT = "|".join(hints([s for _, s in SENTENCES]))
 
 
 def normalised(text: Column) -> Column:
@@ -110,7 +122,7 @@ def sentence_ids(text: Column) -> Column:
     wrapped = "|".join(s.replace(" ", "[ \n]+") for s in sorted(sentences, key=len, reverse=True))
     found = F.regexp_extract_all(normalised(text), F.lit(f"(?:^|\n) *({wrapped})(?= *(?:\n|$))"), F.lit(1))
     ids = F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, "[ \n]+", " ")))
-    return F.when(text.rlike(_HINT), ids).otherwise(F.array().cast("array<string>"))
+    return F.when(F.lower(text).rlike(_HINT), ids).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: dict[str, list[str]] | None = None) -> DataFrame:

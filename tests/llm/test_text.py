@@ -191,6 +191,16 @@ GPL = """    Copyright (C) 2024  Some One
 """
 
 
+def test_every_known_sentence_is_found_alone(spark):
+    from helixframe.llm.licenses import SENTENCES, hints
+
+    lines = [(i, s, name) for i, (name, s) in enumerate(SENTENCES)]
+    docs = spark.createDataFrame([(i, s.upper() if i % 2 else s + ".") for i, s, _ in lines] + [(100 + i, f"before\n{s.replace(' ', chr(10), 1)}\nafter") for i, s, _ in lines], "doc_id long, text string")
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan(docs).collect()}
+    assert got == {k + i: [name] for i, _, name in lines for k in (0, 100)}
+    assert all(any(w in s.split() for w in hints([x for _, x in SENTENCES])) for _, s in SENTENCES)
+
+
 def test_unaltered_licence_texts(spark):
     texts = [MIT, APACHE, BSD, BSD3, GPL, GPL.replace("version 3", "version 2").replace("\n", "\r\n"), BSD.replace("1. ", "(a) ").replace("2. ", "* ")]
     got = {r.doc_id: r.licenses for r in licenses.scan(docs(spark, texts)).collect()}
