@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, reports, samples, summaries, variants
+from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, pruning, quality, reports, samples, summaries, tiles, variants
 from helixframe.registry import ORACLES, QUERIES, query, r6
 
 # ------------------------------------------------------------ association tables
@@ -178,6 +178,24 @@ def ld_pairs(v):
     return genotype.pair_r2(v("calls"), genotype.near_pairs(v("variants"), WINDOW)).select("a", "b", "n", r6("r2"))
 
 
+COUNTED, STEP = 30, 7
+
+
+@query(f"""WITH placed AS (SELECT vid, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, vid) - 1 AS i FROM variants),
+near AS (SELECT x.vid AS a, y.vid AS b, x.chrom, x.i, y.i AS j, CAST(greatest(0, ceil((y.i - {COUNTED - 1}) / CAST({STEP} AS DOUBLE))) AS BIGINT) AS k FROM placed x JOIN placed y ON x.chrom = y.chrom AND y.i - x.i BETWEEN 1 AND {COUNTED - 1}),
+pairs AS (SELECT * FROM near WHERE k * {STEP} <= i), {R2}
+SELECT chrom, k, i, j, n, round(r, 6) AS r FROM c JOIN pairs USING (a, b) WHERE r * r > 0.05""", "calls", "variants")
+def window_ld(v):
+    t = tiles.tiled(v("calls"), v("variants"))
+    return tiles.window_r2(t, COUNTED, STEP, 0.05).select("chrom", "k", "i", "j", "n", r6("r"))
+
+
+@query()
+def ld_pruned_windows(v):
+    calls = v("calls")
+    return pruning.prune_windows(tiles.tiled(calls, v("variants")), genotype.allele_counts(calls), COUNTED, STEP, 0.2)
+
+
 @query()
 def ld_pruned(v):
     return genotype.ld_prune(v("calls"), v("variants"), WINDOW, 0.2)
@@ -425,9 +443,9 @@ def chrom_coverage(v):
     return variants.chrom_coverage(v("variants"))
 
 
-@query("""SELECT side, count(*) AS n FROM (SELECT id, 'left' AS side FROM variants_ref WHERE id NOT IN (SELECT id FROM variants_study) GROUP BY id UNION ALL SELECT id, 'right' FROM variants_study WHERE id NOT IN (SELECT id FROM variants_ref) GROUP BY id) u GROUP BY side""", "variants_ref", "variants_study")
+@query("""SELECT DISTINCT id, 'left' AS side FROM variants_ref WHERE id NOT IN (SELECT id FROM variants_study) UNION ALL SELECT DISTINCT id, 'right' FROM variants_study WHERE id NOT IN (SELECT id FROM variants_ref)""", "variants_ref", "variants_study")
 def set_identity(v):
-    return quality.same_set(v("variants_ref").select("id"), v("variants_study").select("id")).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return quality.same_set(v("variants_ref").select("id"), v("variants_study").select("id"))
 
 
 # ------------------------------------------------------------ samples and ancestry
@@ -530,10 +548,16 @@ w AS (SELECT CAST('0x' || d[1:3] AS INTEGER) AS shelf, CAST('0x' || d[1:16] AS U
 s AS (SELECT shelf, sha256(concat_ws(':', shelf, count(*), sum(CAST(a AS HUGEINT)), sum(CAST(b AS HUGEINT)), sum(CAST(c AS HUGEINT)), sum(CAST(e AS HUGEINT)))) AS t FROM w GROUP BY shelf),
 k AS (SELECT shelf // 64 AS place, sha256(string_agg(t, chr(10) ORDER BY shelf)) AS t FROM s GROUP BY 1)
 SELECT sha256(string_agg(t, chr(10) ORDER BY place)) AS fingerprint FROM k""")
-def content_fingerprint(v):
+def wide_fingerprint(v):
     return manifest.wide_fingerprint(_inventory(v))
 
 
+@query("SELECT p_brand AS run, sha256(string_agg(concat('p/', p_partkey, chr(9), sha256(p_name), chr(9), p_size), chr(10) ORDER BY concat('p/', p_partkey)) || chr(10)) AS fingerprint FROM part GROUP BY p_brand")
+def content_fingerprint(v):
+    brand = v("part").select(F.concat(F.lit("p/"), F.col("p_partkey").cast("string")).alias("path"), F.col("p_brand").alias("run"))
+    return manifest.content_fingerprint(_inventory(v).join(brand, "path"), "run")
+
+
 @query("SELECT concat('run:p/', p_partkey, ':bytes') AS key, CAST(p_size AS VARCHAR) AS value FROM part UNION ALL SELECT concat('run:p/', p_partkey, ':sha256'), sha256(p_name) FROM part")
 def manifest_rows(v):
     return reports.manifest_rows(_inventory(v), "run")

@@ -46,10 +46,10 @@ def inverse_normal_ranks(v):
     return out.join(running, "z").select("sid", F.round(F.col("upto") - (F.col("ties") - 1) / 2.0, 6).alias("mean_rank"))
 
 
-@query("""SELECT metric, CAST(NULL AS DOUBLE) AS x FROM (SELECT 1) t, (SELECT 'none' AS metric) u WHERE false""")
+@query("SELECT id, 'ADD' AS \"TEST\" FROM sumstats WHERE mac <> 7", "sumstats")
 def test_terms(v):
-    raw = v("sumstats").select(F.when(F.col("mac") == 7, "DOMDEV").otherwise("ADD").alias("TEST"), "id")
-    return assoc.filter_test(raw, "ADD").filter("TEST <> 'ADD'").select(F.col("TEST").alias("metric"), F.lit(None).cast("double").alias("x"))
+    raw = v("sumstats").select("id", F.when(F.col("mac") == 7, "DOMDEV").otherwise("ADD").alias("TEST"))
+    return assoc.filter_test(raw, "ADD")
 
 
 VALID = "p > 0 AND p <= 1"
@@ -242,9 +242,9 @@ def sample_sets(v):
 
 
 @query("""WITH a AS (SELECT DISTINCT id, chrom, pos, least(ref, alt) AS lo, greatest(ref, alt) AS hi FROM variants_ref), b AS (SELECT DISTINCT id, chrom, pos, least(ref, alt) AS lo, greatest(ref, alt) AS hi FROM variants_study)
-SELECT 'left' AS side, count(*) AS n FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'right', count(*) FROM (FROM b EXCEPT FROM a) y""", "variants_ref", "variants_study")
+SELECT 'left' AS side, x.* FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'right', y.* FROM (FROM b EXCEPT FROM a) y""", "variants_ref", "variants_study")
 def same_variants(v):
-    return quality.same_variants(v("variants_ref"), v("variants_study")).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return quality.same_variants(v("variants_ref"), v("variants_study"))
 
 
 @query("""SELECT 'label_sizes' AS rule, count(*) FILTER (WHERE n <> 40) AS violations FROM (SELECT chrom, count(*) AS n FROM variants WHERE vid % 3 <> 0 GROUP BY chrom) x UNION ALL SELECT 'unique_ids', 0 UNION ALL SELECT 'unique_loci', 0
@@ -254,9 +254,11 @@ def panel_checks(v):
     return quality.check_panel(given.filter("cast(id as long) % 3 <> 0"), given, given.filter("cast(id as long) % 4 = 0"), {str(c): 40 for c in range(1, 23)})
 
 
-@query("""SELECT fid, concat(iid, 'b') AS iid, problem FROM (SELECT fid, iid, 'x' AS problem FROM samples WHERE false) z""", "samples")
+@query("""WITH q AS (SELECT fid, iid FROM samples WHERE age >= 40 UNION ALL SELECT iid, iid FROM samples WHERE age >= 40 AND age < 45) SELECT DISTINCT q.fid, q.iid FROM q JOIN samples s ON s.iid = q.iid AND s.age < 43""", "samples")
 def merged_overlap(v):
-    return samples.merge_cohorts(v("samples").filter("age < 40"), v("samples").filter("age >= 40"), v("samples").select("fid", "iid", F.col("ancestry").alias("label"))).filter("label is null").select("fid", "iid", F.lit("x").alias("problem"))
+    study = v("samples").filter("age >= 40").select("fid", "iid")
+    study = study.unionByName(v("samples").filter("age >= 40 and age < 45").select(F.col("iid").alias("fid"), "iid"))
+    return samples.in_both(v("samples").filter("age < 43"), study.distinct())
 
 
 @query("SELECT fid, iid, 'reference' AS sample_set, ancestry AS label FROM samples WHERE age < 40 UNION ALL SELECT fid, iid, 'study', '-' FROM samples WHERE age >= 40", "samples")

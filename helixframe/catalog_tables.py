@@ -77,19 +77,18 @@ def chrom_sink(v):
     return v("variants").sparkSession.read.parquet(at).select("vid", F.col("chrom").cast("int").alias("chrom"), "pos")
 
 
-@query("SELECT 'acctbal' AS trait, 'ALL' AS ancestry, 'GRCh38' AS build, count(*) AS n, count(p) AS with_p FROM sumstats", "sumstats")
+@query("SELECT 'acctbal' AS trait, CASE WHEN mac % 2 = 0 THEN 'EUR' ELSE 'ALL' END AS ancestry, 'GRCh38' AS build, id, pos, p FROM sumstats", "sumstats")
 def sumstats_sink(v):
-    df = v("sumstats").select("*", F.lit("acctbal").alias("trait"), F.lit("ALL").alias("ancestry"), F.lit("GRCh38").alias("build"))
+    df = v("sumstats").select("*", F.lit("acctbal").alias("trait"), F.when(F.col("mac") % 2 == 0, "EUR").otherwise("ALL").alias("ancestry"), F.lit("GRCh38").alias("build"))
     io.write_sumstats(df, at := _path(df))
-    return df.sparkSession.read.parquet(at).groupBy("trait", "ancestry", "build").agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("with_p"))
+    return df.sparkSession.read.parquet(at).select("trait", "ancestry", "build", "id", "pos", "p")
 
 
-@query("SELECT count(*) AS lines, sum(length(key)) AS key_chars FROM (SELECT concat('k', p_partkey) AS key FROM part) z")
+@query("SELECT concat('k', p_partkey) AS key, CAST(p_size AS VARCHAR) AS value FROM part")
 def key_value_sink(v):
     df = v("part").select(F.concat(F.lit("k"), "p_partkey").alias("key"), F.col("p_size").alias("value"))
     io.write_key_values(df, at := _path(df))
-    back = df.sparkSession.read.csv(at, sep="\t")
-    return back.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("_c0")).alias("key_chars"))
+    return df.sparkSession.read.csv(at, sep="\t", schema="key string, value string")
 
 
 @query("SELECT r_name AS role, 'GRCH38' AS build FROM region WHERE r_name = 'ASIA'")
@@ -98,11 +97,12 @@ def panel_choice(v):
     return io.select_panel(panels, "asia", "grch38")
 
 
-@query("SELECT sha256(p_name) AS sha256, length(p_name) AS size_bytes, count(*) AS n FROM part WHERE p_partkey <= 200 GROUP BY 1, 2 HAVING false")
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS name, sha256(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS sha256, CAST(sum(length(c_name) + 1) AS BIGINT) AS size_bytes FROM customer GROUP BY c_nationkey")
 def inventory_of_files(v):
-    df = v("nation").select(F.col("n_name").alias("value")).coalesce(1)
-    df.write.text(at := _path(df))
-    return io.file_inventory(df.sparkSession, at).filter("size_bytes < 0").select("sha256", "size_bytes", F.lit(1).cast("long").alias("n"))
+    df = v("customer").select("c_nationkey", "c_custkey", F.col("c_name").alias("value")).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    df.select("c_nationkey", "value").write.partitionBy("c_nationkey").text(at := _path(df))
+    files = io.file_inventory(df.sparkSession, at)
+    return files.select(F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1).alias("name"), "sha256", "size_bytes")
 
 
 # ------------------------------------------------------------ variants
@@ -125,9 +125,9 @@ def sanitized_variants(v):
     return variants.sanitize_variants(_spoilt(v)).select("row_number", "id", "ref", "alt")
 
 
-@query("SELECT id FROM (SELECT concat('v', p_partkey % 300) AS id FROM part) z GROUP BY id HAVING count(*) = 1")
+@query("SELECT id FROM (SELECT concat('v', p_partkey - CASE WHEN p_partkey % 5 = 1 THEN 1 ELSE 0 END) AS id FROM part) z GROUP BY id HAVING count(*) = 1")
 def unique_ids(v):
-    return variants.drop_repeated(v("part").select(F.concat(F.lit("v"), F.col("p_partkey") % 300).alias("id")), "id")
+    return variants.drop_repeated(v("part").select(F.concat(F.lit("v"), F.col("p_partkey") - F.when(F.col("p_partkey") % 5 == 1, 1).otherwise(0)).alias("id")), "id")
 
 
 INFOS = "i AS (SELECT concat('v', p_partkey) AS id, CASE p_partkey % 4 WHEN 0 THEN 'AF=1;R2=0.2' WHEN 1 THEN 'r2=9.5e-1;X' WHEN 2 THEN 'INFO=.;PR' ELSE 'INFO_SCORE=0.5' END AS info, p_partkey % 4 AS k FROM part)"

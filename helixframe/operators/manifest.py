@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def content_fingerprint(inventory: DataFrame) -> DataFrame:
-    """(fingerprint): SHA-256 of the sorted path, hash and size lines, each ended by a newline.
+def content_fingerprint(inventory: DataFrame, *by: str) -> DataFrame:
+    """(by..., fingerprint): SHA-256 of the path, hash and size lines, sorted by path, each ended by a newline; one for each run, or for all.
 
     For the artifacts of a run, whose list is small; wide_fingerprint serves tables of any size.
     """
     line = F.concat_ws("\t", "path", "sha256", F.col("size_bytes").cast("string"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x["line"])
-    return inventory.agg(F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")).cast("binary"), 256).alias("fingerprint"))
+    return inventory.groupBy(*by).agg(F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")).cast("binary"), 256).alias("fingerprint"))
 
 
 #: Shelves that paths are dealt to by their hash, and shelves to a case: neither grows with the table.

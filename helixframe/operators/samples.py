@@ -54,10 +54,14 @@ def attach_metadata(samples: DataFrame, meta: DataFrame, order: list[str]) -> Da
     return matched.join(named, ["target_fid", "target_iid"]).select(*samples.columns, "m.*")
 
 
+def in_both(reference: DataFrame, study: DataFrame) -> DataFrame:
+    """(fid, iid) of the study's samples that the reference has, too, under any spelling."""
+    return match_samples(study.select("fid", "iid"), reference.select("fid", "iid")).filter("target_iid is not null").select("fid", "iid")
+
+
 def merge_cohorts(reference: DataFrame, study: DataFrame, labels: DataFrame) -> DataFrame:
     """(fid, iid, sample_set, label) of both: reference rows with their label (fid, iid, label), study rows with '-'; a sample in both is an error."""
-    both = match_samples(study.select("fid", "iid"), reference.select("fid", "iid")).filter("target_iid is not null")
-    quality.require(both.select("fid", "iid"), "samples in reference and study")
+    quality.require(in_both(reference, study), "samples in reference and study")
     named = reference.select("fid", "iid").join(labels.select("fid", "iid", "label"), ["fid", "iid"], "left")
     return named.select("fid", "iid", F.lit("reference").alias("sample_set"), "label").unionByName(study.select("fid", "iid", F.lit("study").alias("sample_set"), F.lit("-").alias("label")))
 
