@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
 from helixframe.operators.assoc import ranked
 from helixframe.plans.stored import stored
+from helixframe.sources.bed import read_bed  # noqa: F401
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -136,36 +133,6 @@ def count_records(spark: SparkSession, path: str, header: bool = True) -> DataFr
     return _lines(spark, path).agg(F.greatest(F.count(F.lit(1)) - int(header), F.lit(0)).alias("n"))
 
 
-def read_bed(spark: SparkSession, prefix: str, variants_a_part: int = 512) -> DataFrame:
-    """(vid, sid, g): the calls of a variant-major BED file; vid and sid count rows of the BIM and FAM file from 0, g counts first (A1) alleles.
-
-    A file of at most 2 GB is read in one task and dealt in blocks of variants, which are decoded apart; larger
-    data should lie in several files, by variants, as one task reads each.
-    """
-    n = spark.read.text(f"{prefix}.fam").filter(F.trim("value") != "").count()
-    m = spark.read.text(f"{prefix}.bim").filter(F.trim("value") != "").count()
-    if not n or not m:
-        return spark.createDataFrame([], "vid long, sid long, g int")
-    width = (n + 3) // 4
-    whole = spark.read.format("binaryFile").load(f"{prefix}.bed")
-    head = whole.select("length", F.substring("content", 1, 3).alias("magic")).first()
-    if bytes(head.magic) != b"\x6c\x1b\x01" or head.length != 3 + width * m:
-        raise ValueError(f"{prefix}.bed isn't a variant-major BED file of {m} variants and {n} samples")
-    parts = whole.select("content", F.explode(F.sequence(F.lit(0), F.lit(max(m - 1, 0)), F.lit(variants_a_part))).alias("first"))
-    cut = parts.select(F.col("first").cast("long").alias("first"), F.expr(f"substring(content, 4 + first * {width}, {width * variants_a_part})").alias("block")).repartition(max(1, -(-m // variants_a_part)), "first")
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = np.array([2, -1, 1, 0], np.int8)  # 00 two first alleles, 01 no call, 10 one, 11 none
-        for batch in batches:
-            for first, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = np.frombuffer(block.as_py(), np.uint8).reshape(-1, width)
-                for i, row in enumerate(rows):
-                    g = code[(row[:, None] >> np.array([0, 2, 4, 6]) & 3).ravel()[:n]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, first + i)), pa.array(np.arange(n)), pa.array(g.astype(np.int32), mask=g < 0)], names=["vid", "sid", "g"])
-
-    return cut.mapInArrow(decode, "vid long, sid long, g int")
-
-
 def read_intervals(spark: SparkSession, path: str, convention: str) -> DataFrame:
     """(chrom, start, end, label): 'regions' with a header, 'bed' (0-based half-open) or 'genes' (id chrom start end) without."""
     if convention == "regions":

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.operators import genotype, pruning, tiles
+from helixframe.sources import bed
 
 
 def cohort(spark, n: int, m: int, seed: int = 1, missing: float = 0.1, chroms: int = 2):
@@ -130,3 +131,51 @@ def test_long_chains_settle(spark):
         if i not in gone and j not in gone:
             gone.add(g)
     assert got == gone
+
+
+def bed_file(folder, g: np.ndarray) -> str:
+    """A BED file, and its two companions, of a matrix of variants by samples with -1 for no call."""
+    m, n = g.shape
+    code = np.array([3, 2, 0, 1], np.uint8)[g]  # of 0, 1, 2 and -1
+    code = np.hstack([code, np.zeros((m, -n % 4), np.uint8)]).reshape(m, -1, 4)
+    (folder / "x.bed").write_bytes(bed.MAGIC + (code[:, :, 0] | code[:, :, 1] << 2 | code[:, :, 2] << 4 | code[:, :, 3] << 6).astype(np.uint8).tobytes())
+    (folder / "x.fam").write_text("f i 0 0 0 0\n" * n)
+    (folder / "x.bim").write_text("1 v 0 1 A G\n" * m)
+    return str(folder / "x")
+
+
+@pytest.mark.parametrize("n", [4, 5, 1023, 1024, 1026, 2050])
+def test_bed_ranges_hold_every_call(spark, tmp_path, n):
+    g = np.random.default_rng(n).integers(-1, 3, (37, n))
+    at = bed_file(tmp_path, g)
+    rows = bed.read_bed(spark, at, range_bytes=5 * ((n + 3) // 4))
+    assert rows.rdd.getNumPartitions() == 8  # 37 variants, five a range
+    got = rows.toPandas()
+    assert len(got) == 37 * n and (got.g.fillna(-1).astype(int).to_numpy() == g[got.vid, got.sid]).all()
+
+
+def test_tiles_of_strips_equal_tiles_of_calls(spark, tmp_path):
+    g = np.random.default_rng(8).integers(-1, 3, (300, 1100))
+    at = bed_file(tmp_path, g)
+    variants = spark.createDataFrame([(v, str(1 + v // 140), (v * 7919) % 1000) for v in range(300)], "vid long, chrom string, pos long")
+    a, b = bed.read_tiles(spark, at, variants, range_bytes=4000), tiles.tiled(bed.read_bed(spark, at), variants)
+    one, other = ({(r.block, r.sblock): (bytes(r.tile), list(r.vids)) for r in t.tiles.collect()} for t in (a, b))
+    assert one.keys() == other.keys() and all(one[k][0] == other[k][0] for k in one)
+    pairs = spark.createDataFrame([(0, 1), (5, 120), (150, 151)], "a long, b long")
+    x, y = (sorted(map(tuple, tiles.pair_r2(t, pairs).collect())) for t in (a, b))
+    assert x == y and len(x) == 3
+
+
+def test_a_large_bed_file_has_many_ranges(tmp_path):
+    """3 GB, of which nothing is written but the begin."""
+    n, m = 400_000, 30_000
+    with open(tmp_path / "x.bed", "wb") as f:
+        f.write(bed.MAGIC)
+        f.truncate(3 + n // 4 * m)
+    reader = bed.BedReader(str(tmp_path / "x.bed"), n, m, bed.RANGE_BYTES)
+    parts = reader.partitions()
+    assert len(parts) > 80 and sum(p.variants for p in parts) == m and max(p.variants for p in parts) * n // 4 <= bed.RANGE_BYTES
+    last = next(reader.read(bed.Range(m - 1, 1)))
+    assert last.num_rows == -(-n // tiles.SAMPLES) and last.column(0)[0].as_py() == m - 1
+    with pytest.raises(ValueError, match="BED"):
+        bed.BedReader(str(tmp_path / "x.bed"), n, m + 1, bed.RANGE_BYTES).check()
