@@ -7,8 +7,12 @@ summed over slices of the samples, so that no task holds all samples of a block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +20,8 @@ from helixframe.operators import genotype, pooled
 from helixframe.plans.stored import written
 
 BLOCK, FOLDS, SLICE_SAMPLES = 1000, 5, 16_384
+#: Bytes of level 1's matrix in one row of its stored design.
+DESIGN_BYTES = 16 << 20
 #: Shares of variance that the variants of a model may explain; each gives a penalty.
 SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
 
@@ -52,16 +58,24 @@ def _products(rows: DataFrame, by: list[str], slices: int) -> DataFrame:
     return sliced.groupBy(*by, "fold", "slice").applyInPandas(product, f"{kinds}fold int, m binary")
 
 
-def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], block: int = BLOCK, shares: tuple[float, ...] = SHARES) -> DataFrame:
+def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], block: int = BLOCK, shares: tuple[float, ...] = SHARES, binary: bool = False, min_cases: int = 10) -> DataFrame:
     """(sid, chrom, pred): each sample's prediction of y, less its covariates, from the variants of all other chromosomes.
 
     pheno (sid, y, covariates...) is cut to complete cases. Genotypes are standardized, missing calls are
     the mean. Level 1's penalty is the one that predicts left-out folds best. Blocks times penalties is the
-    width of level 1, whose matrix reaches the driver.
+    width of level 1, whose matrix of products stays within tasks. For a 0/1 trait (binary) level 1 is
+    logistic with the covariates' linear predictor as offset, pred is in log odds, and fewer cases, or
+    controls, than min_cases are an error.
     """
     whole = written(pheno.select("sid", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in covariates]).dropna(), "whole")
     stats = whole.agg(F.count(F.lit(1)), F.avg("y"), *[F.avg(c) for c in covariates]).first()
     n, means = stats[0], stats[2:]
+    if binary:
+        cases, odd = whole.agg(F.count_if(F.col("y") == 1), F.count_if(~F.col("y").isin(0.0, 1.0))).first()
+        if odd:
+            raise ValueError(f"{odd} values of a binary trait are neither 0 nor 1")
+        if min(cases, n - cases) < min_cases:
+            raise ValueError(f"{cases} cases and {n - cases} controls; at least {min_cases} of each are needed")
     centred = whole.select("sid", (F.col("y") - float(stats[1] or 0)).alias("y"), *[(F.col(c) - float(m or 0)).alias(c) for c, m in zip(covariates, means, strict=True)])
     if covariates:
         q, names = pooled._orthonormal(centred, "sid", covariates)
@@ -107,26 +121,164 @@ def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, cova
         return y.select("sid").join(F.broadcast(variants.select("chrom").distinct())).select("sid", "chrom", F.lit(0.0).alias("pred"))  # a row per chromosome
     table = calls.sparkSession.createDataFrame([(b, p, i) for (b, p), (i, _) in columns.items()], "block string, penalty int, place int")
     spread1 = first.groupBy("block", "penalty").agg(F.sqrt(F.sum(F.col("x") * F.col("x")) / n).alias("sd")).filter("sd > 1e-12")
-    rows = written(first.join(F.broadcast(table), ["block", "penalty"]).join(F.broadcast(spread1), ["block", "penalty"]).join(y, "sid").select("sid", "chrom", "fold", "place", (F.col("x") / F.col("sd")).alias("x"), "y"), "level1")  # a row per block and penalty
-    width = len(columns)
-    sums = [np.zeros((width + 1, width + 1)) for _ in range(FOLDS)]
-    for r in _products(rows.drop("chrom").withColumn("width", F.lit(width)), [], slices).toLocalIterator():
-        sums[r.fold] += np.frombuffer(r.m, "<f8").reshape(width + 1, width + 1)
-    total = sum(sums)
-
-    def weights1(m: np.ndarray, share: float) -> np.ndarray:
-        return _solve(m[:-1, :-1], m[:-1, -1], width * (1 - share) / share)
-
-    def missed(share: float) -> float:
-        out = 0.0
-        for part in sums:
-            w = weights1(total - part, share)
-            out += w @ part[:-1, :-1] @ w - 2 * w @ part[:-1, -1]
-        return out
-
-    w = weights1(total, min(shares, key=missed))
-    table = calls.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "place int, w double")
-    per = rows.join(F.broadcast(table), "place").groupBy("sid", "chrom").agg(F.sum(F.col("x") * F.col("w")).alias("part"))  # a row per block and penalty
+    target = y.select("sid", "fold", "y", F.lit(0.0).alias("offset"))
+    if binary:
+        eta = pooled.null_logistic(whole, covariates, whole.sparkSession.createDataFrame([("all",)], "chrom string")).rows.select("sid", F.col("eta").alias("offset"))
+        target = whole.select("sid", "y").join(y.select("sid", "fold"), "sid").join(eta, "sid")
+    rows = first.join(F.broadcast(table), ["block", "penalty"]).join(F.broadcast(spread1), ["block", "penalty"]).join(target, "sid").select("sid", "fold", "y", "offset", "place", (F.col("x") / F.col("sd")).alias("x"))  # a row per block and penalty
+    w = level1(designs(rows, len(columns), n), len(columns), shares, binary)
+    chroms = {c: np.array([i for i, at in columns.values() if at == c]) for c in {at for _, at in columns.values()}}
+    per = w.parts(chroms)
     every = y.select("sid").join(F.broadcast(variants.select("chrom").distinct())).join(per, ["sid", "chrom"], "left")  # a row per chromosome
     summed = per.groupBy("sid").agg(F.sum("part").alias("all"))
     return every.join(summed, "sid", "left").select("sid", "chrom", (F.coalesce("all", F.lit(0.0)) - F.coalesce("part", F.lit(0.0))).alias("pred"))
+
+
+def designs(rows: DataFrame, width: int, n: int) -> DataFrame:
+    """(fold, sid, y, offset, x): level 1's matrix in stored slices of the samples, of rows (sid, fold, y, offset, place, x)."""
+    slices = max(1, -(-n * width * 8 // (FOLDS * DESIGN_BYTES)))
+
+    def pivot(part: pa.Table) -> pa.Table:  # DESIGN_BYTES of a matrix
+        sid, first, row = np.unique(part["sid"].to_numpy(), return_index=True, return_inverse=True)
+        x = np.zeros((len(sid), width))
+        x[row, part["place"].to_numpy()] = part["x"].to_numpy()
+        own = [pa.array([part[c].to_numpy()[first]], pa.list_(pa.float64())) for c in ("y", "offset")]
+        return pa.table([part["fold"][:1], pa.array([sid], pa.list_(pa.int64())), *own, pa.array([x.tobytes()], pa.binary())], names=["fold", "sid", "y", "offset", "x"])
+
+    sliced = rows.withColumn("sid", F.col("sid").cast("long")).withColumn("slice", F.pmod(F.xxhash64("sid", F.lit(11)), F.lit(slices)).cast("int"))
+    return written(sliced.groupBy("fold", "slice").applyInArrow(pivot, "fold int, sid array<bigint>, y array<double>, offset array<double>, x binary"), "design")
+
+
+def _summed(given: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, columns...): lists of doubles, or matrices as bytes, added up place by place; a group is read as a stream."""
+
+    def add(keys: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: list = [0.0] * len(columns)
+        for batch in batches:
+            for i, c in enumerate(columns):
+                for m in batch.column(batch.schema.get_field_index(c)):
+                    sums[i] = sums[i] + np.frombuffer(m.as_py(), "<f8")
+        yield pa.RecordBatch.from_arrays([pa.array([keys[0].as_py()], pa.int32()), *[pa.array([m.tobytes()], pa.binary()) for m in sums]], names=[key, *columns])
+
+    add.__annotations__ = {"keys": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    return given.groupBy(key).applyInArrow(add, f"{key} int, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(fold, sid, y, offset, x) of each slice."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            yield r["fold"], np.array(r["sid"]), np.array(r["y"]), np.array(r["offset"]), np.frombuffer(r["x"], "<f8").reshape(-1, width)
+
+
+class Level1(NamedTuple):
+    """The stored design, the chosen share of variance and its weights."""
+
+    design: DataFrame
+    share: float
+    weights: np.ndarray
+
+    def parts(self, chroms: dict[str, np.ndarray]) -> DataFrame:
+        """(sid, chrom, part): what the columns of each chromosome add to the prediction."""
+        w = self.weights
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, sid, _, _, x in _matrices(batches, len(w)):
+                for c, at in chroms.items():
+                    yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array([c] * len(sid)), pa.array(x[:, at] @ w[at])], names=["sid", "chrom", "part"])
+
+        return self.design.mapInArrow(run, "sid long, chrom string, part double")
+
+
+def level1(design: DataFrame, width: int, shares: tuple[float, ...], binary: bool, rounds: int = 60) -> Level1:
+    """Ridge weights for the share that predicts left-out folds best: of y, or for a 0/1 trait of its log odds beside the offset.
+
+    Matrices of products are summed and solved within tasks; vectors alone reach the driver. The logistic
+    model is fitted by Newton steps with exact gradients and a sample's mean weight in the curvature,
+    halved where the penalized likelihood falls, until the gradient is nil.
+    """
+    penalties = np.array([width * (1 - s) / s for s in shares])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for fold, _, y, _, x in _matrices(batches, width):
+            z = np.column_stack([x, y])
+            sums[fold] = sums.get(fold, 0) + z.T @ z
+        for fold, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([fold], pa.int32()), pa.array([m.tobytes()], pa.binary())], names=["fold", "m"])
+
+    parts = _summed(design.mapInArrow(products, "fold int, m binary"), "fold", ["m"])
+    left = F.explode(F.filter(F.array(*map(F.lit, (-1, *range(FOLDS)))), lambda k: k != F.col("fold"))).alias("left_out")
+    grams = written(_summed(written(parts, "products").select(left, "m"), "left_out", ["m"]), "grams")
+
+    def solved(pull: dict[int, np.ndarray] | None, scale: dict[int, np.ndarray] | None) -> dict[int, np.ndarray]:
+        """By fold left out, a row for each share: the solution for pull (or y's products), products times scale and the penalty."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    k, m = r["left_out"], np.frombuffer(r["m"], "<f8").reshape(width + 1, width + 1)
+                    right = np.tile(m[:-1, -1], (len(shares), 1)) if pull is None else pull[k]
+                    w = np.stack([_solve(m[:-1, :-1] * (1.0 if scale is None else scale[k][i]), right[i], p) for i, p in enumerate(penalties)])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([w.tobytes()], pa.binary())], names=["left_out", "w"])
+
+        return {r.left_out: np.frombuffer(r.w, "<f8").reshape(len(shares), width) for r in grams.mapInArrow(run, "left_out int, w binary").collect()}
+
+    def missed(w: dict[int, np.ndarray]) -> np.ndarray:
+        """By share, the squared errors, or the negative log likelihood, of folds predicted without them."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros(len(shares))
+            for fold, _, y, offset, x in _matrices(batches, width):
+                z = offset[:, None] + x @ w[fold].T
+                out += (np.logaddexp(0, z) - y[:, None] * z).sum(0) if binary else ((y[:, None] - z) ** 2).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["one", "m"])
+
+        return np.frombuffer(_summed(design.mapInArrow(run, "one int, m binary"), "one", ["m"]).first().m, "<f8")
+
+    def slopes(w: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By fold left out: gradients, mean weights and log likelihoods of the models for each share."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {k: [np.zeros((len(shares), width)), np.zeros((3, len(shares)))] for k in w}
+            for fold, _, y, offset, x in _matrices(batches, width):
+                for k in w:
+                    if k != fold:
+                        z = offset[:, None] + x @ w[k].T
+                        mu = 1 / (1 + np.exp(-z))
+                        sums[k][0] += (y[:, None] - mu).T @ x
+                        sums[k][1] += np.stack([(mu * (1 - mu)).sum(0), np.full(len(shares), len(y)), (y[:, None] * z - np.logaddexp(0, z)).sum(0)])
+            for k, (g, s) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([g.tobytes()], pa.binary()), pa.array([s.tobytes()], pa.binary())], names=["left_out", "g", "s"])
+
+        out = {}
+        for r in _summed(design.mapInArrow(run, "left_out int, g binary, s binary"), "left_out", ["g", "s"]).collect():
+            weight, n, level = np.frombuffer(r.s, "<f8").reshape(3, len(shares))
+            out[r.left_out] = np.frombuffer(r.g, "<f8").reshape(len(shares), width), weight / np.maximum(n, 1), level
+        return out
+
+    if not binary:
+        w = solved(None, None)
+    else:
+        folds = [r.left_out for r in grams.select("left_out").collect()]
+        w = {k: np.zeros((len(shares), width)) for k in folds}
+        step = {k: np.zeros((len(shares), width)) for k in folds}
+        best = {k: np.full(len(shares), -np.inf) for k in folds}
+        for _ in range(rounds):
+            found = slopes(w)
+            pull, scale, fell = {}, {}, {}
+            for k, (g, mean, level) in found.items():
+                level = level - penalties * (w[k] ** 2).sum(1) / 2
+                fell[k] = level < best[k] - 1e-9 * (1 + np.abs(level))
+                best[k] = np.where(fell[k], best[k], level)
+                pull[k], scale[k] = g - penalties[:, None] * w[k], mean
+            steep = max(np.abs(np.where(fell[k][:, None], np.inf, pull[k])).max(initial=0) for k in folds)
+            if steep < 1e-6:
+                break
+            fresh = solved(pull, scale)
+            for k in folds:
+                half = step[k] / 2
+                w[k] = np.where(fell[k][:, None], w[k] - half, w[k] + fresh[k])
+                step[k] = np.where(fell[k][:, None], half, fresh[k])
+    best_share = int(np.argmin(missed(w)))
+    return Level1(design, shares[best_share], w[-1][best_share])

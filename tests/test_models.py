@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, quality, samples, summaries, variants
 from helixframe.sources import io
@@ -311,3 +312,58 @@ def test_ridge_without_a_chromosome_against_numpy(spark):
         keep = np.array([x != name for x in names])
         want = h[:, keep] @ w[keep]
         assert np.allclose([got[i, name] for i in range(n)], want, atol=1e-6)
+
+
+def test_binary_ridge_against_newton(spark):
+    """The same two levels with a logistic level 1, in NumPy."""
+    from helixframe.operators import ridge
+
+    g, calls, rng = _calls(spark, 160, 10, 21)
+    n, m = g.shape
+    chrom = ["1" if j < 4 else "2" if j < 7 else "3" for j in range(m)]
+    x = rng.normal(size=n)
+    liability = np.nan_to_num(g) @ rng.normal(size=m) + x + rng.normal(size=n)
+    y = (liability > np.quantile(liability, 0.7)).astype(float)
+    v = spark.createDataFrame([(j, chrom[j], 5 + j) for j in range(m)], "vid long, chrom string, pos long")
+    pheno = spark.createDataFrame([(i, float(y[i]), float(x[i])) for i in range(n)], "sid long, y double, x double")
+    shares = (0.3, 0.7)
+    got = {(r.sid, r.chrom): r.pred for r in ridge.fit_ridge_loco(calls, v, pheno, ["x"], block=4, shares=shares, binary=True).collect()}
+    fold = np.array([r.f for r in spark.range(n).selectExpr("id", "pmod(xxhash64(id, 7), 5) as f").orderBy("id").collect()])
+    c = np.column_stack([np.ones(n), x])
+    r = y - c @ np.linalg.lstsq(c, y, rcond=None)[0]
+    z = np.nan_to_num((g - np.nanmean(g, 0)) / np.nanstd(g, 0))
+    columns, names = [], []
+    for name in "123":
+        b = z[:, [j for j in range(m) if chrom[j] == name]]
+        for share in shares:
+            out = np.zeros(n)
+            for k in range(5):
+                a = b[fold != k]
+                out[fold == k] = b[fold == k] @ np.linalg.solve(a.T @ a + b.shape[1] * (1 - share) / share * np.eye(b.shape[1]), a.T @ r[fold != k])
+            columns.append(out / np.sqrt(np.mean(out**2)))
+            names.append(name)
+    h = np.column_stack(columns)
+
+    def newton(x, y, offset, penalty):
+        w = np.zeros(x.shape[1])
+        for _ in range(50):
+            mu = 1 / (1 + np.exp(-(offset + x @ w)))
+            w = w + np.linalg.solve((x * (mu * (1 - mu))[:, None]).T @ x + penalty * np.eye(len(w)), x.T @ (y - mu) - penalty * w)
+        return w
+
+    offset = c @ newton(c, y, 0.0, 0.0)
+    fit = lambda rows, share: newton(h[rows], y[rows], offset[rows], h.shape[1] * (1 - share) / share)
+
+    def lost(share):
+        eta = np.concatenate([offset[fold == k] + h[fold == k] @ fit(fold != k, share) for k in range(5)])
+        truth = np.concatenate([y[fold == k] for k in range(5)])
+        return np.sum(np.logaddexp(0, eta) - truth * eta)
+
+    w = fit(np.ones(n, bool), min(shares, key=lost))
+    for name in "123":
+        keep = np.array([x != name for x in names])
+        assert np.allclose([got[i, name] for i in range(n)], h[:, keep] @ w[keep], atol=1e-5)
+    with pytest.raises(ValueError, match="48 cases and 112 controls"):
+        ridge.fit_ridge_loco(calls, v, pheno, ["x"], block=4, binary=True, min_cases=49)
+    with pytest.raises(ValueError, match="neither 0 nor 1"):
+        ridge.fit_ridge_loco(calls, v, pheno.withColumn("y", F.col("y") + 1), ["x"], block=4, binary=True)
