@@ -271,17 +271,25 @@ def stratum_pca(v):
     return pooled.stratum_pca(v("calls"), v("pheno").select("sid", F.col("pop").alias("stratum"))).select("stratum", "sid", "pc", F.round("score", 5).alias("score"))
 
 
-@query("""WITH w AS (SELECT sid, y, CAST(pop AS DOUBLE) AS x FROM pheno WHERE y IS NOT NULL AND pop IS NOT NULL),
+SCORES = """WITH w AS (SELECT sid, y, CAST(pop AS DOUBLE) AS x FROM pheno WHERE y IS NOT NULL AND pop IS NOT NULL),
 k AS (SELECT avg(y) AS my, avg(x) AS mx, regr_slope(y, x) AS slope, regr_sxx(y, x) AS sxx FROM w),
 r AS (SELECT sid, y - my - slope * (x - mx) AS r, (x - mx) / sqrt(sxx) AS q FROM w, k),
 noise AS (SELECT sum(r * r) / (count(*) - 2) AS s2 FROM r),
 m AS (SELECT vid, count(*) AS n, avg(CAST(g AS DOUBLE)) AS m, sum(CAST(g * g AS DOUBLE)) AS gg, sum(r) AS sr, sum(g * r) AS gr, sum(q) AS sq, sum(g * q) AS gq FROM calls JOIN variants USING (vid) JOIN r USING (sid) WHERE g IS NOT NULL GROUP BY vid),
-t AS (SELECT vid, n, gr - m * sr AS u, gg - n * m * m - power(gq - m * sq, 2) AS v FROM m WHERE least(n * m, n * (2 - m)) >= 3)
-SELECT vid, n, round(u * u / (s2 * v), 6) AS chi2 FROM t, noise WHERE v > 1e-9""", "calls", "variants", "pheno")
+t AS (SELECT vid, n, gr - m * sr AS u, gg - n * m * m - power(gq - m * sq, 2) AS v FROM m WHERE least(n * m, n * (2 - m)) >= 3 AND coalesce((gg / n - m * m) / nullif(m * (1 - m / 2), 0), 0) >= {info})
+SELECT vid, n, round(u * u / (s2 * v), 6) AS chi2 FROM t, noise WHERE v > 1e-9"""
+
+
+@query(SCORES.replace("{info}", "0"), "calls", "variants", "pheno")
 def pooled_score_test(v):
     return pooled.pooled_assoc(v("calls"), v("variants"), v("pheno"), ["pop"], min_mac=3).select("vid", "n", r6("chi2"))
 
 
+@query(SCORES.replace("{info}", "0.85"), "calls", "variants", "pheno")
+def pooled_informative(v):
+    return pooled.pooled_assoc(v("calls"), v("variants"), v("pheno"), ["pop"], min_mac=3, min_info=0.85).select("vid", "n", r6("chi2"))
+
+
 @query("WITH " + ASSOC + """, c AS (SELECT vid, y > 500000 AS is_case, g FROM calls JOIN pheno USING (sid) WHERE g IS NOT NULL AND y IS NOT NULL),
 h AS (SELECT vid, CAST(sum(g) AS DOUBLE) / (2 * count(*)) AS aaf, count(*) FILTER (WHERE is_case) AS num_cases, count(*) FILTER (WHERE is_case AND g = 0) AS cases_ref, count(*) FILTER (WHERE is_case AND g = 1) AS cases_het, count(*) FILTER (WHERE is_case AND g = 2) AS cases_alt,
   count(*) FILTER (WHERE NOT is_case) AS num_controls, count(*) FILTER (WHERE NOT is_case AND g = 0) AS controls_ref, count(*) FILTER (WHERE NOT is_case AND g = 1) AS controls_het, count(*) FILTER (WHERE NOT is_case AND g = 2) AS controls_alt FROM c GROUP BY vid)

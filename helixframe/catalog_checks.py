@@ -520,3 +520,9 @@ def id_integrity(v):
 @query("SELECT concat('h', p_partkey % 10) AS h, count(DISTINCT p_size) AS n FROM part GROUP BY 1 HAVING count(DISTINCT p_size) > 1")
 def functional_checks(v):
     return quality.not_functional(v("part").select(F.concat(F.lit("h"), F.col("p_partkey") % 10).alias("h"), "p_size"), "h", "p_size")
+
+
+@query()
+def ridge_loco_binary(v):
+    case = v("pheno").filter("y is not null").withColumn("y", (F.col("y") > 500000).cast("int"))
+    return ridge.fit_ridge_loco(v("calls"), v("variants"), case, ["pop"], binary=True).select("sid", "chrom", F.round("pred", 3).alias("pred"))

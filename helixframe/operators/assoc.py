@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.functions import expr as E
-from helixframe.operators import quality
+from helixframe.operators import logistic, quality, tiles
+from helixframe.operators.tiles import Tiles
 from helixframe.plans.stored import stored
 
 GENOME_WIDE, SUGGESTIVE = 5e-8, 1e-5
@@ -115,38 +116,12 @@ def t_tail(t: pd.Series, df: pd.Series) -> pd.Series:
     return out.where(out.notna(), None)
 
 
-def logistic_assoc(calls: DataFrame, pheno: DataFrame, covariates: list[str] | None = None, rounds: int = 30) -> DataFrame:
+def logistic_assoc(calls: DataFrame | Tiles, pheno: DataFrame, covariates: list[str] | None = None, rounds: int = 30) -> DataFrame:
     """(vid, n, beta, se, method) of a 0/1 trait on g and covariates: IRLS, or Firth's penalty where that diverges.
 
-    A variant's rows are one group: bounded by the number of samples.
+    The variants of a tile are fitted together.
     """
-    covariates = covariates or []
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        y = frame["y"].to_numpy(float)
-        x = np.column_stack([np.ones(len(y)), frame["g"].to_numpy(float), *(frame[c].to_numpy(float) for c in covariates)])
-        for method in ("irls", "firth"):
-            w = np.zeros(x.shape[1])
-            for _ in range(rounds * (1 + (method == "firth"))):
-                mu = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-                v = mu * (1 - mu)
-                info = (x * v[:, None]).T @ x
-                if np.linalg.matrix_rank(info, tol=1e-9, hermitian=True) < len(info):
-                    break
-                inverse = np.linalg.inv(info)
-                residual = y - mu
-                if method == "firth":
-                    residual = residual + v * np.einsum("ij,jk,ik->i", x, inverse, x) * (0.5 - mu)
-                step = np.clip(inverse @ (x.T @ residual), -2, 2)
-                w = w + step
-                if np.abs(step).max() < 1e-9:
-                    if abs(w[1]) < 12:
-                        return pd.DataFrame({"vid": [frame["vid"].iloc[0]], "n": [len(y)], "beta": [w[1]], "se": [float(np.sqrt(inverse[1, 1]))], "method": [method]})
-                    break
-        return pd.DataFrame({"vid": [frame["vid"].iloc[0]], "n": [len(y)], "beta": [None], "se": [None], "method": ["failed"]})
-
-    met = calls.filter("g is not null").join(pheno.select("sid", "y", *covariates).dropna(), "sid").select("vid", "g", "y", *covariates)
-    return met.groupBy("vid").applyInPandas(fit, "vid long, n long, beta double, se double, method string")
+    return logistic.logistic(calls if isinstance(calls, Tiles) else tiles.tiled(calls), pheno, covariates or [], rounds)
 
 
 def filter_test(raw: DataFrame, test: str = "ADD") -> DataFrame:

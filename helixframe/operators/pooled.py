@@ -161,11 +161,11 @@ def chi2_tail(x: pd.Series) -> pd.Series:
     return out.where(out.notna(), None)
 
 
-def pooled_assoc(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], loco: DataFrame | None = None, min_mac: float = 0) -> DataFrame:
+def pooled_assoc(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], loco: DataFrame | None = None, min_mac: float = 0, min_info: float = 0) -> DataFrame:
     """(vid, n, beta, se, chi2, p): score test of y, less the offset of the variant's chromosome, given covariates.
 
     pheno (sid, y, covariates...) is cut to complete cases; loco is (sid, chrom, pred). A missing call counts as the
-    variant's mean. All sums come from one aggregate per variant.
+    variant's mean; min_info cuts the ratio of the dosages' variance to its expectation. All sums come from one aggregate per variant.
     """
     whole = stored(pheno.select("sid", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in covariates]).dropna())
     means = whole.agg(F.count(F.lit(1)), *[F.avg(c) for c in covariates]).first()
@@ -189,7 +189,8 @@ def pooled_assoc(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covari
     m, n = F.col("m"), F.col("n")
     score = F.col("gr") - m * F.col("r")
     spread = reduce(lambda a, b: a - b, [(F.col(f"g_{c}") - m * F.col(f"s_{c}")) ** 2 for c in names], F.col("gg") - n * m * m)
-    tested = sums.filter(F.least(n * m, n * (2 - m)) >= min_mac).join(F.broadcast(noise), "chrom").withColumns({"u": score, "v": spread}).filter("v > 1e-9")
+    info = (F.col("gg") / n - m * m) / (m * (1 - m / 2))
+    tested = sums.filter((F.least(n * m, n * (2 - m)) >= min_mac) & (F.coalesce(info, F.lit(0.0)) >= min_info)).join(F.broadcast(noise), "chrom").withColumns({"u": score, "v": spread}).filter("v > 1e-9")
     out = tested.select("vid", "n", (F.col("u") / F.col("v")).alias("beta"), F.sqrt(F.col("s2") / F.col("v")).alias("se"), (F.col("u") ** 2 / (F.col("s2") * F.col("v"))).alias("chi2"))
     return out.withColumn("p", chi2_tail("chi2"))
 

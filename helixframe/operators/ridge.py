@@ -1,8 +1,8 @@
 """Whole-genome ridge regression in two levels, and predictions that leave one chromosome out.
 
 Level 0 fits ridge models within blocks of neighbouring variants and predicts every sample from models
-that haven't seen its fold. Level 1 fits one ridge model to these predictions. Products of matrices are
-summed over slices of the samples, so that no task holds all samples of a block.
+that haven't seen its fold. Level 1 fits one ridge model to these predictions. Genotypes are tiles; a
+block's tiles are read as a stream, so that no task holds all samples of a block.
 """
 
 from __future__ import annotations
@@ -11,17 +11,15 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators import genotype, pooled
+from helixframe.operators import genotype, pooled, tiles
+from helixframe.operators.tiles import Tiles
 from helixframe.plans.stored import written
 
-BLOCK, FOLDS, SLICE_SAMPLES = 1000, 5, 16_384
-#: Bytes of level 1's matrix in one row of its stored design.
-DESIGN_BYTES = 16 << 20
+BLOCK, FOLDS = 1000, 5
 #: Shares of variance that the variants of a model may explain; each gives a penalty.
 SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
 
@@ -30,32 +28,74 @@ def _solve(gram: np.ndarray, right: np.ndarray, penalty: float) -> np.ndarray:
     return np.linalg.solve(gram + penalty * np.eye(len(gram)), right)
 
 
-def variant_blocks(variants: DataFrame, size: int = BLOCK) -> DataFrame:
-    """(vid, chrom, block, place, width): runs of at most size variants of a chromosome in the order of their positions.
+def _people(samples: DataFrame, target: DataFrame) -> DataFrame:
+    """(sblock, people): of each sample block the structs (col, sid, fold, r, y, offset) of those with a target; SAMPLES at most."""
+    met = samples.join(target, "sid")
+    return written(met.groupBy("sblock").agg(F.array_sort(F.collect_list(F.struct("col", "sid", "fold", "r", "y", "offset"))).alias("people")), "people")
 
-    A chromosome's variants are ranked in one window: identifiers and positions alone.
-    """
-    at = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "vid")) - 1
-    placed = variants.select("vid", "chrom", at.alias("at")).select("vid", "chrom", F.concat_ws(":", "chrom", F.floor(F.col("at") / size).cast("string")).alias("block"), (F.col("at") % size).cast("int").alias("place"))
-    return placed.join(placed.groupBy("block").agg((F.max("place") + 1).alias("width")), "block").select("vid", "chrom", "block", "place", "width")
+
+def _standard(tile: bytes, hard: bool, scale: list[dict]) -> np.ndarray:
+    """A tile's rows less their mean, over their deviation; 0 where there is no call."""
+    g, known = tiles.unpack(tile, hard)
+    mean, over = np.zeros((len(g), 1)), np.zeros((len(g), 1))
+    for s in scale:
+        mean[s["row"]], over[s["row"]] = s["mean"], 1 / s["sd"]
+    return (g - mean * known) * over
 
 
-def _products(rows: DataFrame, by: list[str], slices: int) -> DataFrame:
-    """(by..., fold, m): the products of columns x0.. and y, of rows (by..., width, fold, sid, place, x, y), summed over slices of the samples.
+def _level0(t: Tiles, scale: DataFrame, people: DataFrame, shares: tuple[float, ...]) -> tuple[DataFrame, DataFrame]:
+    """((block, width, w): of each block the weights by fold left out, share and row, as doubles; the rows (block, sblock, tile, scale)).
 
-    A slice's rows make a matrix; a matrix of products is as wide as a block, plus one for y.
+    A block is one group, read as a stream of its tiles; its products are summed by fold, then solved.
     """
+    hard, height = t.hard, t.height
+    per = t.variants.join(scale, "vid").groupBy("block").agg(F.collect_list(F.struct("row", "mean", "sd")).alias("scale"))  # height rows at most
+    rows = t.tiles.select("block", "sblock", "tile").join(per, "block")
+    met = rows.join(people.select("sblock", F.transform("people", lambda p: F.struct(p["col"].alias("col"), p["fold"].alias("fold"), p["r"].alias("r"))).alias("people")), "sblock")
 
-    def product(frame: pd.DataFrame) -> pd.DataFrame:
-        sid, row = np.unique(frame["sid"].to_numpy(), return_inverse=True)
-        x = np.zeros((len(sid), int(frame["width"].iloc[0]) + 1))
-        x[row, frame["place"].to_numpy()] = frame["x"].to_numpy()
-        x[row, -1] = frame["y"].to_numpy()
-        return pd.DataFrame({**{c: [frame[c].iloc[0]] for c in [*by, "fold"]}, "m": [(x.T @ x).astype("<f8").tobytes()]})
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, width = np.zeros((FOLDS, height + 1, height + 1)), 0
+        for batch in batches:
+            for r in batch.select(["tile", "scale", "people"]).to_pylist():
+                width = len(r["scale"])
+                at = np.array([p["col"] for p in r["people"]])
+                x = np.vstack([_standard(r["tile"], hard, r["scale"])[:, at], [p["r"] for p in r["people"]]])
+                fold = np.array([p["fold"] for p in r["people"]])
+                for k in range(FOLDS):
+                    own = x[:, fold == k]
+                    sums[k] += own @ own.T
+        total = sums.sum(0)
+        used = np.flatnonzero(np.diag(total)[:-1] > 0)
+        w = np.zeros((FOLDS, len(shares), height))
+        for k in range(FOLDS):
+            rest = total - sums[k]
+            for i, share in enumerate(shares):
+                w[k, i, used] = _solve(rest[np.ix_(used, used)], rest[used, -1], len(used) * (1 - share) / share)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([width], pa.int32()), pa.array([w.tobytes()], pa.binary())], names=["block", "width", "w"])
+
+    run.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    return written(met.groupBy("block").applyInArrow(run, "block string, width int, w binary"), "weights"), rows
+
+
+def _predictions(t: Tiles, rows: DataFrame, weights: DataFrame, people: DataFrame, shares: tuple[float, ...]) -> DataFrame:
+    """(block, penalty, sblock, x, ss): what a block's models predict of a sample block's samples, each by those that haven't seen its fold, and the sum of squares."""
+    hard, height = t.hard, t.height
+    met = rows.join(weights.select("block", "w"), "block").join(people.select("sblock", F.transform("people", lambda p: F.struct(p["col"].alias("col"), p["fold"].alias("fold"))).alias("people")), "sblock")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                x, w = _standard(r["tile"], hard, r["scale"]), np.frombuffer(r["w"], "<f8").reshape(FOLDS, len(shares), height)
+                out = np.zeros((len(shares), len(r["people"])))
+                at, fold = (np.array([p[c] for p in r["people"]]) for c in ("col", "fold"))
+                for k in range(FOLDS):
+                    out[:, fold == k] = w[k] @ x[:, at[fold == k]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["block"]] * len(shares)), pa.array(range(len(shares)), pa.int32()), pa.array([r["sblock"]] * len(shares), pa.int32()), pa.array([x.tobytes() for x in out], pa.binary()), pa.array((out * out).sum(1))],
+                    names=["block", "penalty", "sblock", "x", "ss"],
+                )
 
-    kinds = "".join(f"{c} string, " for c in by)
-    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("sid"), F.lit(slices)).cast("int"))
-    return sliced.groupBy(*by, "fold", "slice").applyInPandas(product, f"{kinds}fold int, m binary")
+    return met.select("block", "sblock", "tile", "scale", "w", "people").mapInArrow(run, "block string, penalty int, sblock int, x binary, ss double")
 
 
 def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, covariates: list[str], block: int = BLOCK, shares: tuple[float, ...] = SHARES, binary: bool = False, min_cases: int = 10) -> DataFrame:
@@ -65,7 +105,7 @@ def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, cova
     the mean. Level 1's penalty is the one that predicts left-out folds best. Blocks times penalties is the
     width of level 1, whose matrix of products stays within tasks. For a 0/1 trait (binary) level 1 is
     logistic with the covariates' linear predictor as offset, pred is in log odds, and fewer cases, or
-    controls, than min_cases are an error.
+    controls, than min_cases are an error. Calls are shuffled once, into tiles of block variants.
     """
     whole = written(pheno.select("sid", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in covariates]).dropna(), "whole")
     stats = whole.agg(F.count(F.lit(1)), F.avg("y"), *[F.avg(c) for c in covariates]).first()
@@ -76,77 +116,53 @@ def fit_ridge_loco(calls: DataFrame, variants: DataFrame, pheno: DataFrame, cova
             raise ValueError(f"{odd} values of a binary trait are neither 0 nor 1")
         if min(cases, n - cases) < min_cases:
             raise ValueError(f"{cases} cases and {n - cases} controls; at least {min_cases} of each are needed")
-    centred = whole.select("sid", (F.col("y") - float(stats[1] or 0)).alias("y"), *[(F.col(c) - float(m or 0)).alias(c) for c, m in zip(covariates, means, strict=True)])
+    centred = whole.select("sid", (F.col("y") - float(stats[1] or 0)).alias("r"), *[(F.col(c) - float(m or 0)).alias(c) for c, m in zip(covariates, means, strict=True)])
     if covariates:
         q, names = pooled._orthonormal(centred, "sid", covariates)
-        both = centred.select("sid", "y").join(q, "sid")
-        fit = both.agg(*[F.sum(F.col("y") * F.col(c)) for c in names]).first()
-        centred = both.select("sid", (F.col("y") - sum((F.col(c) * float(b or 0) for c, b in zip(names, fit, strict=True)), F.lit(0.0))).alias("y"))
+        both = centred.select("sid", "r").join(q, "sid")
+        fit = both.agg(*[F.sum(F.col("r") * F.col(c)) for c in names]).first()
+        centred = both.select("sid", (F.col("r") - sum((F.col(c) * float(b or 0) for c, b in zip(names, fit, strict=True)), F.lit(0.0))).alias("r"))
     fold = F.pmod(F.xxhash64("sid", F.lit(7)), F.lit(FOLDS)).cast("int")
-    y = written(centred.select("sid", "y", fold.alias("fold")), "residuals")
-    slices = max(1, -(-n // (FOLDS * SLICE_SAMPLES)))
+    target = centred.select("sid", "r", fold.alias("fold"))
+    if binary:
+        eta = pooled.null_logistic(whole, covariates, whole.sparkSession.createDataFrame([("all",)], "chrom string")).rows.select("sid", F.col("eta").alias("offset"))
+        target = target.join(whole.select("sid", "y"), "sid").join(eta, "sid")
+    else:
+        target = target.withColumns({"y": F.col("r"), "offset": F.lit(0.0)})
+    target = written(target, "target")
 
-    own = calls.join(y.select("sid"), "sid", "left_semi")
+    own = calls.join(target.select("sid"), "sid", "left_semi")
     counts = genotype.allele_counts(own).filter("n > 1")
     mean = F.col("alt_count") / F.col("n")
     spread = F.sqrt(F.greatest(F.col("sum_sq") / F.col("n") - mean * mean, F.lit(0.0)))
-    scale = counts.select("vid", mean.alias("mean"), spread.alias("sd")).filter("sd > 1e-6")
-    blocks = written(variant_blocks(variants.join(scale.select("vid"), "vid", "left_semi"), block), "blocks")
-    z = own.filter("g is not null").join(scale, "vid").join(blocks, "vid").join(y, "sid")
-    z = written(z.select("sid", "vid", "chrom", "block", "place", "width", "fold", "y", ((F.col("g") - F.col("mean")) / F.col("sd")).alias("x")), "standard")
-
-    def level0(frame: pd.DataFrame) -> pd.DataFrame:
-        """Weights of a block for each penalty, with each fold left out, from the sums of its products."""
-        sums: dict[int, np.ndarray] = {}
-        for k, m in zip(frame["fold"], frame["m"], strict=True):
-            part = np.frombuffer(m, "<f8")
-            part = part.reshape(int(np.sqrt(len(part))), -1)
-            sums[k] = sums.get(k, 0) + part
-        total = sum(sums.values())
-        used = np.flatnonzero(np.diag(total)[:-1] > 0)
-        out = []
-        for k in sums:
-            rest = total - sums[k]
-            gram, right = rest[np.ix_(used, used)], rest[used, -1]
-            for i, share in enumerate(shares):
-                w = _solve(gram, right, len(used) * (1 - share) / share)
-                out.append(pd.DataFrame({"block": frame["block"].iloc[0], "place": used.astype("int32"), "fold": np.int32(k), "penalty": np.int32(i), "w": w}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["block", "place", "fold", "penalty", "w"])
-
-    weights = _products(z.select("block", "width", "fold", "sid", "place", "x", "y"), ["block"], slices).groupBy("block").applyInPandas(level0, "block string, place int, fold int, penalty int, w double")
-    first = z.join(weights, ["block", "place", "fold"]).groupBy("sid", "chrom", "block", "penalty").agg(F.sum(F.col("x") * F.col("w")).alias("x"))
-    first = written(first, "level0")
-    columns = {(r.block, r.penalty): (i, r.chrom) for i, r in enumerate(sorted(first.select("block", "penalty", "chrom").distinct().collect()))}
-    if not columns:
-        return y.select("sid").join(F.broadcast(variants.select("chrom").distinct())).select("sid", "chrom", F.lit(0.0).alias("pred"))  # a row per chromosome
-    table = calls.sparkSession.createDataFrame([(b, p, i) for (b, p), (i, _) in columns.items()], "block string, penalty int, place int")
-    spread1 = first.groupBy("block", "penalty").agg(F.sqrt(F.sum(F.col("x") * F.col("x")) / n).alias("sd")).filter("sd > 1e-12")
-    target = y.select("sid", "fold", "y", F.lit(0.0).alias("offset"))
-    if binary:
-        eta = pooled.null_logistic(whole, covariates, whole.sparkSession.createDataFrame([("all",)], "chrom string")).rows.select("sid", F.col("eta").alias("offset"))
-        target = whole.select("sid", "y").join(y.select("sid", "fold"), "sid").join(eta, "sid")
-    rows = first.join(F.broadcast(table), ["block", "penalty"]).join(F.broadcast(spread1), ["block", "penalty"]).join(target, "sid").select("sid", "fold", "y", "offset", "place", (F.col("x") / F.col("sd")).alias("x"))  # a row per block and penalty
-    w = level1(designs(rows, len(columns), n), len(columns), shares, binary)
-    chroms = {c: np.array([i for i, at in columns.values() if at == c]) for c in {at for _, at in columns.values()}}
-    per = w.parts(chroms)
-    every = y.select("sid").join(F.broadcast(variants.select("chrom").distinct())).join(per, ["sid", "chrom"], "left")  # a row per chromosome
+    scale = written(counts.select("vid", mean.alias("mean"), spread.alias("sd")).filter("sd > 1e-6"), "scale")
+    t = tiles.tiled(own, variants.join(scale.select("vid"), "vid", "left_semi"), block)
+    people = _people(t.samples, target)
+    weights, rows = _level0(t, scale, people, shares)
+    first = written(_predictions(t, rows, weights, people, shares), "level0")
+    every = target.select("sid").join(F.broadcast(variants.select("chrom").distinct()))  # a row per chromosome
+    used = first.groupBy("block", "penalty").agg(F.sqrt(F.sum("ss") / n).alias("sd")).filter("sd > 1e-12").orderBy("block", "penalty").collect()  # a row per block and penalty
+    if not used:
+        return every.select("sid", "chrom", F.lit(0.0).alias("pred"))
+    table = calls.sparkSession.createDataFrame([(r.block, r.penalty, i, r.sd) for i, r in enumerate(used)], "block string, penalty int, place int, sd double")
+    w = level1(designs(first.join(F.broadcast(table), ["block", "penalty"]), people, len(used)), len(used), shares, binary)  # a row per block and penalty
+    name = [r.block.rpartition(":")[0] for r in used]
+    per = w.parts({c: np.flatnonzero(np.array(name) == c) for c in set(name)})
     summed = per.groupBy("sid").agg(F.sum("part").alias("all"))
-    return every.join(summed, "sid", "left").select("sid", "chrom", (F.coalesce("all", F.lit(0.0)) - F.coalesce("part", F.lit(0.0))).alias("pred"))
+    return every.join(per, ["sid", "chrom"], "left").join(summed, "sid", "left").select("sid", "chrom", (F.coalesce("all", F.lit(0.0)) - F.coalesce("part", F.lit(0.0))).alias("pred"))
 
 
-def designs(rows: DataFrame, width: int, n: int) -> DataFrame:
-    """(fold, sid, y, offset, x): level 1's matrix in stored slices of the samples, of rows (sid, fold, y, offset, place, x)."""
-    slices = max(1, -(-n * width * 8 // (FOLDS * DESIGN_BYTES)))
+def designs(rows: DataFrame, people: DataFrame, width: int) -> DataFrame:
+    """(sid, fold, y, offset, x): level 1's stored matrix, a sample block a row, of rows (sblock, place, x, sd)."""
 
-    def pivot(part: pa.Table) -> pa.Table:  # DESIGN_BYTES of a matrix
-        sid, first, row = np.unique(part["sid"].to_numpy(), return_index=True, return_inverse=True)
-        x = np.zeros((len(sid), width))
-        x[row, part["place"].to_numpy()] = part["x"].to_numpy()
-        own = [pa.array([part[c].to_numpy()[first]], pa.list_(pa.float64())) for c in ("y", "offset")]
-        return pa.table([part["fold"][:1], pa.array([sid], pa.list_(pa.int64())), *own, pa.array([x.tobytes()], pa.binary())], names=["fold", "sid", "y", "offset", "x"])
+    def pivot(part: pa.Table) -> pa.Table:  # SAMPLES rows of a matrix at most
+        x = np.zeros((len(part["x"][0].as_py()) // 8, width))
+        for place, sd, column in zip(part["place"].to_pylist(), part["sd"].to_pylist(), part["x"], strict=True):
+            x[:, place] = np.frombuffer(column.as_py(), "<f8") / sd
+        return pa.table({"sblock": part["sblock"][:1], "x": pa.array([x.tobytes()], pa.binary())})
 
-    sliced = rows.withColumn("sid", F.col("sid").cast("long")).withColumn("slice", F.pmod(F.xxhash64("sid", F.lit(11)), F.lit(slices)).cast("int"))
-    return written(sliced.groupBy("fold", "slice").applyInArrow(pivot, "fold int, sid array<bigint>, y array<double>, offset array<double>, x binary"), "design")
+    wide = rows.select("sblock", "place", "sd", "x").groupBy("sblock").applyInArrow(pivot, "sblock int, x binary")
+    return written(wide.join(people, "sblock").select(*[F.col(f"people.{c}").alias(c) for c in ("sid", "fold", "y", "offset")], "x"), "design")
 
 
 def _summed(given: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -164,11 +180,14 @@ def _summed(given: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return given.groupBy(key).applyInArrow(add, f"{key} int, " + ", ".join(f"{c} binary" for c in columns))
 
 
-def _matrices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(fold, sid, y, offset, x) of each slice."""
+def _matrices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, np.ndarray]]:
+    """(fold, sid, y, offset, x) of each slice's samples of each fold."""
     for batch in batches:
         for r in batch.to_pylist():
-            yield r["fold"], np.array(r["sid"]), np.array(r["y"]), np.array(r["offset"]), np.frombuffer(r["x"], "<f8").reshape(-1, width)
+            x, fold, y, offset = np.frombuffer(r["x"], "<f8").reshape(-1, width), *(np.array(r[c]) for c in ("fold", "y", "offset"))
+            for k in np.unique(fold).tolist():
+                at = np.flatnonzero(fold == k)
+                yield k, [r["sid"][i] for i in at], y[at], offset[at], x[at]
 
 
 class Level1(NamedTuple):
@@ -180,14 +199,14 @@ class Level1(NamedTuple):
 
     def parts(self, chroms: dict[str, np.ndarray]) -> DataFrame:
         """(sid, chrom, part): what the columns of each chromosome add to the prediction."""
-        w = self.weights
+        w, kind = self.weights, self.design.schema["sid"].dataType.elementType.simpleString()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, sid, _, _, x in _matrices(batches, len(w)):
                 for c, at in chroms.items():
                     yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array([c] * len(sid)), pa.array(x[:, at] @ w[at])], names=["sid", "chrom", "part"])
 
-        return self.design.mapInArrow(run, "sid long, chrom string, part double")
+        return self.design.mapInArrow(run, f"sid {kind}, chrom string, part double")
 
 
 def level1(design: DataFrame, width: int, shares: tuple[float, ...], binary: bool, rounds: int = 60) -> Level1:

@@ -9,7 +9,6 @@ number of samples or variants.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +28,7 @@ _CODES = np.array([[b >> s & 3 for s in (0, 2, 4, 6)] for b in range(256)], np.u
 class Tiles(NamedTuple):
     """tiles (block, sblock, vids, tile), variants (vid, chrom, pos, idx, block, row), samples (sid, sblock, col); hard: two-bit calls.
 
-    idx is a variant's place on its chromosome, block the chromosome and idx // VARIANTS. Samples are
+    idx is a variant's place on its chromosome, block the chromosome and idx // height. Samples are
     ordered by sid.
     """
 
@@ -37,10 +36,11 @@ class Tiles(NamedTuple):
     variants: DataFrame
     samples: DataFrame
     hard: bool
+    height: int = VARIANTS
 
 
 def pack(g: np.ndarray) -> bytes:
-    """A tile of calls, 3 where there is none, of VARIANTS rows and SAMPLES columns: four calls a byte, the first lowest."""
+    """A tile of calls, 3 where there is none, a row a variant, of SAMPLES columns: four calls a byte, the first lowest."""
     four = g.reshape(len(g), -1, 4).astype(np.uint8)
     return (four[:, :, 0] | four[:, :, 1] << 2 | four[:, :, 2] << 4 | four[:, :, 3] << 6).tobytes()
 
@@ -48,18 +48,14 @@ def pack(g: np.ndarray) -> bytes:
 def unpack(tile: bytes, hard: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(calls, 0 where there is none; 1 where there is one), as 32-bit floats."""
     if hard:
-        code = _CODES[np.frombuffer(tile, np.uint8)].reshape(VARIANTS, SAMPLES)
+        code = _CODES[np.frombuffer(tile, np.uint8)].reshape(-1, SAMPLES)
         known = code != 3
         return np.where(known, code, 0).astype(np.float32), known.astype(np.float32)
-    g = np.frombuffer(tile, "<f4").reshape(VARIANTS, SAMPLES)
+    g = np.frombuffer(tile, "<f4").reshape(-1, SAMPLES)
     known = ~np.isnan(g)
     return np.where(known, g, 0), known.astype(np.float32)
 
 
-def _block(chrom: str = "chrom", idx: str = "idx"):
-    return F.concat_ws(":", chrom, F.expr(f"{idx} div {VARIANTS}").cast("string"))
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Bounds the bytes of Arrow batches, unless the session has a smaller bound."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -69,10 +65,11 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def place_variants(variants: DataFrame) -> DataFrame:
-    """(vid, chrom, pos, idx, block, row) of variants (vid, chrom, pos), in the order of positions, ties by vid."""
+def place_variants(variants: DataFrame, height: int = VARIANTS) -> DataFrame:
+    """(vid, chrom, pos, idx, block, row) of variants (vid, chrom, pos), in the order of positions, ties by vid; blocks of height variants."""
     at = placed(variants.select("vid", "chrom", "pos").filter("chrom is not null"), ["chrom"], ["pos", "vid"], "idx")
-    return at.withColumns({"block": _block(), "row": (F.col("idx") % VARIANTS).cast("int")})
+    block = F.concat_ws(":", "chrom", F.expr(f"idx div {height}").cast("string"))
+    return at.withColumns({"block": block, "row": (F.col("idx") % height).cast("int")})
 
 
 def place_samples(samples: DataFrame) -> DataFrame:
@@ -81,7 +78,7 @@ def place_samples(samples: DataFrame) -> DataFrame:
     return at.select("sid", F.expr(f"idx div {SAMPLES}").cast("int").alias("sblock"), (F.col("idx") % SAMPLES).cast("int").alias("col"))
 
 
-def tiled(calls: DataFrame, variants: DataFrame | None = None) -> Tiles:
+def tiled(calls: DataFrame, variants: DataFrame | None = None, height: int = VARIANTS) -> Tiles:
     """The stored tiles of calls (sid, vid, g), of the variants (vid, chrom, pos), or of all, in the order of vid, if none are given.
 
     A pair that is called twice is an error. Calls are shuffled once, to their tile.
@@ -91,10 +88,10 @@ def tiled(calls: DataFrame, variants: DataFrame | None = None) -> Tiles:
     if variants is None:
         variants = calls.select("vid").distinct().select("vid", F.lit("").alias("chrom"), F.lit(0).alias("pos"))
     hard = calls.schema["g"].dataType.typeName() in ("byte", "short", "integer", "long")
-    at, who = written(place_variants(variants), "variants"), written(place_samples(calls), "samples")
+    at, who = written(place_variants(variants, height), "variants"), written(place_samples(calls), "samples")
     kind = calls.schema["vid"].dataType.simpleString()
     rows = calls.filter("g is not null").join(at.select("vid", "block", "row"), "vid").join(who, "sid")
-    shape = (VARIANTS, SAMPLES)
+    shape = (height, SAMPLES)
 
     def build(table: pa.Table) -> pa.Table:  # a tile's calls
         row, col, g = (table[c].to_numpy() for c in ("row", "col", "g"))
@@ -104,13 +101,13 @@ def tiled(calls: DataFrame, variants: DataFrame | None = None) -> Tiles:
         cells[row, col] = g
         if np.count_nonzero(cells != 3 if hard else ~np.isnan(cells)) != len(g):
             raise ValueError("a sample has two calls of one variant")
-        vids = [None] * VARIANTS
+        vids = [None] * height
         for r, v in zip(row.tolist(), table["vid"].to_pylist(), strict=True):
             vids[r] = v
         return pa.table({"block": table["block"][:1], "sblock": table["sblock"][:1], "vids": pa.array([vids], pa.list_(table.schema.field("vid").type)), "tile": pa.array([pack(cells) if hard else cells.tobytes()], pa.binary())})
 
     cut = rows.select("block", "sblock", "row", "col", "vid", "g").groupBy("block", "sblock").applyInArrow(build, f"block string, sblock int, vids array<{kind}>, tile binary")
-    return Tiles(written(cut, "tiles"), at, who, hard)
+    return Tiles(written(cut, "tiles"), at, who, hard, height)
 
 
 def _correlations(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +124,8 @@ def _scan(t: Tiles, wanted: DataFrame, mask: Callable[[str, str, bytes | None],
     A pair of blocks is one group: its tiles come one sample block after another and are added up.
     With least, only pairs with r * r above it leave the task.
     """
+    if t.height != VARIANTS:
+        raise ValueError(f"variants are compared in tiles of {VARIANTS} of them")
     hard = t.hard
     kind = t.variants.schema["vid"].dataType.simpleString()
     a = t.tiles.select(F.col("block").alias("va"), "sblock", F.col("vids").alias("vids_a"), F.col("tile").alias("tile_a"))
@@ -251,6 +250,3 @@ def kinship(t: Tiles, above: float | None = None) -> DataFrame:
     other = t.samples.select(F.col("sid").alias("b"), F.col("sblock").alias("sb"), F.col("col").alias("cb"))
     return found.join(one, ["sa", "ca"]).join(other, ["sb", "cb"]).select("a", "b", *counts, "phi")
 
-
-def union_tiles(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

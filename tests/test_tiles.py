@@ -179,3 +179,38 @@ def test_a_large_bed_file_has_many_ranges(tmp_path):
     assert last.num_rows == -(-n // tiles.SAMPLES) and last.column(0)[0].as_py() == m - 1
     with pytest.raises(ValueError, match="BED"):
         bed.BedReader(str(tmp_path / "x.bed"), n, m + 1, bed.RANGE_BYTES).check()
+
+
+def newton_of_one(x, y, firth, rounds=60):
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        mu = 1 / (1 + np.exp(-x @ w))
+        v = mu * (1 - mu)
+        inverse = np.linalg.inv((x * v[:, None]).T @ x)
+        left = y - mu + (v * np.einsum("ij,jk,ik->i", x, inverse, x) * (0.5 - mu) if firth else 0)
+        step = np.clip(inverse @ (x.T @ left), -2, 2)
+        w = w + step
+        if np.abs(step).max() < 1e-9:
+            return w[-1], np.sqrt(inverse[-1, -1])
+    return None
+
+
+def test_logistic_fits_of_a_tile_equal_those_of_single_variants(spark):
+    from helixframe.operators import assoc
+
+    calls, variants, g = cohort(spark, 150, 40, seed=12)
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=150), (rng.random(150) < 0.4).astype(float)
+    g[7] = np.where(np.isnan(g[7]), np.nan, 0)  # no variance: fails
+    g[8] = np.where(rng.random(150) < 0.1, np.nan, 0)
+    g[8][np.flatnonzero((y == 1) & ~np.isnan(g[8]))[:4]] = 1  # cases alone carry it: Firth
+    rows = [(s, v, None if np.isnan(g[v, s]) else int(g[v, s])) for v in range(40) for s in range(150)]
+    calls = spark.createDataFrame(rows, "sid long, vid long, g int")
+    pheno = spark.createDataFrame([(i, float(y[i]), float(x[i]) if i % 11 else None) for i in range(150)], "sid long, y double, x double")
+    got = {r.vid: r for r in assoc.logistic_assoc(tiles.tiled(calls, variants), pheno, ["x"]).collect()}
+    assert len(got) == 40 and got[7].method == "failed" and got[8].method == "firth"
+    for v in set(range(40)) - {7}:
+        use = ~np.isnan(g[v]) & (np.arange(150) % 11 != 0)
+        beta, se = newton_of_one(np.column_stack([np.ones(use.sum()), x[use], g[v][use]]), y[use], v == 8)
+        assert got[v].n == use.sum() and got[v].beta == pytest.approx(beta, abs=1e-7) and got[v].se == pytest.approx(se, rel=1e-6)
+        assert got[v].method == ("firth" if v == 8 else "irls")
