@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
@@ -88,25 +88,33 @@ def split_par(v: DataFrame, build: str) -> DataFrame:
     return v.withColumn("chrom", F.when((label == "X") & (F.col("pos") <= low), "PAR1").when((label == "X") & (F.col("pos") >= high), "PAR2").otherwise(label))
 
 
+#: Rows of one side that a locus may have.
+LOCUS_ROWS = 10_000
+
+
 class Harmonized(NamedTuple):
     mapping: DataFrame
     mismatches: DataFrame
 
 
 def harmonize_variants(ref: DataFrame, study: DataFrame, exclude_palindromic: bool = True) -> Harmonized:
-    """Matches eligible variants by locus and unordered alleles.
+    """Matches eligible variants by locus and unordered alleles; over LOCUS_ROWS rows of one side at a locus are an error.
 
-    Every allele key meets in one aggregate per side and one full join, so a locus is never a
-    window; only keys that don't map go on to the roll-up per locus.
+    Both sides are dealt by locus once and sorted there. The limit, the allele keys of both sides and the
+    roll-up of a locus's keys all follow that order without another shuffle; what a task holds is a locus.
     """
-    def keyed(v: DataFrame) -> DataFrame:
+    def sided(v: DataFrame, is_ref: bool) -> DataFrame:
         e = eligible_variants(v).withColumn("provisional", E.info_flag("info", "PR"))
-        row = F.struct("chrom", "pos", "ref", "alt", "id", "provisional")
-        return e.groupBy("chrom", "pos", F.least("ref", "alt").alias("lo"), F.greatest("ref", "alt").alias("hi")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(row)).alias("rows"))
-
-    key = ["chrom", "pos", "lo", "hi"]
-    both = keyed(ref).withColumnsRenamed({"n": "rn", "rows": "rr"}).join(keyed(study).withColumnsRenamed({"n": "sn", "rows": "sr"}), key, "full_outer")
-    rn, sn = F.coalesce("rn", F.lit(0)), F.coalesce("sn", F.lit(0))
+        return e.select("chrom", "pos", F.least("ref", "alt").alias("lo"), F.greatest("ref", "alt").alias("hi"), F.lit(is_ref).alias("is_ref"), F.struct("chrom", "pos", "ref", "alt", "id", "provisional").alias("row"))
+
+    place = F.row_number().over(Window.partitionBy("chrom", "pos", "is_ref").orderBy("lo", "hi"))
+    crowded = F.raise_error(F.format_string(f"more than {LOCUS_ROWS} records at locus %s:%s", "chrom", F.col("pos").cast("string"))).cast("boolean")
+    rows = sided(ref, True).unionByName(sided(study, False)).repartition("chrom", "pos").withColumn("place", place).filter(F.when(F.col("place") > LOCUS_ROWS, crowded).otherwise(True))
+    own, other = F.col("is_ref"), ~F.col("is_ref")
+    both = rows.groupBy("chrom", "pos", "lo", "hi").agg(
+        F.count_if(own).alias("rn"), F.count_if(other).alias("sn"), F.array_sort(F.collect_list(F.when(own, F.col("row")))).alias("rr"), F.array_sort(F.collect_list(F.when(other, F.col("row")))).alias("sr")
+    )
+    rn, sn = F.col("rn"), F.col("sn")
     r, s = F.get("rr", F.lit(0)), F.get("sr", F.lit(0))
     known_r, known_s = ~r["provisional"], ~s["provisional"]
     source = (
@@ -133,12 +141,11 @@ def harmonize_variants(ref: DataFrame, study: DataFrame, exclude_palindromic: bo
         F.col("r.provisional").alias("reference_provisional"), F.col("s.provisional").alias("study_provisional"),
         ((F.col("source") == "reference_rsid") & E.is_rsid("s.id") & (F.col("r.id") != F.col("s.id"))).alias("differing_rsid"),
     )
-    none = F.expr("cast(array() as array<struct<chrom:string,pos:bigint,ref:string,alt:string,id:string,provisional:boolean>>)")
     by_key = judged.filter(~F.col("state").isin("retained", "unmatched")).select(
         F.col("state").alias("reason"), F.when((rn > 0) & (sn > 0), "both").when(rn > 0, "reference").otherwise("study").alias("excluded_side"),
-        "chrom", "pos", F.coalesce("rr", none).alias("rr"), F.coalesce("sr", none).alias("sr"),
+        "chrom", "pos", "rr", "sr",
     )
-    # valid keys are unique on their side; at most 4**n alleles share a locus, and no locus holds more than a few rows
+    # valid keys are unique on their side
     valid = judged.filter("state not like 'duplicate%'")
     lone_r, lone_s = (F.col("state") == "unmatched") & (sn == 0), (F.col("state") == "unmatched") & (rn == 0)
     locus = valid.groupBy("chrom", "pos").agg(
@@ -219,10 +226,6 @@ def build_gates(scores: DataFrame, min_markers: int = 3, min_fraction: float = 0
     return scores.filter("rank = 1").select("build", F.explode(failed).alias("gate"))
 
 
-#: Rows that a locus may have on a side.
-LOCUS_ROWS = 10_000
-
-
 def crowded_loci(v: DataFrame, most: int = LOCUS_ROWS) -> DataFrame:
     """(chrom, pos, n) of eligible loci with more rows than harmonization should gather in one place."""
     return eligible_variants(v).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)

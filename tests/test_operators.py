@@ -219,3 +219,20 @@ def test_log_metrics(spark, tmp_path):
     (tmp_path / "a.log").write_text("x\n1,234 variants loaded.\n99 variants loaded.\n")
     got = {r.metric: r.value for r in reports.log_metrics(spark, str(tmp_path), {"loaded": r"^([0-9,]+) variants", "none": "^(zzz)"}).collect()}
     assert got == {"loaded": "1234", "none": "NA"}
+
+
+def test_a_crowded_locus_raises(spark, monkeypatch):
+    monkeypatch.setattr(variants, "LOCUS_ROWS", 3)
+    rows = [("1", 5, f"v{i}", "A", "ACGT"[1 + i % 3], "PR") for i in range(4)]
+    ref = spark.createDataFrame(rows[:3], "chrom string, pos long, id string, ref string, alt string, info string")
+    study = spark.createDataFrame(rows, ref.schema)
+    assert variants.harmonize_variants(ref, ref).mapping.count() == 0
+    with pytest.raises(Exception, match="more than 3 records at locus 1:5"):
+        variants.harmonize_variants(ref, study).mismatches.collect()
+
+
+def test_harmonization_shuffles_once(spark):
+    ref = spark.createDataFrame([("1", 5, "rs1", "A", "C", ".")], "chrom string, pos long, id string, ref string, alt string, info string")
+    for out in variants.harmonize_variants(ref, ref):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(chrom") == (1 if out.columns[0] == "harmonized_id" else 2)  # keys and roll-up are both read by the second
