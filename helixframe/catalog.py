@@ -30,7 +30,7 @@ def linear_assoc_p(v):
 
 @query()
 def logistic_assoc(v):
-    return assoc.logistic_assoc(v("calls"), v("pheno").withColumn("y", (F.col("y") > 500000).cast("int")), ["pop"])
+    return assoc.logistic_assoc(v("tiles"), v("pheno").withColumn("y", (F.col("y") > 500000).cast("int")), ["pop"])
 
 
 @query(f"SELECT id, chrom, pos, row_id, p FROM (SELECT *, row_number() OVER (ORDER BY p, row_id) AS k FROM sumstats WHERE {VALID}) z WHERE k <= 10", "sumstats")
@@ -175,7 +175,7 @@ c AS (SELECT a, b, n, CASE WHEN n * saa - sa * sa > 0 AND n * sbb - sb * sb > 0
 
 @query(f"WITH {PAIRS}, {R2} SELECT a, b, n, round(r * r, 6) AS r2 FROM c", "calls", "variants")
 def ld_pairs(v):
-    return genotype.pair_r2(v("calls"), genotype.near_pairs(v("variants"), WINDOW)).select("a", "b", "n", r6("r2"))
+    return genotype.pair_r2(v("tiles"), genotype.near_pairs(v("variants"), WINDOW)).select("a", "b", "n", r6("r2"))
 
 
 COUNTED, STEP = 30, 7
@@ -186,26 +186,24 @@ near AS (SELECT x.vid AS a, y.vid AS b, x.chrom, x.i, y.i AS j, CAST(greatest(0,
 pairs AS (SELECT * FROM near WHERE k * {STEP} <= i), {R2}
 SELECT chrom, k, i, j, n, round(r, 6) AS r FROM c JOIN pairs USING (a, b) WHERE r * r > 0.05""", "calls", "variants")
 def window_ld(v):
-    t = tiles.tiled(v("calls"), v("variants"))
-    return tiles.window_r2(t, COUNTED, STEP, 0.05).select("chrom", "k", "i", "j", "n", r6("r"))
+    return tiles.window_r2(v("tiles"), COUNTED, STEP, 0.05).select("chrom", "k", "i", "j", "n", r6("r"))
 
 
 @query()
 def ld_pruned_windows(v):
-    calls = v("calls")
-    return pruning.prune_windows(tiles.tiled(calls, v("variants")), genotype.allele_counts(calls), COUNTED, STEP, 0.2)
+    return pruning.prune_windows(v("tiles"), genotype.allele_counts(v("calls")), COUNTED, STEP, 0.2)
 
 
 @query()
 def ld_pruned(v):
-    return genotype.ld_prune(v("calls"), v("variants"), WINDOW, 0.2)
+    return genotype.ld_prune(v("tiles"), v("variants"), WINDOW, 0.2, genotype.allele_counts(v("calls")))
 
 
 @query("""WITH k AS (SELECT x.sid AS a, y.sid AS b, count(*) FILTER (WHERE x.g = 1 AND y.g = 1) AS hethet, count(*) FILTER (WHERE abs(x.g - y.g) = 2) AS ibs0, count(*) FILTER (WHERE x.g = 1) AS het_a, count(*) FILTER (WHERE y.g = 1) AS het_b
 FROM calls x JOIN calls y ON x.vid = y.vid AND x.sid < y.sid WHERE x.g IS NOT NULL AND y.g IS NOT NULL GROUP BY 1, 2)
 SELECT a, b, hethet, ibs0, round(CASE WHEN least(het_a, het_b) > 0 THEN (hethet - 2 * ibs0) / CAST(2 * least(het_a, het_b) AS DOUBLE) + 0.5 - (het_a + het_b) / CAST(4 * least(het_a, het_b) AS DOUBLE) END, 6) + CAST(0 AS DOUBLE) AS phi FROM k""", "calls")
 def kinship_pairs(v):
-    return genotype.kinship_pairs(v("calls")).select("a", "b", "hethet", "ibs0", (F.round("phi", 6) + 0.0).alias("phi"))
+    return genotype.kinship_pairs(v("tiles")).select("a", "b", "hethet", "ibs0", (F.round("phi", 6) + 0.0).alias("phi"))
 
 
 @query()
@@ -234,7 +232,7 @@ GENES = "genes AS (SELECT concat(chrom, '_', CAST(pos // 20000 AS VARCHAR)) AS g
 pairs AS (SELECT x.vid AS a, y.vid AS b, x.gene FROM inside x JOIN inside y ON x.gene = y.gene AND x.vid <= y.vid), {R2}
 SELECT gene, a, b, round(r, 6) AS r FROM c JOIN pairs USING (a, b) WHERE r * r >= 1e-4""", "calls", "variants")
 def gene_ld(v):
-    return genotype.gene_ld(v("calls"), v("variants"), _genes(v)).select("gene", "a", "b", r6("r"))
+    return genotype.gene_ld(v("tiles"), v("variants"), _genes(v)).select("gene", "a", "b", r6("r"))
 
 
 def _genes(v):

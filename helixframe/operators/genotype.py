@@ -207,7 +207,7 @@ def in_genes(variants: DataFrame, genes: DataFrame) -> DataFrame:
     return variants.withColumn("bin", F.floor(F.col("pos") / GENE_BIN)).join(binned, ["chrom", "bin"]).filter(F.col("pos").between(F.col("start"), F.col("end"))).select("gene", "vid")
 
 
-def gene_ld(calls: DataFrame, variants: DataFrame, genes: DataFrame, min_r2: float = 1e-4) -> DataFrame:
+def gene_ld(calls: DataFrame | Tiles, variants: DataFrame, genes: DataFrame, min_r2: float = 1e-4) -> DataFrame:
     """(gene, a, b, r): correlations within genes (1-based inclusive) of at least min_r2, a <= b, with the diagonal."""
     inside = in_genes(variants, genes)
     pairs = inside.withColumnRenamed("vid", "a").join(inside.withColumnRenamed("vid", "b"), "gene").filter("a <= b")

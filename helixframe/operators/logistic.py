@@ -45,29 +45,29 @@ class Batch:
             c = m[:, 1:]
             self.parts.append((tile, np.frombuffer(cols, "<i4"), m[:, 0], c, (c[:, :, None] * c[:, None, :]).reshape(len(c), -1)))
 
-    def calls(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """(g, known, y, c, products of c) of each sample block."""
+    def calls(self, rows: np.ndarray | slice = slice(None)) -> Iterator[tuple[np.ndarray, ...]]:
+        """(g, known, y, c, products of c) of each sample block, of the variants in rows."""
         for tile, cols, y, c, cc in self.parts:
             g, known = tiles.unpack(tile, self.hard)
-            yield g[:, cols].astype(float), known[:, cols].astype(float), y, c, cc
+            yield g[rows][:, cols].astype(float), known[rows][:, cols].astype(float), y, c, cc
 
     def counts(self) -> np.ndarray:
         return sum((known.sum(1) for _, known, _, _, _ in self.calls()), np.zeros(self.height))
 
-    def slopes(self, w: np.ndarray, inverse: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Gradients and information of the coefficients w (the covariates', then g's), with Firth's correction if inverse is given."""
-        k = self.k
-        gradient, info = np.zeros((self.height, k + 1)), np.zeros((self.height, k + 1, k + 1))
-        for g, known, y, c, cc in self.calls():
+    def slopes(self, rows: np.ndarray, w: np.ndarray, inverse: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients and information of the coefficients w (the covariates', then g's) of the variants in rows, with Firth's correction if inverse is given."""
+        k, m = self.k, len(rows)
+        gradient, info = np.zeros((m, k + 1)), np.zeros((m, k + 1, k + 1))
+        for g, known, y, c, cc in self.calls(rows):
             mu = 1 / (1 + np.exp(-np.clip(w[:, :k] @ c.T + w[:, k:] * g, -30, 30)))
             v = mu * (1 - mu) * known
             left = (y - mu) * known
             if inverse is not None:
-                hat = inverse[:, :k, :k].reshape(self.height, -1) @ cc.T + 2 * g * (inverse[:, :k, k] @ c.T) + inverse[:, k, k, None] * g * g
+                hat = inverse[:, :k, :k].reshape(m, k * k) @ cc.T + 2 * g * (inverse[:, :k, k] @ c.T) + inverse[:, k, k, None] * g * g
                 left = left + v * hat * (0.5 - mu)
             gradient[:, :k] += left @ c
             gradient[:, k] += (left * g).sum(1)
-            info[:, :k, :k] += (v @ cc).reshape(self.height, k, k)
+            info[:, :k, :k] += (v @ cc).reshape(m, k, k)
             info[:, :k, k] += (v * g) @ c
             info[:, k, k] += (v * g * g).sum(1)
         info[:, k, :k] = info[:, :k, k]
@@ -78,23 +78,23 @@ class Batch:
         n = self.counts()
         beta, se, method = np.full(self.height, np.nan), np.full(self.height, np.nan), np.full(self.height, "failed", object)
         for name in ("irls", "firth"):
-            w = np.zeros((self.height, self.k + 1))
-            active = (n > 0) & (method == "failed")
+            rows = np.flatnonzero((n > 0) & (method == "failed"))
+            w = np.zeros((len(rows), self.k + 1))
             for _ in range(rounds * (1 + (name == "firth"))):
-                if not active.any():
+                if not len(rows):
                     break
-                gradient, info = self.slopes(w)
-                active &= np.abs(np.linalg.eigvalsh(info)).min(1) > 1e-9
-                inverse = np.linalg.inv(np.where(active[:, None, None], info, np.eye(self.k + 1)))
+                gradient, info = self.slopes(rows, w)
+                whole = np.abs(np.linalg.eigvalsh(info)).min(1) > 1e-9
+                rows, w, gradient, info = rows[whole], w[whole], gradient[whole], info[whole]
+                inverse = np.linalg.inv(info)
                 if name == "firth":
-                    gradient = self.slopes(w, inverse)[0]
+                    gradient = self.slopes(rows, w, inverse)[0]
                 step = np.clip(np.einsum("vij,vj->vi", inverse, gradient), -STEP, STEP)
-                step[~active] = 0
-                w += step
-                done = active & (np.abs(step).max(1) < 1e-9)
+                w = w + step
+                done = np.abs(step).max(1, initial=0) < 1e-9
                 good = done & (np.abs(w[:, -1]) < DIVERGED)
-                beta[good], se[good], method[good] = w[good, -1], np.sqrt(inverse[good, -1, -1]), name
-                active &= ~done
+                beta[rows[good]], se[rows[good]], method[rows[good]] = w[good, -1], np.sqrt(inverse[good, -1, -1]), name
+                rows, w = rows[~done], w[~done]
         return n, beta, se, method
 
 
@@ -104,7 +104,7 @@ def logistic(t: Tiles, pheno: DataFrame, covariates: list[str], rounds: int = 30
     people = packed_people(t.samples, whole, ["y", "__one", *covariates])
     hard, height, width = t.hard, t.height, 2 + len(covariates)
     kind = t.variants.schema["vid"].dataType.simpleString()
-    met = t.tiles.select("block", "sblock", "vids", "tile").join(people, "sblock")
+    met = t.tiles.select("block", "sblock", "vids", "tile").join(people, "sblock").repartition(tiles.tasks(t.tiles), "block")
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, names = [], [None] * height

@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.plans.order import placed
@@ -73,8 +73,8 @@ def place_variants(variants: DataFrame, height: int = VARIANTS) -> DataFrame:
 
 
 def place_samples(samples: DataFrame) -> DataFrame:
-    """(sid, sblock, col) of samples (sid)."""
-    at = placed(samples.select("sid").filter("sid is not null").distinct(), [], ["sid"], "idx")
+    """(sid, sblock, col) of samples (sid), in one window: ids alone, as many as people in a study."""
+    at = samples.select("sid").filter("sid is not null").distinct().select("sid", (F.row_number().over(Window.orderBy("sid")) - 1).alias("idx"))
     return at.select("sid", F.expr(f"idx div {SAMPLES}").cast("int").alias("sblock"), (F.col("idx") % SAMPLES).cast("int").alias("col"))
 
 
@@ -110,6 +110,11 @@ def tiled(calls: DataFrame, variants: DataFrame | None = None, height: int = VAR
     return Tiles(written(cut, "tiles"), at, who, hard, height)
 
 
+def tasks(df: DataFrame) -> int:
+    """Tasks of a step whose work is in its groups, not in their bytes: a number that adaptive execution leaves alone."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _correlations(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(n, r) by pair from sums of n, a, b, ab, aa and bb; r is NaN without variance."""
     n, sa, sb, sab, saa, sbb = sums
@@ -130,7 +135,7 @@ def _scan(t: Tiles, wanted: DataFrame, mask: Callable[[str, str, bytes | None],
     kind = t.variants.schema["vid"].dataType.simpleString()
     a = t.tiles.select(F.col("block").alias("va"), "sblock", F.col("vids").alias("vids_a"), F.col("tile").alias("tile_a"))
     b = t.tiles.select(F.col("block").alias("vb"), "sblock", F.col("vids").alias("vids_b"), F.col("tile").alias("tile_b"))
-    met = wanted.join(a, "va").join(b, ["vb", "sblock"])
+    met = wanted.repartition(tasks(wanted), "va", "vb").join(a, "va").join(b, ["vb", "sblock"])
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         va, vb = key[0].as_py(), key[1].as_py()
@@ -169,7 +174,8 @@ def pair_r2(t: Tiles, pairs: DataFrame) -> DataFrame:
     a = t.variants.select(F.col("vid").alias("a"), F.col("block").alias("va"), F.col("row").alias("ra"))
     b = t.variants.select(F.col("vid").alias("b"), F.col("block").alias("vb"), F.col("row").alias("rb"))
     bits = F.bitmap_construct_agg((F.col("ra") * VARIANTS + F.col("rb")).cast("long"))
-    wanted = pairs.select("a", "b").join(a, "a").join(b, "b").groupBy("va", "vb").agg(bits.alias("bits"))
+    met = pairs.select("a", "b").join(a, "a").join(b, "b").repartition(tasks(pairs), "va", "vb")  # before the bitmaps, which adaptive execution would gather in few tasks
+    wanted = met.groupBy("va", "vb").agg(bits.alias("bits"))
 
     def asked(va: str, vb: str, bits: bytes | None) -> np.ndarray:
         return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")[: VARIANTS * VARIANTS].reshape(VARIANTS, VARIANTS).astype(bool)
@@ -227,7 +233,9 @@ def kinship(t: Tiles, above: float | None = None) -> DataFrame:
                 (ga, ca), (gb, cb) = unpack(one.as_py()), unpack(other.as_py())
                 het_a, het_b = (ga == 1).astype(np.float32), (gb == 1).astype(np.float32)
                 none_a, none_b, both_a, both_b = ca * (ga == 0), cb * (gb == 0), (ga == 2).astype(np.float32), (gb == 2).astype(np.float32)
-                for k, x in enumerate((ca.T @ cb, het_a.T @ het_b, none_a.T @ both_b + both_a.T @ none_b, het_a.T @ cb, ca.T @ het_b)):
+                apart, het = none_a.T @ both_b, het_a.T @ cb
+                same = sa == sb  # then the products the other way round are these, transposed
+                for k, x in enumerate((ca.T @ cb, het_a.T @ het_b, apart + (apart.T if same else both_a.T @ none_b), het, het.T if same else ca.T @ het_b)):
                     sums[k] += x.astype(np.int32)
         for begin in range(0, SAMPLES, 64):  # a strip at a time
             n, hethet, ibs0, het_a, het_b = sums[:, begin : begin + 64].astype(np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.plans.stored import stored
+from helixframe.plans.stored import written
 
 
 def placed(df: DataFrame, by: list[str], order: list[str], name: str = "place") -> DataFrame:
@@ -14,7 +14,7 @@ def placed(df: DataFrame, by: list[str], order: list[str], name: str = "place")
     Rows are dealt by ranges of (by, order) and stored once; the sizes of a group's ranges are added up, so
     a window holds one range at a time.
     """
-    parts = stored(df.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id()))
+    parts = written(df.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id()), "placed")
     local = parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)) - 1)
     sizes = parts.groupBy("__part", *by).agg(F.count(F.lit(1)).alias("__m"))  # a row per range, and one per further group in it
     before = F.sum("__m").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))

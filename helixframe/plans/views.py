@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from helixframe.operators.tiles import Tiles, tiled
 from helixframe.plans.ship import ship
 from helixframe.plans.stored import written
 
@@ -43,7 +44,7 @@ SELECT concat('v', CAST(l_orderkey AS VARCHAR(12)), ':', CAST(l_linenumber AS VA
 }
 _BASES = """(SELECT CAST(p_partkey AS BIGINT) AS p, CAST(1 + p_partkey % 22 AS BIGINT) AS c, CAST(1000 + p_partkey * 97 AS BIGINT) AS pos, substring('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS a0,
   substring('ACGT', CAST(1 + (p_partkey + 1 + p_partkey % 3) % 4 AS INT), 1) AS a1, substring('ACGT', CAST(1 + (p_partkey + 1 + (p_partkey + 1) % 3) % 4 AS INT), 1) AS a2 FROM part)"""
-_TABLES = {"calls": "lineitem", "sumstats": "lineitem", "samples": "customer", "aliases": "customer", "pheno": "supplier", "pcs": "embeddings"}
+_TABLES = {"calls": "lineitem", "tiles": "lineitem", "sumstats": "lineitem", "samples": "customer", "aliases": "customer", "pheno": "supplier", "pcs": "embeddings"}
 
 
 def view_sql(name: str, spark: bool = False) -> str:
@@ -53,24 +54,49 @@ def view_sql(name: str, spark: bool = False) -> str:
     return out
 
 
-#: Stored once a session: their expressions would otherwise be part of every query's plan, several times over.
-_STORED = {"calls", "sumstats"}
-_held: dict[tuple, DataFrame] = {}
+#: Stored once a session: their expressions would otherwise be part of every query's plan, several times over. tiles are the calls, cut.
+STORED = ("calls", "sumstats", "tiles")
+_held: dict[tuple, tuple[list[str], DataFrame | Tiles]] = {}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derived, or else the given, table as a DataFrame over the Parquet files of sf_dir."""
-    source, key = _TABLES.get(name, "part"), (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _held:
-        return _held[key]
+def _files(spark: SparkSession, path: str) -> tuple:
+    """The files of a table with their sizes and times: another write is another table. Empty if there are none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return ()
+    found = [at] if system.getFileStatus(at).isFile() else [f.getPath() for f in system.listStatus(at)]
+    return tuple((f.toString(), (s := system.getFileStatus(f)).getLen(), s.getModificationTime()) for f in found)
+
+
+def _folders(df: DataFrame) -> list[str]:
+    return sorted({f.rpartition("/")[0] for f in df.inputFiles()})
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | Tiles:
+    """The derived, or else the given, table as a DataFrame over the Parquet files of sf_dir; tiles as such.
+
+    A stored table is used again as long as the files behind it are the same and its own are there.
+    """
     ship(spark)
-    if name not in VIEWS:
+    if name not in VIEWS and name != "tiles":
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    given = spark.read.parquet(f"{sf_dir.rstrip('/')}/{source}.parquet")
-    given.createOrReplaceTempView(f"helix_{source}")
+    source = _TABLES.get(name, "part")
+    path = f"{sf_dir.rstrip('/')}/{source}.parquet"
+    key = ()
+    if name in STORED:
+        key = (spark.sparkContext.applicationId, path, name, _files(spark, path))
+        if key in _held and all(_files(spark, f) for f in _held[key][0]):
+            return _held[key][1]
+    if name == "tiles":
+        t = tiled(view(spark, sf_dir, "calls"), view(spark, sf_dir, "variants"))
+        _held[key] = [f for df in (t.tiles, t.variants, t.samples) for f in _folders(df)], t
+        return t
+    spark.read.parquet(path).createOrReplaceTempView(f"helix_{source}")
     df = spark.sql(view_sql(name, spark=True).replace(f"FROM {source}", f"FROM helix_{source}"))
-    if name in _STORED:
-        df = _held[key] = written(df, name)
+    if name in STORED:
+        df = written(df, name)
+        _held[key] = _folders(df), df
     return df
 
 
