@@ -405,3 +405,15 @@ def test_op9_equals_plain_products(spark, small):
         want += [(int(ids[q]), k, i, -s) for k, (s, i) in enumerate(order, 1)]
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in queries.QUERIES["op9_topk_threshold"](spark, path).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_only_results_are_left_of_settled_queries(spark, odd):
+    from helixframe.llm.common import shared_dir
+
+    path, docs = odd
+    at = Path(shared_dir(spark).removeprefix("file:"))
+    for name in ("op3_media_columns", "op11_risk_thresholds", "op12_permuterm_variants", "op13_merkle_veb"):
+        before = set(at.iterdir())
+        rows = queries.QUERIES[name](spark, path)
+        left = set(at.iterdir()) - before
+        assert len(left) == 1 and left.pop().name.startswith(name) and rows.count() == (len(docs) if "op12" not in name else rows.count())
