@@ -214,3 +214,37 @@ def test_logistic_fits_of_a_tile_equal_those_of_single_variants(spark):
         beta, se = newton_of_one(np.column_stack([np.ones(use.sum()), x[use], g[v][use]]), y[use], v == 8)
         assert got[v].n == use.sum() and got[v].beta == pytest.approx(beta, abs=1e-7) and got[v].se == pytest.approx(se, rel=1e-6)
         assert got[v].method == ("firth" if v == 8 else "irls")
+
+
+def test_admixture_equals_numpy_and_rises(spark):
+    from helixframe.operators import admixture
+
+    rng = np.random.default_rng(6)
+    n, m, names = 90, 200, ["AFR", "EAS", "EUR"]
+    p = rng.uniform(0.05, 0.95, (m, 3))
+    q = np.vstack([np.repeat(np.eye(3), 15, 0), rng.dirichlet(np.ones(3), n - 45)])
+    g = rng.binomial(2, np.clip(p @ q.T, 0, 1)).astype(float)
+    g[rng.random(g.shape) < 0.1] = np.nan
+    calls = spark.createDataFrame([(s, v, None if np.isnan(g[v, s]) else int(g[v, s])) for v in range(m) for s in range(n)], "sid long, vid long, g int")
+    labels = spark.createDataFrame([(i, names[i // 15]) for i in range(45)], "sid long, label string")
+    t = tiles.tiled(calls, spark.createDataFrame([(v, "1", v) for v in range(m)], "vid long, chrom string, pos long"))
+    out = admixture.fit(t, labels, rounds=12, tolerance=0)
+    known, x = (~np.isnan(g)).astype(float), np.nan_to_num(g)
+    own = np.vstack([np.repeat(np.eye(3), 15, 0), np.zeros((45, 3))])
+    a = np.clip(x @ own / (2 * known @ own), 1e-5, 1 - 1e-5)
+    b = np.vstack([own[:45], np.full((45, 3), 1 / 3)])
+    levels = []
+    for i in range(12):
+        one, none = a @ b.T, (1 - a) @ b.T
+        levels.append((known * (x * np.log(one) + (2 - x) * np.log(none))).sum())
+        high, low = known * x / one, known * (2 - x) / none
+        up, down = a * (high @ b), (1 - a) * (low @ b)
+        new = b * (high.T @ a + low.T @ (1 - a)) / (2 * known.sum(0))[:, None]
+        a = np.clip(up / (up + down), 1e-5, 1 - 1e-5)
+        b = np.vstack([b[:45], new[45:]])
+    assert np.allclose(out.likelihoods, levels, rtol=1e-9) and (np.diff(levels) > 0).all()
+    got = {(r.sid, r.label): r.q for r in out.proportions.collect()}
+    assert len(got) == 3 * n and all(got[s, names[c]] == pytest.approx(b[s, c], abs=1e-9) for s in range(n) for c in range(3))
+    freq = {(r.vid, r.label): r.p for r in out.frequencies.collect()}
+    assert all(freq[v, names[c]] == pytest.approx(a[v, c], abs=1e-9) for v in range(m) for c in range(3))
+    assert np.abs(b[45:] - q[45:]).mean() < 0.08
