@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, manifest, pooled, pruning, quality, reports, samples, summaries, tiles, variants
+from helixframe.operators import admixture, ancestry, assoc, genotype, manifest, pooled, pruning, quality, reports, samples, summaries, tiles, variants
 from helixframe.registry import ORACLES, QUERIES, query, r6
 
 # ------------------------------------------------------------ association tables
@@ -310,7 +310,21 @@ SELECT vid, concat(chrom, ':', pos, ':A:G') AS id, CAST(least(a, 2 * n - a) AS B
 def rare_target(v):
     bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
     keep = v("pheno").filter("y is not null").select("sid")
-    return pooled.rare_target(v("calls"), _alleles(v), keep, bed, variants.BROADCAST_INTERVALS + 1).select("vid", "id", F.col("mac").cast("long").alias("mac"))
+    return pooled.rare_target(v("calls"), _alleles(v), keep, bed).select("vid", "id", F.col("mac").cast("long").alias("mac"))
+
+
+@query("""WITH bed AS (SELECT chrom, min(pos) - 500 AS start, min(pos) + 1700 AS "end" FROM variants GROUP BY chrom, pos // 40000),
+i AS (SELECT vid, chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = v.chrom AND v.pos - 1 >= b.start AND v.pos - 1 < b."end")),
+d AS (SELECT vid, g * 0.96 + 0.02 AS g FROM calls WHERE sid IN (SELECT sid FROM pheno WHERE y IS NOT NULL)),
+k AS (SELECT vid, count(g) AS n, count(*) AS m, CAST(sum(g) AS DOUBLE) AS a, CAST(sum(g * g) AS DOUBLE) AS gg FROM d GROUP BY vid),
+r AS (SELECT vid, n, m, a, a / (2 * n) AS p, gg / n - power(a / n, 2) AS v FROM k WHERE n > 0)
+SELECT vid, concat(chrom, ':', pos, ':A:G') AS id, round(least(a, 2 * n - a), 6) AS mac, round(v / (2 * p * (1 - p)), 6) AS r2 FROM i JOIN r USING (vid)
+WHERE least(a, 2 * n - a) >= 1 AND CAST(m - n AS DOUBLE) / m <= 0.05 AND v / (2 * p * (1 - p)) BETWEEN 0.8 AND 2""", "calls", "variants", "pheno")
+def rare_target_dosage(v):
+    bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
+    keep = v("pheno").filter("y is not null").select("sid")
+    dosages = v("calls").withColumn("g", F.col("g") * 0.96 + 0.02)
+    return pooled.rare_target(dosages, _alleles(v), keep, bed, mode="dosage").select("vid", "id", r6("mac"), r6("r2"))
 
 
 @query("WITH " + COUNTS + """, e AS (SELECT vid, 2 * alt_freq * (1 - alt_freq) * 2 * n / (2 * n - 1) AS e FROM freqs WHERE n > 1 AND alt_freq > 0 AND alt_freq < 1),
@@ -417,14 +431,14 @@ REGIONS = "regions AS (SELECT chrom, min(pos) + 5000 AS start, min(pos) + 60000
 @query(f"WITH {REGIONS} SELECT vid, v.chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM regions r WHERE r.chrom = v.chrom AND v.pos BETWEEN r.start AND r.\"end\")", "variants")
 def region_exclusion(v):
     regions = v("variants").groupBy("chrom").agg((F.min("pos") + 5000).alias("start"), (F.min("pos") + 60000).alias("end"))
-    return variants.in_intervals(v("variants"), regions, 22).select("vid", "chrom", "pos")
+    return variants.in_intervals(v("variants"), regions).select("vid", "chrom", "pos")
 
 
 @query("""WITH bed AS (SELECT chrom, min(pos) - 500 AS start, min(pos) + 1700 AS "end" FROM variants GROUP BY chrom, pos // 40000)
 SELECT vid, v.chrom, pos FROM variants v WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = v.chrom AND v.pos - 1 >= b.start AND v.pos - 1 < b."end")""", "variants")
 def target_restriction(v):
     bed = v("variants").groupBy("chrom", F.floor(F.col("pos") / 40000)).agg((F.min("pos") - 500).alias("start"), (F.min("pos") + 1700).alias("end"))
-    return variants.in_intervals(v("variants"), bed, variants.BROADCAST_INTERVALS + 1, zero_based=True).select("vid", "chrom", "pos")
+    return variants.in_intervals(v("variants"), bed, zero_based=True).select("vid", "chrom", "pos")
 
 
 @query("""WITH markers AS (SELECT id AS variant_id, chrom, 'GRCh37' AS build, pos FROM variants_ref WHERE id LIKE 'rs%' UNION ALL SELECT id, chrom, 'GRCh38', pos + 7 FROM variants_ref WHERE id LIKE 'rs%'),
@@ -518,6 +532,37 @@ def ancestry_confidence(v):
     return ancestry.ancestry_confidence(_study(v)).select("sid", r6("confidence"))
 
 
+def _assignment(v):
+    pcs = v("pcs")
+    return ancestry.assignment(pcs.filter("sid % 4 = 0"), pcs.filter("sid % 4 <> 0"), PCS, [0, 1, 2, 3])
+
+
+@query()
+def ancestry_models(v):
+    return _assignment(v).models.withColumns({c: F.round(c, 6) for c in ("reference_outlier_cutoff", "assignment_cutoff")})
+
+
+@query()
+def ancestry_excluded(v):
+    return _assignment(v).excluded.withColumns({c: F.round(c, 6) for c in ("best_distance", "confidence")})
+
+
+@query()
+def ancestry_within(v):
+    return _assignment(v).within
+
+
+@query()
+def ancestry_counts(v):
+    return _assignment(v).counts
+
+
+@query()
+def supervised_admixture(v):
+    labels = v("pheno").filter("sid % 2 = 0").select("sid", F.col("pop").cast("string").alias("label"))
+    return admixture.fit(v("tiles"), labels, rounds=15).proportions.select("sid", "label", F.round("q", 4).alias("q"))
+
+
 @query()
 def ancestry_assignment(v):
     pcs = v("pcs")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from helixframe.functions import expr as E
 from helixframe.operators import quality
+from helixframe.plans.stored import written
 
 RIDGE = 1e-4
 
@@ -71,32 +73,69 @@ def ancestry_confidence(distances: DataFrame) -> DataFrame:
     return two.select("sid", F.when(d2.isNull() | (d2 == 0), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - d1 / d2))).alias("confidence"))
 
 
-def assign_ancestry(study: DataFrame, ref: DataFrame, pcs: list[str], labels: list, multiplier: float = 4.0, min_confidence: float = 0.05, min_n: int = 20) -> DataFrame:
-    """(sid, population, super_population, distance, cutoff, confidence, ancestry, reason).
+class Assignment(NamedTuple):
+    """What an assignment writes; all tables follow from one stored table of distances."""
+
+    judged: DataFrame  # (sid, population, super_population, distance, cutoff, confidence, ancestry, reason)
+    distances: DataFrame  # (sid, population, super_population, distance) to every model
+    outliers: DataFrame  # (sid, population, super_population, distance, cutoff) of the reference samples that were dropped
+    models: DataFrame  # (population, super_population, n_input, n_retained, n_outliers, reference_outlier_cutoff, assignment_cutoff, pc_count, model_status)
+    assigned: DataFrame  # (sid, ancestry, population, distance, confidence)
+    within: DataFrame  # (sid, ancestry, components...) of the assigned
+    excluded: DataFrame  # (sid, best_ancestry, best_population, best_distance, confidence, reason)
+    counts: DataFrame  # (category, population, ancestry, n)
+
+
+def assignment(study: DataFrame, ref: DataFrame, pcs: list[str], labels: list, multiplier: float = 4.0, min_confidence: float = 0.05, min_n: int = 20) -> Assignment:
+    """Samples of study by the nearest population model of ref (sid, population, super_population, components...).
 
-    Models are fitted, reference outliers of populations over ten dropped, and models refitted.
+    Models are fitted, reference outliers of populations over ten dropped, and models refitted; populations of
+    fewer than min_n have none. A label without a model is an error.
     """
     def own(reference: DataFrame, models: DataFrame) -> DataFrame:
         mine = reference.select("sid", *pcs, F.col("population").alias("own"))
         return population_distances(mine, models, pcs).join(mine.select("sid", "own"), "sid").filter("population = own")
 
-    first = population_models(ref, pcs)
-    near = own(ref, first)
-    limit = robust_cutoff(near, "distance", "population", multiplier)
-    inside = near.join(limit, "population").join(first.select("population", "n"), "population").filter((F.col("distance") <= F.col("cutoff")) | (F.col("n") <= 10))
-    kept = ref.join(inside.select("sid"), "sid", "left_semi")
-    models = population_models(kept, pcs).filter(F.col("n") >= min_n)
-    cutoffs = robust_cutoff(own(kept, models), "distance", "population", multiplier)
+    first = written(population_models(ref, pcs), "models")
+    near = written(own(ref, first), "near")
+    limit = written(robust_cutoff(near, "distance", "population", multiplier), "limit")
+    sized = near.join(F.broadcast(limit), "population").join(F.broadcast(first.select("population", "n")), "population")  # rows per population
+    far = (F.col("distance") > F.col("cutoff")) & (F.col("n") > 10)
+    outliers = written(sized.filter(far).select("sid", "population", "super_population", "distance", "cutoff"), "outliers")
+    kept = ref.join(outliers.select("sid"), "sid", "left_anti")
+    fitted = written(population_models(kept, pcs), "models")
+    models = fitted.filter(F.col("n") >= min_n)
+    cutoffs = written(robust_cutoff(own(kept, models), "distance", "population", multiplier), "cutoffs")
     without = ref.sparkSession.createDataFrame([(x,) for x in labels], ["super_population"]).join(models, "super_population", "left_anti")
     quality.require(without, "super-populations without a model")
-    distances = population_distances(study, models, pcs)
+    distances = written(population_distances(study, models, pcs), "distances")
     best = rank_populations(distances).filter("rank = 1").drop("rank")
     joined = best.join(F.broadcast(cutoffs), "population", "left").join(ancestry_confidence(distances), "sid")  # a row per population
     reason = (
         F.when(~F.col("super_population").isin(*labels), "unconfigured_nearest_super_population").when(F.col("distance") > F.col("cutoff"), "outside_reference_population_distance")
         .when(F.col("confidence") < min_confidence, "ambiguous_nearest_ancestries")
     )
-    return joined.withColumn("reason", reason).withColumn("ancestry", F.when(F.col("reason").isNull(), F.col("super_population")))
+    judged = written(joined.withColumn("reason", reason).withColumn("ancestry", F.when(F.col("reason").isNull(), F.col("super_population"))), "judged")
+    assigned = judged.filter("reason is null").select("sid", "ancestry", "population", "distance", "confidence")
+    excluded = judged.filter("reason is not null").select("sid", F.col("super_population").alias("best_ancestry"), F.col("population").alias("best_population"), F.col("distance").alias("best_distance"), "confidence", "reason")
+    dropped = outliers.groupBy("population").agg(F.count(F.lit(1)).alias("n_outliers"))
+    summary = first.select("population", "super_population", F.col("n").alias("n_input")).join(fitted.select("population", F.col("n").alias("n_retained")), "population", "left").join(dropped, "population", "left")
+    summary = summary.join(limit.withColumnRenamed("cutoff", "reference_outlier_cutoff"), "population", "left").join(cutoffs.withColumnRenamed("cutoff", "assignment_cutoff"), "population", "left").fillna(0, ["n_retained", "n_outliers"])
+    summary = summary.withColumns({"pc_count": F.lit(len(pcs)), "model_status": F.when(F.col("n_retained") >= min_n, "retained").otherwise("dropped_low_reference_n")})
+    n, every = F.count(F.lit(1)).alias("n"), F.lit("ALL")
+    counts = [
+        assigned.groupBy("population", F.col("ancestry").cast("string").alias("ancestry")).agg(n).select(F.lit("assigned_population").alias("category"), F.col("population").cast("string").alias("population"), "ancestry", "n"),
+        assigned.groupBy(F.col("ancestry").cast("string").alias("ancestry")).agg(n).select(F.lit("assigned_ancestry").alias("category"), every.alias("population"), "ancestry", "n"),
+        excluded.groupBy("reason").agg(n).select(F.lit("excluded_reason").alias("category"), every.alias("population"), F.col("reason").alias("ancestry"), "n"),
+        excluded.agg(n).select(F.lit("excluded_total").alias("category"), every.alias("population"), every.alias("ancestry"), "n"),
+    ]
+    columns = ["population", "super_population", "n_input", "n_retained", "n_outliers", "reference_outlier_cutoff", "assignment_cutoff", "pc_count", "model_status"]
+    return Assignment(judged, distances, outliers, summary.select(*columns), assigned, study.select("sid", *pcs).join(assigned.select("sid", "ancestry"), "sid").select("sid", "ancestry", *pcs), excluded, reduce(DataFrame.unionByName, counts))
+
+
+def assign_ancestry(study: DataFrame, ref: DataFrame, pcs: list[str], labels: list, multiplier: float = 4.0, min_confidence: float = 0.05, min_n: int = 20) -> DataFrame:
+    """(sid, population, super_population, distance, cutoff, confidence, ancestry, reason) of assignment."""
+    return assignment(study, ref, pcs, labels, multiplier, min_confidence, min_n).judged
 
 
 def reference_coverage(meta: DataFrame, min_n: int = 20) -> DataFrame:

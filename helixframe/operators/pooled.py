@@ -213,12 +213,28 @@ def htp_rows(calls: DataFrame, variants: DataFrame, status: DataFrame, assoc: Da
     )
 
 
-def rare_target(calls: DataFrame, v: DataFrame, keep: DataFrame, targets: DataFrame, n_targets: int, max_missing: float = 0.05, mac: int = 1) -> DataFrame:
-    """(vid, id, mac): the kept samples' variants within targets (0-based half-open), named by position and alleles."""
-    inside = variants.in_intervals(v, targets, n_targets, zero_based=True)
+#: A dosage within this of a whole number is that hard call.
+HARD_CALL = 0.1
+
+
+def rare_target(calls: DataFrame, v: DataFrame, keep: DataFrame, targets: DataFrame, n_targets: int | None = None, max_missing: float = 0.05, mac: float = 1, mode: str = "hardcall", info_min: float = 0.8) -> DataFrame:
+    """(vid, id, mac) of the kept samples' variants within targets (0-based half-open), named by position and alleles; with mode 'dosage' (vid, id, mac, r2).
+
+    'hardcall' erases dosages: one that is near no whole number is no call. 'dosage' keeps them, and of the
+    variants those whose MaCH R2 is from info_min to 2.
+    """
+    if mode not in ("hardcall", "dosage"):
+        raise ValueError(f"the genotype mode is hardcall or dosage, not {mode}")
+    inside = variants.in_intervals(v, targets, zero_based=True)
     chosen = calls.join(keep.select("sid"), "sid", "left_semi").join(inside.select("vid"), "vid", "left_semi")
-    passed = genotype.allele_counts(chosen).filter((F.col("mac") >= mac) & (F.col("missing") / (F.col("n") + F.col("missing")) <= max_missing))
-    return inside.join(passed.select("vid", "mac"), "vid").select("vid", E.cpra("chrom", "pos", "ref", "alt").alias("id"), "mac")
+    if mode == "hardcall" and calls.schema["g"].dataType.typeName() in ("float", "double", "decimal"):
+        whole = F.round("g")
+        chosen = chosen.withColumn("g", F.when(F.abs(F.col("g") - whole) <= HARD_CALL, whole))
+    counts = genotype.allele_counts(chosen)
+    passed = counts.filter((F.col("mac") >= mac) & (F.col("missing") / (F.col("n") + F.col("missing")) <= max_missing))
+    if mode == "dosage":
+        passed = genotype.mach_r2(passed).filter(F.col("r2").between(info_min, 2.0))
+    return inside.join(passed, "vid").select("vid", E.cpra("chrom", "pos", "ref", "alt").alias("id"), "mac", *(["r2"] if mode == "dosage" else []))
 
 
 class SexChecked(NamedTuple):
@@ -239,21 +255,63 @@ def sex_markers(v: DataFrame, calls: DataFrame, build: str, maf: float = 0.05, m
     return x.select("vid", "chrom").unionByName(placed.filter("chrom = 'Y'").select("vid", "chrom"))
 
 
-def sex_check(calls: DataFrame, manifest: DataFrame, action: str = "warn", female: float = 0.2, male: float = 0.8, markers: DataFrame | None = None) -> SexChecked:
+class SexLimits(NamedTuple):
+    """Female up to the first limit, male from the second, of F on X and of the share of called Y markers (not looked at where null)."""
+
+    female: float = 0.2
+    male: float = 0.8
+    female_y: float | None = None
+    male_y: float | None = None
+
+
+def sex_limits(max_female_xf=None, min_male_xf=None, max_female_yrate=None, min_male_yrate=None) -> SexLimits:
+    """Limits as configured: blank ones are not set, none at all are the defaults; those of X, and those of Y, come in pairs."""
+    given = {"max_female_xf": max_female_xf, "min_male_xf": min_male_xf, "max_female_yrate": max_female_yrate, "min_male_yrate": min_male_yrate}
+    found = {}
+    for name, value in given.items():
+        if value is not None and str(value).strip():
+            try:
+                found[name] = float(value)
+            except ValueError:
+                raise ValueError(f"{name} is no number: {value}") from None
+    if not found:
+        return SexLimits()
+    if not {"max_female_xf", "min_male_xf"} <= found.keys():
+        raise ValueError("custom limits need both max_female_xf and min_male_xf")
+    if ("max_female_yrate" in found) != ("min_male_yrate" in found):
+        raise ValueError("limits of the Y rate need both max_female_yrate and min_male_yrate")
+    return SexLimits(*(found.get(n) for n in given))
+
+
+def sex_check(calls: DataFrame, manifest: DataFrame, action: str = "warn", female: float = 0.2, male: float = 0.8, markers: DataFrame | None = None, limits: SexLimits | None = None, enabled: bool = True, allow_no_x: bool = False) -> SexChecked:
     """Sex from inbreeding on X calls: 2 up to the first limit, 1 from the second, else 0; y_called is the share of Y markers with a call.
 
     calls are those of sex_markers (vid, chrom), or of X alone without them. manifest is (sid, sex,
-    ped_sex); action 'exclude' removes mismatches, 'fail' raises on them.
+    ped_sex); action 'exclude' removes mismatches, 'fail' raises on them. With limits of the Y rate, both
+    rates must agree. Where the check is disabled, or no X marker is left and allow_no_x, all samples are
+    kept with the status 'disabled' or 'no_sex_chromosome_markers'; without allow_no_x the latter raises.
     """
+    limits = limits or SexLimits(female, male)
+    skipped = None if enabled else "disabled"
     x_calls = calls if markers is None else calls.join(markers.filter("chrom = 'X'").select("vid"), "vid", "left_semi")
-    f = F.col("f")
-    genetic = F.when(f <= female, "2").when(f >= male, "1").otherwise("0")
-    joined = manifest.join(genotype.inbreeding(x_calls).select("sid", "f"), "sid", "left").withColumn("genetic", genetic)
+    if enabled and (x_calls if markers is None else markers.filter("chrom = 'X'")).isEmpty():
+        if not allow_no_x:
+            raise ValueError("the sex check needs X markers outside the pseudo-autosomal regions")
+        skipped = "no_sex_chromosome_markers"
+    if skipped:
+        none = {"f": F.lit(None).cast("double"), "genetic": F.lit("0"), "y_called": F.lit(None).cast("double"), "status": F.lit(skipped)}
+        return SexChecked(manifest.withColumns(none), manifest.select("sid"), manifest.select("sid").limit(0))
+    joined = manifest.join(genotype.inbreeding(x_calls).select("sid", "f"), "sid", "left")
     if markers is None:
         joined = joined.withColumn("y_called", F.lit(None).cast("double"))
     else:
         y = calls.join(markers.filter("chrom = 'Y'").select("vid"), "vid", "left_semi").groupBy("sid").agg((F.count("g") / F.count(F.lit(1))).alias("y_called"))
         joined = joined.join(y, "sid", "left")
+    f, rate = F.col("f"), F.col("y_called")
+    woman, man = f <= limits.female, f >= limits.male
+    if limits.female_y is not None:
+        woman, man = woman & (rate <= limits.female_y), man & (rate >= limits.male_y)
+    joined = joined.withColumn("genetic", F.when(woman, "2").when(man, "1").otherwise("0"))
     detail = joined.withColumn("status", samples.sex_status(F.col("sex"), F.col("ped_sex"), F.col("genetic")))
     problems = detail.filter("status <> 'ok'").select("sid")
     if action == "fail" and (bad := problems.limit(5).collect()):

@@ -12,8 +12,6 @@ from helixframe.functions import expr as E
 
 #: Range joins bin positions to this width.
 BIN = 1 << 14
-#: Interval tables up to so many rows may be broadcast; larger ones are binned.
-BROADCAST_INTERVALS = 1_000
 # The last base of PAR1 and the first of PAR2 on X, by build.
 PAR_BOUNDS = {"GRCh37": (2699520, 154931044), "GRCh38": (2781479, 155701383)}
 QUALITY_KEYS = ["R2", "INFO", "MACH_R2", "MINIMAC3_R2", "IMPUTE_INFO", "IMPUTE2_INFO", "INFO_SCORE", "RSQ"]
@@ -81,10 +79,13 @@ def info_filter(v: DataFrame, threshold: float, table_columns: tuple[str, ...] =
 
 
 def split_par(v: DataFrame, build: str) -> DataFrame:
+    """v with the X rows of the pseudo-autosomal regions as PAR1 and PAR2; a table that has such rows is split already."""
     if build not in PAR_BOUNDS:
         raise ValueError(f"unknown build {build}")
     low, high = PAR_BOUNDS[build]
     label = E.normalize_chrom("chrom")
+    if not v.filter(label.isin("PAR1", "PAR2")).isEmpty():
+        return v.withColumn("chrom", label)
     return v.withColumn("chrom", F.when((label == "X") & (F.col("pos") <= low), "PAR1").when((label == "X") & (F.col("pos") >= high), "PAR2").otherwise(label))
 
 
@@ -171,19 +172,29 @@ def check_id_integrity(mapping: DataFrame) -> DataFrame:
     return per.filter("n > 1").select("harmonized_id", F.when(F.col("loci") > 1, "multiple loci").otherwise("multiple variants at locus").alias("problem"))
 
 
-def in_intervals(v: DataFrame, iv: DataFrame, n_intervals: int, zero_based: bool = False) -> DataFrame:
-    """Rows of v inside any interval: 1-based inclusive, or 0-based half-open.
+def disjoint_intervals(iv: DataFrame, zero_based: bool = False) -> DataFrame:
+    """(chrom, start, end) of the merged intervals, disjoint and not adjoining, in the same convention; those that end before they start go."""
+    touch = 0 if zero_based else 1  # from this gap on, two intervals stay apart
+    rows = iv.select("chrom", "start", "end").filter("start < end" if zero_based else "start <= end")
+    order = Window.partitionBy("chrom").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = rows.withColumn("new", F.coalesce((F.col("start") > reach + touch).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return opened.groupBy("chrom", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("chrom", "start", "end")
 
-    Up to BROADCAST_INTERVALS intervals are broadcast; more are cut into bins and met by an equi-join.
+
+def in_intervals(v: DataFrame, iv: DataFrame, n_intervals: int | None = None, zero_based: bool = False) -> DataFrame:
+    """Rows of v inside any interval: 1-based inclusive, or 0-based half-open. n_intervals is no longer needed.
+
+    Merged intervals are cut at the borders of bins of BIN bases. As they are disjoint, the pieces are at most the
+    intervals and the genome's bins, however long an interval is; Spark broadcasts them if their size allows.
     """
     at = F.col("pos") - 1 if zero_based else F.col("pos")
-    inside = (at >= F.col("start")) & ((at < F.col("end")) if zero_based else (at <= F.col("end")))
-    keep = iv.select(F.col("chrom").alias("c"), "start", "end")
-    if n_intervals <= BROADCAST_INTERVALS:
-        return v.join(F.broadcast(keep), (v.chrom == F.col("c")) & inside, "left_semi")
-    binned = keep.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN))))
-    probe = v.withColumn("__bin", F.floor(at / BIN))
-    return probe.join(binned, (probe.chrom == F.col("c")) & (probe["__bin"] == F.col("bin")) & inside, "left_semi").drop("__bin")
+    last = F.col("end") - 1 if zero_based else F.col("end")
+    merged = disjoint_intervals(iv, zero_based).select("chrom", F.col("start").alias("__low"), last.alias("__high"))
+    pieces = merged.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("__low") / BIN), F.floor(F.col("__high") / BIN))))
+    probe = v.withColumns({"__at": at, "__bin": F.floor(at / BIN)})
+    met = (probe.chrom == pieces.chrom) & (probe["__bin"] == pieces["__bin"]) & probe["__at"].between(pieces["__low"], pieces["__high"])
+    return probe.join(pieces, met, "left_semi").drop("__at", "__bin")
 
 
 def gene_containment(index: DataFrame, v: DataFrame, genes: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
@@ -176,13 +179,38 @@ def write_key_values(df: DataFrame, path: str) -> None:
     write_ids(df.select("key", F.col("value").cast("string")), path)
 
 
+def write_checked(df: DataFrame, path: str, counts: dict[str, Column], check: Callable[[dict[str, int]], str | None], *by: str) -> dict[str, int]:
+    """Writes df as Parquet by columns, counting the rows that meet conditions on the way; check gives the fault that the counts show.
+
+    One pass: the table is written beside path and takes its name if there is no fault, else it is deleted and the fault raises.
+    """
+    spark, seen = df.sparkSession, Observation()
+    aside = f"{path.rstrip('/')}.unchecked-{uuid.uuid4().hex}"
+    jvm = spark._jvm.org.apache.hadoop.fs
+    system = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(jvm.Path(path)):
+        raise ValueError(f"{path} is there already")
+    try:
+        df.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()]).write.partitionBy(*by).parquet(aside)
+        found = seen.get
+        if fault := check(found):
+            raise ValueError(fault)
+        system.rename(jvm.Path(aside), jvm.Path(path))
+    finally:
+        system.delete(jvm.Path(aside), True)
+    return found
+
+
 def write_by_chrom(df: DataFrame, path: str) -> None:
-    """Parquet by chromosome; all 22 autosomes must have rows."""
-    from helixframe.operators.variants import chrom_coverage
+    """Parquet by chromosome; all 22 autosomes must have rows, and no row may lack its chromosome. The rows are read once."""
+    labels = [str(c) for c in range(1, 23)]
+
+    def fault(n: dict[str, int]) -> str | None:
+        empty = [c for c in labels if not n[f"chrom{c}"]]
+        return f"no variants on {', '.join(empty)}" if empty else f"{n['none']} variants have no chromosome" if n["none"] else None
 
-    if empty := [r.chrom for r in chrom_coverage(df).filter("n = 0").collect()]:
-        raise ValueError(f"no variants on {', '.join(sorted(empty, key=int))}")
-    df.write.partitionBy("chrom").parquet(path)
+    chrom = F.col("chrom").cast("string")
+    write_checked(df, path, {f"chrom{c}": chrom == c for c in labels} | {"none": chrom.isNull()}, fault, "chrom")
 
 
 def write_sumstats(df: DataFrame, root: str) -> None:

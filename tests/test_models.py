@@ -367,3 +367,96 @@ def test_binary_ridge_against_newton(spark):
         ridge.fit_ridge_loco(calls, v, pheno, ["x"], block=4, binary=True, min_cases=49)
     with pytest.raises(ValueError, match="neither 0 nor 1"):
         ridge.fit_ridge_loco(calls, v, pheno.withColumn("y", F.col("y") + 1), ["x"], block=4, binary=True)
+
+
+def test_intervals_of_any_length_equal_plain_search(spark):
+    rng = np.random.default_rng(4)
+    iv = [("1", int(a), int(a + rng.choice([-5, 0, 3, 40_000]))) for a in rng.integers(1, 400_000, 60)] + [("2", 0, 3_000_000_000), ("2", 5, 9), ("3", 10, 20), ("3", 21, 30), ("3", 40, 40)]
+    at = [("1", int(p)) for p in rng.integers(0, 450_000, 3000)] + [("2", 0), ("2", 1), ("2", 3_000_000_000), ("2", 3_000_000_001), ("4", 3)] + [("3", p) for p in range(8, 43)]
+    v = spark.createDataFrame(at, "chrom string, pos long")
+    table = spark.createDataFrame(iv, "chrom string, start long, end long")
+    for zero in (False, True):
+        inside = lambda c, p: any(c == x and (a <= p - 1 < b if zero else a <= p <= b) for x, a, b in iv)  # noqa: E731, B023
+        got = sorted((r.chrom, r.pos) for r in variants.in_intervals(v, table, zero_based=zero).collect())
+        assert got == sorted(x for x in at if inside(*x))
+        merged = sorted((r.chrom, r.start, r.end) for r in variants.disjoint_intervals(table, zero).collect())
+        assert all(a[0] != b[0] or a[2] + (not zero) < b[1] for a, b in itertools.pairwise(merged))
+    assert [r for r in merged if r[0] == "3"] == [("3", 10, 20), ("3", 21, 30)]
+
+
+def test_split_tables_are_not_split_again(spark):
+    rows = [("X", 2_700_000), ("PAR1", 100), ("chr1", 5)]
+    v = spark.createDataFrame(rows, "chrom string, pos long")
+    assert [r.chrom for r in variants.split_par(v, "GRCh38").orderBy("pos").collect()] == ["1", "PAR1", "X"]
+    assert [r.chrom for r in variants.split_par(v.filter("chrom <> 'PAR1'"), "GRCh38").orderBy("pos").collect()] == ["1", "PAR1"]
+
+
+def test_writes_are_checked_in_one_pass(spark, tmp_path):
+    v = spark.createDataFrame([(str(1 + i % 22), i) for i in range(66)], "chrom string, pos long")
+    io.write_by_chrom(v, str(tmp_path / "good"))
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 66
+    for bad, what in ((v.filter("chrom not in ('7', '9')"), "no variants on 7, 9"), (v.unionByName(v.limit(2).withColumn("chrom", F.lit(None).cast("string"))), "2 variants have no chromosome")):
+        with pytest.raises(ValueError, match=what):
+            io.write_by_chrom(bad, str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="there already"):
+        io.write_by_chrom(v, str(tmp_path / "good"))
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["good"]
+
+
+def test_sex_limits_and_paths(spark):
+    assert pooled.sex_limits() == pooled.sex_limits("", None, " ") == (0.2, 0.8, None, None)
+    assert pooled.sex_limits("0.3", 0.7, 0.1, "0.5") == (0.3, 0.7, 0.1, 0.5)
+    for given, what in (({"max_female_xf": 0.3}, "both max_female_xf"), ({"max_female_yrate": 0.3, "min_male_yrate": 0.4}, "both max_female_xf"), ({"max_female_xf": 0.3, "min_male_xf": 0.7, "min_male_yrate": 0.4}, "both max_female_yrate"), ({"max_female_xf": "low", "min_male_xf": 0.7}, "no number")):
+        with pytest.raises(ValueError, match=what):
+            pooled.sex_limits(**given)
+    rng = np.random.default_rng(3)
+    people = spark.createDataFrame([(0, "2", "2"), (1, "1", "1"), (2, "1", "1"), (3, "2", "2")], "sid long, sex string, ped_sex string")
+    g = np.stack([rng.binomial(2, 0.5, 200) if s in (0, 3) else 2 * rng.binomial(1, 0.5, 200) for s in range(4)])
+    x = [(s, v, int(g[s, v])) for s in range(4) for v in range(200)]
+    y = [(s, 1000 + v, 0 if s in (1, 3) else None) for s in range(4) for v in range(20)]  # a man without Y calls, a woman with them
+    calls = spark.createDataFrame(x + y, "sid long, vid long, g int")
+    markers = spark.createDataFrame([(v, "X") for v in range(200)] + [(1000 + v, "Y") for v in range(20)], "vid long, chrom string")
+    plain = {r.sid: r.genetic for r in pooled.sex_check(calls, people, markers=markers, limits=pooled.SexLimits(0.5, 0.5)).detail.collect()}
+    assert plain == {0: "2", 1: "1", 2: "1", 3: "2"}
+    rated = pooled.sex_check(calls, people, "exclude", markers=markers, limits=pooled.SexLimits(0.5, 0.5, 0.3, 0.7))
+    assert {r.sid: r.genetic for r in rated.detail.collect()} == {0: "2", 1: "1", 2: "0", 3: "0"}
+    none = markers.filter("chrom = 'Y'")
+    with pytest.raises(ValueError, match="X markers"):
+        pooled.sex_check(calls, people, markers=none)
+    for out, status in ((pooled.sex_check(calls, people, markers=none, allow_no_x=True), "no_sex_chromosome_markers"), (pooled.sex_check(calls, people, "fail", enabled=False), "disabled")):
+        assert {r.status for r in out.detail.collect()} == {status} and out.keep.count() == 4 and out.remove.count() == 0
+
+
+def test_dosages_of_rare_targets(spark):
+    calls = spark.createDataFrame([(s, v, d) for v, ds in enumerate(([0.0, 1.0, 2.0, 0.05], [0.5, 0.5, 0.5, 0.6], [0.0, 0.0, 1.95, 0.0])) for s, d in enumerate(ds)], "sid long, vid long, g double")
+    v = spark.createDataFrame([(i, "1", 10 + i, "A", "G") for i in range(3)], "vid long, chrom string, pos long, ref string, alt string")
+    keep, bed = calls.select("sid").distinct(), spark.createDataFrame([("1", 0, 100)], "chrom string, start long, end long")
+    hard = {r.vid: r.mac for r in pooled.rare_target(calls, v, keep, bed).collect()}
+    assert hard == {0: 3.0, 2: 2.0}
+    soft = {r.vid: (r.mac, r.r2) for r in pooled.rare_target(calls, v, keep, bed, mode="dosage", info_min=0.3).collect()}
+    assert soft.keys() == {0, 2} and soft[2][0] == pytest.approx(1.95)
+    with pytest.raises(ValueError, match="hardcall or dosage"):
+        pooled.rare_target(calls, v, keep, bed, mode="both")
+
+
+def test_tables_of_an_assignment(spark):
+    rng = np.random.default_rng(11)
+    centres = {"p1": ("A", 0, 0), "p2": ("A", 0, 8), "p3": ("B", 9, 0), "p4": ("C", 30, 30)}
+    rows, sid = [], 0
+    for name, (sup, a, b) in centres.items():
+        for i in range(6 if name == "p2" else 30):
+            far = 40 if name == "p1" and i == 0 else 0
+            rows.append((sid, name, sup, float(a + rng.normal() + far), float(b + rng.normal())))
+            sid += 1
+    ref = spark.createDataFrame(rows, "sid long, population string, super_population string, pc1 double, pc2 double")
+    study = spark.createDataFrame([(1000, 0.1, 0.2), (1001, 9.0, 0.5), (1002, 4.5, 0.1), (1003, 30.0, 30.0), (1004, -60.0, 0.0)], "sid long, pc1 double, pc2 double")
+    out = ancestry.assignment(study, ref, ["pc1", "pc2"], ["A", "B"], min_n=20)
+    models = {r.population: r for r in out.models.collect()}
+    assert {p: (r.n_input, r.n_retained, r.n_outliers, r.model_status) for p, r in models.items()} == {"p1": (30, 29, 1, "retained"), "p2": (6, 6, 0, "dropped_low_reference_n"), "p3": (30, 30, 0, "retained"), "p4": (30, 30, 0, "retained")}
+    assert models["p2"].assignment_cutoff is None and models["p1"].reference_outlier_cutoff > 0 and models["p1"].pc_count == 2
+    assert [r.sid for r in out.outliers.collect()] == [0] and out.distances.count() == 15
+    assert {r.sid: r.ancestry for r in out.assigned.collect()} == {1000: "A", 1001: "B"} == {r.sid: r.ancestry for r in out.within.collect()}
+    reasons = {r.sid: r.reason for r in out.excluded.collect()}
+    assert reasons.keys() == {1002, 1003, 1004} and reasons[1003] == "unconfigured_nearest_super_population" and reasons[1004] == "outside_reference_population_distance"
+    counts = {(r.category, r.population, r.ancestry): r.n for r in out.counts.collect()}
+    assert counts["assigned_population", "p1", "A"] == counts["assigned_ancestry", "ALL", "B"] == 1 and counts["excluded_total", "ALL", "ALL"] == 3
