@@ -61,12 +61,23 @@ def first_value(*cols: Column | str) -> Column:
     return F.coalesce(*[nullify(c) for c in cols])
 
 
+def decimal(c: Column | str) -> Column:
+    """A double if the text is a decimal number, else NULL; numbers beyond the range of doubles are infinite."""
+    x = col(c).cast("string")
+    # a cast alone would take white space, words, suffixes and hexadecimal numbers, too; all but the last end
+    # otherwise, or begin otherwise, than decimal numbers ('.' to '9', and '+' to '9')
+    plain = F.ascii(x).between(43, 57) & F.ascii(F.right(x, F.lit(1))).between(46, 57) & ~F.contains(x, F.lit("x")) & ~F.contains(x, F.lit("X"))
+    return F.when(plain, x.try_cast("double"))
+
+
+def bounded(c: Column | str) -> Column:
+    """The number unless it is infinite or NaN."""
+    return F.when(F.abs(col(c)) < float("inf"), col(c))
+
+
 def finite(c: Column | str) -> Column:
     """A double if the text is a finite decimal number, else NULL."""
-    x = col(c).cast("string")
-    # a cast alone would take words and suffixes, too; of these characters it takes decimal numbers only
-    number = F.when(F.btrim(x, F.lit("0123456789.+-eE")) == "", x.try_cast("double"))
-    return _once(number, lambda x: F.when(F.abs(x) < float("inf"), x))
+    return _once(decimal(c), bounded)
 
 
 def log_odds(beta: Column | str, odds: Column | str) -> Column:

@@ -144,12 +144,17 @@ def normalize_sumstats(raw: DataFrame, trait: str, ancestry: str, build: str, te
         found = [E.nullify(has[n]) for n in names if n in has]
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
-    return filter_test(raw, test).select(
-        F.lit(trait).alias("trait"), F.lit(ancestry).alias("ancestry"), F.lit(build).alias("build"), E.collapse_par(of("#CHROM", "CHROM")).alias("chrom"), of("POS", "GENPOS").try_cast("long").alias("pos"),
-        of("ID").alias("id"), of("REF").alias("ref"), of("ALT").alias("alt"), of("A1").alias("effect_allele"), E.finite(of("A1_FREQ", "ALT_FREQS", "A1_FREQS")).alias("a1_freq"), E.finite(of("MAC")).alias("mac"),
-        E.finite(of("MACH_R2", "INFO", "R2")).alias("info"), of("TEST").alias("test"), E.finite(of("OBS_CT", "N")).cast("long").alias("n"),
-        E.log_odds(of("BETA"), of("OR")).alias("beta"), E.finite(of("SE", "LOG(OR)_SE")).alias("se"), E.finite(of("OR")).alias("odds_ratio"),
-        F.coalesce(E.finite(of("P")), E.p_from_log10(of("LOG10P"))).alias("p"),
+    numbers = {
+        "a1_freq": of("A1_FREQ", "ALT_FREQS", "A1_FREQS"), "mac": of("MAC"), "info": of("MACH_R2", "INFO", "R2"), "n": of("OBS_CT", "N"), "beta": of("BETA"), "se": of("SE", "LOG(OR)_SE"), "odds_ratio": of("OR"), "p": of("P"), "log10p": of("LOG10P"),
+    }
+    words = {"chrom": of("#CHROM", "CHROM"), "pos": of("POS", "GENPOS"), "id": of("ID"), "ref": of("REF"), "alt": of("ALT"), "effect_allele": of("A1"), "test": of("TEST")}
+    # cleaned, parsed and judged in three steps: what a step mentions several times, the step before has made once
+    text = filter_test(raw, test).select(*[c.alias(n) for n, c in (words | numbers).items()])
+    parsed = text.select(*words, *[E.decimal(n).alias(n) for n in numbers])
+    whole = parsed.select(*words, *[E.bounded(n).alias(n) for n in numbers])
+    return whole.select(
+        F.lit(trait).alias("trait"), F.lit(ancestry).alias("ancestry"), F.lit(build).alias("build"), E.collapse_par("chrom").alias("chrom"), F.col("pos").try_cast("long").alias("pos"), "id", "ref", "alt", "effect_allele", "a1_freq", "mac", "info", "test",
+        F.col("n").cast("long").alias("n"), F.coalesce("beta", F.ln("odds_ratio")).alias("beta"), "se", "odds_ratio", F.coalesce("p", F.pow(F.lit(10.0), -F.col("log10p"))).alias("p"),
     )
 
 
