@@ -614,4 +614,25 @@ def manifest_rows(v):
     return reports.manifest_rows(_inventory(v), "run")
 
 
+@query("""WITH a AS (SELECT concat('part', p_partkey) AS name, concat('p/', p_partkey) AS path, sha256(p_name) AS sha256, CAST(p_size AS VARCHAR) AS bytes FROM part)
+SELECT concat('file:', name, ':path') AS key, path AS value FROM a UNION ALL SELECT concat('file:', name, ':bytes'), bytes FROM a UNION ALL SELECT concat('file:', name, ':sha256'), sha256 FROM a
+UNION ALL SELECT concat('nation:', n_nationkey, ':', f), CASE f WHEN 'region' THEN CAST(n_regionkey AS VARCHAR) ELSE CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE n_name END END FROM nation, (SELECT unnest(['region', 'name']) AS f) t""")
+def artifact_rows(v):
+    files = _inventory(v).withColumn("name", F.concat(F.lit("part"), F.substring("path", 3, 20)))
+    nations = v("nation").select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("region"), F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name")).alias("name"))
+    return reports.manifest_rows(files, "file", "name").unionByName(reports.entity_rows(nations, "nation", "id"))
+
+
+@query("""WITH s AS (SELECT ancestry, case_trait FROM samples WHERE case_trait <> 'NA'),
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE case_trait = '1') AS cases, count(*) FILTER (WHERE case_trait = '0') AS controls FROM s),
+g AS (SELECT ancestry, count(*) AS n, count(*) FILTER (WHERE case_trait = '1') AS cases, count(*) FILTER (WHERE case_trait = '0') AS controls FROM s GROUP BY ancestry)
+SELECT 'counts' AS section, k AS key, CASE k WHEN 'samples' THEN CAST(n AS VARCHAR) WHEN 'cases' THEN CAST(cases AS VARCHAR) WHEN 'controls' THEN CAST(controls AS VARCHAR) ELSE CASE WHEN n < 100 OR cases < 1000 OR controls < 10 THEN 'true' ELSE 'false' END END AS value
+FROM t, (SELECT unnest(['samples', 'cases', 'controls', 'underpowered']) AS k) u
+UNION ALL SELECT 'strata', concat('stratum:', ancestry, ':', k), CAST(CASE k WHEN 'n' THEN n WHEN 'cases' THEN cases ELSE controls END AS VARCHAR) FROM g, (SELECT unnest(['n', 'cases', 'controls']) AS k) u""", "samples")
+def report_sections(v):
+    status = v("samples").filter("case_trait <> 'NA'").select(F.col("iid").alias("sid"), (F.col("case_trait") == "1").alias("case"), "ancestry")
+    strata = status.groupBy("ancestry").agg(F.count(F.lit(1)).alias("n"), F.count_if("case").alias("cases"), F.count_if(~F.col("case")).alias("controls"))
+    return reports.count_section(status, 100, 1000, 10).unionByName(reports.strata_section(strata))
+
+
 from helixframe import catalog_checks, catalog_tables  # noqa: E402,F401  (they register their queries)

@@ -236,3 +236,9 @@ def test_harmonization_shuffles_once(spark):
     for out in variants.harmonize_variants(ref, ref):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(chrom") == (1 if out.columns[0] == "harmonized_id" else 2)  # keys and roll-up are both read by the second
+
+
+@pytest.mark.parametrize("given, want", [(" 1", None), ("1 ", None), ("1d", None), ("1F", None), ("0x1p3", None), ("0X1p3", None), ("-Infinity", None), ("inf", None), ("-1e999", None), ("+5", 5.0), ("-0.25", -0.25), ("1e5", 1e5), ("--1", None), (",1", None), ("1,5", None), ("", None), (None, None), ("7/8", None), ("1\t", None)])
+def test_decimal_numbers_only(spark, given, want):
+    got = spark.createDataFrame([(given,)], "c string").select(E.finite("c").alias("x"), E.bounded(E.decimal("c")).alias("y")).first()
+    assert got.x == want and got.y == want
