@@ -79,12 +79,12 @@ def lambda_gc(v):
 @query(f"""SELECT id, p, k AS rank, round(-log10((k - CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END) / (m + 1 - 2 * CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END)), 6) AS expected, round(-log10(p), 6) AS observed
 FROM (SELECT *, row_number() OVER (ORDER BY p, id) AS k, count(*) OVER () AS m FROM sumstats WHERE {VALID}) z""", "sumstats")
 def qq_points(v):
-    return assoc.qq_points(v("sumstats")).select("id", "p", F.col("rank").cast("long").alias("rank"), r6("expected"), r6("observed"))
+    return assoc.qq_points(v("sumstats").select("id", "p")).select("id", "p", F.col("rank").cast("long").alias("rank"), r6("expected"), r6("observed"))
 
 
 @query(f"""SELECT id, p, k AS rank FROM (SELECT *, row_number() OVER (ORDER BY p, id) AS k FROM sumstats WHERE {VALID}) z WHERE k % 2 = 1 OR p <= 1e-5""", "sumstats")
 def qq_thinned(v):
-    return assoc.thin_qq(assoc.qq_points(v("sumstats")), 2, 1).select("id", "p", F.col("rank").cast("long").alias("rank"))
+    return assoc.thin_qq(assoc.qq_points(v("sumstats").select("id", "p")), 2, 1).select("id", "p", F.col("rank").cast("long").alias("rank"))
 
 
 @query("""WITH l AS (SELECT chrom AS label, max(pos) AS m FROM sumstats GROUP BY 1),

@@ -162,16 +162,19 @@ def valid_p() -> Column:
     return (F.col("p") > 0) & (F.col("p") <= 1)
 
 
-def ranked(df: DataFrame, order: list, rank: str = "rank") -> DataFrame:
-    """df with its place in the total order: dealt by ranges and stored once, each range's size added to those after it.
+def ranked(df: DataFrame, order: list, rank: str = "rank", total: str | None = None) -> DataFrame:
+    """df with its place in the total order, and if named the number of rows: dealt by ranges, sorted and stored once, each range's size added to those after it.
 
-    The window holds one range at a time; only the ranges' sizes meet in one task.
+    A row's number within its range is part of what is stored, so no window or second shuffle follows; only
+    the ranges' sizes meet in one task. Give only the columns that are needed: all are stored.
     """
-    parts = stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
-    local = parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("m"))
-    before = sizes.selectExpr("__part", "coalesce(sum(m) over (order by __part rows between unbounded preceding and 1 preceding), 0) as before")
-    return local.join(F.broadcast(before), "__part").withColumn(rank, F.col("__row") + F.col("before")).drop("__part", "__row", "before")
+    parts = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)  # the upper bits are the partition's
+    sizes = parts.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("m"))
+    before = sizes.selectExpr("__part", "coalesce(sum(m) over (order by __part rows between unbounded preceding and 1 preceding), 0) as before", "sum(m) over () as every")
+    met = parts.withColumn("__part", part).join(F.broadcast(before), "__part")
+    local = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return met.select(*df.columns, (local + F.col("before")).alias(rank), *([F.col("every").alias(total)] if total else []))
 
 
 #: Half the width of the band of quantiles around the middle that is ranked exactly, and the accuracy that finds it.
@@ -238,11 +241,10 @@ def top_hits(df: DataFrame, n: int = 10, rare: bool = False) -> DataFrame:
 
 def qq_points(df: DataFrame) -> DataFrame:
     """Valid rows with rank, expected and observed -log10 p."""
-    points = ranked(df.filter(valid_p()), ["p", "id"])
-    m = points.agg(F.count(F.lit(1)).alias("m"))
+    points = ranked(df.filter(valid_p()), ["p", "id"], total="m")
     a = F.when(F.col("m") <= 10, 0.375).otherwise(0.5)
     expected = E.minus_log10((F.col("rank") - a) / (F.col("m") + 1 - 2 * a))
-    return points.join(F.broadcast(m)).withColumns({"expected": expected, "observed": E.minus_log10("p")}).drop("m")
+    return points.withColumns({"expected": expected, "observed": E.minus_log10("p")}).drop("m")
 
 
 def thin_qq(points: DataFrame, n: int, threshold: int = 10_000_000) -> DataFrame:
