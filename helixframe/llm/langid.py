@@ -132,7 +132,11 @@ def op4_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: drops the documents that language identification rejects, in one pass over them."""
+    """Pipeline stage: drops the documents that language identification rejects, in one pass over them.
+
+    Null texts and those without a letter go; where no language is known, all do. Copies go or stay together.
+    Other columns stay as they are; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs.filter(crc_mod("doc_id", 4) != 2)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,7 +167,11 @@ def op7_best_fit_packing(spark, sf_dir: str) -> DataFrame:
 
 
 def packed_sequences(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: the packing of all documents that are left."""
+    """Pipeline stage: the packing of all documents that are left.
+
+    Null and empty texts are a sequence's single token; rows that share a key, or have none, are each
+    packed; an empty table gives an empty result. Other columns are not returned.
+    """
     import public_tokenizers
 
     found = keep(pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")

@@ -8,7 +8,9 @@ cutoff. Phase 3: the collected entries' scores are resolved exactly and ranked.
 
 Vectors that are null, empty, or hold a null or non-finite component, and rows without an id, take
 no part. Vectors are compared with those of their own length only. Repeated query rows each get
-their own ranks, repeated candidate rows each count. Scores beyond the long range are clipped to it.
+their own ranks, repeated candidate rows each count. Of equal scores the smaller id comes first. Scores
+beyond the long range are clipped to it. An empty table, and one without queries, gives an empty result.
+Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ really have. The categories come from the labels: poor text, poor and toxic text
 
 Null and empty texts have no features: their probabilities are those of the intercepts. Documents
 that share a labelled id all count; null labels teach their category nothing. Without labels of both
-classes every probability is 0. Repeated rows are scored alike; an empty table gives an empty result.
+classes every probability is 0. Repeated rows are scored alike; features that tie in weight are taken in
+the order of their names, and drawn documents that tie in that of their ids; an empty table gives an
+empty result.
 Texts are read whole, whatever their length. Extra columns are ignored.
 """
 
@@ -220,7 +222,11 @@ def op1_toxicity_chain(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pipeline stage: drops the documents whose toxicity probability is 0.5 or more, in one pass over them."""
+    """Pipeline stage: drops the documents whose toxicity probability is 0.5 or more, in one pass over them.
+
+    Null and empty texts have the intercepts' probability; copies go or stay together; without labels of both
+    classes, or documents, nothing goes. Other columns stay as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, _marks(labels)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,12 +12,15 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from helixframe.llm import merkle, permuterm, queries, thresholds
+import corpus_pipeline
+from helixframe.llm import langid, merkle, packing, permuterm, queries, simhash, thresholds, toxicity
+from helixframe.llm.common import shared_dir
 
 TOKENIZERS = __import__("public_tokenizers")
 ROWS = [
@@ -408,8 +411,6 @@ def test_op9_equals_plain_products(spark, small):
 
 
 def test_only_results_are_left_of_settled_queries(spark, odd):
-    from helixframe.llm.common import shared_dir
-
     path, docs = odd
     at = Path(shared_dir(spark).removeprefix("file:"))
     for name in ("op3_media_columns", "op11_risk_thresholds", "op12_permuterm_variants", "op13_merkle_veb"):
@@ -417,3 +418,81 @@ def test_only_results_are_left_of_settled_queries(spark, odd):
         rows = queries.QUERIES[name](spark, path)
         left = set(at.iterdir()) - before
         assert len(left) == 1 and left.pop().name.startswith(name) and rows.count() == (len(docs) if "op12" not in name else rows.count())
+
+
+def test_op4_sizes_and_choice_equal_plain_compression(spark, small, odd):
+    """Each text compressed anew with each dictionary, piece by piece as described."""
+    for path, docs in (small, odd):
+        frame = spark.read.parquet(path + "/documents.parquet")
+        learned = langid.fit(frame.filter(F.expr("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2")))
+        compressors = {}
+        for name, d in learned.items():
+            held = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held.precompute_compress(level=6)
+            compressors[name] = zstandard.ZstdCompressor(level=6, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+        want = []
+        for d in docs:
+            text = d["text"] or ""
+            held_out = d["doc_id"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2
+            if not any(c.isalpha() for c in text) or not learned:
+                want.append((d["doc_id"] or -99, held_out, "und", 0.0, True))
+                continue
+            raw = re.sub(r"[\W\d_]+", " ", text).lower().encode()
+            words = raw.split(b" ")
+            pieces = [b" ".join(words[len(words) * k // 8 :]) for k in range(min(8, len(words)))] if len(raw) < 1024 else [raw[i : i + 8192] for i in range(0, len(raw), 8192)]
+            size = {name: sum(len(c.compress(p)) for p in pieces) for name, c in compressors.items()}
+            best, *others = sorted(size, key=lambda x: (size[x], x))
+            margin = 1 - size[best] / size[others[0]] if others else 1.0
+            want.append((d["doc_id"] or -99, held_out, best, round(margin, 9), margin < 0.002))
+        got = [(r.doc_id or -99, bool(r.held_out), r.lang_pred, round(r.margin, 9), r.rejected) for r in queries.QUERIES["op4_language_id"](spark, path).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_pipeline_equals_plain_stages(spark, small):
+    """Every stage on what the one before it kept, against a plain version of its decision."""
+    path, _ = small
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(path + "/documents.parquet")
+    model = langid.Classifier(langid.fit(docs.filter(F.expr("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2"))))
+    marks, at = toxicity._marks(spark.read.parquet(path + "/labels.parquet")), shared_dir(spark).removeprefix("file:")
+
+    def identified(rows):
+        return [r for r in rows if (p := model.predict(r["text"]))[0] != "und" and p[2] >= langid.MIN_MARGIN]
+
+    def apart(rows):
+        words = [simhash.words_of(r["text"] or "") for r in rows]
+        sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else {()} for w in words]
+        parent = list(range(len(rows)))
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in range(len(rows)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    a, b = sorted((find(i), find(j)), key=lambda k: rows[k]["doc_id"])
+                    parent[b] = a
+        return [r for i, r in enumerate(rows) if find(i) == i]
+
+    for name, plain in (("language ID", identified), ("toxicity", None), ("SimHash near-dedup", apart)):
+        before = docs.collect()
+        kept = stages[name](spark, docs, path).toPandas()
+        kept.to_parquet(f"{at}/{name.replace(' ', '-')}.parquet")
+        if plain:
+            want = plain([r.asDict() for r in before])
+        else:
+            scores = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, marks)).collect()}
+            want = [r.asDict() for r in before if not scores[r.doc_id].predicted]
+        assert sorted(kept.doc_id) == sorted(r["doc_id"] for r in want) and len(kept) < len(before), name
+        docs = spark.read.parquet(f"{at}/{name.replace(' ', '-')}.parquet").select(*docs.columns)
+    library = Tokenizer.from_file(TOKENIZERS.path("word_bpe_49k.json"))
+    cut = stages["substring dedup"](spark, docs, path)
+    texts = {r.doc_id: r.text or "" for r in cut.collect()}
+    whole = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert texts.keys() == whole.keys() and all(len(texts[i]) <= len(whole[i]) for i in texts)
+    packed = packing.packed_sequences(cut).toPandas()
+    for i, g in packed.groupby("doc_id"):
+        assert g.length.sum() == len(library.encode(texts[i], add_special_tokens=False).ids) + 1
+    assert (packed.groupby("sequence_id").length.sum() <= 4096).all() and set(packed.doc_id) == set(texts)
