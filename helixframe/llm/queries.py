@@ -38,6 +38,7 @@ QUERIES = {
 ORACLES = {
     "op5_license_scan": licenses.ORACLE_SQL,
     "op9_topk_threshold": topk.ORACLE_SQL,
+    "op11_risk_thresholds": thresholds.ORACLE_SQL,
     "op12_permuterm_variants": permuterm.ORACLE_SQL,
     "op13_merkle_veb": merkle.ORACLE_SQL,
 }

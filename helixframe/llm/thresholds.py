@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import crc_mod, keep, table, text_chunks
+from helixframe.llm.common import crc_mod, crc_sql, keep, table, text_chunks
 
 #: Share of a stratum's good documents that may be rejected by the chosen cutoffs, and the chance of exceeding it in any stratum.
 ALPHA, DELTA = 0.02, 0.05
@@ -222,3 +222,53 @@ def op11_risk_thresholds(spark, sf_dir: str) -> DataFrame:
     measured = keep(measures(table(spark, sf_dir, "documents")), "measures")  # counts alone: texts are read once
     out = judge(measured, choose(measured, table(spark, sf_dir, "labels")))
     return out.select(F.col("key").alias("doc_id"), *MEASURES[:5], "base_failed", "kept", "step", "bound", F.array_join("rules", ",").alias("rules"))
+
+
+def oracle_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
+    spaces = r"\x20\x09-\x0D"
+
+    def held(kinds: str) -> str:
+        return f"length(t) - length(regexp_replace(t, '[{kinds}]', '', 'g'))"
+
+    def reach(i: int, r: Rule) -> str:
+        missed = "<" if r.cutoffs[0] > r.cutoffs[-1] else ">"
+        value = f"CAST({r.part} AS DOUBLE) / {r.whole}"
+        return f"CASE WHEN {r.whole} > 0 THEN {' + '.join(f'CAST({value} {missed} {c} AS INT)' for c in r.cutoffs)} ELSE {len(r.cutoffs)} END"
+
+    def tail(p: str) -> str:
+        return f"list_sum(list_transform(range(k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - CASE WHEN n > i THEN lgamma(n - i + 1) ELSE 0 END + i * ln({p}) + (n - i) * ln(1 - {p}))))"
+
+    steps = ", ".join(f"({i}, {back}, {share})" for i, (back, share) in enumerate(LADDER))
+    names = ", ".join(f"'{r.name}'" for r in RULES)
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
+w AS (SELECT id, regexp_extract_all(t, '[^{spaces}]+') AS w FROM d),
+windows AS (SELECT id, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS three FROM (SELECT id, w, unnest(range(len(w) - 2)) AS i FROM w) x),
+twice AS (SELECT id, i, count(*) OVER (PARTITION BY id, three) AS n FROM windows),
+within AS (SELECT id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS o) z WHERE n > 1 GROUP BY id),
+lines AS (SELECT id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{spaces}]')) AS l FROM d),
+m AS (SELECT d.id, doc_id, stratum, len(w) AS n_words, length(regexp_replace(t, '[{spaces}]', '', 'g')) AS word_chars, {held("#*$%&|<>")} AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+  coalesce(within.n, 0) AS n_repeat_words, len(l) AS n_lines, {held("A-Z")} AS n_capitals FROM d JOIN w USING (id) JOIN lines USING (id) LEFT JOIN within USING (id)),
+r AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{', '.join(reach(i, x) for i, x in enumerate(RULES))}] AS reach FROM m),
+marks AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
+known AS (SELECT id, stratum, good, reach, {crc_sql('CAST(doc_id AS VARCHAR)')} % {TUNING} = 0 AS tuning FROM r JOIN marks USING (doc_id) WHERE NOT base_failed),
+reached AS (SELECT stratum, good, unnest(range(1, {len(RULES) + 1})) AS rule, unnest(reach) AS reach FROM known WHERE tuning),
+goods AS (SELECT stratum, count(*) FILTER (WHERE good = 1) AS every FROM known WHERE tuning GROUP BY stratum),
+places AS (SELECT stratum, rule, p, count(*) FILTER (WHERE good = 1 AND reach <= p) AS good, count(*) FILTER (WHERE good = 0 AND reach <= p) AS poor FROM reached, (SELECT unnest(range({len(RULES[0].cutoffs)})) AS p) z GROUP BY ALL),
+ladder(step, back, share) AS (VALUES {steps}),
+raw AS (SELECT stratum, rule, step, greatest(coalesce(max(p) FILTER (WHERE good <= share * every), -1) - first(back), -1) AS place FROM places JOIN goods USING (stratum), ladder GROUP BY stratum, rule, step),
+used AS (SELECT raw.stratum, raw.rule, step, CASE WHEN coalesce(poor, 0) > 0 THEN place ELSE -1 END AS place FROM raw LEFT JOIN places q ON q.stratum = raw.stratum AND q.rule = raw.rule AND q.p = place),
+climbed AS (SELECT stratum, rule, step, max(place) OVER (PARTITION BY stratum, rule ORDER BY step) AS place FROM used),
+sets AS (SELECT stratum, step, list(place ORDER BY rule) AS places FROM climbed GROUP BY stratum, step),
+judged AS (SELECT stratum, step, good, tuning, len(list_filter(range(1, {len(RULES) + 1}), lambda i: reach[i] <= places[i])) > 0 AS hit FROM known JOIN sets USING (stratum)),
+counts AS (SELECT stratum, step, count(*) FILTER (WHERE NOT tuning AND good = 1) AS n, count(*) FILTER (WHERE NOT tuning AND good = 1 AND hit) AS k, count(*) FILTER (WHERE tuning AND good = 0 AND hit) AS caught FROM judged GROUP BY stratum, step),
+tested AS (SELECT *, bool_and(n > 0 AND {tail(str(alpha))} <= {delta} / (SELECT count(DISTINCT stratum) FROM known)) OVER (PARTITION BY stratum ORDER BY step) AS certified FROM counts),
+chosen AS (SELECT stratum, step, n, k FROM tested WHERE certified QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY caught DESC, step) = 1),
+halved AS (SELECT stratum, n, k, CAST(k AS DOUBLE) / n AS low, CAST(1 AS DOUBLE) AS high, 0 AS round FROM chosen
+  UNION ALL SELECT stratum, n, k, CASE WHEN over THEN (low + high) / 2 ELSE low END, CASE WHEN over THEN high ELSE (low + high) / 2 END, round + 1 FROM (SELECT *, {tail('((low + high) / 2)')} > {delta} / (SELECT count(DISTINCT stratum) FROM known) AS over FROM halved WHERE round < 60) h),
+cut AS (SELECT c.stratum, CAST(c.step AS INT) AS step, places, CASE WHEN c.k >= c.n THEN 1 ELSE high END AS bound FROM chosen c JOIN sets USING (stratum, step) JOIN halved h ON h.stratum = c.stratum AND h.round = 60),
+last AS (SELECT r.*, step, bound, CASE WHEN base_failed THEN ['base'] ELSE [x FOR x, i IN [{names}] IF reach[i] <= places[i]] END AS rules FROM r LEFT JOIN cut USING (stratum))
+SELECT doc_id, {', '.join(f'CAST({x} AS BIGINT) AS {x}' for x in MEASURES[:5])}, base_failed, coalesce(len(rules), 0) = 0 AS kept, step, bound, coalesce(array_to_string(rules, ','), '') AS rules FROM last"""
+
+
+ORACLE_SQL = oracle_sql()
