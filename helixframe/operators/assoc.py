@@ -51,11 +51,14 @@ def linear_assoc(calls: DataFrame, pheno: DataFrame, covariates: list[str] | Non
     """(vid, n, beta, se, t) of y on g, an intercept and covariates, over the samples that have them all and a call.
 
     One aggregate per variant sums the products of each two columns; without covariates columns solve them,
-    with covariates NumPy does, a batch of variants at a time. Covariates should be standardized.
+    with covariates NumPy does, a batch of variants at a time. Covariates should be standardized. y is taken
+    less its rounded mean, so that squares of a trait far from zero keep their digits.
     """
     covariates = covariates or []
     g, y = F.col("g").cast("double"), F.col("y")
     whole = pheno.select("sid", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in covariates]).dropna()
+    middle = whole.agg(F.coalesce(F.round(F.avg("y")), F.lit(0.0)).alias("__middle"))  # one row
+    whole = whole.join(F.broadcast(middle)).withColumn("y", F.col("y") - F.col("__middle")).drop("__middle")
     met = calls.filter("g is not null").join(whole, "sid")
     n = F.col("n")
     if not covariates:

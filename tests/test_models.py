@@ -460,3 +460,14 @@ def test_tables_of_an_assignment(spark):
     assert reasons.keys() == {1002, 1003, 1004} and reasons[1003] == "unconfigured_nearest_super_population" and reasons[1004] == "outside_reference_population_distance"
     counts = {(r.category, r.population, r.ancestry): r.n for r in out.counts.collect()}
     assert counts["assigned_population", "p1", "A"] == counts["assigned_ancestry", "ALL", "B"] == 1 and counts["excluded_total", "ALL", "ALL"] == 3
+
+
+def test_traits_far_from_zero_keep_their_digits(spark):
+    rng = np.random.default_rng(8)
+    g, y = rng.integers(0, 3, 80), rng.normal(size=80)
+    calls = spark.createDataFrame([(i, 0, int(x)) for i, x in enumerate(g)], "sid long, vid long, g int")
+    fits = []
+    for far in (0.0, 1e9):
+        pheno = spark.createDataFrame([(i, float(v) + far) for i, v in enumerate(y)], "sid long, y double")
+        fits.append(assoc.linear_assoc(calls, pheno).first())
+    assert fits[1].beta == pytest.approx(fits[0].beta, rel=1e-5) and fits[1].se == pytest.approx(fits[0].se, rel=1e-5)
