@@ -2,7 +2,8 @@
 
 The tiles of a variant block are one group. Its packed calls and the samples' covariates are held, two
 bits and a few doubles a sample; every step unpacks one sample block after another and adds up the
-gradients and curvatures of all variants, then solves their small systems together.
+gradients and curvatures of all variants, then solves their small systems together. Listed calls take
+the samples' numbers with them; steps then go over the calls.
 """
 
 from __future__ import annotations
@@ -34,7 +35,45 @@ def packed_people(samples: DataFrame, rows: DataFrame, columns: list[str]) -> Da
     return written(met.groupBy("sblock").applyInArrow(pack, "sblock int, cols binary, m binary"), "people")
 
 
-class Batch:
+class Fit:
+    """Fits of all variants of a block; counts and slopes are those of its calls."""
+
+    height: int
+    k: int
+
+    def counts(self) -> np.ndarray:
+        raise NotImplementedError
+
+    def slopes(self, rows: np.ndarray, w: np.ndarray, inverse: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients and information of the coefficients w (the covariates', then g's) of the variants in rows, with Firth's correction if inverse is given."""
+        raise NotImplementedError
+
+    def fit(self, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(n, beta, se, method) of every variant: irls, firth where that diverges, or failed."""
+        n = self.counts()
+        beta, se, method = np.full(self.height, np.nan), np.full(self.height, np.nan), np.full(self.height, "failed", object)
+        for name in ("irls", "firth"):
+            rows = np.flatnonzero((n > 0) & (method == "failed"))
+            w = np.zeros((len(rows), self.k + 1))
+            for _ in range(rounds * (1 + (name == "firth"))):
+                if not len(rows):
+                    break
+                gradient, info = self.slopes(rows, w)
+                whole = np.abs(np.linalg.eigvalsh(info)).min(1) > 1e-9
+                rows, w, gradient, info = rows[whole], w[whole], gradient[whole], info[whole]
+                inverse = np.linalg.inv(info)
+                if name == "firth":
+                    gradient = self.slopes(rows, w, inverse)[0]
+                step = np.clip(np.einsum("vij,vj->vi", inverse, gradient), -STEP, STEP)
+                w = w + step
+                done = np.abs(step).max(1, initial=0) < 1e-9
+                good = done & (np.abs(w[:, -1]) < DIVERGED)
+                beta[rows[good]], se[rows[good]], method[rows[good]] = w[good, -1], np.sqrt(inverse[good, -1, -1]), name
+                rows, w = rows[~done], w[~done]
+        return n, beta, se, method
+
+
+class Batch(Fit):
     """A block's tiles with the samples' y and covariates (with the intercept first): what a step of all its variants needs."""
 
     def __init__(self, parts: list[tuple[bytes, bytes, bytes]], hard: bool, height: int, width: int):
@@ -55,7 +94,6 @@ class Batch:
         return sum((known.sum(1) for _, known, _, _, _ in self.calls()), np.zeros(self.height))
 
     def slopes(self, rows: np.ndarray, w: np.ndarray, inverse: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Gradients and information of the coefficients w (the covariates', then g's) of the variants in rows, with Firth's correction if inverse is given."""
         k, m = self.k, len(rows)
         gradient, info = np.zeros((m, k + 1)), np.zeros((m, k + 1, k + 1))
         for g, known, y, c, cc in self.calls(rows):
@@ -73,34 +111,41 @@ class Batch:
         info[:, k, :k] = info[:, :k, k]
         return gradient, info
 
-    def fit(self, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(n, beta, se, method) of every variant: irls, firth where that diverges, or failed."""
-        n = self.counts()
-        beta, se, method = np.full(self.height, np.nan), np.full(self.height, np.nan), np.full(self.height, "failed", object)
-        for name in ("irls", "firth"):
-            rows = np.flatnonzero((n > 0) & (method == "failed"))
-            w = np.zeros((len(rows), self.k + 1))
-            for _ in range(rounds * (1 + (name == "firth"))):
-                if not len(rows):
-                    break
-                gradient, info = self.slopes(rows, w)
-                whole = np.abs(np.linalg.eigvalsh(info)).min(1) > 1e-9
-                rows, w, gradient, info = rows[whole], w[whole], gradient[whole], info[whole]
-                inverse = np.linalg.inv(info)
-                if name == "firth":
-                    gradient = self.slopes(rows, w, inverse)[0]
-                step = np.clip(np.einsum("vij,vj->vi", inverse, gradient), -STEP, STEP)
-                w = w + step
-                done = np.abs(step).max(1, initial=0) < 1e-9
-                good = done & (np.abs(w[:, -1]) < DIVERGED)
-                beta[rows[good]], se[rows[good]], method[rows[good]] = w[good, -1], np.sqrt(inverse[good, -1, -1]), name
-                rows, w = rows[~done], w[~done]
-        return n, beta, se, method
+
+class Listed(Fit):
+    """A block's calls (row, g, y) with the samples' covariates c, the intercept first: an array of each."""
+
+    def __init__(self, row: np.ndarray, g: np.ndarray, y: np.ndarray, c: np.ndarray, height: int):
+        self.row, self.g, self.y, self.c, self.height, self.k = row, g, y, c, height, c.shape[1]
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.row, minlength=self.height).astype(float)
+
+    def slopes(self, rows: np.ndarray, w: np.ndarray, inverse: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        k, m = self.k, len(rows)
+        place = np.full(self.height, -1)
+        place[rows] = np.arange(m)
+        at = place[self.row]
+        own = at >= 0
+        at, y = at[own], self.y[own]
+        x = np.column_stack([self.c[own], self.g[own]])
+        mu = 1 / (1 + np.exp(-np.clip((w[at] * x).sum(1), -30, 30)))
+        v, left = mu * (1 - mu), y - mu
+        if inverse is not None:
+            left = left + v * np.einsum("ei,eij,ej->e", x, inverse[at], x) * (0.5 - mu)
+        add = lambda z: np.bincount(at, z, m)
+        gradient, info = np.stack([add(left * x[:, i]) for i in range(k + 1)], 1), np.zeros((m, k + 1, k + 1))
+        for i in range(k + 1):
+            for j in range(i, k + 1):
+                info[:, i, j] = info[:, j, i] = add(v * x[:, i] * x[:, j])
+        return gradient, info
 
 
 def logistic(t: Tiles, pheno: DataFrame, covariates: list[str], rounds: int = 30) -> DataFrame:
     """(vid, n, beta, se, method) of a 0/1 trait y on each variant and the covariates, over samples with both."""
     whole = pheno.select("sid", "y", *covariates).dropna().withColumn("__one", F.lit(1.0))
+    if t.sparse:
+        return _listed(t, whole, ["__one", *covariates], rounds)
     people = packed_people(t.samples, whole, ["y", "__one", *covariates])
     hard, height, width = t.hard, t.height, 2 + len(covariates)
     kind = t.variants.schema["vid"].dataType.simpleString()
@@ -119,3 +164,27 @@ def logistic(t: Tiles, pheno: DataFrame, covariates: list[str], rounds: int = 30
 
     run.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
     return met.groupBy("block").applyInArrow(run, f"vid {kind}, n long, beta double, se double, method string")
+
+
+def _listed(t: Tiles, whole: DataFrame, columns: list[str], rounds: int) -> DataFrame:
+    """logistic of listed calls: each is joined to its sample's row of whole (sid, y, columns...), then goes to its block."""
+    height, kind = t.height, t.variants.schema["vid"].dataType.simpleString()
+    names = [f"c{i}" for i in range(len(columns))]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vids = batch.column(batch.schema.get_field_index("vids"))
+            for i, r in enumerate(batch.select(["block", "sblock", "tile"]).to_pylist()):
+                row, col, g = tiles.entries(r["tile"])
+                yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(row)), pa.array(np.full(len(row), r["sblock"], np.int32)), pa.array(col.astype(np.int32)), pa.array(row.astype(np.int32)), vids[i].values.take(pa.array(row)), pa.array(g.astype(float))], names=["block", "sblock", "col", "row", "vid", "g"])
+
+    def run(part: pa.Table) -> pa.Table:  # a block's calls
+        row, g, y = (part[c].to_numpy() for c in ("row", "g", "y"))
+        n, beta, se, method = Listed(row, g, y, np.column_stack([part[c].to_numpy() for c in names]), height).fit(rounds)
+        at, first = np.unique(row, return_index=True)
+        return pa.table({"vid": part["vid"].take(pa.array(first)), "n": pa.array(n[at].astype(np.int64)), "beta": pa.array(beta[at], mask=np.isnan(beta[at])), "se": pa.array(se[at], mask=np.isnan(se[at])), "method": pa.array(method[at].tolist())})
+
+    calls = t.tiles.repartition(tiles.tasks(t.tiles)).mapInArrow(spread, f"block string, sblock int, col int, row int, vid {kind}, g double")
+    people = t.samples.join(whole, "sid").select("sblock", "col", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names, strict=True)])
+    met = calls.join(people, ["sblock", "col"]).select("block", "row", "vid", "g", "y", *names)
+    return met.repartition(tiles.tasks(met), "block").groupBy("block").applyInArrow(run, f"vid {kind}, n long, beta double, se double, method string")

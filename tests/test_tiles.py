@@ -248,3 +248,35 @@ def test_admixture_equals_numpy_and_rises(spark):
     freq = {(r.vid, r.label): r.p for r in out.frequencies.collect()}
     assert all(freq[v, names[c]] == pytest.approx(a[v, c], abs=1e-9) for v in range(m) for c in range(3))
     assert np.abs(b[45:] - q[45:]).mean() < 0.08
+
+
+def test_listed_calls_give_what_tiles_give(spark):
+    """Few calls are listed, four bytes each, whatever samples times variants are; every step has the same result."""
+    from helixframe.operators import admixture, assoc
+
+    rng = np.random.default_rng(21)
+    n, m = 2100, 150
+    at = np.flatnonzero(rng.random(n * m) < 0.03)
+    g = rng.binomial(2, 0.4, len(at))
+    calls = spark.createDataFrame([(int(x // m), int(x % m), int(c)) for x, c in zip(at, g, strict=True)], "sid long, vid long, g int")
+    variants = spark.createDataFrame([(v, "1", 7 * v) for v in range(m)], "vid long, chrom string, pos long")
+    few, full = tiles.tiled(calls, variants), tiles.tiled(calls, variants, listing=False)
+    assert few.sparse and not full.sparse and sum(len(r.tile) for r in few.tiles.collect()) == 4 * len(at)
+    pairs = spark.createDataFrame([(a, b) for a in range(m) for b in range(a, m)], "a long, b long")
+    pheno = spark.createDataFrame([(s, float(rng.random() < 0.4), float(rng.normal()) if s % 9 else None) for s in range(n)], "sid long, y double, x double")
+    labels = spark.createDataFrame([(s, "ABC"[s % 3]) for s in range(0, n, 2)], "sid long, label string")
+
+    def same(run, keys: int) -> None:
+        one, other = ({tuple(r)[:keys]: tuple(r)[keys:] for r in run(t).collect()} for t in (few, full))
+        assert one.keys() == other.keys() and one
+        for k, row in one.items():
+            for x, y in zip(row, other[k], strict=True):
+                assert x == (pytest.approx(y, rel=1e-6, abs=1e-9) if isinstance(y, float) else y)
+
+    same(lambda t: tiles.pair_r2(t, pairs), 2)
+    same(lambda t: tiles.window_r2(t, 30, 7, 0.01).select("a", "b", "n", "r"), 2)
+    same(lambda t: tiles.kinship(t, 0.2), 2)
+    same(lambda t: assoc.logistic_assoc(t, pheno, ["x"]), 1)
+    same(lambda t: admixture.fit(t, labels, rounds=3).proportions, 2)
+    with pytest.raises(Exception, match="two calls"):
+        tiles.tiled(calls.unionByName(calls.limit(1)), variants)
