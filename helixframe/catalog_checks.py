@@ -159,7 +159,7 @@ r AS (SELECT a, b FROM k WHERE least(het_a, het_b) > 0 AND (hethet - 2 * ibs0) /
 e AS (SELECT a, b FROM r UNION SELECT b, a FROM r), w AS (WITH RECURSIVE w(sid, other) AS (SELECT DISTINCT a, a FROM e UNION SELECT w.sid, e.b FROM w JOIN e ON e.a = w.other) SELECT * FROM w)
 SELECT sid, min(other) AS family FROM w GROUP BY sid""", "calls")
 def related_families(v):
-    return genotype.families(genotype.kinship_pairs(v("tiles")).filter("phi > 0.2"))
+    return genotype.families(genotype.kinship_pairs(v("tiles"), 0.2))
 
 
 # ------------------------------------------------------------ checks

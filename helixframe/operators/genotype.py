@@ -169,7 +169,8 @@ def unrelated(calls: DataFrame, cutoff: float = KING_CUTOFF) -> DataFrame:
 
 def families(related: DataFrame) -> DataFrame:
     """(sid, family): the smallest id that links (a, b) connect a sample with; labels spread until none changes."""
-    both = related.select("a", "b").unionByName(related.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    related = written(related.select("a", "b"), "links")
+    both = written(related.unionByName(related.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
     label = written(both.select(F.col("a").alias("sid")).distinct().withColumn("family", F.col("sid")), "family")
     while True:
         heard = both.join(label.withColumnsRenamed({"sid": "b"}), "b").groupBy(F.col("a").alias("sid")).agg(F.min("family").alias("other"))
