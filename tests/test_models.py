@@ -207,6 +207,20 @@ def test_fingerprints_ignore_order(spark):
     assert len(one) == 64 and manifest.content_fingerprint(a).first()[0] == manifest.content_fingerprint(b).first()[0]
 
 
+def test_a_fingerprint_of_all_is_that_of_the_sorted_text(spark):
+    """Of the whole table and of tables without lines; the registered one has one row, of all parts."""
+    import hashlib
+
+    from helixframe import catalog
+
+    rows = [(f"p/{i}", f"h{i * 7 % 50}", i) for i in range(3000)]
+    text = "".join(f"{p}\t{h}\t{n}\n" for p, h, n in sorted(rows))
+    table = spark.createDataFrame(rows, "path string, sha256 string, size_bytes long").repartition(5)
+    assert manifest.content_fingerprint(table).first()[0] == hashlib.sha256(text.encode()).hexdigest()
+    assert [r.fingerprint for r in manifest.content_fingerprint(table.filter("false")).collect()] == [None]
+    assert catalog.QUERIES["content_fingerprint"](spark, "/root/testdata/sf0.001").count() == 1
+
+
 def test_bed_files(spark, tmp_path):
     rng = np.random.default_rng(3)
     g = rng.integers(-1, 3, (1100, 7))  # variants x samples
