@@ -37,7 +37,7 @@ def assoc_scan(v):
 @query("SELECT count(*) AS n FROM sumstats", "sumstats")
 def record_count(v):
     df = v("sumstats").select("id", "chrom")
-    df.coalesce(1).write.csv(at := _path(df), sep="\t", header=True)
+    df.write.csv(at := _path(df), sep="\t", header=True)
     return io.count_records(df.sparkSession, at)
 
 

@@ -132,8 +132,9 @@ def read_glm(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def count_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """(n): the lines of a text table that are neither blank nor comments, less the header."""
-    return _lines(spark, path).agg(F.greatest(F.count(F.lit(1)) - int(header), F.lit(0)).alias("n"))
+    """(n): the lines of a text table that are neither blank nor comments, less the header of each of its files."""
+    per = _lines(spark, path).groupBy("_metadata.file_path").agg((F.count(F.lit(1)) - int(header)).alias("n"))  # a row per file
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
 
 
 def read_intervals(spark: SparkSession, path: str, convention: str) -> DataFrame:

@@ -221,6 +221,13 @@ def test_a_fingerprint_of_all_is_that_of_the_sorted_text(spark):
     assert catalog.QUERIES["content_fingerprint"](spark, "/root/testdata/sf0.001").count() == 1
 
 
+def test_records_of_several_files(spark, tmp_path):
+    from helixframe.sources import io
+
+    spark.range(50).repartition(5).write.csv(str(tmp_path / "t"), header=True)
+    assert [r.n for r in io.count_records(spark, str(tmp_path / "t")).collect()] == [50]
+
+
 def test_bed_files(spark, tmp_path):
     rng = np.random.default_rng(3)
     g = rng.integers(-1, 3, (1100, 7))  # variants x samples
