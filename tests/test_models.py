@@ -221,6 +221,25 @@ def test_a_fingerprint_of_all_is_that_of_the_sorted_text(spark):
     assert catalog.QUERIES["content_fingerprint"](spark, "/root/testdata/sf0.001").count() == 1
 
 
+def test_large_families_are_thinned_as_plain_ones(spark, monkeypatch):
+    """One family of many links: each removal is one look at the degrees."""
+    rng = np.random.default_rng(31)
+    links = {(int(a), int(b)) for a, b in np.sort(rng.integers(0, 900, (60_000, 2)), 1) if a != b}
+    related = spark.createDataFrame(sorted(links), "a long, b long")
+    monkeypatch.setattr(genotype, "kinship_pairs", lambda calls, cutoff: related)
+    calls = spark.range(1000).withColumnRenamed("id", "sid")
+    left = {r.sid for r in genotype.unrelated(calls, tiled=calls).collect()}
+    of = {s: set() for s in range(1000)}
+    for a, b in links:
+        of[a].add(b)
+        of[b].add(a)
+    while any(of.values()):
+        worst = max(of, key=lambda s: (len(of[s]), s))
+        for other in of.pop(worst):
+            of[other].discard(worst)
+    assert left == set(of)
+
+
 def test_records_of_several_files(spark, tmp_path):
     from helixframe.sources import io
 
