@@ -242,22 +242,22 @@ def supervised_proportions(calls: DataFrame, frequencies: DataFrame, rounds: int
 
     Only variants with a frequency in every label can take part.
     """
-    labels = frequencies.agg(F.countDistinct("label").alias("every"))
-    wide = frequencies.groupBy("vid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "p")))).alias("p"))
-    wide = wide.join(F.broadcast(labels)).filter(F.size("p") == F.col("every"))  # one row
-    rows = calls.filter("g is not null").join(wide, "vid").select("sid", "vid", F.col("g").cast("double").alias("g"), F.map_keys("p").alias("labels"), F.map_values("p").alias("ps"))
-
-    def em(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("vid")
-        labels, p, g = list(frame["labels"].iloc[0]), np.stack(frame["ps"].to_numpy()), frame["g"].to_numpy()[:, None]
+    names = [r.label for r in frequencies.select("label").distinct().orderBy("label").collect()]  # a row per label
+    wide = frequencies.groupBy("vid").agg(F.transform(F.array_sort(F.collect_list(F.struct("label", "p"))), lambda x: x["p"]).alias("ps")).filter(F.size("ps") == len(names))
+    rows = calls.filter("g is not null").join(wide, "vid").select("sid", "vid", F.col("g").cast("double").alias("g"), "ps")
+    shown, kind = pa.array([str(n) for n in names]), calls.schema["sid"].dataType.simpleString()
+
+    def em(part: pa.Table) -> pa.Table:  # a sample's calls
+        order = np.argsort(part["vid"].to_numpy(), kind="stable")
+        p, g = part["ps"].combine_chunks().flatten().to_numpy().reshape(-1, len(shown))[order], part["g"].to_numpy()[order]
+        other, h = 1 - p, 2 - g
         q = np.full(p.shape[1], 1 / p.shape[1])
         for _ in range(rounds):
-            a, b = q * p, q * (1 - p)
-            new = (g * a / a.sum(1, keepdims=True) + (2 - g) * b / b.sum(1, keepdims=True)).sum(0) / (2 * len(g))
+            new = q * ((g / (p @ q)) @ p + (h / (other @ q)) @ other) / (2 * len(g))
             done = np.abs(new - q).max() < 1e-6
             q = new
             if done:
                 break
-        return pd.DataFrame({"sid": frame["sid"].iloc[0], "label": [str(x) for x in labels], "q": q})
+        return pa.table({"sid": pa.array([part["sid"][0].as_py()] * len(q), part.schema.field("sid").type), "label": shown, "q": q})
 
-    return rows.groupBy("sid").applyInPandas(em, "sid long, label string, q double")
+    return rows.groupBy("sid").applyInArrow(em, f"sid {kind}, label string, q double")
