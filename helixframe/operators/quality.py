@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
+from helixframe.operators.tiles import tasks
 
 
 def require(problems: DataFrame, message: str, show: int = 5) -> None:
@@ -27,9 +28,14 @@ def duplicates(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def same_set(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of only one side, with the side; empty if the sets are equal."""
-    left, right = a.distinct(), b.distinct()
-    return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    """Rows of only one side, with the side; empty if the sets are equal.
+
+    Rows are dealt to all tasks before they are grouped: the task that reads a file would otherwise hold its distinct rows.
+    """
+    names = [f"`{c}`" for c in a.columns]
+    both = a.select("*", F.lit(1).alias("side")).union(b.select("*", F.lit(2).alias("side")))
+    per = both.repartition(tasks(a), *names).groupBy(*names).agg(F.bit_or("side").alias("side"))
+    return per.filter("side < 3").withColumn("side", F.when(F.col("side") == 1, "left").otherwise("right"))
 
 
 def not_functional(df: DataFrame, a: str, b: str) -> DataFrame:

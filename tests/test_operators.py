@@ -242,3 +242,15 @@ def test_harmonization_shuffles_once(spark):
 def test_decimal_numbers_only(spark, given, want):
     got = spark.createDataFrame([(given,)], "c string").select(E.finite("c").alias("x"), E.bounded(E.decimal("c")).alias("y")).first()
     assert got.x == want and got.y == want
+
+
+def test_sets_are_compared_by_all_tasks(spark):
+    """Rows repeat, are null and come from one partition; none is grouped before rows are dealt out."""
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (None, None), (2, None), (3, "c")], "x int, y string").coalesce(1)
+    other = spark.createDataFrame([(1, "a"), (None, None), (None, None), (2, "b"), (2, "b")], "x int, y string").coalesce(1)
+    found = quality.same_set(one, other)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[plan.index("REPARTITION_BY_NUM") :]
+    assert found.columns == ["x", "y", "side"]
+    assert sorted(map(tuple, found.collect()), key=str) == [(2, "b", "right"), (2, None, "left"), (3, "c", "left")]
+    assert quality.same_set(one, one).isEmpty() and quality.same_set(one, one.filter("x > 5")).count() == 4
