@@ -5,7 +5,7 @@ none while segment i+1 has at most one (pigeonhole), so each fingerprint gets th
 segment i, Golay index of segment i+1). The index is the codeword nearest to the segment in the
 perfect [23,12,7] Golay code, taken for the segment and every word one bit away (one to a few
 distinct indices), so two segments one bit apart share an index. Fingerprints that share a key are joined
-and verified. Keys that more than two fingerprints share name no pairs: their fingerprints are
+and verified. Keys that more than DIRECT fingerprints share name no pairs: their fingerprints are
 linked through words one bit away from both, which any two fingerprints within two bits share and
 no others do. That is exact and linear in the size of a group.
 
@@ -133,18 +133,29 @@ def fuzzy_keys(distinct: DataFrame) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "key long, fp long")
 
 
+#: Fingerprints of a key that are compared with one another, at most 31 comparisons each; of a larger key each makes 65 words.
+DIRECT = 64
+
+
+def crowded(keys: DataFrame, shared: DataFrame) -> DataFrame:
+    """(fp) of the keys (key, fp) that more than DIRECT fingerprints share, by shared (key, n)."""
+    return keys.join(shared.filter(F.col("n") > DIRECT).select("key"), "key", "left_semi").select("fp").distinct()
+
+
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """(a, b): links that connect all distinct fingerprints within MAX_BITS of one another, and no others."""
     keys = keep(fuzzy_keys(distinct), "keys")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     shared = keep(shared, "shared")
-    pairs = shared.filter("n = 2").select("a", "b").distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-    crowded = keys.join(shared.filter("n > 2").select("key"), "key", "left_semi").select("fp").distinct()
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
+    pairs = shared.filter("n = 2").select("a", "b").distinct().filter(close)
+    few = keep(keys.join(shared.filter(F.col("n").between(3, DIRECT)).select("key"), "key"), "few")
+    met = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), "key").filter((F.col("a") < F.col("b")) & close).select("a", "b")
     masks = F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("long") for i in range(64)])
-    near = crowded.select("fp", F.explode(masks).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("middle"), "fp")
+    near = keep(crowded(keys, shared), "crowded").select("fp", F.explode(masks).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("middle"), "fp")
     first = near.groupBy("middle").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("middle", "a")
     stars = near.join(first, "middle").filter("fp <> a").select("a", F.col("fp").alias("b"))
-    return pairs.unionByName(stars).distinct()
+    return pairs.unionByName(met).unionByName(stars).distinct()
 
 
 def classes(prints: DataFrame, key: str = "doc_id") -> DataFrame:

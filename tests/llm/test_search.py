@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from helixframe.llm import graph, langid, quality, simhash, topk, toxicity
 from helixframe.llm.common import crc_mod_py
@@ -210,3 +211,21 @@ def test_pipeline_runs(spark):
 
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and max(r.offset + r.length for r in rows) <= 4096
+
+
+@pytest.mark.parametrize("size", [64, 65])
+def test_keys_of_few_fingerprints_are_joined_and_larger_ones_spread(spark, size):
+    """Fingerprints that share their two lower segments share a key: up to DIRECT of them are compared, more go through words one bit away."""
+    top = np.random.default_rng(size).choice(1 << 12, size, replace=False)
+    fps = [int(t) << 43 | 12345 for t in top]
+    distinct = spark.createDataFrame([(f,) for f in fps], "fp long")
+    keys = simhash.fuzzy_keys(distinct)
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    assert shared.agg(F.max("n")).first()[0] == size and simhash.crowded(keys, shared).count() == (size if size > 64 else 0)
+    root = {f: f for f in fps}
+    for _ in fps:
+        root = {f: min(root[g] for g in fps if (f ^ g).bit_count() <= 2) for f in fps}
+    links = simhash.fingerprint_links(distinct)
+    got = {r.node: r.root for r in graph.components(links).collect()}
+    assert {f: got.get(f, f) for f in fps} == root
+    assert all((r.a ^ r.b).bit_count() <= 2 or size > 64 for r in links.collect())
