@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.functions import expr as E
-from helixframe.operators import genotype, samples, variants
+from helixframe.operators import genotype, samples, subspace, variants
 from helixframe.plans.stored import stored
 
 
@@ -48,81 +48,37 @@ def _orthonormal(df: DataFrame, key: str, names: list[str]) -> tuple[DataFrame,
     return df.select(key, *_times(names, matrix)), [f"q{j}" for j in range(matrix.shape[1])]
 
 
-def _spanned(df: DataFrame, key: list[str], width: int) -> DataFrame:
-    """(key..., q0, q1, ...): for each stratum, columns of length one at right angles that span those of df; directions without length are 0."""
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    sums = df.groupBy("stratum").agg(*[F.sum(F.col(f"q{i}") * F.col(f"q{j}")) for i, j in pairs]).collect()  # a row per stratum
-    rows = []
-    for row in sums:
-        m = np.zeros((width, width))
-        for v, (i, j) in zip(row[1:], pairs, strict=True):
-            m[i, j] = m[j, i] = v or 0.0
-        values, vectors = np.linalg.eigh(m)
-        some = values > 1e-10 * max(values.max(initial=0), 1e-300)
-        rows.append((row[0], (vectors * np.where(some, 1 / np.sqrt(np.where(some, values, 1)), 0)).ravel().tolist()))
-    return _multiplied(df, key, rows, width, width)
-
-
-def _multiplied(df: DataFrame, key: list[str], matrices: list[tuple], width: int, out: int) -> DataFrame:
-    """(key..., q0, ...): the columns of df times their stratum's matrix, given by rows."""
-    kind = df.schema["stratum"].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(matrices, f"stratum {kind}, m array<double>")
-    met = df.join(F.broadcast(table), "stratum")  # a row per stratum
-    return met.select(*key, *[reduce(lambda a, b: a + b, [F.col(f"q{i}") * F.col("m")[i * out + j] for i in range(width)]).alias(f"q{j}") for j in range(out)])
-
-
-def _components(calls: DataFrame, k: int, rounds: int, extra: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(stratum, sid, pc, score), (stratum, vid, pc, w) and (stratum, vid, p) of calls (stratum, sid, vid, g); all strata are fitted at once."""
-    per = calls.groupBy("stratum", "vid").agg((F.sum("g") / (2 * F.count("g"))).alias("p"))
-    freqs = per.filter("p > 0 and p < 1")
-    p, width = F.col("p"), k + extra
-    z = stored(calls.filter("g is not null").join(freqs, ["stratum", "vid"]).select("stratum", "sid", "vid", ((F.col("g") - 2 * p) / F.sqrt(2 * p * (1 - p))).alias("z")))
-
-    def product(side: DataFrame, on: str, to: str) -> DataFrame:
-        return stored(z.join(side, ["stratum", on]).groupBy("stratum", to).agg(*[F.sum(F.col("z") * F.col(f"q{i}")).alias(f"q{i}") for i in range(width)]))
-
-    start = z.select("stratum", "sid").distinct().select("stratum", "sid", *[(F.xxhash64("sid", F.lit(i)) / float(1 << 63)).alias(f"q{i}") for i in range(width)])
-    q = _spanned(start, ["stratum", "sid"], width)
+def _components(calls: DataFrame, members: DataFrame, k: int, rounds: int, extra: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stratum, sid, pc, score), (stratum, vid, pc, w) and (stratum, vid, p) of calls (sid, vid, g) within members (stratum, sid); all strata are fitted at once."""
+    x = subspace.matrix(calls, members, k + extra)
+    y = x.people
     for _ in range(rounds):
-        q = _spanned(product(product(q, "sid", "vid"), "vid", "sid"), ["stratum", "sid"], width)
-    q = stored(q)
-    b = product(q, "sid", "vid")
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+        y = subspace.product(x, y, subspace.spanning(x, y))
+    turns = subspace.spanning(x, y)
     found = {}
-    for row in b.groupBy("stratum").agg(*[F.sum(F.col(f"q{i}") * F.col(f"q{j}")) for i, j in pairs]).collect():  # a row per stratum
-        m = np.zeros((width, width))
-        for v, (i, j) in zip(row[1:], pairs, strict=True):
-            m[i, j] = m[j, i] = v or 0.0
-        values, vectors = np.linalg.eigh(m)
+    for s, m in subspace.crossed(x, y, subspace.product(x, y, turns)).items():
+        m = turns[s].T @ m
+        values, vectors = np.linalg.eigh((m + m.T) / 2)
         best = np.argsort(values)[::-1][:k]
-        found[row[0]] = (np.where(values[best] > 1e-10, values[best], 0), vectors[:, best])
-    turned = _multiplied(q, ["stratum", "sid"], [(s, (vec * (val > 0)).ravel().tolist()) for s, (val, vec) in found.items()], width, k)
-    cubes = {r[0]: [-1.0 if (c or 0) < 0 else 1.0 for c in r[1:]] for r in turned.groupBy("stratum").agg(*[F.sum(F.pow(f"q{j}", F.lit(3.0))) for j in range(k)]).collect()}
-    signed = {s: vec * (val > 0) * np.array(cubes[s]) for s, (val, vec) in found.items()}
-    scores = _multiplied(q, ["stratum", "sid"], [(s, m.ravel().tolist()) for s, m in signed.items()], width, k)
+        found[s] = np.where(values[best] > 1e-10, values[best], 0), turns[s] @ vectors[:, best]
+    signs = {s: np.where(c < 0, -1.0, 1.0) for s, c in subspace.cubes(y, {s: vec * (val > 0) for s, (val, vec) in found.items()}).items()}
+    signed = {s: vec * (val > 0) * signs[s] for s, (val, vec) in found.items()}
     inverse = {s: signed[s] / np.sqrt(np.where(val > 0, val, 1)) for s, (val, _) in found.items()}
-    weights = _multiplied(b, ["stratum", "vid"], [(s, m.ravel().tolist()) for s, m in inverse.items()], width, k)
-    counts = scores.sparkSession.createDataFrame([(s, int((val > 0).sum())) for s, (val, _) in found.items()], f"stratum {calls.schema['stratum'].dataType.simpleString()}, n int")
-
-    def long(df: DataFrame, key: str, value: str) -> DataFrame:
-        parts = F.array(*[F.struct(F.lit(f"PC{j + 1}").alias("pc"), F.col(f"q{j}").alias(value), F.lit(j).alias("j")) for j in range(k)])
-        return df.join(F.broadcast(counts), "stratum").select("stratum", key, "n", F.inline(parts)).filter("j < n").select("stratum", key, "pc", value)  # a row per stratum
-
-    return long(scores, "sid", "score"), long(weights, "vid", "w"), freqs
+    counts = {s: int((val > 0).sum()) for s, (val, _) in found.items()}
+    return subspace.by_sample(x, y, signed, counts), subspace.by_variant(x, y, inverse, counts), subspace.frequencies(x)
 
 
 def fit_pca(calls: DataFrame, k: int = 10, rounds: int = 8, extra: int = 8) -> Components:
     """Components of standardised genotypes by randomised subspace iteration; missing calls count as the mean.
 
-    A round is two joins with aggregates on sid and vid. Signs: the cubes of a component's scores sum to no less than 0.
+    A round is one pass over the calls, see subspace. Signs: the cubes of a component's scores sum to no less than 0.
     """
-    return Components(*[d.drop("stratum") for d in _components(calls.select(F.lit(0).alias("stratum"), "sid", "vid", "g"), k, rounds, extra)])
+    return Components(*[d.drop("stratum") for d in _components(calls, calls.select(F.lit(0).alias("stratum"), "sid").distinct(), k, rounds, extra)])
 
 
 def stratum_pca(calls: DataFrame, strata: DataFrame, k: int = 10, rounds: int = 8) -> DataFrame:
     """(stratum, sid, pc, score): a fit within each of the strata (sid, stratum), all at once."""
-    own = calls.join(strata.filter("stratum is not null").select("stratum", "sid"), "sid").select("stratum", "sid", "vid", "g")
-    return _components(own, k, rounds, 8)[0]
+    return _components(calls, strata.filter("stratum is not null").select("stratum", "sid"), k, rounds, 8)[0]
 
 
 def combine_pcs(parts: dict[str, DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.functions import expr as E
-from helixframe.operators import ancestry, assoc, genotype, pooled, quality, reports, samples, variants
+from helixframe.operators import ancestry, assoc, genotype, pooled, quality, reports, samples, subspace, variants
 
 
 def one(spark, column, **values):
@@ -164,6 +164,51 @@ def test_components_against_singular_vectors(spark):
     assert abs(abs(weights @ vt[0]) - 1) < 1e-6
 
 
+def _round_bytes(spark, run):
+    """Bytes that a round of run(rounds) shuffles."""
+    context = spark.sparkContext._jsc.sc()
+
+    def written():
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorList(True).apply(0).totalShuffleWrite()
+
+    totals = []
+    for rounds in (1, 4):
+        before = written()
+        run(rounds).count()
+        totals.append(written() - before)
+    return (totals[1] - totals[0]) / 3
+
+
+def _thin_calls(spark):
+    """40 000 calls, two a variant, of 1000 samples."""
+    return spark.range(40_000).selectExpr("id % 1000 as sid", "id div 2 as vid", "cast(pmod(xxhash64(id), 3) as int) as g")
+
+
+def test_rounds_within_strata_shuffle_no_row_of_a_call(spark):
+    strata = spark.range(1000).selectExpr("id as sid", "id div 500 as stratum")
+    assert _round_bytes(spark, lambda rounds: pooled.stratum_pca(_thin_calls(spark), strata, 3, rounds)) < 40_000 * 30
+
+
+def test_components_within_strata_by_pieces_chunks_and_vectors(spark, monkeypatch):
+    for name, value in {"CHUNK": 16, "PIECE": 100, "LEAST": 500, "HELD": 16 * 81 * 3}.items():
+        monkeypatch.setattr(subspace, name, value)
+    both = {"a": _random_calls(spark, seed=8), "b": _random_calls(spark, seed=9)}
+    calls = both["a"][1].union(both["b"][1].selectExpr("sid + 100", "vid", "g")).union(spark.createDataFrame([(999, 999, 2), (None, 0, 2), (0, None, 1), (0, 998, None)], "sid long, vid long, g int"))
+    strata = spark.createDataFrame([(i + shift, s) for s, shift in (("a", 0), ("b", 100)) for i in range(40)] + [(999, "a"), (998, "c"), (997, None)], "sid long, stratum string")
+    rows = pooled.stratum_pca(calls, strata, 3, rounds=12).collect()
+    assert {(r.stratum, r.sid) for r in rows} == {("a", i) for i in range(40)} | {("b", i + 100) for i in range(40)} and len(rows) == 240
+    scores = {(r.stratum, r.pc, r.sid): r.score for r in rows}
+    for s, shift in (("a", 0), ("b", 100)):
+        g = both[s][0]
+        p = g.mean(0) / 2
+        ok = (p > 0) & (p < 1)
+        u = np.linalg.svd((g[:, ok] - 2 * p[ok]) / np.sqrt(2 * p[ok] * (1 - p[ok])), full_matrices=False)[0]
+        for j in range(2):
+            got = np.array([scores[s, f"PC{j + 1}", i + shift] for i in range(40)])
+            assert abs(abs(got @ u[:, j]) - 1) < 1e-6 and (got**3).sum() >= 0
+
+
 def test_pooled_score_test_against_projection(spark):
     g, calls = _random_calls(spark, seed=6)
     rng = np.random.default_rng(7)
