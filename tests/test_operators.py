@@ -190,6 +190,23 @@ def test_rounds_within_strata_shuffle_no_row_of_a_call(spark):
     assert _round_bytes(spark, lambda rounds: pooled.stratum_pca(_thin_calls(spark), strata, 3, rounds)) < 40_000 * 30
 
 
+def test_rounds_of_components_shuffle_no_row_of_a_call(spark):
+    assert _round_bytes(spark, lambda rounds: pooled.fit_pca(_thin_calls(spark), 3, rounds).scores) < 40_000 * 30
+
+
+def test_weights_and_frequencies_by_pieces_chunks_and_vectors(spark, monkeypatch):
+    for name, value in {"CHUNK": 16, "PIECE": 100, "LEAST": 500, "HELD": 16 * 40 * 3}.items():
+        monkeypatch.setattr(subspace, name, value)
+    g, calls = _random_calls(spark, seed=10)
+    p = g.mean(0) / 2
+    ok = np.flatnonzero((p > 0) & (p < 1))
+    vt = np.linalg.svd((g[:, ok] - 2 * p[ok]) / np.sqrt(2 * p[ok] * (1 - p[ok])), full_matrices=False)[2]
+    fit = pooled.fit_pca(calls, 3, rounds=12)
+    assert {r.vid: r.p for r in fit.freqs.collect()} == {int(j): p[j] for j in ok}
+    weights = {(r.pc, r.vid): r.w for r in fit.weights.collect()}
+    assert len(weights) == 3 * len(ok) and all(abs(abs(np.array([weights[f"PC{k + 1}", j] for j in ok.tolist()]) @ vt[k]) - 1) < 1e-6 for k in range(2))
+
+
 def test_components_within_strata_by_pieces_chunks_and_vectors(spark, monkeypatch):
     for name, value in {"CHUNK": 16, "PIECE": 100, "LEAST": 500, "HELD": 16 * 81 * 3}.items():
         monkeypatch.setattr(subspace, name, value)
