@@ -53,10 +53,12 @@ def _numbers(df: DataFrame, column: str) -> dict[int, np.ndarray]:
 def matrix(calls: DataFrame, members: DataFrame, width: int) -> Matrix:
     """The stored pieces of calls (sid, vid, g) of members (stratum, sid). Calls are shuffled twice: to their samples, then to ranges of variants.
 
-    Variants without variance within the stratum go. Calls without a sample or a variant are none.
+    Variants without variance within the stratum go. Calls without a sample or a variant are none. Members are
+    found once and stored, as they may come from the calls.
     """
     spark = calls.sparkSession
     tiles.bound_batches(spark)
+    members = written(members.select("stratum", "sid"), "members")
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((members, "stratum"), (calls, "sid"), (calls, "vid"))}
     labels = [r.stratum for r in members.select("stratum").distinct().orderBy("stratum").collect()]  # a row per stratum
     strata = spark.createDataFrame(list(enumerate(labels)), f"s int, stratum {kinds['stratum']}")

@@ -194,6 +194,20 @@ def test_rounds_of_components_shuffle_no_row_of_a_call(spark):
     assert _round_bytes(spark, lambda rounds: pooled.fit_pca(_thin_calls(spark), 3, rounds).scores) < 40_000 * 30
 
 
+def test_members_of_components_are_found_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    _, calls = _random_calls(spark)
+    strata = spark.range(40).selectExpr("id as sid", "id div 20 as stratum").mapInArrow(note, "sid long, stratum long")
+    assert pooled.stratum_pca(calls, strata, 3, rounds=2).count() == 120
+    assert seen.value == 40
+
+
 def test_weights_and_frequencies_by_pieces_chunks_and_vectors(spark, monkeypatch):
     for name, value in {"CHUNK": 16, "PIECE": 100, "LEAST": 500, "HELD": 16 * 40 * 3}.items():
         monkeypatch.setattr(subspace, name, value)
