@@ -155,7 +155,7 @@ def tiled(calls: DataFrame, variants: DataFrame | None = None, height: int = VAR
         return pa.table({"block": table["block"][:1], "sblock": table["sblock"][:1], "vids": pa.array([vids], pa.list_(table.schema.field("vid").type)), "tile": pa.array([pack(cells) if hard and not sparse else cells.tobytes()], pa.binary())})
 
     cut = rows.select("block", "sblock", "row", "col", "vid", "g").groupBy("block", "sblock").applyInArrow(build, f"block string, sblock int, vids array<{kind}>, tile binary")
-    return Tiles(written(cut, "tiles"), at, who, hard, height, sparse)
+    return Tiles(written(cut, "tiles", heavy=height > VARIANTS), at, who, hard, height, sparse)
 
 
 def squares(t: Tiles) -> Tiles:

@@ -27,9 +27,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet and read back: later scans read the columns they need."""
+#: Of rows of many bytes few are written, and read, at a time.
+HEAVY = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+
+
+def written(df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
+    """df, written as Parquet and read back: later scans read the columns they need. heavy: rows may have many bytes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**HEAVY if heavy else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

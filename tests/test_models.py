@@ -530,3 +530,54 @@ def test_wide_level1_is_solved_without_its_matrix(spark, monkeypatch, binary):
     monkeypatch.setattr(ridge, "DIRECT", 10)
     got = ridge.level1(design, width, ridge.SHARES, binary)
     assert got.share == want.share and np.allclose(got.weights, want.weights, atol=1e-7)
+
+
+def _grouped(spark, groups, people, each, seed):
+    """Calls in which every group of samples has variants of its own, (variants, pheno) beside them."""
+    rng = np.random.default_rng(seed)
+    n, m = groups * people, groups * each
+    g = {(i, j): int(rng.integers(0, 3)) for i in range(n) for j in range(m) if i // people == j // each and rng.random() < 0.9}
+    y = np.array([sum(g.get((i, j), 0) for j in range(m)) for i in range(n)]) + rng.normal(size=n)
+    calls = spark.createDataFrame([(i, j, x) for (i, j), x in g.items()], "sid long, vid long, g int")
+    v = spark.createDataFrame([(j, str(1 + j // each % 3), j) for j in range(m)], "vid long, chrom string, pos long")
+    return calls, v, spark.createDataFrame([(i, float(y[i]), float(rng.normal())) for i in range(n)], "sid long, y double, x double")
+
+
+@pytest.mark.parametrize("binary", [False, True])
+def test_ridge_of_listed_calls_equals_that_of_tiles(spark, monkeypatch, binary):
+    from helixframe.operators import ridge, tiles
+
+    calls, v, pheno = _grouped(spark, 4, 30, 5, 51)
+    if binary:
+        pheno = pheno.withColumn("y", (F.col("y") > 4.5).cast("double"))
+    got = []
+    for least, places in ((0.0, 8192), (2.0, 7)):  # tiles; pieces, in small slices
+        monkeypatch.setattr(tiles, "SPARSE", least)
+        monkeypatch.setattr(ridge, "SLICE", places)
+        monkeypatch.setattr(ridge, "PIECE", 40)
+        found = ridge.fit_ridge_loco(calls, v, pheno, ["x"], block=4, shares=(0.2, 0.6), binary=binary).orderBy("sid", "chrom").collect()
+        got.append(([(r.sid, r.chrom) for r in found], [r.pred for r in found]))
+    assert len(got[0][0]) == 360 and got[0][0] == got[1][0] and np.allclose(got[0][1], got[1][1], atol=1e-7)
+    twice = calls.unionByName(calls.limit(1))
+    with pytest.raises(Exception, match="two calls of one variant"):
+        ridge.fit_ridge_loco(twice, v, pheno, ["x"], block=4, binary=binary).collect()
+
+
+def test_stored_tables_of_ridge_grow_with_the_calls(spark, monkeypatch):
+    """A sample has 6 of 180 variants: no stored row is as wide as all variants, or all blocks."""
+    from helixframe.operators import ridge
+
+    calls, v, pheno = _grouped(spark, 30, 8, 6, 52)
+    sizes = {}
+
+    def kept(df, name, written=ridge.written, **more):
+        out = written(df, name, **more)
+        of = [c for c in ("tile", "z", "x") if c in out.columns and out.schema[c].dataType.typeName() == "binary"]
+        if of:
+            sizes[name] = out.agg(F.sum(F.length(of[0]))).first()[0]
+        return out
+
+    monkeypatch.setattr(ridge, "written", kept)
+    assert ridge.fit_ridge_loco(calls, v, pheno, ["x"], block=6, shares=(0.2, 0.6)).count() == 240 * 3
+    n = calls.count()
+    assert sizes["pieces"] == 8 * n and sizes["design"] == sizes["level0"] <= 8 * n  # dense: 8 * 240 * 60 of the design
