@@ -280,3 +280,42 @@ def test_listed_calls_give_what_tiles_give(spark):
     same(lambda t: admixture.fit(t, labels, rounds=3).proportions, 2)
     with pytest.raises(Exception, match="two calls"):
         tiles.tiled(calls.unionByName(calls.limit(1)), variants)
+
+
+@pytest.mark.parametrize("listing", [False, True])
+def test_newton_steps_reach_what_long_em_reaches(spark, monkeypatch, listing):
+    from helixframe.operators import admixture
+
+    rng = np.random.default_rng(14)
+    n, m = 60, 80
+    p = rng.uniform(0.1, 0.9, (m, 2))
+    q = np.vstack([np.repeat(np.eye(2), 15, 0), rng.dirichlet(np.ones(2), n - 30)])
+    g = rng.binomial(2, p @ q.T)
+    calls = spark.createDataFrame([(s, v, int(g[v, s])) for v in range(m) for s in range(n) if (s + v) % 5], "sid long, vid long, g int")
+    labels = spark.createDataFrame([(i, "AB"[i // 15]) for i in range(30)], "sid long, label string")
+    monkeypatch.setattr(tiles, "SPARSE", 2.0 if listing else 0.0)
+    t = tiles.tiled(calls)
+    out = admixture.fit(t, labels, rounds=None, tolerance=1e-8)
+    known = np.array([[float((s + v) % 5 > 0) for s in range(n)] for v in range(m)])
+    own = np.vstack([np.repeat(np.eye(2), 15, 0), np.zeros((30, 2))])
+    a, b, x = np.clip(known * g @ own / (2 * known @ own), 1e-5, 1 - 1e-5), np.vstack([own[:30], np.full((30, 2), 0.5)]), known * g
+    for _ in range(20000):
+        one, none = a @ b.T, (1 - a) @ b.T
+        level = (known * (x * np.log(one) + (2 - x) * np.log(none))).sum()
+        high, low = x / one, known * (2 - x) / none
+        up, down = a * (high @ b), (1 - a) * (low @ b)
+        b = np.vstack([b[:30], (b * (high.T @ a + low.T @ (1 - a)) / (2 * known.sum(0))[:, None])[30:]])
+        a = np.clip(up / (up + down), 1e-5, 1 - 1e-5)
+    assert t.sparse == listing and (np.diff(out.likelihoods) >= 0).all() and out.likelihoods[-1] == pytest.approx(level, abs=0.01)
+    got = {(r.sid, r.label): r.q for r in out.proportions.collect()}
+    assert all(got[s, "AB"[c]] == pytest.approx(b[s, c], abs=0.01) for s in range(n) for c in range(2))
+
+
+def test_the_admixture_query_bounds_no_rounds(spark, monkeypatch):
+    from helixframe import catalog
+    from helixframe.operators import admixture
+
+    seen, none = [], spark.createDataFrame([], "sid long, label string, q double")
+    monkeypatch.setattr(admixture, "fit", lambda t, labels, **more: seen.append(more) or admixture.Admixture(none, none, []))
+    assert catalog.QUERIES["supervised_admixture"](spark, "/root/testdata/sf0.001").count() == 0
+    assert seen == [{"rounds": None}]
