@@ -154,6 +154,16 @@ def test_families_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
 
 
+def test_families_spread_one_link_a_sample(spark, monkeypatch):
+    """A crowd of 200 related samples has 19900 links; a task keeps at most one for each of its samples."""
+    seen = []
+    monkeypatch.setattr(genotype, "written", lambda df, name, written=genotype.written: seen.append((name, written(df, name))) or seen[-1][1])
+    edges = [(a, b) for a in range(200) for b in range(a + 1, 200)] + [(300, 301), (302, 301), (305, 305)]
+    got = {r.sid: r.family for r in genotype.families(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    assert got == dict.fromkeys(range(200), 0) | {300: 300, 301: 300, 302: 300, 305: 305}
+    assert dict(seen)["links"].count() <= 3 * 204
+
+
 def test_inverse_normal_with_ties(spark):
     from statistics import NormalDist
 
